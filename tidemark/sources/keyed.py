@@ -21,28 +21,24 @@ import json
 from collections.abc import Iterable
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.names import RESERVED, as_list, col, resolve, same_schema
 from tidemark.functions.sizes import fits_broadcast
-from tidemark.operators.joins import distinct_keys, key_condition, rows_touched
-from tidemark.operators.latest import keep_last
+from tidemark.operators.joins import distinct_keys, rows_touched, rows_untouched
+from tidemark.operators.latest import keep_last, ordering
 from tidemark.sources.files import write_files
+from tidemark.sources.paths import file_system, read_text, write_new_text
 
 SEQ = "commit_seq"
 _FILE = RESERVED + "file"
 _BATCH = RESERVED + "batch"
 
 
-def _fs(spark: SparkSession, path: str):
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), jpath
-
-
 def _versions(spark: SparkSession, path: str) -> list[int]:
-    fs, folder = _fs(spark, f"{path}/state")
+    fs, folder = file_system(spark, f"{path}/state")
     if not fs.exists(folder):
         return []
     names = [s.getPath().getName() for s in fs.listStatus(folder)]
@@ -50,13 +46,7 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
 
 
 def _load(spark: SparkSession, path: str, version: int) -> dict:
-    fs, file = _fs(spark, f"{path}/state/{version:010d}.json")
-    stream = fs.open(file)
-    try:
-        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-    return json.loads(text)
+    return json.loads(read_text(spark, f"{path}/state/{version:010d}.json"))
 
 
 def table_state(spark: SparkSession, path: str, version: int | None = None) -> dict | None:
@@ -101,7 +91,7 @@ def read_keyed(spark: SparkSession, path: str, version: int | None = None, with_
 
 def _leaf_folders(spark: SparkSession, path: str, version: int, depth: int) -> list[str]:
     """Partition folders of a commit, relative to data/: names only, as a catalog lists them."""
-    fs, folder = _fs(spark, f"{path}/data/{SEQ}={version}{'/*=*' * depth}")
+    fs, folder = file_system(spark, f"{path}/data/{SEQ}={version}{'/*=*' * depth}")
     found = fs.globStatus(folder) or []
     names = [s.getPath().toString() for s in found if s.isDirectory()]
     return sorted(n[n.rindex(f"/{SEQ}={version}") + 1 :] for n in names)
@@ -118,12 +108,7 @@ def _commit(
     )
     live = keep + _leaf_folders(spark, path, version, len(meta["partition_by"]))
     text = json.dumps({"version": version, **meta, "live": live})
-    fs, file = _fs(spark, f"{path}/state/{version:010d}.json")
-    stream = fs.create(file, False)
-    try:
-        stream.write(bytearray(text, "utf-8"))
-    finally:
-        stream.close()
+    write_new_text(spark, f"{path}/state/{version:010d}.json", text)
     return version
 
 
@@ -136,42 +121,49 @@ def _met_folders(old: DataFrame, keys: list[str], batch: DataFrame) -> list[str]
     return [unquote(r[0]) for r in files.select(folder).distinct().collect()]
 
 
-def _merge(old: DataFrame, batch: DataFrame, keys: list[str], order_by: list[str], old_unique: bool) -> DataFrame:
-    """One row per key; the batch wins where the order does not decide."""
-    order = [*[col(c).desc() for c in order_by], F.col(_BATCH).desc()]
-    new = batch.withColumn(_BATCH, F.lit(1))
-    old = old.withColumn(_BATCH, F.lit(0))
-    rest = None
-    met_keys = distinct_keys(batch, keys)
-    if old_unique and fits_broadcast(met_keys):
-        # A small batch: rows it does not meet pass by without a shuffle.
-        tagged, met = old.alias("l"), F.broadcast(met_keys).alias("r")
-        on = key_condition(keys)
-        rest, old = tagged.join(met, on, "left_anti"), tagged.join(met, on, "left_semi")
-    merged = keep_last(old.unionByName(new), keys, order)
-    return (merged if rest is None else rest.unionByName(merged)).drop(_BATCH)
+def _merge(old: DataFrame, batch: DataFrame, keys: list[str], order_by: list, unique: bool, replace: bool) -> DataFrame:
+    """One row per key of stored and new rows; the batch wins where the order does not decide."""
+    if replace:
+        rest = rows_untouched(old, batch, keys, null_safe=True)
+        return (rest if unique else keep_last(rest, keys, order_by)).unionByName(batch)
+    order = [*ordering(batch, order_by, False), F.col(_BATCH).desc()]
+    new, old = batch.withColumn(_BATCH, F.lit(1)), old.withColumn(_BATCH, F.lit(0))
+    if not (unique and fits_broadcast(distinct_keys(batch, keys))):
+        return keep_last(old.unionByName(new), keys, order).drop(_BATCH)
+    # A small batch: Spark broadcasts its keys, and rows it does not meet pass by
+    # without a shuffle.
+    rest = rows_untouched(old, batch, keys, null_safe=True)
+    met = rows_touched(old, batch, keys, null_safe=True)
+    return rest.unionByName(keep_last(met.unionByName(new), keys, order)).drop(_BATCH)
 
 
 def write_keyed(
     df: DataFrame,
     path: str,
     keys: str | Iterable[str],
-    order_by: str | Iterable[str] = (),
+    order_by: str | Iterable[str | Column] = (),
     partition_by: str | Iterable[str] = (),
     dedup: bool = False,
+    replace: bool = False,
+    known_unique: bool = False,
     batch_id: tuple[str, int] | None = None,
     rebalance: bool = True,
 ) -> int | None:
     """Write a batch to a keyed table; returns the new version.
 
-    dedup=False   append all rows as they are
-    dedup=True    upsert: one row per key, the newest by `order_by` stays;
-                  on a tie the batch replaces the stored row
-    batch_id      (source, number): a batch already written is skipped and
-                  None returned, which makes retries of a stream harmless
+    dedup=False    append all rows as they are
+    dedup=True     upsert: one row per key, the newest by `order_by` stays;
+                   on a tie the batch replaces the stored row
+    replace        upsert in which `order_by` only decides within the batch,
+                   and the batch replaces stored rows whatever their order
+    known_unique   the caller states that the batch has one row per key (and,
+                   when appending, that the table has none of them)
+    batch_id       (source, number): a batch already written is skipped and
+                   None returned, which makes retries of a stream harmless
     """
     spark = df.sparkSession
-    keys, order_by, parts = resolve(df, keys), resolve(df, order_by), resolve(df, partition_by)
+    keys, parts = resolve(df, keys), resolve(df, partition_by)
+    order_by = as_list(order_by) if isinstance(order_by, str) else list(order_by)
     if SEQ in [c.lower() for c in df.columns]:
         raise ValueError(f"{SEQ} is a reserved column name")
     state = table_state(spark, path)
@@ -184,7 +176,7 @@ def write_keyed(
         if extra:
             raise ValueError(f"table at {path} has no column {sorted(extra)}")
         df = same_schema(df, schema)
-        keys, order_by = resolve(df, keys), resolve(df, order_by)
+        keys = resolve(df, keys)
     seen = dict(state["batches"]) if state else {}
     if batch_id is not None:
         source, number = batch_id
@@ -195,23 +187,31 @@ def write_keyed(
         "schema": df.schema.jsonValue(),
         "keys": keys,
         "partition_by": parts,
-        "unique": dedup,
+        "unique": dedup or (known_unique and (state is None or state["unique"])),
         "batches": seen,
     }
     if not dedup:
         return _commit(df, path, state, state["live"] if state else [], meta, rebalance)
-    batch = keep_last(df, keys, order_by) if order_by else df.dropDuplicates(keys)
-    if state is None:
-        return _commit(batch, path, None, [], meta, rebalance)
+    batch = df if known_unique else keep_last(df, keys, order_by)
+    if state is None or not state["live"]:
+        return _commit(batch, path, state, [], meta, rebalance)
+    # The batch is read several times below: write it once, and let its files
+    # rather than estimates tell how large it is.
+    folder = f"{path}/batch"
+    batch.write.mode("overwrite").parquet(folder)
+    batch = spark.read.schema(df.schema).parquet(folder)
     unique = state["unique"] and [k.lower() for k in state["keys"]] == [k.lower() for k in keys]
     met = state["live"]
     if unique:
-        met = _met_folders(_frame(spark, path, state, state["live"]), keys, batch) if state["live"] else []
-    keep = [folder for folder in state["live"] if folder not in set(met)]
+        met = _met_folders(_frame(spark, path, state, state["live"]), keys, batch)
+    keep = [name for name in state["live"] if name not in set(met)]
     if met:
         old = _frame(spark, path, state, met).select(*[col(c) for c in df.columns])
-        batch = _merge(old, batch, keys, order_by, unique)
-    return _commit(batch, path, state, keep, meta, rebalance)
+        batch = _merge(old, batch, keys, order_by, unique, replace)
+    version = _commit(batch, path, state, keep, meta, rebalance)
+    fs, folder = file_system(spark, folder)
+    fs.delete(folder, True)
+    return version
 
 
 def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
@@ -227,10 +227,10 @@ def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str
         folders = _load(spark, path, v)["live"]
         for folder in folders:
             if folder not in used and folder not in dropped:
-                fs, file = _fs(spark, f"{path}/data/{folder}")
+                fs, file = file_system(spark, f"{path}/data/{folder}")
                 fs.delete(file, True)
                 dropped.append(folder)
     for v in gone:
-        fs, file = _fs(spark, f"{path}/state/{v:010d}.json")
+        fs, file = file_system(spark, f"{path}/state/{v:010d}.json")
         fs.delete(file, False)
     return dropped
