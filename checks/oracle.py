@@ -261,7 +261,8 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, TRUE AS
         CDC,
         """
 SELECT user_id, ts + INTERVAL 8 HOUR AS ts, event_id, event_type, value, op,
-       'job-2024-01-15' AS job_id, TIMESTAMP '2024-02-01 08:00:00' AS updated_at
+       'job-2024-01-15' AS job_id, TIMESTAMP '2024-02-01 08:00:00' AS updated_at,
+       CAST(ts + INTERVAL 8 HOUR AS DATE) AS change_date
 FROM cdc""",
     ),
     "processed_to_structured_initial": _with(

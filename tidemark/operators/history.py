@@ -127,7 +127,7 @@ def _merge(active: DataFrame | None, log: DataFrame, schema: T.StructType, spec:
         raise ValueError(f"keys {spec.keys} must all be columns of the history")
     order = [f"{RESERVED}o{i}" for i in range(len(spec.ts + spec.tie_breaker))]
     rows = _changes(log, schema, spec)
-    cuts = find_cuts(rows, keys, order[0], min_bytes)
+    cuts = find_cuts(rows, keys, order, min_bytes)
     if active is not None:
         before = active.select(
             *[col(f.name) for f in schema if f.name.lower() not in spec.own],
@@ -136,7 +136,7 @@ def _merge(active: DataFrame | None, log: DataFrame, schema: T.StructType, spec:
             F.lit(False).alias(_GONE),
         )
         rows = before.unionByName(rows, allowMissingColumns=True)
-    return lead_in_key(rows, keys, [_NEW, *order], _START, _NEXT, cuts, order[0])
+    return lead_in_key(rows, keys, [_NEW, *order], _START, _NEXT, cuts, order)
 
 
 def _as_versions(merged: DataFrame, schema: T.StructType, spec: History) -> DataFrame:

@@ -1,10 +1,11 @@
 """Cut keys that hold a large share of the rows into slices of their order.
 
 A window over one key runs in one task. When a key holds many times an even
-share of the rows, its rows are cut at quantiles of the first ordering column;
-the window then runs per (key, slice), and a small per-slice summary carries
-values across the cuts. Slices only move work: results are the same with any
-cuts, so the sketches that find hot keys and cut points may be approximate.
+share of the rows, its rows are cut at points of their order; the window then
+runs per (key, slice), and a small per-slice summary carries values across the
+cuts. Slices only move work: results are the same with any cut points, so the
+sketch that finds hot keys may be approximate and the points may come from a
+sample, as Spark's own range partitioning takes them.
 """
 
 from __future__ import annotations
@@ -21,66 +22,70 @@ from tidemark.functions.sizes import plan_bytes
 SLICE = RESERVED + "slice"
 _HASH = RESERVED + "hash"
 _CUTS = RESERVED + "cuts"
+_AT = RESERVED + "at"
 
 # Below this size (compressed files) even a single key's rows suit one task.
 MIN_BYTES = 256 << 20
+# At most this many keys are cut, and each into at most this many slices; any
+# further key keeps its plain window.
+MAX_HOT = 1000
 MAX_SLICES = 1000
+# Sampled points per slice.
+POINTS = 8
 
 
-def position(df: DataFrame, name: str) -> Column | None:
-    """The ordering column as a number; None for types that cannot be cut."""
-    dtype = df.schema[name].dataType
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(col(name))
-    if isinstance(dtype, T.TimestampNTZType):
-        return F.unix_micros(col(name).cast("timestamp"))
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(col(name))
-    if isinstance(dtype, T.IntegralType):
-        return col(name).cast("bigint")
-    if isinstance(dtype, T.NumericType):
-        return col(name).cast("double")
-    return None
+def _hash(keys: list[str]) -> Column:
+    return F.xxhash64(*[col(k) for k in keys]).alias(_HASH)
 
 
-def find_cuts(df: DataFrame, keys: list[str], order_col: str, min_bytes: int | None = None) -> DataFrame | None:
+def _at(order: list[str]) -> Column:
+    """A row's place in its key; compares like ORDER BY order, NULLs first."""
+    return F.struct(*[col(o).alias(f"o{i}") for i, o in enumerate(order)])
+
+
+def find_cuts(df: DataFrame, keys: list[str], order: list[str], min_bytes: int | None = None) -> DataFrame | None:
     """Cut points per hot key, or None when no key needs them.
 
-    One pass with a bounded sketch finds the hot keys; more than two even
-    shares of all rows counts as hot, so there are fewer than half as many hot
-    keys as shuffle partitions. That bounds the returned frame, which is safe
-    to broadcast: hot keys times slices per key.
+    One pass with a bounded sketch finds the keys with more than two even
+    shares of all rows; a sample of their rows gives the cut points. Both are
+    small whatever the data: a key gets about one slice per even share, so all
+    keys together get fewer than twice as many as there are shuffle partitions.
+    The points become a literal table, the same in every place of the plan and
+    in every retry, and safe to broadcast.
     """
-    place = position(df, order_col)
     min_bytes = MIN_BYTES if min_bytes is None else min_bytes
-    if place is None or plan_bytes(df) < min_bytes:
+    if plan_bytes(df) < min_bytes:
         return None
-    parts = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    hashed = df.select(F.xxhash64(*[col(k) for k in keys]).alias(_HASH), place.alias("at"))
+    spark = df.sparkSession
+    parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     track = min(10 * parts, 100_000)
-    total, top = hashed.agg(
-        F.count("*"), F.expr(f"approx_top_k({_HASH}, {min(parts, track)}, {track})")
-    ).first()
-    hot = [(item["item"], item["count"]) for item in top or [] if item["count"] > 2 * total / parts]
-    if not hot:
+    top_k = F.expr(f"approx_top_k({_HASH}, {min(parts, MAX_HOT)}, {track})")
+    total, top = df.select(_hash(keys)).agg(F.count("*"), top_k).first()
+    counts = {item["item"]: item["count"] for item in top or [] if item["count"] > 2 * total / parts}
+    if not counts:
         return None
-    slices = min(MAX_SLICES, ceil(max(n for _, n in hot) * parts / total))
-    shares = [i / slices for i in range(1, slices)]
-    cuts = (
-        hashed.where(F.col(_HASH).isin([h for h, _ in hot]))
+    slices = {key: min(MAX_SLICES, ceil(n * parts / total)) for key, n in counts.items()}
+    share = min(1.0, POINTS * sum(slices.values()) / sum(counts.values()))
+    points = (
+        df.select(_hash(keys), _at(order).alias(_AT))
+        .where(F.col(_HASH).isin(list(counts)))
+        .sample(share, seed=1)
         .groupBy(_HASH)
-        .agg(F.percentile_approx("at", shares, 10 * slices).alias(_CUTS))
+        .agg(F.sort_array(F.collect_list(_AT)).alias(_AT))
+        .collect()
     )
-    return cuts
+    rows = [(key, [at[i * len(at) // slices[key]] for i in range(1, slices[key])]) for key, at in points]
+    place = T.StructType([T.StructField(f"o{i}", df.schema[o].dataType) for i, o in enumerate(order)])
+    schema = T.StructType([T.StructField(_HASH, T.LongType()), T.StructField(_CUTS, T.ArrayType(place))])
+    return spark.createDataFrame(rows, schema)
 
 
-def with_slices(df: DataFrame, keys: list[str], order_col: str, cuts: DataFrame) -> DataFrame:
+def with_slices(df: DataFrame, keys: list[str], order: list[str], cuts: DataFrame) -> DataFrame:
     """Add the slice of each row: 0, 1, … along the order for hot keys, NULL otherwise."""
-    place = position(df, order_col)
-    before = F.size(F.filter(F.col(_CUTS), lambda cut: cut < place))
+    before = F.size(F.filter(F.col(_CUTS), lambda cut: cut < F.col(_AT)))
     return (
-        df.withColumn(_HASH, F.xxhash64(*[col(k) for k in keys]))
+        df.withColumns({_HASH: _hash(keys), _AT: _at(order)})
         .join(F.broadcast(cuts), _HASH, "left")
         .withColumn(SLICE, F.when(F.col(_CUTS).isNotNull(), before))
-        .drop(_HASH, _CUTS)
+        .drop(_HASH, _CUTS, _AT)
     )

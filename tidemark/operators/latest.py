@@ -97,10 +97,10 @@ def row_number_per_key(
     order = ordering(df, order_names, ascending)
     key_cols = [col(k) for k in names]
     number = F.row_number()
-    cuts = find_cuts(df, names, order_names[0], min_bytes)
+    cuts = find_cuts(df, names, order_names, min_bytes)
     if cuts is None:
         return df.withColumn(name, number.over(Window.partitionBy(*key_cols).orderBy(*order)).cast("bigint"))
-    sliced = with_slices(df, names, order_names[0], cuts)
+    sliced = with_slices(df, names, order_names, cuts)
     along = F.col(SLICE).asc() if ascending else F.col(SLICE).desc()
     before = Window.partitionBy(*key_cols).orderBy(along).rowsBetween(Window.unboundedPreceding, -1)
     offset = RESERVED + "offset"
@@ -124,12 +124,18 @@ def row_number_per_key(
 
 
 def lead_in_key(
-    df: DataFrame, keys: list[str], order: list[str], value: str, name: str, cuts: DataFrame | None, cut_by: str
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    value: str,
+    name: str,
+    cuts: DataFrame | None,
+    cut_by: list[str],
 ) -> DataFrame:
     """Add `name`: `value` of the next row of the key in ascending order, NULL at the last.
 
-    The order must not run against `cut_by`: rows with a smaller or NULL
-    `cut_by` come first.
+    The order must not run against `cut_by`, the order the cuts were taken in:
+    rows that are smaller by it, or NULL, come first.
     """
     key_cols, order_cols = [col(k) for k in keys], [col(o).asc() for o in order]
     if cuts is None:
@@ -171,5 +177,5 @@ def lead_next(
     """Add the value of the next row of the same key, NULL at the last row."""
     names, order = resolve(df, keys), resolve(df, as_list(order_by))
     (value,) = resolve(df, value)
-    cuts = find_cuts(df, names, order[0], min_bytes)
-    return lead_in_key(df, names, order, value, name, cuts, order[0])
+    cuts = find_cuts(df, names, order, min_bytes)
+    return lead_in_key(df, names, order, value, name, cuts, order)

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.names import as_list, resolve
+from tidemark.functions.names import as_list, col, resolve
 from tidemark.functions.times import HONG_KONG, timestamp_literal
 from tidemark.operators.columns import add_column, drop_columns, fill_null_keys, landing_columns, version_columns
 from tidemark.operators.filters import in_window, is_nonempty, not_deleted
@@ -57,14 +57,22 @@ def stage_batch(spark: SparkSession, landing: str, staging: str, prefix_schema=N
     write_parquet(df.select("*", F.col("_metadata.file_name").alias("source_file")), staging, mode="overwrite")
 
 
+# Day of the change: the processed table's folders, so that a run reads its days only.
+DAY = "change_date"
+
+
 def land(df: DataFrame, processed: str, run: Run, batch_id: tuple[str, int] | None = None) -> int | None:
     """Append a landed batch to the processed table, with its landing columns."""
     df = landing_columns(df, run.job_id, run.ts_col, run.run_ts, run.zone)
-    return write_keyed(df, processed, [run.ts_col], dedup=False, batch_id=batch_id)
+    df = add_column(df, DAY, col(*resolve(df, run.ts_col)).cast("date"))
+    return write_keyed(df, processed, [run.ts_col], partition_by=[DAY], dedup=False, batch_id=batch_id)
 
 
 def changes_in_window(processed: DataFrame, run: Run) -> DataFrame:
-    return in_window(processed, run.ts_col, run.window_from, run.window_to)
+    """Changes from the run's start to its end, both included; other days' folders are skipped."""
+    first, last = (timestamp_literal(t).cast("date") for t in (run.window_from, run.window_to))
+    days = processed.filter(col(DAY).between(first, last))
+    return drop_columns(in_window(days, run.ts_col, run.window_from, run.window_to), DAY)
 
 
 def prepare_changes(changes: DataFrame, run: Run) -> DataFrame:
