@@ -1,0 +1,129 @@
+import datetime as dt
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from helpers import plan, rows
+from tidemark.functions.names import as_list, resolve
+from tidemark.functions.times import parse_timestamp, run_time, shift_timezone
+from tidemark.operators import columns, filters, joins
+
+
+@pytest.fixture
+def mixed(spark):
+    data = [(1, "x", 1.0, True), (2, "y", 2.0, False), (None, None, None, None)]
+    return spark.createDataFrame(data, "i int, s string, d double, b boolean")
+
+
+def test_as_list_and_resolve(spark):
+    assert as_list("a, b,,c") == ["a", "b", "c"] and as_list(None) == [] and as_list(["a"]) == ["a"]
+    df = spark.range(1).withColumn("Name", F.lit("n"))
+    assert resolve(df, "ID,name") == ["id", "Name"]
+    with pytest.raises(ValueError, match="no such column"):
+        resolve(df, "other")
+
+
+def test_rename_is_simultaneous(spark):
+    df = spark.createDataFrame([(1, 2)], "a int, b int")
+    swapped = columns.rename_columns(df, {"a": "b", "b": "a"})
+    assert swapped.columns == ["b", "a"] and swapped.first().asDict() == {"b": 1, "a": 2}
+    assert columns.rename_columns(df, {"A": "c", "absent": "z"}).columns == ["c", "b"]
+    assert columns.rename_columns(df, {"a": "b", "b": "c"}).columns == ["b", "c"]
+    with pytest.raises(ValueError, match="duplicate"):
+        columns.rename_columns(df, {"a": "B"})
+
+
+def test_rename_handles_dots(spark):
+    df = spark.createDataFrame([(1,)], ["a.b"])
+    assert columns.rename_columns(df, {"a.b": "c"}).first().c == 1
+
+
+def test_replace_by_type(mixed):
+    assert [tuple(r) for r in columns.replace_values(mixed, {1: 7}).collect()][0] == (7, "x", 7.0, True)
+    assert [r.s for r in columns.replace_values(mixed, {"x": "y", "y": "x"}).collect()] == ["y", "x", None]
+    assert [r.s for r in columns.replace_values(mixed, {"x": None}).collect()] == [None, "y", None]
+    both = columns.replace_values(mixed, {"x": "z", 2: 9, True: False})
+    assert [tuple(r) for r in both.collect()] == [(1, "z", 1.0, False), (9, "y", 9.0, False), (None,) * 4]
+    assert [tuple(r) for r in columns.replace_values(mixed, {1: 7}, "D").collect()][0] == (1, "x", 7.0, True)
+    with pytest.raises(ValueError):
+        columns.replace_values(mixed, {None: "z"})
+
+
+def test_add_and_drop(mixed):
+    added = columns.add_column(columns.add_column(mixed, "I", "text"), "k", F.col("d") + 1)
+    assert added.columns == ["I", "s", "d", "b", "k"] and added.first().I == "text"
+    assert columns.drop_columns(added, ["K", "absent"]).columns == ["I", "s", "d", "b"]
+    assert columns.drop_columns(added, "s, d").columns == ["I", "b", "k"]
+
+
+def test_casts(spark):
+    df = spark.createDataFrame([("1", "2024-01-02 03:04:05"), ("x", "never")], "n string, t string")
+    out = columns.cast_columns(df, {"n": "int", "T": "timestamp_ntz"}).collect()
+    assert out[0].n == 1 and out[0].t == dt.datetime(2024, 1, 2, 3, 4, 5) and out[1].n is None and out[1].t is None
+    with pytest.raises(PySparkException):
+        columns.cast_columns(df, {"n": "int"}, strict=True).collect()
+    assert [r[0] for r in df.select(parse_timestamp(F.col("t"), "yyyy-MM-dd HH:mm:ss")).collect()] == [
+        dt.datetime(2024, 1, 2, 3, 4, 5),
+        None,
+    ]
+
+
+def test_fill_null_keys(spark):
+    df = spark.createDataFrame(
+        [(None, None, None, None)], "s string, n decimal(5,2), t timestamp_ntz, other string"
+    )
+    got = columns.fill_null_keys(df, "s,n,t").first()
+    assert (got.s, float(got.n), got.t, got.other) == ("", 0.0, dt.datetime(1900, 1, 1), None)
+    assert columns.fill_null_keys(df, ["S"], {"s": "none"}).first().s == "none"
+    with pytest.raises(ValueError, match="no default"):
+        columns.fill_null_keys(spark.createDataFrame([(None,)], "a array<int>"), "a")
+
+
+def test_shift_does_not_depend_on_session_zone(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 20),)], "t timestamp_ntz")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert df.select(shift_timezone(F.col("t"))).first()[0] == dt.datetime(2024, 1, 2, 4)
+        now = df.select(run_time(None), F.current_timestamp().cast("double")).first()
+        utc = dt.datetime.fromtimestamp(now[1], dt.timezone.utc).replace(tzinfo=None)
+        assert abs((now[0] - utc).total_seconds() - 8 * 3600) < 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_window_ends(spark):
+    df = spark.sql("SELECT explode(sequence(timestamp_ntz'2024-01-01', timestamp_ntz'2024-01-05', interval 1 day)) t")
+    assert filters.in_window(df, "T", "2024-01-02", "2024-01-04").count() == 3
+    assert filters.in_window(df, "t", dt.date(2024, 1, 2), "2024-01-04", half_open=True).count() == 2
+
+
+def test_window_is_pushed_down(spark, sf_dir):
+    df = filters.in_window(spark.read.parquet(f"{sf_dir}/events.parquet"), "ts", "2024-01-02", "2024-01-04")
+    text = plan(df.select("event_id"))
+    assert "GreaterThanOrEqual(ts" in text and "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz>" in text
+
+
+def test_not_deleted_drops_unknown(spark):
+    df = spark.createDataFrame([("I",), ("D",), (None,)], "op string")
+    assert [r.op for r in filters.not_deleted(df).collect()] == ["I"]
+    assert filters.is_nonempty(df) and not filters.is_nonempty(df.filter("op = 'Z'"))
+
+
+def test_touched_and_untouched(spark):
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, v string")
+    right = spark.createDataFrame([(1,), (1,), (None,)], "k int")
+    assert rows(joins.rows_touched(left, right, "k"), "v") == rows(left.filter("v = 'a'"), "v")
+    assert rows(joins.rows_untouched(left, right, "k"), "v") == rows(left.filter("v <> 'a'"), "v")
+    assert sorted(r.v for r in joins.rows_touched(left, right, "k", null_safe=True).collect()) == ["a", "c"]
+    assert [r.v for r in joins.rows_untouched(left, right, "K", null_safe=True).collect()] == ["b"]
+    assert joins.join_on_keys(left, right, ["k"]).count() == 2
+
+
+def test_union_by_name(spark):
+    a = spark.createDataFrame([(1, "x")], "i int, s string")
+    b = spark.createDataFrame([("y", 2)], "s string, i int")
+    assert sorted(tuple(r) for r in joins.union_by_name(a, b).collect()) == [(1, "x"), (2, "y")]
+    with pytest.raises(PySparkException):
+        joins.union_by_name(a, b.drop("i"))
+    assert joins.union_by_name(a, b.drop("i"), allow_missing=True).count() == 2

@@ -1,0 +1,138 @@
+import pytest
+
+from helpers import plan, rows
+from tidemark.sources import keyed
+from tidemark.sources.keyed import drop_old_versions, read_keyed, table_state, write_keyed
+from tidemark.sources.paths import has_files
+
+SCHEMA = "k int, part string, ts int, v string"
+
+
+def frame(spark, *data):
+    return spark.createDataFrame(list(data), SCHEMA)
+
+
+def got(spark, folder):
+    return sorted((tuple(r) for r in read_keyed(spark, folder).collect()), key=str)
+
+
+def test_append_keeps_all_rows(spark, folder):
+    a, b = frame(spark, (1, "a", 1, "x")), frame(spark, (1, "a", 1, "x"), (2, "b", 1, "y"))
+    assert write_keyed(a, folder, "k", "ts") == 1
+    assert write_keyed(b, folder, "k", "ts") == 2
+    assert got(spark, folder) == [(1, "a", 1, "x"), (1, "a", 1, "x"), (2, "b", 1, "y")]
+    assert [r.commit_seq for r in read_keyed(spark, folder, with_seq=True).orderBy("commit_seq").collect()] == [1, 2, 2]
+    assert rows(read_keyed(spark, folder, version=1)) == rows(a)
+
+
+@pytest.mark.parametrize("partition_by", [[], ["part"]])
+@pytest.mark.parametrize("limit", ["10MB", "-1"])
+def test_upsert_newest_wins(spark, folder, partition_by, limit):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        one = frame(spark, (1, "a", 5, "old"), (2, "a", 5, "old"), (3, "b", 5, "old"), (None, "b", 5, "old"), (1, "a", 4, "x"))
+        two = frame(spark, (1, "a", 9, "new"), (2, "a", 1, "late"), (3, "c", 5, "tie"), (None, "b", 6, "new"), (4, None, 1, "new"))
+        for batch in (one, two, two):
+            write_keyed(batch, folder, "k", "ts", partition_by, dedup=True)
+            want = got(spark, folder)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    assert want == sorted(
+        [(1, "a", 9, "new"), (2, "a", 5, "old"), (3, "c", 5, "tie"), (None, "b", 6, "new"), (4, None, 1, "new")], key=str
+    )
+
+
+@pytest.mark.parametrize("unique", [True, False])
+def test_replace_takes_the_batch(spark, folder, unique):
+    one = [(1, "a", 5, "old"), (2, "a", 5, "old")] + ([] if unique else [(2, "b", 7, "newer")])
+    write_keyed(frame(spark, *one), folder, "k", "ts", "part", dedup=unique)
+    write_keyed(frame(spark, (1, "b", 1, "late"), (1, "b", 0, "later")), folder, "k", "ts", dedup=True, replace=True)
+    kept = (2, "a", 5, "old") if unique else (2, "b", 7, "newer")
+    assert got(spark, folder) == sorted([(1, "b", 1, "late"), kept], key=str)
+
+
+def test_only_met_folders_are_rewritten(spark, folder):
+    write_keyed(frame(spark, (1, "a", 1, "x"), (2, "b", 1, "x"), (3, "c/d e", 1, "x")), folder, "k", "ts", "part", dedup=True)
+    write_keyed(frame(spark, (2, "b", 2, "y"), (3, "c/d e", 2, "y"), (4, "a", 1, "y")), folder, "k", "ts", dedup=True)
+    live = table_state(spark, folder)["live"]
+    assert [(f.split("/")[0], f.split("/")[2]) for f in live] == [
+        ("commit_seq=1", "part=a"),
+        ("commit_seq=2", "part=a"),
+        ("commit_seq=2", "part=b"),
+        ("commit_seq=2", "part=c%2Fd e"),
+    ]
+    assert not has_files(spark, f"{folder}/batch")
+    assert got(spark, folder) == [(1, "a", 1, "x"), (2, "b", 2, "y"), (3, "c/d e", 2, "y"), (4, "a", 1, "y")]
+
+
+def test_upsert_after_append_makes_all_keys_unique(spark, folder):
+    write_keyed(frame(spark, (1, "a", 1, "x"), (1, "a", 2, "y")), folder, "k", "ts")
+    write_keyed(frame(spark, (2, "a", 1, "z")), folder, "k", "ts", dedup=True)
+    assert got(spark, folder) == [(1, "a", 2, "y"), (2, "a", 1, "z")]
+
+
+def test_partition_filter_prunes(spark, folder):
+    write_keyed(frame(spark, (1, "a", 1, "x"), (2, "b", 1, "x")), folder, "k", "ts", "part", dedup=True)
+    assert "PartitionFilters: [isnotnull(part" in plan(read_keyed(spark, folder).filter("part = 'a'"))
+
+
+def test_batch_is_written_once(spark, folder):
+    batch = frame(spark, (1, "a", 1, "x"))
+    assert write_keyed(batch, folder, "k", batch_id=("s", 0)) == 1
+    assert write_keyed(batch, folder, "k", batch_id=("s", 0)) is None
+    assert write_keyed(batch, folder, "k", batch_id=("t", 0)) == 2
+    assert read_keyed(spark, folder).count() == 2
+
+
+def test_failed_write_leaves_the_table_as_it_was(spark, folder):
+    write_keyed(frame(spark, (1, "a", 1, "x")), folder, "k")
+    # A write that stopped before its state file: a data folder nobody refers to.
+    frame(spark, (9, "z", 9, "half")).write.parquet(f"{folder}/data/commit_seq=2/commit_id=half")
+    assert got(spark, folder) == [(1, "a", 1, "x")]
+    write_keyed(frame(spark, (2, "a", 1, "y")), folder, "k")
+    assert got(spark, folder) == [(1, "a", 1, "x"), (2, "a", 1, "y")]
+    assert drop_old_versions(spark, folder) == ["commit_seq=2/commit_id=half"]
+
+
+def test_second_writer_fails(spark, folder, monkeypatch):
+    write_keyed(frame(spark, (1, "a", 1, "x")), folder, "k")
+    stale = table_state(spark, folder)
+    write_keyed(frame(spark, (2, "a", 1, "y")), folder, "k")
+    monkeypatch.setattr(keyed, "table_state", lambda *_: stale)
+    with pytest.raises(Exception, match="already exists"):
+        write_keyed(frame(spark, (3, "a", 1, "z")), folder, "k")
+    monkeypatch.undo()
+    assert got(spark, folder) == [(1, "a", 1, "x"), (2, "a", 1, "y")]
+
+
+def test_schema_is_checked(spark, folder):
+    write_keyed(frame(spark, (1, "a", 1, "x")), folder, "k")
+    with pytest.raises(ValueError, match="has no column"):
+        write_keyed(frame(spark, (1, "a", 1, "x")).withColumnRenamed("v", "w"), folder, "k")
+    with pytest.raises(ValueError, match="no such column"):
+        write_keyed(frame(spark, (1, "a", 1, "x")).drop("v"), folder, "k")
+    write_keyed(spark.createDataFrame([("y", 2, 1, "b")], "V string, K long, ts int, part string"), folder, "k")
+    assert got(spark, folder) == [(1, "a", 1, "x"), (2, "b", 1, "y")]
+    with pytest.raises(FileNotFoundError):
+        read_keyed(spark, folder + "/none")
+    with pytest.raises(ValueError, match="reserved"):
+        write_keyed(frame(spark, (1, "a", 1, "x")).withColumnRenamed("v", "commit_seq"), folder + "2", "k")
+
+
+def test_old_versions_can_go(spark, folder):
+    for i in range(4):
+        write_keyed(frame(spark, (1, "a", i, f"v{i}"), (i + 10, "b", i, "x")), folder, "k", "ts", dedup=True)
+    want = got(spark, folder)
+    dropped = drop_old_versions(spark, folder, keep=1)
+    assert [f.split("/")[0] for f in dropped] == ["commit_seq=1", "commit_seq=2", "commit_seq=3"]
+    assert got(spark, folder) == want and not has_files(spark, f"{folder}/data/commit_seq=1")
+    write_keyed(frame(spark, (1, "a", 9, "v9")), folder, "k", "ts", dedup=True)
+    assert (1, "a", 9, "v9") in got(spark, folder)
+
+
+def test_empty_batches(spark, folder):
+    write_keyed(frame(spark).limit(0), folder, "k", "ts", "part", dedup=True)
+    assert got(spark, folder) == []
+    write_keyed(frame(spark, (1, "a", 1, "x")), folder, "k", "ts", dedup=True)
+    write_keyed(frame(spark).limit(0), folder, "k", "ts", dedup=True)
+    assert got(spark, folder) == [(1, "a", 1, "x")]

@@ -2,13 +2,13 @@
 
 A table is a folder:
 
-    data/commit_seq=<n>/[partition folders]/*.parquet   written once, never changed
-    state/<n>.json                                      which of these folders are live
+    data/commit_seq=<n>/commit_id=<id>/[partition folders]/*.parquet   never changed
+    state/<n>.json                                 which of these folders are live
 
-A write makes a new commit folder and then one small state file, so a reader
+A write makes a folder of its own and then one small state file, so a reader
 sees the state before or after it. One writer at a time: the state file is
-created only if absent, so of two writers on the same state one fails. Folders
-of a failed write are not live and the next write replaces them.
+created only if absent, so of two writers on the same state one fails and the
+table is as the other left it. Folders of a failed write are never live.
 
 Cost of an upsert: folders without any of the batch's keys are neither read
 beyond the key columns nor rewritten. Partitioning a table so that a batch meets
@@ -20,6 +20,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable
 from urllib.parse import unquote
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,7 @@ from tidemark.sources.files import write_files
 from tidemark.sources.paths import file_system, read_text, write_new_text
 
 SEQ = "commit_seq"
+ID = "commit_id"
 _FILE = RESERVED + "file"
 _BATCH = RESERVED + "batch"
 
@@ -65,14 +67,12 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 def _frame(spark: SparkSession, path: str, state: dict, live: list[str]) -> DataFrame:
     schema = T.StructType.fromJson(state["schema"])
+    stored = T.StructType([*schema, T.StructField(SEQ, T.IntegerType()), T.StructField(ID, T.StringType())])
     if not live:
-        return spark.createDataFrame([], T.StructType([*schema, T.StructField(SEQ, T.IntegerType())]))
+        return spark.createDataFrame([], stored)
     data = f"{path}/data"
-    return (
-        spark.read.schema(T.StructType([*schema, T.StructField(SEQ, T.IntegerType())]))
-        .option("basePath", data)
-        .parquet(*[f"{data}/{folder}" for folder in live])
-    )
+    folders = [f"{data}/{folder}" for folder in live]
+    return spark.read.schema(stored).option("basePath", data).parquet(*folders)
 
 
 def read_keyed(spark: SparkSession, path: str, version: int | None = None, with_seq: bool = False) -> DataFrame:
@@ -89,24 +89,22 @@ def read_keyed(spark: SparkSession, path: str, version: int | None = None, with_
     return df.select(*[col(n) for n in names], *([SEQ] if with_seq else []))
 
 
-def _leaf_folders(spark: SparkSession, path: str, version: int, depth: int) -> list[str]:
-    """Partition folders of a commit, relative to data/: names only, as a catalog lists them."""
-    fs, folder = file_system(spark, f"{path}/data/{SEQ}={version}{'/*=*' * depth}")
-    found = fs.globStatus(folder) or []
+def _folders(spark: SparkSession, path: str, below: str) -> list[str]:
+    """Folders matching a glob below data/, relative to it: names only, as a catalog lists them."""
+    fs, pattern = file_system(spark, f"{path}/data/{below}")
+    found = fs.globStatus(pattern) or []
     names = [s.getPath().toString() for s in found if s.isDirectory()]
-    return sorted(n[n.rindex(f"/{SEQ}={version}") + 1 :] for n in names)
+    return sorted(n[n.rindex(f"/{SEQ}=") + 1 :] for n in names)
 
 
-def _commit(
-    df: DataFrame, path: str, state: dict | None, keep: list[str], meta: dict, rebalance: bool
-) -> int:
-    """Write `df` as a new commit folder, then make it and the `keep` folders live."""
+def _commit(df: DataFrame, path: str, state: dict | None, keep: list[str], meta: dict, rebalance: bool) -> int:
+    """Write `df` to a folder of its own, then make it and the `keep` folders live."""
     spark = df.sparkSession
     version = state["version"] + 1 if state else 1
-    write_files(
-        df, "parquet", f"{path}/data/{SEQ}={version}", "overwrite", meta["partition_by"], rebalance
-    )
-    live = keep + _leaf_folders(spark, path, version, len(meta["partition_by"]))
+    parts = meta["partition_by"]
+    folder = f"{SEQ}={version}/{ID}={uuid4().hex}"
+    write_files(df, "parquet", f"{path}/data/{folder}", partition_by=parts, rebalance=rebalance)
+    live = keep + _folders(spark, path, folder + "/*=*" * len(parts))
     text = json.dumps({"version": version, **meta, "live": live})
     write_new_text(spark, f"{path}/state/{version:010d}.json", text)
     return version
@@ -164,8 +162,8 @@ def write_keyed(
     spark = df.sparkSession
     keys, parts = resolve(df, keys), resolve(df, partition_by)
     order_by = as_list(order_by) if isinstance(order_by, str) else list(order_by)
-    if SEQ in [c.lower() for c in df.columns]:
-        raise ValueError(f"{SEQ} is a reserved column name")
+    if {SEQ, ID} & {c.lower() for c in df.columns}:
+        raise ValueError(f"{SEQ} and {ID} are reserved column names")
     state = table_state(spark, path)
     if state is not None:
         if as_list(partition_by) and [p.lower() for p in parts] != [p.lower() for p in state["partition_by"]]:
@@ -197,40 +195,41 @@ def write_keyed(
         return _commit(batch, path, state, [], meta, rebalance)
     # The batch is read several times below: write it once, and let its files
     # rather than estimates tell how large it is.
-    folder = f"{path}/batch"
-    batch.write.mode("overwrite").parquet(folder)
-    batch = spark.read.schema(df.schema).parquet(folder)
-    unique = state["unique"] and [k.lower() for k in state["keys"]] == [k.lower() for k in keys]
-    met = state["live"]
-    if unique:
-        met = _met_folders(_frame(spark, path, state, state["live"]), keys, batch)
-    keep = [name for name in state["live"] if name not in set(met)]
-    if met:
-        old = _frame(spark, path, state, met).select(*[col(c) for c in df.columns])
-        batch = _merge(old, batch, keys, order_by, unique, replace)
-    version = _commit(batch, path, state, keep, meta, rebalance)
-    fs, folder = file_system(spark, folder)
-    fs.delete(folder, True)
-    return version
+    folder = f"{path}/batch/{uuid4().hex}"
+    try:
+        batch.write.parquet(folder)
+        batch = spark.read.schema(df.schema).parquet(folder)
+        unique = state["unique"] and [k.lower() for k in state["keys"]] == [k.lower() for k in keys]
+        met = state["live"]
+        if unique:
+            met = _met_folders(_frame(spark, path, state, state["live"]), keys, batch)
+        keep = [name for name in state["live"] if name not in set(met)]
+        if met:
+            old = _frame(spark, path, state, met).select(*[col(c) for c in df.columns])
+            batch = _merge(old, batch, keys, order_by, unique, replace)
+        return _commit(batch, path, state, keep, meta, rebalance)
+    finally:
+        fs, folder = file_system(spark, folder)
+        fs.delete(folder, True)
 
 
 def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
-    """Delete states before the last `keep` and the folders only they use.
+    """Delete states before the last `keep`, and all folders no kept state uses.
 
     Readers of those versions must have finished.
     """
     versions = _versions(spark, path)
     gone, kept = versions[:-keep], versions[-keep:]
-    used = {folder for v in kept for folder in _load(spark, path, v)["live"]}
-    dropped = []
-    for v in gone:
-        folders = _load(spark, path, v)["live"]
-        for folder in folders:
-            if folder not in used and folder not in dropped:
-                fs, file = file_system(spark, f"{path}/data/{folder}")
-                fs.delete(file, True)
-                dropped.append(folder)
-    for v in gone:
-        fs, file = file_system(spark, f"{path}/state/{v:010d}.json")
+    for version in gone:
+        fs, file = file_system(spark, f"{path}/state/{version:010d}.json")
         fs.delete(file, False)
+    parts = _load(spark, path, kept[-1])["partition_by"]
+    used = {folder for version in kept for folder in _load(spark, path, version)["live"]}
+    dropped = []
+    for folder in _folders(spark, path, f"{SEQ}=*/{ID}=*" + "/*=*" * len(parts)):
+        # A later number belongs to a write under way.
+        if folder not in used and int(folder.split("/")[0].split("=")[1]) <= kept[-1]:
+            fs, file = file_system(spark, f"{path}/data/{folder}")
+            fs.delete(file, True)
+            dropped.append(folder)
     return dropped
