@@ -26,8 +26,16 @@ USERS = History(keys="user_id", ts="ts", tie_breaker="event_id")
 USERS_OP = History(keys="user_id", ts="ts", tie_breaker="event_id", op="op")
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return apply_defaults(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its schema is looked up in the files once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    reader = apply_defaults(spark).read
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = reader.parquet(path).schema
+    return reader.schema(_SCHEMAS[path]).parquet(path)
 
 
 # Change feed: events as changes of a user.
