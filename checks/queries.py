@@ -391,7 +391,7 @@ def scd2_table(spark, sf_dir):
     path = shared_dir(spark, "users")
     write_versions(user_history(spark, sf_dir), path, USERS)
     changed = history.delta(keyed.read_keyed(spark, path), user_log(spark, sf_dir), USERS_OP)
-    write_versions(changed, path, USERS)
+    write_versions(changed, path, USERS, CUT)
     return keyed.read_keyed(spark, path)
 
 

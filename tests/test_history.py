@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from checks import queries
 from helpers import plan, rows
-from tidemark.operators import history
+from tidemark.operators import history, joins
 from tidemark.operators.history import History
 from tidemark.plans.history_table import merge_history, write_versions
 from tidemark.sources import keyed
@@ -181,6 +181,30 @@ def test_ended_versions_are_never_rewritten(spark, sf_dir, folder):
     assert not [f for f in before if f.endswith("=active") and f in after]
 
 
+def test_only_versions_the_batch_can_meet_are_read(spark, folder, monkeypatch):
+    schema = "id int, v string, ts int"
+    for batch in ([(1, "A", 1), (2, "Z", 1)], [(1, "B", 5)], [(1, "C", 9), (3, "N", 9)], [(1, "D", 12)]):
+        merge_history(spark.createDataFrame(batch, schema), folder, SPEC)
+    seen = []
+    monkeypatch.setattr(keyed, "rows_touched", lambda old, *a, **k: seen.append(plan(old)) or joins.rows_touched(old, *a, **k))
+    merge_history(spark.createDataFrame([(2, "Y", 15)], schema), folder, SPEC)
+    assert "status" in seen[0] and "15" in seen[0].split("DataFilters")[0]
+    ids = {(r.id, r.v, r.effective_from, r.effective_to) for r in keyed.read_keyed(spark, folder).collect()}
+    assert ids == {
+        (1, "A", 1, 5), (1, "B", 5, 9), (1, "C", 9, 12), (1, "D", 12, None),
+        (2, "Z", 1, 15), (2, "Y", 15, None), (3, "N", 9, None),
+    }
+
+
+def test_late_version_replaces_the_stored_one_with_its_start(spark, folder):
+    schema = "id int, v string, ts int"
+    for batch in ([(1, "A", 1)], [(1, "B", 5)], [(1, "C", 9)], [(1, "B2", 5)]):
+        merge_history(spark.createDataFrame(batch, schema), folder, SPEC)
+    rows_now = sorted((r.v, r.effective_from, r.effective_to) for r in keyed.read_keyed(spark, folder).collect() if r.v != "B2")
+    assert rows_now == [("A", 1, 5), ("C", 9, 5)]
+    assert keyed.read_keyed(spark, folder).filter("effective_from = 5").count() == 1
+
+
 def test_spec_is_checked():
     with pytest.raises(ValueError):
         History(keys="", ts="t")

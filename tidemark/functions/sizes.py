@@ -23,3 +23,9 @@ def fits_broadcast(df: DataFrame) -> bool:
     """True when Spark itself would broadcast the frame by its own threshold."""
     limit = conf_bytes(df.sparkSession, "spark.sql.autoBroadcastJoinThreshold")
     return limit > 0 and plan_bytes(df) <= limit
+
+
+def shuffle_parts(spark: SparkSession) -> int:
+    """How many tasks a shuffle starts with before adaptive execution joins small ones."""
+    parts = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return int(parts or spark.conf.get("spark.sql.shuffle.partitions"))

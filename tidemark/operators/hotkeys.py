@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.names import RESERVED, col
-from tidemark.functions.sizes import plan_bytes
+from tidemark.functions.sizes import plan_bytes, shuffle_parts
 
 SLICE = RESERVED + "slice"
 _HASH = RESERVED + "hash"
@@ -57,7 +57,7 @@ def find_cuts(df: DataFrame, keys: list[str], order: list[str], min_bytes: int |
     if plan_bytes(df) < min_bytes:
         return None
     spark = df.sparkSession
-    parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = max(8, shuffle_parts(spark))
     track = min(10 * parts, 100_000)
     top_k = F.expr(f"approx_top_k({_HASH}, {min(parts, MAX_HOT)}, {track})")
     total, top = df.select(_hash(keys)).agg(F.count("*"), top_k).first()

@@ -53,6 +53,17 @@ def _keep(df: DataFrame, keys, order_by, ascending: bool, unique_order: bool) ->
     return df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == 1).drop(_RANK)
 
 
+def first_of_few(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """First row per key where no key has more than a few rows.
+
+    Skips the sort that a group limit does before the shuffle and that could
+    drop next to nothing here.
+    """
+    window = Window.partitionBy(*[col(k) for k in keys]).orderBy(*order)
+    marked = df.withColumn(_RANK, F.lag(F.lit(True)).over(window))
+    return marked.filter(F.col(_RANK).isNull()).drop(_RANK)
+
+
 def keep_last(
     df: DataFrame,
     keys: str | Iterable[str],

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from tidemark.functions.names import col
+from tidemark.functions.names import as_column, col, resolve
 from tidemark.operators.history import History, delta, new_versions
 from tidemark.sources.keyed import read_keyed, table_exists, write_keyed
 
@@ -15,13 +16,19 @@ def open_first(spec: History) -> list[Column]:
 
 
 def write_versions(
-    versions: DataFrame, path: str, spec: History, batch_id: tuple[str, int] | None = None
+    versions: DataFrame, path: str, spec: History, since=None, batch_id: tuple[str, int] | None = None
 ) -> int | None:
     """Upsert versions by key and start.
 
     The table is partitioned by status: ended versions are only ever added to,
-    and a batch rewrites the active ones at most.
+    and a batch rewrites the active ones at most. `since` is a time before
+    which no new version starts; ended versions from before it cannot meet the
+    batch and are not read.
     """
+    near = None
+    if since is not None:
+        started = as_column(since).cast(versions.schema[spec.start].dataType)
+        near = (col(spec.status) == spec.active) | (col(spec.start) >= started)
     return write_keyed(
         versions,
         path,
@@ -30,6 +37,7 @@ def write_versions(
         partition_by=[spec.status],
         dedup=True,
         replace=True,
+        near=near,
         batch_id=batch_id,
         rebalance=False,
     )
@@ -38,6 +46,7 @@ def write_versions(
 def merge_history(log: DataFrame, path: str, spec: History, batch_id: tuple[str, int] | None = None) -> int | None:
     """Bring the history at `path` up to date with a batch of changes."""
     spark = log.sparkSession
-    if table_exists(spark, path):
-        return write_versions(delta(read_keyed(spark, path), log, spec), path, spec, batch_id)
-    return write_versions(new_versions(log, spec), path, spec, batch_id)
+    if not table_exists(spark, path):
+        return write_versions(new_versions(log, spec), path, spec, batch_id=batch_id)
+    (since,) = log.agg(F.min(col(*resolve(log, spec.ts[0])))).first()
+    return write_versions(delta(read_keyed(spark, path), log, spec), path, spec, since, batch_id)

@@ -131,5 +131,6 @@ def structure(spark: SparkSession, processed: str, structured: str, run: Run) ->
             rebalance=False,
         )
         return "initial"
-    write_versions(next_versions(read_keyed(spark, structured), changes, run), structured, spec)
+    versions = next_versions(read_keyed(spark, structured), changes, run)
+    write_versions(versions, structured, spec, timestamp_literal(run.window_from))
     return "incremental"

@@ -25,6 +25,17 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int, task_bytes: int = 256 << 20) -> int:
+    """Start shuffles with enough tasks for `input_bytes`.
+
+    Adaptive execution joins small shuffle tasks but never adds any, so the
+    number to start from must suit the largest input. Returns that number.
+    """
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes // task_bytes))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(parts))
+    return parts
+
+
 def get_session(app_name: str, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     for name, value in conf.items():

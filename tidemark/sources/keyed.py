@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from tidemark.functions.names import RESERVED, as_list, col, resolve, same_schema
 from tidemark.functions.sizes import fits_broadcast
 from tidemark.operators.joins import distinct_keys, rows_touched, rows_untouched
-from tidemark.operators.latest import keep_last, ordering
+from tidemark.operators.latest import first_of_few, keep_last, ordering
 from tidemark.sources.files import write_files
 from tidemark.sources.paths import file_system, read_text, write_new_text
 
@@ -110,8 +110,10 @@ def _commit(df: DataFrame, path: str, state: dict | None, keep: list[str], meta:
     return version
 
 
-def _met_folders(old: DataFrame, keys: list[str], batch: DataFrame) -> list[str]:
+def _met_folders(old: DataFrame, keys: list[str], batch: DataFrame, near: Column | None) -> list[str]:
     """Live folders that hold a key of the batch; reads only the key columns."""
+    if near is not None:
+        old = old.filter(near)
     tagged = old.select(*[col(k) for k in keys], F.col("_metadata.file_path").alias(_FILE))
     folder = F.regexp_extract(_FILE, rf"/data/({SEQ}=.*)/[^/]*$", 1)
     files = rows_touched(tagged, batch, keys, null_safe=True).select(_FILE).distinct()
@@ -126,13 +128,15 @@ def _merge(old: DataFrame, batch: DataFrame, keys: list[str], order_by: list, un
         return (rest if unique else keep_last(rest, keys, order_by)).unionByName(batch)
     order = [*ordering(batch, order_by, False), F.col(_BATCH).desc()]
     new, old = batch.withColumn(_BATCH, F.lit(1)), old.withColumn(_BATCH, F.lit(0))
-    if not (unique and fits_broadcast(distinct_keys(batch, keys))):
+    if not unique:
         return keep_last(old.unionByName(new), keys, order).drop(_BATCH)
+    if not fits_broadcast(distinct_keys(batch, keys)):
+        return first_of_few(old.unionByName(new), keys, order).drop(_BATCH)
     # A small batch: Spark broadcasts its keys, and rows it does not meet pass by
     # without a shuffle.
     rest = rows_untouched(old, batch, keys, null_safe=True)
     met = rows_touched(old, batch, keys, null_safe=True)
-    return rest.unionByName(keep_last(met.unionByName(new), keys, order)).drop(_BATCH)
+    return rest.unionByName(first_of_few(met.unionByName(new), keys, order)).drop(_BATCH)
 
 
 def write_keyed(
@@ -144,6 +148,7 @@ def write_keyed(
     dedup: bool = False,
     replace: bool = False,
     known_unique: bool = False,
+    near: Column | None = None,
     batch_id: tuple[str, int] | None = None,
     rebalance: bool = True,
 ) -> int | None:
@@ -156,6 +161,8 @@ def write_keyed(
                    and the batch replaces stored rows whatever their order
     known_unique   the caller states that the batch has one row per key (and,
                    when appending, that the table has none of them)
+    near           upsert: a condition that all stored rows meet which can share
+                   a key with the batch, so that others are not even looked at
     batch_id       (source, number): a batch already written is skipped and
                    None returned, which makes retries of a stream harmless
     """
@@ -202,7 +209,7 @@ def write_keyed(
         unique = state["unique"] and [k.lower() for k in state["keys"]] == [k.lower() for k in keys]
         met = state["live"]
         if unique:
-            met = _met_folders(_frame(spark, path, state, state["live"]), keys, batch)
+            met = _met_folders(_frame(spark, path, state, state["live"]), keys, batch, near)
         keep = [name for name in state["live"] if name not in set(met)]
         if met:
             old = _frame(spark, path, state, met).select(*[col(c) for c in df.columns])
