@@ -1,4 +1,5 @@
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
@@ -48,6 +49,20 @@ def test_replace_by_type(mixed):
     assert [tuple(r) for r in columns.replace_values(mixed, {1: 7}, "D").collect()][0] == (1, "x", 7.0, True)
     with pytest.raises(ValueError):
         columns.replace_values(mixed, {None: "z"})
+    with pytest.raises(ValueError, match="kind"):
+        columns.replace_values(mixed, {1: "z"})
+
+
+def test_replace_numbers_exactly(spark):
+    big = 2**53
+    df = spark.createDataFrame(
+        [(big, 3, 1.5, Decimal("1.10")), (big + 1, 4, float("nan"), None)], "l long, b byte, d double, m decimal(5,2)"
+    )
+    got = columns.replace_values(df, {big + 1: 7, 300: 1, 1.5: 9.75, 3: 9.5, Decimal("1.1"): 2})
+    assert got.dtypes == df.dtypes
+    assert [(r.l, r.b) for r in got.collect()] == [(big, 9), (7, 4)]
+    assert got.first().d == 9.75 and got.first().m == Decimal("2.00")
+    assert columns.replace_values(df, {float("nan"): 0.0}).collect()[1].d == 0.0
 
 
 def test_add_and_drop(mixed):

@@ -152,6 +152,21 @@ def test_hot_key(spark):
         assert rows(sliced) == rows(operator(now, batch, spec, min_bytes=never))
 
 
+def test_hot_key_with_late_changes(spark):
+    rnd = random.Random(5)
+    data = [(rnd.choice([1, 1, rnd.randrange(2, 99)]), f"v{i}", rnd.randrange(900), i) for i in range(1500)]
+    batch = spark.createDataFrame(data, "id int, v string, ts int, seq int").repartition(5)
+    now = spark.createDataFrame(
+        [(i, f"c{i}", 400, None, "active") for i in range(60)],
+        "id int, v string, effective_from int, effective_to int, status string",
+    )
+    spec = History(keys="id", ts="ts", tie_breaker="seq", late="drop")
+    sliced, plain = (rows(history.delta(now, batch, spec, min_bytes=n)) for n in (0, 1 << 100))
+    kept = [d for d in data if d[0] >= 60 or d[2] > 400]
+    assert sliced == plain and sum(plain.values()) == len(kept) + len({d[0] for d in kept if d[0] < 60})
+    assert history.late_rows(now, batch, spec).count() == len(data) - len(kept)
+
+
 def test_versions_of_a_key_neither_overlap_nor_leave_gaps(spark, sf_dir):
     whole = queries.QUERIES["scd2_snapshot"](spark, sf_dir)
     stored, batch = queries.user_history(spark, sf_dir), queries.user_log(spark, sf_dir)

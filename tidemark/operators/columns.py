@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterable, Mapping
 from datetime import datetime
+from numbers import Number
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +25,25 @@ def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     return df.select(*[col(c).alias(n) for c, n in zip(df.columns, names)])
 
 
+def _kind(value) -> type:
+    return bool if isinstance(value, bool) else str if isinstance(value, str) else Number
+
+
+def _replaced(column: Column, dtype: T.DataType, mapping: Mapping) -> Column | None:
+    """`column` with the values of `mapping` replaced; None if none of them can occur."""
+    kind = bool if isinstance(dtype, T.BooleanType) else str if isinstance(dtype, T.StringType) else Number
+    whole = isinstance(dtype, T.IntegralType)
+    out = None
+    for old, new in mapping.items():
+        # Whole numbers are compared as such: as doubles, large ones would meet their neighbours.
+        if _kind(old) is not kind or (whole and not (isinstance(old, int) or float(old).is_integer())):
+            continue
+        match = column == F.lit(int(old) if whole else old)
+        value = F.lit(new).cast(dtype)
+        out = F.when(match, value) if out is None else out.when(match, value)
+    return None if out is None else out.otherwise(column)
+
+
 def replace_values(df: DataFrame, mapping: Mapping, subset: str | Iterable[str] | None = None) -> DataFrame:
     """Replace values in all columns of the matching type, all at once.
 
@@ -32,14 +52,15 @@ def replace_values(df: DataFrame, mapping: Mapping, subset: str | Iterable[str]
     """
     if None in mapping:
         raise ValueError("NULL cannot be replaced; use fill_null_keys")
-    names = resolve(df, subset) if subset is not None else None
-    kinds: dict[type, dict] = {}
-    for old, new in mapping.items():
-        kind = bool if isinstance(old, bool) else str if isinstance(old, str) else float
-        kinds.setdefault(kind, {})[old] = new
-    for part in kinds.values():
-        df = df.replace(part, subset=names)
-    return df
+    mixed = [old for old, new in mapping.items() if new is not None and _kind(old) is not _kind(new)]
+    if mixed:
+        raise ValueError(f"values must stay of their kind: {mixed}")
+    names = set(resolve(df, subset) if subset is not None else df.columns)
+    fields = [
+        f for f in df.schema if f.name in names and isinstance(f.dataType, (T.NumericType, T.StringType, T.BooleanType))
+    ]
+    changed = {f.name: _replaced(col(f.name), f.dataType, mapping) for f in fields}
+    return df.withColumns({name: value for name, value in changed.items() if value is not None})
 
 
 def add_columns(df: DataFrame, values: Mapping) -> DataFrame:

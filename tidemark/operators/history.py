@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +30,7 @@ _NEW = RESERVED + "new"
 _START = RESERVED + "start"
 _NEXT = RESERVED + "next"
 _GONE = RESERVED + "gone"
+_SINCE = RESERVED + "since"
 
 
 @dataclass(frozen=True)
@@ -128,17 +129,38 @@ def _merge(active: DataFrame | None, log: DataFrame, schema: T.StructType, spec:
     order = [f"{RESERVED}o{i}" for i in range(len(spec.ts + spec.tie_breaker))]
     rows = _changes(log, schema, spec)
     cuts = find_cuts(rows, keys, order, min_bytes)
-    if active is not None:
-        before = active.select(
-            *[col(f.name) for f in schema if f.name.lower() not in spec.own],
-            F.lit(0).alias(_NEW),
-            col(spec.start).alias(_START),
-            F.lit(False).alias(_GONE),
+    if active is None:
+        return lead_in_key(rows, keys, [_NEW, *order], _START, _NEXT, cuts, order)
+    before = active.select(
+        *[col(f.name) for f in schema if f.name.lower() not in spec.own],
+        F.lit(0).alias(_NEW),
+        col(spec.start).alias(_START),
+        F.lit(False).alias(_GONE),
+    )
+    drop_late = spec.late == "drop"
+    if drop_late and cuts is not None:
+        # A hot key's slices do not all see its active version: fetch it first.
+        rows = _newer_than_active(rows, before, keys)
+    rows = before.unionByName(rows, allowMissingColumns=True)
+    if drop_late and cuts is None:
+        # Same keys and order as the window that follows: no further shuffle or sort.
+        so_far = (
+            Window.partitionBy(*[col(k) for k in keys])
+            .orderBy(*[col(o).asc() for o in [_NEW, *order]])
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
-        rows = before.unionByName(rows, allowMissingColumns=True)
+        rows = rows.withColumn(_SINCE, F.max(F.when(F.col(_NEW) == 0, F.col(_START))).over(so_far))
+        on_time = F.col(_SINCE).isNull() | (F.col(_START) > F.col(_SINCE))
+        rows = rows.filter((F.col(_NEW) == 0) | on_time).drop(_SINCE)
     return lead_in_key(rows, keys, [_NEW, *order], _START, _NEXT, cuts, order)
 
 
+def _newer_than_active(rows: DataFrame, active: DataFrame, keys: list[str]) -> DataFrame:
+    starts = active.groupBy(*[col(k) for k in keys]).agg(F.max(_START).alias(_SINCE))
+    joined = rows.alias("l").join(starts.alias("r"), key_condition(keys, null_safe=False), "left")
+    return joined.filter(F.col(_SINCE).isNull() | (F.col(_START) > F.col(_SINCE))).select("l.*")
+
+
 def _as_versions(merged: DataFrame, schema: T.StructType, spec: History) -> DataFrame:
     """Merged rows in the table's schema; deletes have closed their version and go."""
     status = F.when(F.col(_NEXT).isNull(), F.lit(spec.active)).otherwise(F.lit(spec.inactive))
@@ -148,29 +170,29 @@ def _as_versions(merged: DataFrame, schema: T.StructType, spec: History) -> Data
     )
 
 
-def _on_time(current: DataFrame, log: DataFrame, spec: History) -> DataFrame:
-    if spec.late == "apply":
-        return log
-    return _against_active(current, log, spec, "left").filter(
-        F.col(f"r.{_START}").isNull() | (F.col(f"l.{quoted(resolve(log, spec.ts[0])[0])}") > F.col(f"r.{_START}"))
-    ).select("l.*")
-
-
-def _against_active(current: DataFrame, log: DataFrame, spec: History, how: str) -> DataFrame:
+def _with_active_start(current: DataFrame, log: DataFrame, spec: History, how: str) -> DataFrame:
     names = resolve(log, spec.keys)
-    starts = _active(current, spec).groupBy(*[col(k) for k in resolve(current, spec.keys)]).agg(
-        F.max(col(spec.start)).alias(_START)
+    starts = (
+        _active(current, spec)
+        .groupBy(*[col(k).alias(n) for k, n in zip(resolve(current, spec.keys), names)])
+        .agg(F.max(col(spec.start)).alias(_SINCE))
     )
-    starts = starts.select(*[col(s).alias(n) for s, n in zip(resolve(starts, spec.keys), names)], _START)
     return log.alias("l").join(starts.alias("r"), key_condition(names, null_safe=False), how)
 
 
 def late_rows(current: DataFrame, log: DataFrame, spec: History) -> DataFrame:
     """Changes that are not newer than the active version of their key."""
-    ts = quoted(resolve(log, spec.ts[0])[0])
-    return (
-        _against_active(current, log, spec, "inner").filter(F.col(f"l.{ts}") <= F.col(f"r.{_START}")).select("l.*")
-    )
+    ts = F.col("l." + quoted(resolve(log, spec.ts[0])[0]))
+    return _with_active_start(current, log, spec, "inner").filter(ts <= F.col(_SINCE)).select("l.*")
+
+
+def _on_time(current: DataFrame, log: DataFrame, spec: History) -> DataFrame:
+    """The changes `late` lets through."""
+    if spec.late == "apply":
+        return log
+    ts = F.col("l." + quoted(resolve(log, spec.ts[0])[0]))
+    joined = _with_active_start(current, log, spec, "left")
+    return joined.filter(F.col(_SINCE).isNull() | (ts > F.col(_SINCE))).select("l.*")
 
 
 def first_change(log: DataFrame, spec: History, name: str = "first_change") -> DataFrame:
@@ -219,7 +241,6 @@ def delta(current: DataFrame, log: DataFrame, spec: History, min_bytes: int | No
     out. Upserting the result by key and start brings the table up to date.
     """
     schema = current.schema
-    log = _on_time(current, log, spec)
     active = _active(current, spec)
     small = _touched_by_small(current, log, spec)
     if small is not None:
@@ -233,7 +254,6 @@ def delta(current: DataFrame, log: DataFrame, spec: History, min_bytes: int | No
 def snapshot(current: DataFrame, log: DataFrame, spec: History, min_bytes: int | None = None) -> DataFrame:
     """The whole table after the batch: past versions, untouched ones and the delta."""
     schema = current.schema
-    log = _on_time(current, log, spec)
     small = _touched_by_small(current, log, spec)
     if small is not None:
         on = key_condition(resolve(current, spec.keys), null_safe=False)
