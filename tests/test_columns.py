@@ -73,7 +73,7 @@ def test_add_and_drop(mixed):
 
 
 def test_casts(spark):
-    df = spark.createDataFrame([("1", "2024-01-02 03:04:05"), ("x", "never")], "n string, t string")
+    df = spark.createDataFrame([(" 1 ", "2024-01-02 03:04:05"), ("x1", "never")], "n string, t string")
     out = columns.cast_columns(df, {"n": "int", "T": "timestamp_ntz"}).collect()
     assert out[0].n == 1 and out[0].t == dt.datetime(2024, 1, 2, 3, 4, 5) and out[1].n is None and out[1].t is None
     with pytest.raises(PySparkException):
@@ -100,6 +100,9 @@ def test_shift_does_not_depend_on_session_zone(spark):
     try:
         spark.conf.set("spark.sql.session.timeZone", "America/New_York")
         assert df.select(shift_timezone(F.col("t"))).first()[0] == dt.datetime(2024, 1, 2, 4)
+        # Clocks went forward in New York but not in UTC: the session's zone must not matter.
+        gap = spark.createDataFrame([(dt.datetime(2024, 3, 10, 2, 30),)], "t timestamp_ntz")
+        assert gap.select(shift_timezone(F.col("t"), "Europe/Berlin")).first()[0] == dt.datetime(2024, 3, 10, 3, 30)
         now = df.select(run_time(None), F.current_timestamp().cast("double")).first()
         utc = dt.datetime.fromtimestamp(now[1], dt.timezone.utc).replace(tzinfo=None)
         assert abs((now[0] - utc).total_seconds() - 8 * 3600) < 1
@@ -107,6 +110,14 @@ def test_shift_does_not_depend_on_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+@pytest.mark.parametrize("zone", ["Europe/Berlin", "America/New_York", "Asia/Hong_Kong"])
+def test_both_ways_to_shift_agree(spark, zone):
+    hours = spark.sql("SELECT explode(sequence(timestamp_ntz'2024-01-01', timestamp_ntz'2024-12-31', interval 1 hour)) t")
+    fast = hours.select(shift_timezone(F.col("t"), zone).alias("t"))
+    plain = hours.select(F.convert_timezone(F.lit("UTC"), F.lit(zone), F.col("t")).alias("t"))
+    assert "from_utc_timestamp" in plan(fast) and rows(fast) == rows(plain)
+
+
 def test_window_ends(spark):
     df = spark.sql("SELECT explode(sequence(timestamp_ntz'2024-01-01', timestamp_ntz'2024-01-05', interval 1 day)) t")
     assert filters.in_window(df, "T", "2024-01-02", "2024-01-04").count() == 3

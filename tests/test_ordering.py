@@ -85,6 +85,13 @@ def test_hot_key_is_spread(spark):
     assert len(found) >= 4 and max(found) < 2.5 * sum(found) / len(found)
 
 
+def test_slices_spread_also_when_rows_come_spread_by_key(spark):
+    df = skewed(spark).repartition("k")
+    text = plan(latest.lead_next(df, "k", ["ts", "id"], "value", "nx", min_bytes=0))
+    window = text.index("Window [lead")
+    assert "hashpartitioning(k#" in text and ", __tm_slice#" in text[window:].split("Exchange hashpartitioning(")[1].split(")")[0]
+
+
 def test_no_cuts_without_hot_keys(spark, sf_dir):
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     assert hotkeys.find_cuts(orders, ["o_custkey"], ["o_orderdate"], 0) is None

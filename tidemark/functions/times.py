@@ -4,18 +4,27 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 HONG_KONG = "Asia/Hong_Kong"
 
 
+def _session_is_utc() -> bool:
+    session = SparkSession.getActiveSession()
+    return session is not None and session.conf.get("spark.sql.session.timeZone") in ("UTC", "Etc/UTC", "Z")
+
+
 def shift_timezone(value: Column, zone: str = HONG_KONG, source: str = "UTC") -> Column:
-    """Wall clock in `zone` of a wall clock in `source`.
+    """Wall clock in `zone` of a wall clock in `source`, whatever the session's zone.
 
-    Works on the zone-less type, so the session zone does not shift it again.
+    With the session in UTC the shift looks its zone up once instead of per
+    row, which makes it several times faster.
     """
-    return F.convert_timezone(F.lit(source), F.lit(zone), value.cast("timestamp_ntz"))
+    value = value.cast("timestamp_ntz")
+    if source == "UTC" and _session_is_utc():
+        return F.from_utc_timestamp(value.cast("timestamp"), zone).cast("timestamp_ntz")
+    return F.convert_timezone(F.lit(source), F.lit(zone), value)
 
 
 def parse_timestamp(value: Column, fmt: str | None = None) -> Column:

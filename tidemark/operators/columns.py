@@ -78,11 +78,20 @@ def drop_columns(df: DataFrame, columns: str | Iterable[str]) -> DataFrame:
     return df.select(*[col(c) for c in df.columns if c.lower() not in gone])
 
 
+def _lenient(df: DataFrame, name: str, dtype: T.DataType) -> Column:
+    value = col(name).try_cast(dtype)
+    text = isinstance(df.schema[name].dataType, T.StringType)
+    if text and isinstance(dtype, (T.IntegralType, T.DecimalType)):
+        # A failing cast raises and catches per row; text without a digit need not try.
+        return F.when(col(name).rlike("[0-9]"), value)
+    return value
+
+
 def cast_columns(df: DataFrame, types: Mapping[str, str], strict: bool = False) -> DataFrame:
     """Cast columns; values that do not fit become NULL, or raise when strict."""
     names = resolve(df, list(types))
-    cast = {n: col(n).cast(t) if strict else col(n).try_cast(t) for n, t in zip(names, types.values())}
-    return df.withColumns(cast)
+    wanted = {n: T.DataType.fromDDL(t) if isinstance(t, str) else t for n, t in zip(names, types.values())}
+    return df.withColumns({n: col(n).cast(t) if strict else _lenient(df, n, t) for n, t in wanted.items()})
 
 
 # What an absent key becomes, by type.

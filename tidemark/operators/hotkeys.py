@@ -89,3 +89,12 @@ def with_slices(df: DataFrame, keys: list[str], order: list[str], cuts: DataFram
         .withColumn(SLICE, F.when(F.col(_CUTS).isNotNull(), before))
         .drop(_HASH, _CUTS, _AT)
     )
+
+
+def spread(sliced: DataFrame, keys: list[str]) -> DataFrame:
+    """Shuffle by key and slice, as the windows over them need.
+
+    Stated, because rows that come spread by key alone would suit such a window
+    too, and all slices of a key would stay in one task.
+    """
+    return sliced.repartition(*[col(k) for k in keys], SLICE)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.names import RESERVED, all_of, as_list, col, quoted, resolve
-from tidemark.operators.hotkeys import SLICE, find_cuts, with_slices
+from tidemark.operators.hotkeys import SLICE, find_cuts, spread, with_slices
 
 _RANK = RESERVED + "rank"
 
@@ -124,7 +124,8 @@ def row_number_per_key(
     within = Window.partitionBy(*key_cols, F.col(SLICE)).orderBy(*order)
     # One row per slice of a hot key: bounded by find_cuts.
     return (
-        sliced.withColumn(name, number.over(within))
+        spread(sliced, names)
+        .withColumn(name, number.over(within))
         .alias("l")
         .join(F.broadcast(offsets).alias("r"), _slice_keys(df, names), "left")
         .select(
@@ -164,7 +165,8 @@ def lead_in_key(
     )
     # One row per slice of a hot key: bounded by find_cuts.
     return (
-        sliced.withColumn(name, F.lead(col(value)).over(within))
+        spread(sliced, keys)
+        .withColumn(name, F.lead(col(value)).over(within))
         .withColumn(found, F.lead(F.lit(True)).over(within))
         .alias("l")
         .join(F.broadcast(firsts).alias("r"), _slice_keys(df, keys), "left")

@@ -12,6 +12,9 @@ from pyspark.sql import SparkSession
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.timestampType": "TIMESTAMP_NTZ",
+    # Small shuffle tasks are joined, large ones of a join or rebalance are split.
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.int96RebaseModeInRead": "CORRECTED",
     "spark.sql.parquet.int96RebaseModeInWrite": "CORRECTED",
     "spark.sql.parquet.datetimeRebaseModeInRead": "CORRECTED",

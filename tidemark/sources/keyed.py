@@ -124,8 +124,9 @@ def _met_folders(old: DataFrame, keys: list[str], batch: DataFrame, near: Column
 def _merge(old: DataFrame, batch: DataFrame, keys: list[str], order_by: list, unique: bool, replace: bool) -> DataFrame:
     """One row per key of stored and new rows; the batch wins where the order does not decide."""
     if replace:
-        rest = rows_untouched(old, batch, keys, null_safe=True)
-        return (rest if unique else keep_last(rest, keys, order_by)).unionByName(batch)
+        # Thin out keys stored many times before the join, not after it.
+        old = old if unique else keep_last(old, keys, order_by)
+        return rows_untouched(old, batch, keys, null_safe=True).unionByName(batch)
     order = [*ordering(batch, order_by, False), F.col(_BATCH).desc()]
     new, old = batch.withColumn(_BATCH, F.lit(1)), old.withColumn(_BATCH, F.lit(0))
     if not unique:
