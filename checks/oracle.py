@@ -108,6 +108,10 @@ ORACLE = {
     "sql_param_query": """
 SELECT o_orderpriority, COUNT(*) AS n_orders, MAX(o_totalprice) AS max_price
 FROM orders WHERE o_totalprice > 1000.0 AND o_orderstatus <> 'P' GROUP BY o_orderpriority""",
+    "file_manifest": "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, COUNT(*) AS n_rows, TRUE AS has_bytes FROM {t}"
+        for t in ("customer", "events", "lineitem", "orders", "part", "supplier")
+    ),
     "sink_csv_roundtrip": "SELECT * FROM lineitem",
     "sink_parquet_roundtrip": "SELECT * FROM lineitem",
     "sink_partitioned": "SELECT * FROM lineitem",

@@ -13,6 +13,7 @@ from tidemark.functions.times import null_timestamp, parse_timestamp, shift_time
 from tidemark.operators import columns, filters, history, joins, latest
 from tidemark.operators.history import History
 from tidemark.plans import control, zones
+from tidemark.plans.daily import Zones, run_table
 from tidemark.plans.history_table import write_versions
 from tidemark.session import apply_defaults, shared_dir
 from tidemark.sources import catalog, files, keyed
@@ -108,9 +109,19 @@ def sql_param_query(spark, sf_dir):
 
 
 def file_manifest(spark, sf_dir):
-    apply_defaults(spark)
-    found = files.file_manifest(spark, sf_dir, "*.parquet")
-    return found.select(F.regexp_extract("path", "[^/]+$", 0).alias("file_name"), "length")
+    """Files of each table by listing, with the rows read from them."""
+    name = F.regexp_extract("path", r"([a-z]+)\.parquet", 1)
+    listed = files.file_manifest(spark, sf_dir, "*.parquet").select(
+        name.alias("table_name"), F.regexp_extract("path", "[^/]+$", 0).alias("file_name"), "length"
+    )
+    counts = [
+        table(spark, sf_dir, t)
+        .groupBy(F.lit(t).alias("table_name"), F.col("_metadata.file_name").alias("file_name"))
+        .agg(F.count("*").alias("n"))
+        for t in ("customer", "events", "lineitem", "orders", "part", "supplier")
+    ]
+    found = joins.join_on_keys(listed, reduce(DataFrame.unionByName, counts), ["table_name", "file_name"])
+    return found.groupBy("table_name").agg(F.sum("n").alias("n_rows"), (F.min("length") > 0).alias("has_bytes"))
 
 
 def sink_partitioned(spark, sf_dir):
@@ -469,16 +480,12 @@ def control_run(spark, sf_dir):
         null_timestamp().alias("updated_at"),
     )
     keyed.write_keyed(rows, f"{base}/control", "table_name", known_unique=True)
-    schema = events.drop("event_type").schema
+    run = _run("1970-01-01 00:00:00", "2024-12-31 00:00:00", "2024-02-01", collapse=False)
 
     def run_one(job: dict) -> str:
         name = job["table_name"]
-        landed = ingest.new_files(spark, f"{base}/landing/event_type={name}", schema)
-        run = _run("1970-01-01 00:00:00", "2024-12-31 00:00:00", "2024-02-01", collapse=False)
-        ingest.run_available(
-            landed, f"{base}/bookmarks/{name}", lambda df, id_: zones.land(df, f"{base}/processed/{name}", run, id_)
-        )
-        return zones.structure(spark, f"{base}/processed/{name}", f"{base}/structured/{name}", run)
+        paths = [f"{base}/{zone}/{name}" for zone in ("processed", "structured", "bookmarks")]
+        return run_table(spark, Zones(f"{base}/landing/event_type={name}", *paths), run)
 
     done = control.run_pending(spark, f"{base}/control", run_one, ["table_name"], run_ts=RUN_TS)
     tables = [

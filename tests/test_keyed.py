@@ -1,6 +1,7 @@
 import pytest
 
 from helpers import plan, rows
+from tidemark.session import shared_dir
 from tidemark.sources import keyed
 from tidemark.sources.keyed import drop_old_versions, read_keyed, table_state, write_keyed
 from tidemark.sources.paths import has_files
@@ -61,7 +62,6 @@ def test_only_met_folders_are_rewritten(spark, folder):
         ("commit_seq=2", "part=b"),
         ("commit_seq=2", "part=c%2Fd e"),
     ]
-    assert not has_files(spark, f"{folder}/batch")
     assert got(spark, folder) == [(1, "a", 1, "x"), (2, "b", 2, "y"), (3, "c/d e", 2, "y"), (4, "a", 1, "y")]
 
 
@@ -71,6 +71,15 @@ def test_upsert_after_append_makes_all_keys_unique(spark, folder):
     assert got(spark, folder) == [(1, "a", 2, "y"), (2, "a", 1, "z")]
 
 
+def test_intermediate_batch_is_removed(spark, folder, monkeypatch):
+    used = []
+    monkeypatch.setattr(keyed, "shared_dir", lambda s, n: used.append(shared_dir(s, n)) or used[-1])
+    write_keyed(frame(spark, (1, "a", 1, "x")), folder, "k", "ts", dedup=True)
+    write_keyed(frame(spark, (1, "a", 2, "y")), folder, "k", "ts", dedup=True)
+    assert len(used) == 1 and used[0].startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert not has_files(spark, used[0].rsplit("/", 1)[0])
+
+
 def test_partition_filter_prunes(spark, folder):
     write_keyed(frame(spark, (1, "a", 1, "x"), (2, "b", 1, "x")), folder, "k", "ts", "part", dedup=True)
     assert "PartitionFilters: [isnotnull(part" in plan(read_keyed(spark, folder).filter("part = 'a'"))

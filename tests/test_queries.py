@@ -4,7 +4,6 @@ import pytest
 
 import __spark_entry__ as entry
 from checks.compare import compare, connect
-from checks.oracle import ORACLE
 from checks.queries import QUERIES
 
 
@@ -20,5 +19,4 @@ def test_query_equals_sql(spark, con, sf_dir, name):
 
 def test_entry_points(spark):
     assert entry.entry(spark).count() > 0
-    assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(QUERIES) - set(ORACLE) == {"file_manifest"}
+    assert set(entry.oracle_sql()) == set(entry.queries())

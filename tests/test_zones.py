@@ -5,6 +5,7 @@ from checks import queries
 from helpers import plan, rows
 from tidemark.functions.times import null_timestamp
 from tidemark.plans import control, zones
+from tidemark.plans.daily import Zones, run_table
 from tidemark.sources import files, keyed
 from tidemark.sources.paths import has_files
 
@@ -144,3 +145,20 @@ def test_control_query_marks_all_due_tables(spark, sf_dir):
     got = queries.QUERIES["control_run"](spark, sf_dir)
     assert got.select("table_name").distinct().count() == 4 and got.filter("step_index <> 2").isEmpty()
     assert rows(got.filter("status = 'active'").groupBy("table_name", "user_id").count().select("count")).keys() == {(1,)}
+
+
+def test_daily_run_of_one_table(spark, folder):
+    where = Zones(*(f"{folder}/{z}" for z in ("landing", "processed", "structured", "mark", "backup")))
+    assert run_table(spark, where, RUN) == "nothing"
+    feed = changes(spark, (1, "2024-01-01 00:00:00", 1, "a", "I"), (2, "2024-01-02 00:00:00", 2, "b", "I"))
+    files.write_parquet(feed, where.landing, mode="append")
+    assert run_table(spark, where, RUN) == "initial"
+    files.write_parquet(changes(spark, (1, "2024-01-20 00:00:00", 3, "c", "U")), where.landing, mode="append")
+    assert run_table(spark, where, NEXT) == "incremental"
+    want = versions(spark, where.structured)
+    assert [(v[0], v[1], v[2]) for v in want] == [(1, "a", "inactive"), (1, "c", "active"), (2, "b", "active")]
+    # The same run again takes in no file twice and changes no version.
+    assert run_table(spark, where, NEXT) == "incremental"
+    assert versions(spark, where.structured) == want
+    assert keyed.read_keyed(spark, where.processed).count() == 3
+    assert has_files(spark, where.backup)

@@ -49,9 +49,13 @@ def update_where(df: DataFrame, match: Column, values: Mapping) -> DataFrame:
 def mark_done(
     control: DataFrame, match: Column, run_ts: str | datetime | None = None, zone: str = HONG_KONG, **values
 ) -> DataFrame:
-    """Set matching rows to step 2, ready, at the run's time in `zone`; `values` add or override."""
-    new = {"step_index": 2, "status": "R", "updated_at": run_time(run_ts, zone), **values}
-    return update_where(control, match, {n: v for n, v in new.items() if n in control.columns})
+    """Set matching rows to step 2, ready, at the run's time in `zone`; `values` add or override.
+
+    Of the usual columns, those the table does not have are left out.
+    """
+    usual = {"step_index": 2, "status": "R", "status_desc": "Ready", "updated_at": run_time(run_ts, zone)}
+    usual = {n: v for n, v in usual.items() if n in control.columns}
+    return update_where(control, match, {**usual, **values})
 
 
 def run_pending(
@@ -90,9 +94,7 @@ def run_pending(
                 errors.append(error)
     if outcome:
         control = read_keyed(spark, control_path)
-        names = [(list(name)) for name in outcome]
-        types = control.select(*keys).schema
-        done = spark.createDataFrame(names, types)
+        done = spark.createDataFrame([list(name) for name in outcome], control.select(*keys).schema)
         changed = mark_done(pending(control, **due).join(done, list(keys), "left_semi"), F.lit(True), run_ts)
         write_keyed(changed, control_path, keys, dedup=True, replace=True)
     if errors:

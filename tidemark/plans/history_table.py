@@ -27,7 +27,7 @@ def write_versions(
     """
     near = None
     if since is not None:
-        started = as_column(since).cast(versions.schema[spec.start].dataType)
+        started = as_column(since).cast(versions.schema[resolve(versions, spec.start)[0]].dataType)
         near = (col(spec.status) == spec.active) | (col(spec.start) >= started)
     return write_keyed(
         versions,

@@ -30,6 +30,7 @@ from tidemark.functions.names import RESERVED, as_list, col, resolve, same_schem
 from tidemark.functions.sizes import fits_broadcast
 from tidemark.operators.joins import distinct_keys, rows_touched, rows_untouched
 from tidemark.operators.latest import first_of_few, keep_last, ordering
+from tidemark.session import shared_dir
 from tidemark.sources.files import write_files
 from tidemark.sources.paths import file_system, read_text, write_new_text
 
@@ -203,7 +204,7 @@ def write_keyed(
         return _commit(batch, path, state, [], meta, rebalance)
     # The batch is read several times below: write it once, and let its files
     # rather than estimates tell how large it is.
-    folder = f"{path}/batch/{uuid4().hex}"
+    folder = shared_dir(spark, "batch")
     try:
         batch.write.parquet(folder)
         batch = spark.read.schema(df.schema).parquet(folder)
@@ -217,8 +218,8 @@ def write_keyed(
             batch = _merge(old, batch, keys, order_by, unique, replace)
         return _commit(batch, path, state, keep, meta, rebalance)
     finally:
-        fs, folder = file_system(spark, folder)
-        fs.delete(folder, True)
+        fs, written = file_system(spark, folder)
+        fs.delete(written.getParent(), True)
 
 
 def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
