@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from checks import queries
 from helpers import plan, rows
+from tidemark.functions import sizes
 from tidemark.operators import history, joins
 from tidemark.operators.history import History
 from tidemark.plans.history_table import merge_history, write_versions
@@ -102,7 +103,8 @@ def test_initial_load_and_as_of(spark, current):
     assert sorted(r.v for r in history.as_of(whole, 1, SPEC_OP).collect()) == ["A", "Z"]
 
 
-def test_rows_of_unknown_status_survive(spark, current):
+def test_rows_of_unknown_status_survive(spark, current, monkeypatch):
+    monkeypatch.setattr(sizes, "WORTH_SPARING", 0)
     odd = current.union(spark.createDataFrame([(1, "?", 3, None, None)], current.schema))
     batch = log(spark, (1, "B", 5, "U"))
     for limit in ("10MB", "-1"):
@@ -111,27 +113,23 @@ def test_rows_of_unknown_status_survive(spark, current):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
 
 
-def test_small_and_large_plans_agree(spark, sf_dir):
-    results = []
-    for limit in ("10MB", "-1"):
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
-        for name in ("scd2_snapshot_deletes", "scd2_delta_deletes", "scd2_delta_on_time"):
-            results.append(rows(queries.QUERIES[name](spark, sf_dir)))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
-    assert results[:3] == results[3:]
+@pytest.mark.parametrize("name", ["scd2_snapshot_deletes", "scd2_delta_deletes", "scd2_delta_on_time"])
+def test_small_and_large_plans_agree(spark, sf_dir, name, monkeypatch):
+    large = queries.QUERIES[name](spark, sf_dir)
+    monkeypatch.setattr(sizes, "WORTH_SPARING", 0)
+    small = queries.QUERIES[name](spark, sf_dir)
+    assert "LeftSemi" in plan(small) and "LeftSemi" not in plan(large)
+    assert rows(small) == rows(large)
 
 
-def test_one_shuffle_for_the_merge(spark, sf_dir, folder):
+def test_one_shuffle_for_the_merge(spark, sf_dir, folder, monkeypatch):
     write_versions(queries.user_history(spark, sf_dir), folder, queries.USERS)
     stored = keyed.read_keyed(spark, folder)
     batch = queries.user_log(spark, sf_dir)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        text = plan(history.snapshot(stored, batch, queries.USERS))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    text = plan(history.snapshot(stored, batch, queries.USERS))
     assert text.count("Exchange") == 1 and "Join" not in text
-    # With a small batch, stored rows outside it meet no shuffle at all.
+    # With a small batch, rows of a large table outside it meet no shuffle at all.
+    monkeypatch.setattr(sizes, "WORTH_SPARING", 0)
     text = plan(history.snapshot(stored, batch, queries.USERS))
     assert "BroadcastHashJoin" in text and "LeftAnti" in text
 

@@ -1,6 +1,7 @@
 import pytest
 
 from helpers import plan, rows
+from tidemark.functions import sizes
 from tidemark.session import shared_dir
 from tidemark.sources import keyed
 from tidemark.sources.keyed import drop_old_versions, read_keyed, table_state, write_keyed
@@ -27,18 +28,14 @@ def test_append_keeps_all_rows(spark, folder):
 
 
 @pytest.mark.parametrize("partition_by", [[], ["part"]])
-@pytest.mark.parametrize("limit", ["10MB", "-1"])
-def test_upsert_newest_wins(spark, folder, partition_by, limit):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
-    try:
-        one = frame(spark, (1, "a", 5, "old"), (2, "a", 5, "old"), (3, "b", 5, "old"), (None, "b", 5, "old"), (1, "a", 4, "x"))
-        two = frame(spark, (1, "a", 9, "new"), (2, "a", 1, "late"), (3, "c", 5, "tie"), (None, "b", 6, "new"), (4, None, 1, "new"))
-        for batch in (one, two, two):
-            write_keyed(batch, folder, "k", "ts", partition_by, dedup=True)
-            want = got(spark, folder)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
-    assert want == sorted(
+@pytest.mark.parametrize("large", [0, 1 << 100])
+def test_upsert_newest_wins(spark, folder, partition_by, large, monkeypatch):
+    monkeypatch.setattr(sizes, "WORTH_SPARING", large)
+    one = frame(spark, (1, "a", 5, "old"), (2, "a", 5, "old"), (3, "b", 5, "old"), (None, "b", 5, "old"), (1, "a", 4, "x"))
+    two = frame(spark, (1, "a", 9, "new"), (2, "a", 1, "late"), (3, "c", 5, "tie"), (None, "b", 6, "new"), (4, None, 1, "new"))
+    for batch in (one, two, two):
+        write_keyed(batch, folder, "k", "ts", partition_by, dedup=True)
+    assert got(spark, folder) == sorted(
         [(1, "a", 9, "new"), (2, "a", 5, "old"), (3, "c", 5, "tie"), (None, "b", 6, "new"), (4, None, 1, "new")], key=str
     )
 

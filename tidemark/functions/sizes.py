@@ -25,6 +25,18 @@ def fits_broadcast(df: DataFrame) -> bool:
     return limit > 0 and plan_bytes(df) <= limit
 
 
+# Below this size a shuffle costs less than the joins that would avoid it.
+WORTH_SPARING = 64 << 20
+
+
+def can_spare_shuffle(large: DataFrame, few: DataFrame) -> bool:
+    """Whether to keep rows of `large` that `few` does not concern out of a shuffle.
+
+    Only a choice of plan: Spark itself decides on broadcasting `few`.
+    """
+    return fits_broadcast(few) and plan_bytes(large) >= WORTH_SPARING
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     """How many tasks a shuffle starts with before adaptive execution joins small ones."""
     parts = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.names import RESERVED, as_column, as_list, col, quoted, resolve, same_schema
-from tidemark.functions.sizes import fits_broadcast
+from tidemark.functions.sizes import can_spare_shuffle
 from tidemark.operators.filters import not_deleted
 from tidemark.operators.hotkeys import find_cuts
 from tidemark.operators.joins import distinct_keys, key_condition
@@ -223,11 +223,11 @@ def new_versions(
 
 
 def _touched_by_small(current: DataFrame, log: DataFrame, spec: History) -> DataFrame | None:
-    """The log's keys if small enough that Spark broadcasts them, else None."""
+    """The log's keys if Spark would broadcast them and `current` is large, else None."""
     keys = distinct_keys(log, spec.keys)
     names = resolve(current, spec.keys)
     keys = keys.select(*[col(s).alias(n) for s, n in zip(keys.columns, names)])
-    return keys if fits_broadcast(keys) else None
+    return keys if can_spare_shuffle(current, keys) else None
 
 
 def _is_active(spec: History, side: str = "l") -> Column:

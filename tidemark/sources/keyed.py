@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.names import RESERVED, as_list, col, resolve, same_schema
-from tidemark.functions.sizes import fits_broadcast
+from tidemark.functions.sizes import can_spare_shuffle
 from tidemark.operators.joins import distinct_keys, rows_touched, rows_untouched
 from tidemark.operators.latest import first_of_few, keep_last, ordering
 from tidemark.session import shared_dir
@@ -132,7 +132,7 @@ def _merge(old: DataFrame, batch: DataFrame, keys: list[str], order_by: list, un
     new, old = batch.withColumn(_BATCH, F.lit(1)), old.withColumn(_BATCH, F.lit(0))
     if not unique:
         return keep_last(old.unionByName(new), keys, order).drop(_BATCH)
-    if not fits_broadcast(distinct_keys(batch, keys)):
+    if not can_spare_shuffle(old, distinct_keys(batch, keys)):
         return first_of_few(old.unionByName(new), keys, order).drop(_BATCH)
     # A small batch: Spark broadcasts its keys, and rows it does not meet pass by
     # without a shuffle.
