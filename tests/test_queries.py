@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__ as entry
 from checks.compare import compare, connect
 from checks.queries import QUERIES
+from helpers import plan
 
 
 @pytest.fixture(scope="module")
@@ -20,3 +21,9 @@ def test_query_equals_sql(spark, con, sf_dir, name):
 def test_entry_points(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) == set(entry.queries())
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_plan_has_no_cross_join(spark, sf_dir, name):
+    text = plan(QUERIES[name](spark, sf_dir))
+    assert "CartesianProduct" not in text and "NestedLoop" not in text

@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.names import as_list, col, resolve
 from tidemark.functions.times import HONG_KONG, timestamp_literal
@@ -28,6 +29,7 @@ class Run:
     collapse   a batch adds at most one version per key (its newest change);
                False keeps every change as a version
     tie_breaker  feed columns that order changes with equal times, after the commit order
+    late       what happens to changes not newer than the active version: "apply" or "drop"
     """
 
     keys: list[str] | str
@@ -42,18 +44,26 @@ class Run:
     deleted: str = "D"
     tie_breaker: list[str] | str = ()
     collapse: bool = True
+    late: str = "apply"
     run_ts: str | datetime | None = None
     zone: str = HONG_KONG
 
     def history(self, tie_breaker: list[str] = ()) -> History:
         return History(
-            keys=self.keys, ts="effective_from", op=self.op_col, deleted=self.deleted, tie_breaker=list(tie_breaker)
+            keys=self.keys,
+            ts="effective_from",
+            op=self.op_col,
+            deleted=self.deleted,
+            tie_breaker=list(tie_breaker),
+            late=self.late,
         )
 
 
-def stage_batch(spark: SparkSession, landing: str, staging: str, prefix_schema=None) -> None:
+def stage_batch(spark: SparkSession, landing: str, staging: str, schema: T.StructType | str | None = None) -> None:
     """Copy landed files to staging, replacing the batch there; rows learn their file."""
-    df = read_parquet(spark, landing, prefix_schema)
+    if landing.rstrip("/") == staging.rstrip("/"):
+        raise ValueError("staging would be emptied before it is read")
+    df = read_parquet(spark, landing, schema)
     write_parquet(df.select("*", F.col("_metadata.file_name").alias("source_file")), staging, mode="overwrite")
 
 
@@ -63,6 +73,8 @@ DAY = "change_date"
 
 def land(df: DataFrame, processed: str, run: Run, batch_id: tuple[str, int] | None = None) -> int | None:
     """Append a landed batch to the processed table, with its landing columns."""
+    if DAY in [c.lower() for c in df.columns]:
+        raise ValueError(f"{DAY} is a reserved column name")
     df = landing_columns(df, run.job_id, run.ts_col, run.run_ts, run.zone)
     df = add_column(df, DAY, col(*resolve(df, run.ts_col)).cast("date"))
     return write_keyed(df, processed, [run.ts_col], partition_by=[DAY], dedup=False, batch_id=batch_id)
