@@ -39,6 +39,14 @@ def read_orc(spark: SparkSession, path, schema=None, **options) -> DataFrame:
     return read_files(spark, "orc", path, schema, **options)
 
 
+def by_folder(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Shuffle rows towards the folder they go to, so that each folder gets few files.
+
+    Adaptive execution cuts large folders into several tasks.
+    """
+    return df.hint("rebalance", *[col(n) for n in partition_by]) if partition_by else df
+
+
 def write_files(
     df: DataFrame,
     fmt: str,
@@ -48,14 +56,10 @@ def write_files(
     rebalance: bool = True,
     **options,
 ) -> None:
-    """Write any format. With `partition_by`, one directory per value.
-
-    `rebalance` shuffles by those values first, so that each directory gets few
-    files; adaptive execution cuts large directories into several tasks.
-    """
+    """Write any format. With `partition_by`, one folder per value, by default after `by_folder`."""
     names = resolve(df, partition_by)
-    if names and rebalance:
-        df = df.hint("rebalance", *[col(n) for n in names])
+    if rebalance:
+        df = by_folder(df, names)
     writer = df.write.format(fmt).mode(mode).options(**options)
     if names:
         writer = writer.partitionBy(*names)

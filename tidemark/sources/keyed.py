@@ -31,7 +31,7 @@ from tidemark.functions.sizes import can_spare_shuffle
 from tidemark.operators.joins import distinct_keys, rows_touched, rows_untouched
 from tidemark.operators.latest import first_of_few, keep_last, ordering
 from tidemark.session import shared_dir
-from tidemark.sources.files import write_files
+from tidemark.sources.files import by_folder, write_files
 from tidemark.sources.paths import file_system, read_text, write_new_text
 
 SEQ = "commit_seq"
@@ -122,23 +122,28 @@ def _met_folders(old: DataFrame, keys: list[str], batch: DataFrame, near: Column
     return [unquote(r[0]) for r in files.select(folder).distinct().collect()]
 
 
-def _merge(old: DataFrame, batch: DataFrame, keys: list[str], order_by: list, unique: bool, replace: bool) -> DataFrame:
-    """One row per key of stored and new rows; the batch wins where the order does not decide."""
+def _merge(
+    old: DataFrame, batch: DataFrame, keys: list[str], order_by: list, unique: bool, replace: bool, few: bool
+) -> tuple[DataFrame | None, DataFrame]:
+    """One row per key of stored and new rows; the batch wins where the order does not decide.
+
+    Returns stored rows the batch does not meet, if they can be told apart, and
+    the others. With `few` keys in the batch Spark broadcasts them, and the
+    first of the two comes from the scan without a shuffle.
+    """
     if replace:
         # Thin out keys stored many times before the join, not after it.
         old = old if unique else keep_last(old, keys, order_by)
-        return rows_untouched(old, batch, keys, null_safe=True).unionByName(batch)
+        return rows_untouched(old, batch, keys, null_safe=True), batch
     order = [*ordering(batch, order_by, False), F.col(_BATCH).desc()]
     new, old = batch.withColumn(_BATCH, F.lit(1)), old.withColumn(_BATCH, F.lit(0))
     if not unique:
-        return keep_last(old.unionByName(new), keys, order).drop(_BATCH)
-    if not can_spare_shuffle(old, distinct_keys(batch, keys)):
-        return first_of_few(old.unionByName(new), keys, order).drop(_BATCH)
-    # A small batch: Spark broadcasts its keys, and rows it does not meet pass by
-    # without a shuffle.
+        return None, keep_last(old.unionByName(new), keys, order).drop(_BATCH)
+    if not few:
+        return None, first_of_few(old.unionByName(new), keys, order).drop(_BATCH)
     rest = rows_untouched(old, batch, keys, null_safe=True)
     met = rows_touched(old, batch, keys, null_safe=True)
-    return rest.unionByName(first_of_few(met.unionByName(new), keys, order)).drop(_BATCH)
+    return rest.drop(_BATCH), first_of_few(met.unionByName(new), keys, order).drop(_BATCH)
 
 
 def write_keyed(
@@ -215,7 +220,13 @@ def write_keyed(
         keep = [name for name in state["live"] if name not in set(met)]
         if met:
             old = _frame(spark, path, state, met).select(*[col(c) for c in df.columns])
-            batch = _merge(old, batch, keys, order_by, unique, replace)
+            few = unique and can_spare_shuffle(old, distinct_keys(batch, keys))
+            rest, batch = _merge(old, batch, keys, order_by, unique, replace, few)
+            if rest is not None and few and rebalance:
+                # Scanned rows still lie folder by folder: only the others need to move.
+                batch, rebalance = by_folder(batch, parts), False
+            if rest is not None:
+                batch = rest.unionByName(batch)
         return _commit(batch, path, state, keep, meta, rebalance)
     finally:
         fs, written = file_system(spark, folder)
