@@ -103,6 +103,8 @@ ORACLE = {
     "scan_parquet": "SELECT l_orderkey, l_linenumber, l_extendedprice, l_shipdate FROM lineitem",
     "scan_json": "SELECT * FROM orders",
     "scan_orc": "SELECT * FROM orders",
+    "scan_text": "SELECT props AS value FROM events",
+    "scan_xml": "SELECT * FROM customer",
     "scan_keyed": "SELECT * FROM customer",
     "table_select_where": "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'",
     "sql_param_query": """

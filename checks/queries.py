@@ -85,6 +85,12 @@ def scan_parquet(spark, sf_dir):
     return df.select("l_orderkey", "l_linenumber", "l_extendedprice", "l_shipdate")
 
 
+def scan_text(spark, sf_dir):
+    path = shared_dir(spark, "text")
+    files.write_files(table(spark, sf_dir, "events").select("props"), "text", path)
+    return files.read_files(spark, "text", path)
+
+
 def scan_keyed(spark, sf_dir):
     path = shared_dir(spark, "customer")
     df = table(spark, sf_dir, "customer")
@@ -577,6 +583,8 @@ QUERIES = {
     "scan_parquet": scan_parquet,
     "scan_json": _round_trip("json", "orders", **files.EXACT_TIMES),
     "scan_orc": _round_trip("orc", "orders"),
+    "scan_text": scan_text,
+    "scan_xml": _round_trip("xml", "customer", rowTag="customer"),
     "scan_keyed": scan_keyed,
     "table_select_where": table_select_where,
     "sql_param_query": sql_param_query,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from checks import queries
 from helpers import plan, rows
 from tidemark.functions import sizes
-from tidemark.operators import history, joins
+from tidemark.operators import history, hotkeys, joins
 from tidemark.operators.history import History
 from tidemark.plans.history_table import merge_history, write_versions
 from tidemark.sources import keyed
@@ -143,11 +143,10 @@ def test_hot_key(spark):
         "id int, v string, effective_from int, effective_to int, status string",
     )
     spec = History(keys="id", ts="ts", tie_breaker="seq", op="op")
-    never = 1 << 100
     for operator in (history.delta, history.snapshot):
         sliced = operator(now, batch, spec, min_bytes=0)
         assert "slice" in plan(sliced)
-        assert rows(sliced) == rows(operator(now, batch, spec, min_bytes=never))
+        assert rows(sliced) == rows(operator(now, batch, spec, min_bytes=hotkeys.NEVER))
 
 
 def test_hot_key_with_late_changes(spark):
@@ -159,7 +158,7 @@ def test_hot_key_with_late_changes(spark):
         "id int, v string, effective_from int, effective_to int, status string",
     )
     spec = History(keys="id", ts="ts", tie_breaker="seq", late="drop")
-    sliced, plain = (rows(history.delta(now, batch, spec, min_bytes=n)) for n in (0, 1 << 100))
+    sliced, plain = (rows(history.delta(now, batch, spec, min_bytes=n)) for n in (0, hotkeys.NEVER))
     kept = [d for d in data if d[0] >= 60 or d[2] > 400]
     assert sliced == plain and sum(plain.values()) == len(kept) + len({d[0] for d in kept if d[0] < 60})
     assert history.late_rows(now, batch, spec).count() == len(data) - len(kept)

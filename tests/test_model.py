@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from tidemark.operators import history, latest
+from tidemark.operators import history, hotkeys, latest
 from tidemark.operators.history import History
 from tidemark.plans.history_table import merge_history
 from tidemark.sources import keyed
@@ -40,7 +40,7 @@ def test_snapshot(spark, seed):
     op, late = rnd.choice([None, "op"]), rnd.choice(["apply", "drop"])
     spec = History(keys="id", ts="ts", tie_breaker="seq", op=op, late=late)
     frames = spark.createDataFrame(current, TABLE), spark.createDataFrame(log, LOG)
-    for min_bytes in (0, 1 << 100):
+    for min_bytes in (0, hotkeys.NEVER):
         got = history.snapshot(*frames, spec, min_bytes=min_bytes)
         assert sorted((tuple(r) for r in got.collect()), key=str) == model(current, log, op, late)
 

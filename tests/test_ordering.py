@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from helpers import plan, rows
 from tidemark.operators import hotkeys, latest
 
-NEVER = 1 << 100
 KEYS = [("k", 1, "a", 0), ("k", 2, "b", 0), ("j", None, "c", 0), ("j", 5, "d", 0), (None, 1, "e", 0), (None, 2, "f", 0)]
 
 
@@ -61,7 +60,7 @@ def skewed(spark):
 @pytest.mark.parametrize("ascending", [True, False])
 def test_row_number_with_hot_key(spark, ascending):
     df = skewed(spark)
-    plain = latest.row_number_per_key(df, "k", ["ts", "id"], "n", ascending, min_bytes=NEVER)
+    plain = latest.row_number_per_key(df, "k", ["ts", "id"], "n", ascending, min_bytes=hotkeys.NEVER)
     sliced = latest.row_number_per_key(df, "k", ["ts", "id"], "n", ascending, min_bytes=0)
     assert "slice" in plan(sliced) and "slice" not in plan(plain)
     assert plain.dtypes == sliced.dtypes
@@ -70,7 +69,7 @@ def test_row_number_with_hot_key(spark, ascending):
 
 def test_lead_with_hot_key(spark):
     df = skewed(spark)
-    plain = latest.lead_next(df, "k", ["ts", "id"], "value", "nx", min_bytes=NEVER)
+    plain = latest.lead_next(df, "k", ["ts", "id"], "value", "nx", min_bytes=hotkeys.NEVER)
     sliced = latest.lead_next(df, "k", ["ts", "id"], "value", "nx", min_bytes=0)
     assert "slice" in plan(sliced)
     assert rows(plain) == rows(sliced)
@@ -99,5 +98,5 @@ def test_no_cuts_without_hot_keys(spark, sf_dir):
 
 def test_string_order_can_be_cut(spark):
     df = skewed(spark).withColumn("s", F.concat(F.lit("x"), F.col("id").cast("string")))
-    plain = latest.lead_next(df, "k", "s", "s", "nx", min_bytes=NEVER)
+    plain = latest.lead_next(df, "k", "s", "s", "nx", min_bytes=hotkeys.NEVER)
     assert rows(plain) == rows(latest.lead_next(df, "k", "s", "s", "nx", min_bytes=0))

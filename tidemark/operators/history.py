@@ -215,7 +215,7 @@ def closed_versions(current: DataFrame, log: DataFrame, spec: History) -> DataFr
 
 
 def new_versions(
-    log: DataFrame, spec: History, schema: T.StructType | None = None, min_bytes: int | None = None
+    log: DataFrame, spec: History, schema: T.StructType | None = None, min_bytes: float | None = None
 ) -> DataFrame:
     """One version per change, ended by the next change of the key."""
     schema = schema or spec.schema(log)
@@ -234,7 +234,7 @@ def _is_active(spec: History, side: str = "l") -> Column:
     return F.col(f"{side}.{quoted(spec.status)}") == spec.active
 
 
-def delta(current: DataFrame, log: DataFrame, spec: History, min_bytes: int | None = None) -> DataFrame:
+def delta(current: DataFrame, log: DataFrame, spec: History, min_bytes: float | None = None) -> DataFrame:
     """What the batch changes: versions it ends and versions it opens.
 
     Columns are those of `current`, by name; columns only the log has are left
@@ -251,7 +251,7 @@ def delta(current: DataFrame, log: DataFrame, spec: History, min_bytes: int | No
     return _as_versions(merged.filter(changed), schema, spec)
 
 
-def snapshot(current: DataFrame, log: DataFrame, spec: History, min_bytes: int | None = None) -> DataFrame:
+def snapshot(current: DataFrame, log: DataFrame, spec: History, min_bytes: float | None = None) -> DataFrame:
     """The whole table after the batch: past versions, untouched ones and the delta."""
     schema = current.schema
     small = _touched_by_small(current, log, spec)

@@ -26,6 +26,8 @@ _AT = RESERVED + "at"
 
 # Below this size (compressed files) even a single key's rows suit one task.
 MIN_BYTES = 256 << 20
+# For callers that know that no key has many rows, or do not want the extra pass.
+NEVER = float("inf")
 # At most this many keys are cut, and each into at most this many slices; any
 # further key keeps its plain window.
 MAX_HOT = 1000
@@ -43,7 +45,7 @@ def _at(order: list[str]) -> Column:
     return F.struct(*[col(o).alias(f"o{i}") for i, o in enumerate(order)])
 
 
-def find_cuts(df: DataFrame, keys: list[str], order: list[str], min_bytes: int | None = None) -> DataFrame | None:
+def find_cuts(df: DataFrame, keys: list[str], order: list[str], min_bytes: float | None = None) -> DataFrame | None:
     """Cut points per hot key, or None when no key needs them.
 
     One pass with a bounded sketch finds the keys with more than two even
@@ -54,7 +56,7 @@ def find_cuts(df: DataFrame, keys: list[str], order: list[str], min_bytes: int |
     in every retry, and safe to broadcast.
     """
     min_bytes = MIN_BYTES if min_bytes is None else min_bytes
-    if plan_bytes(df) < min_bytes:
+    if min_bytes == NEVER or plan_bytes(df) < min_bytes:
         return None
     spark = df.sparkSession
     parts = max(8, shuffle_parts(spark))

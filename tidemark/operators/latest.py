@@ -101,7 +101,7 @@ def row_number_per_key(
     order_by: str | Iterable[str],
     name: str = "row_number",
     ascending: bool = True,
-    min_bytes: int | None = None,
+    min_bytes: float | None = None,
 ) -> DataFrame:
     """Number the rows of each key from 1 along the order."""
     names, order_names = resolve(df, keys), resolve(df, order_by)
@@ -185,7 +185,7 @@ def lead_next(
     order_by: str | Iterable[str],
     value: str,
     name: str = "next_value",
-    min_bytes: int | None = None,
+    min_bytes: float | None = None,
 ) -> DataFrame:
     """Add the value of the next row of the same key, NULL at the last row."""
     names, order = resolve(df, keys), resolve(df, as_list(order_by))

@@ -14,6 +14,7 @@ from tidemark.functions.times import HONG_KONG, timestamp_literal
 from tidemark.operators.columns import add_column, drop_columns, fill_null_keys, landing_columns, version_columns
 from tidemark.operators.filters import in_window, is_nonempty, not_deleted
 from tidemark.operators.history import History, delta, new_versions
+from tidemark.operators.hotkeys import NEVER
 from tidemark.operators.latest import keep_last
 from tidemark.plans.history_table import write_versions
 from tidemark.sources.files import read_parquet, write_parquet
@@ -116,7 +117,8 @@ def next_versions(current: DataFrame, changes: DataFrame, run: Run) -> DataFrame
     """What an incremental run changes; its business date goes on every such version."""
     plain = drop_columns(current, "business_date")
     ties = [] if run.collapse else [SEQ, *as_list(run.tie_breaker)]
-    changed = delta(plain, changes, run.history(ties))
+    # One change per key has no hot keys to look for.
+    changed = delta(plain, changes, run.history(ties), NEVER if run.collapse else None)
     return add_column(changed, "business_date", timestamp_literal(run.business_date).cast("date"))
 
 
