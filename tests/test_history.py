@@ -61,7 +61,9 @@ def test_late_change(spark, current):
     batch = log(spark, (1, "B", 0, "U"))
     assert got(history.delta(current, batch, SPEC)) == [(1, "A", 1, 0, "inactive"), (1, "B", 0, None, "active")]
     drop = History(keys="id", ts="ts", late="drop")
-    assert got(history.delta(current, batch, drop)) == []
+    assert got(history.delta(current, batch, drop)) == [] == got(history.closed_versions(current, batch, drop))
+    later = log(spark, (1, "B", 0, "U"), (1, "C", 7, "U"))
+    assert got(history.closed_versions(current, later, drop)) == [(1, "A", 1, 7, "inactive")]
     assert got(history.snapshot(current, batch, drop)) == got(current)
     assert got(history.late_rows(current, batch, drop)) == [(1, "B", 0, "U")]
     new_key = log(spark, (3, "N", 0, "U"))

@@ -170,29 +170,16 @@ def _as_versions(merged: DataFrame, schema: T.StructType, spec: History) -> Data
     )
 
 
-def _with_active_start(current: DataFrame, log: DataFrame, spec: History, how: str) -> DataFrame:
+def late_rows(current: DataFrame, log: DataFrame, spec: History) -> DataFrame:
+    """Changes that are not newer than the active version of their key."""
     names = resolve(log, spec.keys)
     starts = (
         _active(current, spec)
         .groupBy(*[col(k).alias(n) for k, n in zip(resolve(current, spec.keys), names)])
         .agg(F.max(col(spec.start)).alias(_SINCE))
     )
-    return log.alias("l").join(starts.alias("r"), key_condition(names, null_safe=False), how)
-
-
-def late_rows(current: DataFrame, log: DataFrame, spec: History) -> DataFrame:
-    """Changes that are not newer than the active version of their key."""
-    ts = F.col("l." + quoted(resolve(log, spec.ts[0])[0]))
-    return _with_active_start(current, log, spec, "inner").filter(ts <= F.col(_SINCE)).select("l.*")
-
-
-def _on_time(current: DataFrame, log: DataFrame, spec: History) -> DataFrame:
-    """The changes `late` lets through."""
-    if spec.late == "apply":
-        return log
-    ts = F.col("l." + quoted(resolve(log, spec.ts[0])[0]))
-    joined = _with_active_start(current, log, spec, "left")
-    return joined.filter(F.col(_SINCE).isNull() | (ts > F.col(_SINCE))).select("l.*")
+    joined = log.alias("l").join(starts.alias("r"), key_condition(names, null_safe=False), "inner")
+    return joined.filter(F.col("l." + quoted(resolve(log, spec.ts[0])[0])) <= F.col(_SINCE)).select("l.*")
 
 
 def first_change(log: DataFrame, spec: History, name: str = "first_change") -> DataFrame:
@@ -202,14 +189,19 @@ def first_change(log: DataFrame, spec: History, name: str = "first_change") -> D
     )
 
 
-def closed_versions(current: DataFrame, log: DataFrame, spec: History) -> DataFrame:
+def closed_versions(
+    current: DataFrame, log: DataFrame, spec: History, min_bytes: float | None = None
+) -> DataFrame:
     """Active versions that the batch ends, each once however many changes there are."""
-    ends = first_change(_on_time(current, log, spec), spec, _NEXT)
+    active = _active(current, spec)
+    if spec.late == "drop":
+        merged = _merge(active, log, current.schema, spec, min_bytes)
+        return _as_versions(merged.filter((F.col(_NEW) == 0) & F.col(_NEXT).isNotNull()), current.schema, spec)
+    ends = first_change(log, spec, _NEXT)
     names = resolve(current, spec.keys)
     ends = ends.select(*[col(s).alias(n) for s, n in zip(resolve(ends, spec.keys), names)], _NEXT)
-    joined = _active(current, spec).join(ends, names, "inner")
     values = {spec.end.lower(): F.col(_NEXT), spec.status.lower(): F.lit(spec.inactive)}
-    return joined.select(
+    return active.join(ends, names, "inner").select(
         *[values.get(f.name.lower(), col(f.name)).cast(f.dataType).alias(f.name) for f in current.schema]
     )
 
