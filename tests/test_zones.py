@@ -141,6 +141,19 @@ def test_run_pending_marks_what_worked(spark, jobs, folder):
     assert control.run_pending(spark, folder, lambda job: "ok", ["id"]) == {}
 
 
+def test_a_failed_run_holds_back_later_ones_of_its_table(spark, jobs, folder):
+    keyed.write_keyed(jobs, folder, ["batch_name", "id"], known_unique=True)
+    ran = []
+
+    def run_one(job):
+        ran.append(job["id"])
+        raise RuntimeError("no source")
+
+    with pytest.raises(RuntimeError):
+        control.run_pending(spark, folder, run_one, ["batch_name", "id"], table_by=["batch_name"])
+    assert ran == [1] and keyed.read_keyed(spark, folder).filter("step_index = 1").count() == 2
+
+
 def test_control_query_marks_all_due_tables(spark, sf_dir):
     got = queries.QUERIES["control_run"](spark, sf_dir)
     assert got.select("table_name").distinct().count() == 4 and got.filter("step_index <> 2").isEmpty()

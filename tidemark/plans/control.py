@@ -63,35 +63,44 @@ def run_pending(
     control_path: str,
     run_one: Callable[[dict], str],
     keys: Sequence[str],
+    table_by: Sequence[str] = (),
     config: DataFrame | None = None,
     on: Mapping[str, str] | None = None,
     run_ts: str | datetime | None = None,
     parallel: int = 4,
     **due,
 ) -> dict[tuple, str]:
-    """Run every due table of a keyed control table and mark those that worked.
-
-    Only the control rows come to the driver, one per due table. Each table's
-    work is a set of Spark jobs of its own; `parallel` tables submit theirs at a
-    time, so that small tables do not leave the cluster idle. A table that fails
-    stays due, and its error is raised after the others are marked.
+    """Run every due row of a keyed control table and mark those that worked.
+
+    Only the control rows come to the driver, one per run. Each run is a set of
+    Spark jobs of its own; `parallel` of them submit theirs at a time, so that
+    small tables do not leave the cluster idle. Rows that agree in `table_by`
+    (default: `keys`) concern one table and run one after another in the order
+    of `keys`. A run that fails stays due, as do later ones of its table, and
+    its error is raised after the others are marked.
     """
     due = due or {"step_index": 1, "status": "R"}
     jobs = pending(read_keyed(spark, control_path), **due)
     if config is not None:
         jobs = with_config(jobs, config, on)
-    rows = [row.asDict() for row in jobs.collect()]
+    tables: dict[tuple, list[dict]] = {}
+    for row in jobs.orderBy(*keys).collect():
+        tables.setdefault(tuple(row[k] for k in table_by or keys), []).append(row.asDict())
     outcome: dict[tuple, str] = {}
     errors: list[Exception] = []
-    with ThreadPoolExecutor(max_workers=parallel) as pool:
-        running = [(row, pool.submit(inheritable_thread_target(spark)(run_one), row)) for row in rows]
-        for row, future in running:
+
+    def run_rows(rows: list[dict]) -> None:
+        for row in rows:
             name = tuple(row[k] for k in keys)
             try:
-                outcome[name] = future.result()
+                outcome[name] = run_one(row)
             except Exception as error:
                 log.exception("run of %s failed", name)
                 errors.append(error)
+                return
+
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        list(pool.map(inheritable_thread_target(spark)(run_rows), tables.values()))
     if outcome:
         control = read_keyed(spark, control_path)
         done = spark.createDataFrame([list(name) for name in outcome], control.select(*keys).schema)
