@@ -117,9 +117,9 @@ def _met_folders(old: DataFrame, keys: list[str], batch: DataFrame, near: Column
         old = old.filter(near)
     tagged = old.select(*[col(k) for k in keys], F.col("_metadata.file_path").alias(_FILE))
     folder = F.regexp_extract(_FILE, rf"/data/({SEQ}=.*)/[^/]*$", 1)
-    files = rows_touched(tagged, batch, keys, null_safe=True).select(_FILE).distinct()
+    met = rows_touched(tagged, batch, keys, null_safe=True).select(folder).distinct()
     # At most one row per live folder, and their list is in the state file anyway.
-    return [unquote(r[0]) for r in files.select(folder).distinct().collect()]
+    return [unquote(r[0]) for r in met.collect()]
 
 
 def _merge(
