@@ -25,10 +25,11 @@ def write_versions(
     which no new version starts; ended versions from before it cannot meet the
     batch and are not read.
     """
-    near = None
+    near = []
     if since is not None:
         started = as_column(since).cast(versions.schema[resolve(versions, spec.start)[0]].dataType)
-        near = (col(spec.status) == spec.active) | (col(spec.start) >= started)
+        is_active = col(spec.status).eqNullSafe(spec.active)
+        near = [is_active, ~is_active & (col(spec.start) >= started)]
     return write_keyed(
         versions,
         path,

@@ -18,7 +18,8 @@ few folders (history by status, facts by day) keeps daily work to those.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
+from functools import reduce
 from urllib.parse import unquote
 from uuid import uuid4
 
@@ -111,11 +112,13 @@ def _commit(df: DataFrame, path: str, state: dict | None, keep: list[str], meta:
     return version
 
 
-def _met_folders(old: DataFrame, keys: list[str], batch: DataFrame, near: Column | None) -> list[str]:
+def _met_folders(old: DataFrame, keys: list[str], batch: DataFrame, near: Sequence[Column]) -> list[str]:
     """Live folders that hold a key of the batch; reads only the key columns."""
-    if near is not None:
-        old = old.filter(near)
-    tagged = old.select(*[col(k) for k in keys], F.col("_metadata.file_path").alias(_FILE))
+    # One scan per condition: each then skips folders and row groups on its own.
+    scans = [old.filter(condition) for condition in near] or [old]
+    tagged = reduce(
+        DataFrame.union, [s.select(*[col(k) for k in keys], F.col("_metadata.file_path").alias(_FILE)) for s in scans]
+    )
     folder = F.regexp_extract(_FILE, rf"/data/({SEQ}=.*)/[^/]*$", 1)
     met = rows_touched(tagged, batch, keys, null_safe=True).select(folder).distinct()
     # At most one row per live folder, and their list is in the state file anyway.
@@ -155,7 +158,7 @@ def write_keyed(
     dedup: bool = False,
     replace: bool = False,
     known_unique: bool = False,
-    near: Column | None = None,
+    near: Sequence[Column] = (),
     batch_id: tuple[str, int] | None = None,
     rebalance: bool = True,
 ) -> int | None:
@@ -168,8 +171,8 @@ def write_keyed(
                    and the batch replaces stored rows whatever their order
     known_unique   the caller states that the batch has one row per key (and,
                    when appending, that the table has none of them)
-    near           upsert: a condition that all stored rows meet which can share
-                   a key with the batch, so that others are not even looked at
+    near           upsert: conditions; every stored row that shares a key with the
+                   batch meets one of them, and others are not even looked at
     batch_id       (source, number): a batch already written is skipped and
                    None returned, which makes retries of a stream harmless
     """
