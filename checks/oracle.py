@@ -184,6 +184,9 @@ WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderstatus = 'F' AND o_custkey =
 SELECT a.user_id, a.event_type, a.effective_from, fc.first_change
 FROM act a JOIN fc ON a.user_id = fc.user_id""",
     ),
+    "join_left_keys": """
+SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
     "union_by_name": """
 SELECT c_name AS name, c_custkey AS id, c_acctbal AS balance, CAST(NULL AS INTEGER) AS nation FROM customer
 UNION ALL
@@ -213,6 +216,9 @@ FROM ctl""",
     "keep_last_orders": _first_row(
         "orders", "o_custkey, o_orderkey, o_orderdate, o_totalprice", "o_custkey", "o_orderdate DESC, o_orderkey DESC"
     ),
+    "keep_last_conversations": _first_row(
+        "conversations", "conv_id, turn, role, text", "conv_id", "turn DESC, role DESC, text DESC"
+    ),
     "keep_first_events": _first_row("events", USER_COLUMNS, "user_id", "ts, event_id"),
     "row_number_per_key": """
 SELECT o_custkey, o_orderkey, o_orderdate,

@@ -288,6 +288,11 @@ def join_inner_keys(spark, sf_dir):
     )
 
 
+def join_left_keys(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    return joins.join_on_keys(documents, table(spark, sf_dir, "labels"), "doc_id", "left")
+
+
 def union_by_name(spark, sf_dir):
     customers = table(spark, sf_dir, "customer").select(
         F.col("c_name").alias("name"), F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("balance")
@@ -359,6 +364,12 @@ def keep_last_orders(spark, sf_dir):
     return latest.keep_last(df, "o_custkey", [F.desc("o_orderdate"), F.desc("o_orderkey")], unique_order=True)
 
 
+def keep_last_conversations(spark, sf_dir):
+    """Last turn of each conversation, whole text."""
+    df = table(spark, sf_dir, "conversations")
+    return latest.keep_last(df, "conv_id", ["turn", "role", "text"], unique_order=True)
+
+
 def keep_first_events(spark, sf_dir):
     df = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value")
     return latest.keep_first(df, "user_id", ["ts", "event_id"], unique_order=True)
@@ -612,6 +623,7 @@ QUERIES = {
     "join_semi_touched": join_semi_touched,
     "join_anti_untouched": join_anti_untouched,
     "join_inner_keys": join_inner_keys,
+    "join_left_keys": join_left_keys,
     "union_by_name": union_by_name,
     "count_rows": count_rows,
     "control_left_join": control_left_join,
@@ -619,6 +631,7 @@ QUERIES = {
     "control_update": control_update,
     "keep_last_events": keep_last_events,
     "keep_last_orders": keep_last_orders,
+    "keep_last_conversations": keep_last_conversations,
     "keep_first_events": keep_first_events,
     "row_number_per_key": row_number_per_key,
     "lead_next_change": lead_next_change,

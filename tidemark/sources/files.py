@@ -56,7 +56,11 @@ def write_files(
     rebalance: bool = True,
     **options,
 ) -> None:
-    """Write any format. With `partition_by`, one folder per value, by default after `by_folder`."""
+    """Write any format. With `partition_by`, one folder per value, by default after `by_folder`.
+
+    A frame that reads from `path` must not overwrite it: Spark empties the
+    folder first. Write to a new folder, or use a keyed table.
+    """
     names = resolve(df, partition_by)
     if rebalance:
         df = by_folder(df, names)
