@@ -12,7 +12,7 @@ from helpers import plan, rows
 from tidemark.functions import sizes
 from tidemark.operators import history, hotkeys, joins
 from tidemark.operators.history import History
-from tidemark.plans.history_table import merge_history, write_versions
+from tidemark.plans.history_table import merge_history, read_active, write_versions
 from tidemark.sources import keyed
 
 CURRENT = [(1, "A", 1, None, "active"), (2, "Z", 1, None, "active"), (1, "Q", 0, 1, "inactive")]
@@ -186,6 +186,13 @@ def test_table_equals_snapshot_and_rerun_changes_nothing(spark, sf_dir, folder):
     assert rows(keyed.read_keyed(spark, folder)) == want
 
 
+def test_merge_lists_active_folders_only(spark, sf_dir, folder):
+    write_versions(queries.user_history(spark, sf_dir), folder, queries.USERS)
+    active = read_active(spark, folder, queries.USERS)
+    assert {f.split("status=")[1].split("/")[0] for f in active.inputFiles()} == {"active"}
+    assert rows(active) == rows(keyed.read_keyed(spark, folder).filter("status = 'active'"))
+
+
 def test_ended_versions_are_never_rewritten(spark, sf_dir, folder):
     write_versions(queries.user_history(spark, sf_dir), folder, queries.USERS)
     before = keyed.table_state(spark, folder)["live"]

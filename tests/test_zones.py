@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import queries
-from helpers import plan, rows
+from helpers import rows
 from tidemark.functions.times import null_timestamp
 from tidemark.plans import control, zones
 from tidemark.plans.daily import Zones, run_table
@@ -87,8 +87,12 @@ def test_equal_times_go_by_commit(spark, folder):
 
 def test_run_reads_its_days_only(spark, sf_dir, folder):
     zones.land(queries.cdc(spark, sf_dir), folder, RUN)
-    text = plan(zones.changes_in_window(keyed.read_keyed(spark, folder), NEXT))
-    assert "PartitionFilters: [isnotnull(change_date" in text
+    window = zones.changes_in_window(spark, folder, NEXT)
+    days = sorted({f.split("change_date=")[1][:10] for f in window.inputFiles()})
+    assert days[0] == "2024-01-15" and len(days) == 17
+    whole = keyed.read_keyed(spark, folder)
+    assert window.count() == whole.filter("ts > timestamp_ntz'2024-01-15'").count()
+    assert zones.changes_in_window(spark, folder, queries._run("1999-01-01", "1999-01-02", "1999-01-02")).isEmpty()
 
 
 def test_staging_holds_the_last_batch_only(spark, folder):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import as_column, col, resolve
@@ -15,6 +15,12 @@ def open_first(spec: History) -> list[Column]:
     return [col(spec.end).desc_nulls_first()]
 
 
+def read_active(spark: SparkSession, path: str, spec: History) -> DataFrame:
+    """Active versions, all that a batch is merged with; folders of ended ones are not listed."""
+    df = read_keyed(spark, path, folders=lambda part: part.get(spec.status.lower(), spec.active) == spec.active)
+    return df.filter(col(spec.status) == spec.active)
+
+
 def write_versions(
     versions: DataFrame, path: str, spec: History, since=None, batch_id: tuple[str, int] | None = None
 ) -> int | None:
@@ -50,4 +56,4 @@ def merge_history(log: DataFrame, path: str, spec: History, batch_id: tuple[str,
     if not table_exists(spark, path):
         return write_versions(new_versions(log, spec), path, spec, batch_id=batch_id)
     (since,) = log.agg(F.min(col(*resolve(log, spec.ts[0])))).first()
-    return write_versions(delta(read_keyed(spark, path), log, spec), path, spec, since, batch_id)
+    return write_versions(delta(read_active(spark, path, spec), log, spec), path, spec, since, batch_id)

@@ -16,7 +16,7 @@ from tidemark.operators.filters import in_window, is_nonempty, not_deleted
 from tidemark.operators.history import History, delta, new_versions
 from tidemark.operators.hotkeys import NEVER
 from tidemark.operators.latest import keep_last
-from tidemark.plans.history_table import write_versions
+from tidemark.plans.history_table import read_active, write_versions
 from tidemark.sources.files import read_parquet, write_parquet
 from tidemark.sources.keyed import SEQ, read_keyed, table_exists, write_keyed
 
@@ -81,11 +81,15 @@ def land(df: DataFrame, processed: str, run: Run, batch_id: tuple[str, int] | No
     return write_keyed(df, processed, [run.ts_col], partition_by=[DAY], dedup=False, batch_id=batch_id)
 
 
-def changes_in_window(processed: DataFrame, run: Run) -> DataFrame:
-    """Changes from the run's start to its end, both included; other days' folders are skipped."""
-    first, last = (timestamp_literal(t).cast("date") for t in (run.window_from, run.window_to))
-    days = processed.filter(col(DAY).between(first, last))
-    return drop_columns(in_window(days, run.ts_col, run.window_from, run.window_to), DAY)
+def _as_datetime(moment: str | datetime) -> datetime:
+    return moment if isinstance(moment, datetime) else datetime.fromisoformat(moment)
+
+
+def changes_in_window(spark: SparkSession, processed: str, run: Run) -> DataFrame:
+    """Landed changes from the run's start to its end, both included; other days are not read."""
+    first, last = (_as_datetime(t).date().isoformat() for t in (run.window_from, run.window_to))
+    df = read_keyed(spark, processed, with_seq=True, folders=lambda part: first <= part[DAY] <= last)
+    return drop_columns(in_window(df, run.ts_col, run.window_from, run.window_to), DAY)
 
 
 def prepare_changes(changes: DataFrame, run: Run) -> DataFrame:
@@ -129,7 +133,7 @@ def structure(spark: SparkSession, processed: str, structured: str, run: Run) ->
     """
     if not table_exists(spark, processed):
         return "nothing"
-    window = changes_in_window(read_keyed(spark, processed, with_seq=True), run)
+    window = changes_in_window(spark, processed, run)
     if not is_nonempty(window):
         return "nothing"
     changes = prepare_changes(window, run)
@@ -145,6 +149,6 @@ def structure(spark: SparkSession, processed: str, structured: str, run: Run) ->
             rebalance=False,
         )
         return "initial"
-    versions = next_versions(read_keyed(spark, structured), changes, run)
+    versions = next_versions(read_active(spark, structured, spec), changes, run)
     write_versions(versions, structured, spec, timestamp_literal(run.window_from))
     return "incremental"

@@ -18,7 +18,7 @@ few folders (history by status, facts by day) keeps daily work to those.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 from urllib.parse import unquote
 from uuid import uuid4
@@ -77,17 +77,32 @@ def _frame(spark: SparkSession, path: str, state: dict, live: list[str]) -> Data
     return spark.read.schema(stored).option("basePath", data).parquet(*folders)
 
 
-def read_keyed(spark: SparkSession, path: str, version: int | None = None, with_seq: bool = False) -> DataFrame:
+def _parts(folder: str) -> dict[str, str]:
+    """Partition values in a folder's name, by lower-case column name."""
+    pairs = [part.split("=", 1) for part in folder.split("/")]
+    return {unquote(name).lower(): unquote(value) for name, value in pairs}
+
+
+def read_keyed(
+    spark: SparkSession,
+    path: str,
+    version: int | None = None,
+    with_seq: bool = False,
+    folders: Callable[[dict[str, str]], bool] | None = None,
+) -> DataFrame:
     """Current rows of a keyed table, or those of an earlier version still kept.
 
     `with_seq` adds the number of the commit that wrote the row, an ordering
-    column for rows with equal change times.
+    column for rows with equal change times. `folders` picks folders by their
+    partition values (as text, by lower-case name); others are not even listed,
+    which a filter alone would not spare.
     """
     state = table_state(spark, path, version)
     if state is None:
         raise FileNotFoundError(f"no keyed table at {path}")
     names = [f["name"] for f in state["schema"]["fields"]]
-    df = _frame(spark, path, state, state["live"])
+    live = [f for f in state["live"] if folders is None or folders(_parts(f))]
+    df = _frame(spark, path, state, live)
     return df.select(*[col(n) for n in names], *([SEQ] if with_seq else []))
 
 
