@@ -100,3 +100,23 @@ def test_string_order_can_be_cut(spark):
     df = skewed(spark).withColumn("s", F.concat(F.lit("x"), F.col("id").cast("string")))
     plain = latest.lead_next(df, "k", "s", "s", "nx", min_bytes=hotkeys.NEVER)
     assert rows(plain) == rows(latest.lead_next(df, "k", "s", "s", "nx", min_bytes=0))
+
+
+@pytest.mark.parametrize(
+    "order",
+    [
+        "CAST(ts AS timestamp)", "CAST(ts AS timestamp_ntz)", "CAST(CAST(ts AS timestamp) AS date)",
+        "CAST(ts AS decimal(12, 2)) / 7", "CASE WHEN ts % 9 = 0 THEN double('NaN') ELSE double(ts) / 3 END",
+        "CAST(CAST(ts AS string) AS binary)", "struct(ts % 5 AS a, ts AS b)", "ts > 500",
+    ],
+)
+def test_hot_null_key_and_orders_of_all_types(spark, order):
+    df = skewed(spark).withColumn("k", F.when(F.col("k") != "hot", F.col("k")))
+    df = df.withColumn("at", F.expr(order.replace("CAST(ts AS timestamp", "CAST(timestamp_seconds(ts) AS timestamp")))
+    results = []
+    for min_bytes in (0, hotkeys.NEVER):
+        numbered = latest.row_number_per_key(df, "k", ["at", "id"], "n", min_bytes=min_bytes)
+        after = latest.lead_next(df, "k", ["at", "id"], "id", "nx", min_bytes=min_bytes)
+        assert ("__tm_slice" in plan(numbered)) == (min_bytes == 0)
+        results.append((rows(numbered, "id", "n"), rows(after, "id", "nx")))
+    assert results[0] == results[1]

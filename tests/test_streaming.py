@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks import queries
@@ -18,12 +19,12 @@ def events(spark, sf_dir):
 
 def deliver(events, landing, pieces, seed=None):
     """Write events as single files, in time order or shuffled."""
-    cuts = [events.withColumn("n", F.ntile(pieces).over(queries.latest.Window.orderBy("ts"))).cache()]
+    numbered = events.withColumn("n", F.ntile(pieces).over(Window.orderBy("ts")))
     order = list(range(1, pieces + 1))
     if seed is not None:
         random.Random(seed).shuffle(order)
     for n in order:
-        files.write_parquet(cuts[0].filter(F.col("n") == n).drop("n").coalesce(1), landing, mode="append")
+        files.write_parquet(numbered.filter(F.col("n") == n).drop("n").coalesce(1), landing, mode="append")
 
 
 def test_new_files_once(spark, events, folder):
