@@ -23,7 +23,7 @@ from tidemark.functions.names import RESERVED, as_column, as_list, col, quoted,
 from tidemark.functions.sizes import can_spare_shuffle
 from tidemark.operators.filters import not_deleted
 from tidemark.operators.hotkeys import find_cuts
-from tidemark.operators.joins import distinct_keys, key_condition
+from tidemark.operators.joins import distinct_keys, join_grouped, key_condition
 from tidemark.operators.latest import keep_last, lead_in_key
 
 _NEW = RESERVED + "new"
@@ -157,7 +157,7 @@ def _merge(active: DataFrame | None, log: DataFrame, schema: T.StructType, spec:
 
 def _newer_than_active(rows: DataFrame, active: DataFrame, keys: list[str]) -> DataFrame:
     starts = active.groupBy(*[col(k) for k in keys]).agg(F.max(_START).alias(_SINCE))
-    joined = rows.alias("l").join(starts.alias("r"), key_condition(keys, null_safe=False), "left")
+    joined = join_grouped(rows, starts, keys, "left")
     return joined.filter(F.col(_SINCE).isNull() | (F.col(_START) > F.col(_SINCE))).select("l.*")
 
 
@@ -178,7 +178,7 @@ def late_rows(current: DataFrame, log: DataFrame, spec: History) -> DataFrame:
         .groupBy(*[col(k).alias(n) for k, n in zip(resolve(current, spec.keys), names)])
         .agg(F.max(col(spec.start)).alias(_SINCE))
     )
-    joined = log.alias("l").join(starts.alias("r"), key_condition(names, null_safe=False), "inner")
+    joined = join_grouped(log, starts, names)
     return joined.filter(F.col("l." + quoted(resolve(log, spec.ts[0])[0])) <= F.col(_SINCE)).select("l.*")
 
 

@@ -11,22 +11,23 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.names import all_of, as_column, col
+from tidemark.functions.names import all_of, as_column, col, quoted
 from tidemark.functions.times import HONG_KONG, run_time
+from tidemark.operators.joins import join_grouped
 from tidemark.sources.keyed import read_keyed, write_keyed
 
 log = logging.getLogger(__name__)
 
 
 def with_config(control: DataFrame, config: DataFrame, on: Mapping[str, str]) -> DataFrame:
-    """Control rows with their configuration; rows without one stay.
+    """Control rows with their configuration, one row per table; rows without one stay.
 
     `on` maps control columns to the configuration's.
     """
-    c, f = control.alias("c"), config.alias("f")
-    rest = [col(n) for n in config.columns if n not in set(on.values())]
-    joined = c.join(f, all_of([F.col(f"c.{a}") == F.col(f"f.{b}") for a, b in on.items()]), "left")
-    return joined.select("c.*", *rest)
+    names = {theirs: ours for ours, theirs in on.items()}
+    rest = [F.col("r." + quoted(n)) for n in config.columns if n not in names]
+    config = config.select(*[col(n).alias(names.get(n, n)) for n in config.columns])
+    return join_grouped(control, config, list(on), "left").select("l.*", *rest)
 
 
 def pending(control: DataFrame, **equal) -> DataFrame:
