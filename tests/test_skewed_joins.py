@@ -7,6 +7,7 @@ from helpers import plan
 from tidemark.operators import history, joins
 from tidemark.operators.history import History
 from tidemark.plans import control
+from tidemark.sources import files
 
 SMALL = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -73,3 +74,15 @@ def test_late_rows_split_the_hot_key(spark, log):
     )
     late = history.late_rows(current, log, History(keys="k", ts="ts"))
     assert "skew=true" in ran(late)
+
+
+def test_partitioned_write_splits_the_hot_folder(spark, log, folder):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4MB")
+    df = log.withColumn("part", F.when(F.col("k") == 0, "hot").otherwise((F.col("k") % 3).cast("string")))
+    files.write_files(df, "parquet", folder + "-parts", partition_by="part")
+    listed = files.file_manifest(spark, folder + "-parts", "*.parquet")
+    counts = listed.groupBy(F.regexp_extract("path", "part=([^/]+)", 1).alias("part")).count().collect()
+    counts = {r.part: r["count"] for r in counts}
+    assert set(counts) == {"hot", "0", "1", "2"}
+    assert counts["hot"] >= 4 and max(counts[p] for p in "012") <= 2
+    assert files.read_parquet(spark, folder + "-parts").count() == log.count()
