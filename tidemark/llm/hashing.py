@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 import numpy as np
-import xxhash
 
 # A-Z to a-z, letters and digits kept, every other ASCII character to a space: runs of
 # what is left are the words [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ of the lower-cased text.
@@ -15,33 +14,57 @@ PLAIN_WORDS = bytes(
 
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
-# Words whose hash a task remembers; beyond that it starts anew, results do not change.
-REMEMBERED = 1 << 19
+# Bytes of text that are hashed at a time.
+BLOCK = 1 << 20
+_SPACE = np.zeros(256, bool)
+_SPACE[[32, 9, 10, 11, 12, 13]] = True
+_BYTES = np.random.Generator(np.random.PCG64(1)).integers(0, 1 << 64, 256, np.uint64)
 
 
-class WordHashes(dict):
-    """Hash of a word, remembered."""
+def _powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """base ** i and base ** -i modulo 2 ** 64, for an odd base."""
+    up, down = np.full(n, base, np.uint64), np.full(n, pow(base, -1, 1 << 64), np.uint64)
+    up[:1] = down[:1] = 1
+    return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        value = xxhash.xxh3_64_intdigest(word) - (1 << 63)
-        self[word] = value
-        return value
 
-
-def word_hashes(texts: Iterable[bytes], known: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in order, and the number of words of each text.
 
-    Words are runs of bytes other than space and \\t\\n\\v\\f\\r.
+    Words are runs of bytes other than space and \\t\\n\\v\\f\\r. A word's hash is a
+    polynomial of random numbers for its bytes, from differences of running sums.
     """
-    parts, counts = [], []
-    for text in texts:
-        words = text.split()
-        counts.append(len(words))
-        parts.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
-    hashes = np.concatenate(parts) if parts else np.empty(0, np.int64)
-    return hashes.view(np.uint64), np.asarray(counts, np.int64)
+    texts = list(texts)
+    raw = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
+    up, down = _powers(min(len(raw), BLOCK), _BASE)
+    hashes, starts = [], []
+    a = 0
+    while a < len(raw):
+        b = min(a + BLOCK, len(raw))
+        space = _SPACE[raw[a:b]]
+        if b < len(raw):  # end behind a space; a word longer than a block makes a longer block
+            spaces = np.flatnonzero(space)
+            while not len(spaces):
+                b = min(b + BLOCK, len(raw))
+                spaces = np.flatnonzero(_SPACE[raw[a:b]])
+            b = a + int(spaces[-1]) + 1
+            space = _SPACE[raw[a:b]]
+        n = b - a
+        if n > len(up):
+            up, down = _powers(n, _BASE)
+        edges = np.flatnonzero(np.diff(space, prepend=True))
+        first, last = edges[::2], edges[1::2]
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(_BYTES[raw[a:b]] * up[:n], out=sums[1:])
+        hashes.append((sums[last] - sums[first]) * down[first])
+        starts.append(first + a)
+        a = b
+    if not texts:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    counts = np.diff(np.searchsorted(np.concatenate(starts), bounds))
+    return mixed(np.concatenate(hashes)), counts
 
 
 def mixed(values: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -57,17 +80,25 @@ def rolling(hashes: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
     n = len(hashes)
     if n < k:
         return np.empty(0, np.uint64)
-    base = (_BASE * (2 * seed + 1)) & _MASK | 1
-    up = np.full(n, base, np.uint64)
-    up[0] = 1
-    down = np.full(n, pow(base, -1, 1 << 64), np.uint64)
-    down[0] = 1
-    up, down = np.multiply.accumulate(up), np.multiply.accumulate(down)
+    up, down = _powers(n, (_BASE * (2 * seed + 1)) & _MASK | 1)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(mixed(hashes, seed) * up, out=sums[1:])
     return mixed((sums[k:] - sums[:-k]) * down[: n - k + 1], seed)
 
 
+def runs(ordered: np.ndarray) -> np.ndarray:
+    """True where a sorted array has a new value."""
+    new = np.ones(len(ordered), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    return new
+
+
+def by_small(order: np.ndarray, keys: np.ndarray, most: int) -> np.ndarray:
+    """The order sorted by keys from 0 to `most`, else as it was."""
+    small = keys[order].astype(np.uint16 if most < 1 << 16 else np.uint64)
+    return order[np.argsort(small, kind="stable")]
+
+
 def window_starts(counts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Where windows of k words start that lie within one text, and the text of each."""
     ends = np.cumsum(counts)

@@ -109,7 +109,9 @@ SHORT = 30
 
 
 def short_codes(hashes: np.ndarray, buckets: int) -> np.ndarray:
-    return hashes % np.uint64(buckets << SHORT)
+    """Codes below buckets << SHORT that keep the order of the hashes."""
+    width = buckets.bit_length()
+    return ((hashes >> np.uint64(width)) * np.uint64(buckets)) >> np.uint64(64 - width - SHORT)
 
 
 def code_buckets(codes: np.ndarray) -> np.ndarray:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import pages
-from tidemark.llm.hashing import WordHashes, rolling, window_starts, word_hashes
+from tidemark.llm.hashing import by_small, mixed, rolling, runs, window_starts, word_hashes
 
 WINDOW = 20
 Key = tuple[pa.Scalar, ...]
@@ -28,64 +28,75 @@ RESULT = "doc_id long, n_words long, n_removed long, spans array<struct<start:lo
 
 
 class _Page:
-    """A page's words and the short hashes of its rolling blocks."""
+    """A page's words, its rolling blocks, and the windows around hits."""
 
     def __init__(self, table: pa.Table, window: int, buckets: int):
         self.block, self.window, self.buckets = window // 2, window, buckets
         self.ids, self.texts = pages.page_rows(table)
-        self.hashes, self.counts = word_hashes(self.texts, WordHashes())
+        self.hashes, self.counts = word_hashes(self.texts)
         self.first = np.cumsum(self.counts) - self.counts
-        self.starts, doc = window_starts(self.counts, self.block)
-        codes = pages.short_codes(rolling(self.hashes, self.block)[self.starts], buckets)
-        # Blocks that start at a multiple of their length sort behind others of the same code.
-        aligned = (self.starts - self.first[doc]) % self.block == 0
-        self.keys = codes << np.uint64(1) | aligned.astype(np.uint64)
+
+    def _blocks(self) -> tuple[np.ndarray, np.ndarray]:
+        """Starts of all rolling blocks, and their short codes with a last bit for indexed ones."""
+        starts, doc = window_starts(self.counts, self.block)
+        codes = pages.short_codes(rolling(self.hashes, self.block)[starts], self.buckets)
+        aligned = (starts - self.first[doc]) % self.block == 0
+        return starts, codes << np.uint64(1) | aligned.astype(np.uint64)
 
     def block_questions(self, page: int) -> pa.Table:
-        keys = np.sort(self.keys)
+        keys = np.sort(self._blocks()[1])
         codes = keys >> np.uint64(1)
-        last = np.append(codes[1:] != codes[:-1], True)[: len(codes)]
-        first = np.insert(last[:-1], 0, True)[: len(codes)]
+        first = runs(codes)
+        last = np.append(first[1:], True)[: len(codes)]
+        # An indexed block sorts behind others of its code.
         flags = (keys[last] & np.uint64(1)) << np.uint64(1) | ~(first & last)[last]
         payload = pages.code_payload(codes[last], flags)
         spans = pages.spans_of(pages.code_buckets(codes[last]))
         return pages.questions(page, [b for b, _, _ in spans], [payload[i:j].tobytes() for _, i, j in spans])
 
-    def candidates(self, replies: pa.Table) -> None:
-        """The distinct windows around hits in order of bucket and hash, each with its places."""
-        codes = self.keys >> np.uint64(1)
-        asked = np.unique(codes)
-        lengths = [j - i for _, i, j in pages.spans_of(pages.code_buckets(asked))]
-        own = pages.answers_of(replies, KEPT)
-        self.hit = hit = pages.bits(own, [len(asked)]) if own else pages.bits(pages.answers_of(replies, 1), lengths)
+    def near_hits(self, replies: pa.Table) -> np.ndarray:
+        """For each word, whether a window starts there that holds a hit."""
+        starts, keys = self._blocks()
+        order = np.argsort(keys)
+        codes = keys[order] >> np.uint64(1)
+        first = runs(codes)
+        lengths = [j - i for _, i, j in pages.spans_of(pages.code_buckets(codes[first]))]
+        hit = pages.bits(pages.answers_of(replies, 1), lengths)
         hits = np.zeros(len(self.hashes) + 1, np.int32)
-        hits[self.starts + 1] = hit[np.searchsorted(asked, codes)]
+        hits[starts[order] + 1] = hit[np.cumsum(first) - 1]
         before = np.cumsum(hits)
-        starts, doc = window_starts(self.counts, self.window)
-        near = before[starts + self.window - self.block + 1] > before[starts]
-        starts, doc = starts[near], doc[near]
-        values = rolling(self.hashes, self.window, 1)[starts]
-        buckets = rolling(self.hashes, self.window, 2)[starts] % np.uint64(self.buckets)
-        order = np.lexsort((values, buckets))  # stable: places of a window stay in document order
-        starts, doc, values, buckets = starts[order], doc[order], values[order], buckets[order]
-        new = np.ones(len(values), bool)
-        new[1:] = (values[1:] != values[:-1]) | (buckets[1:] != buckets[:-1])
-        self.places, self.new = starts, new
-        self.values, self.owners, self.value_buckets = values[new], self.ids[doc[new]], buckets[new].astype(np.int64)
-
-    def window_questions(self, page: int) -> pa.Table:
+        near = np.zeros(len(self.hashes), bool)
+        windows, _ = window_starts(self.counts, self.window)
+        near[windows] = before[windows + self.window - self.block + 1] > before[windows]
+        return near
+
+    def compare(self, near: np.ndarray) -> None:
+        """Those windows in order of bucket and hash, and the first place of each distinct one."""
+        places = np.flatnonzero(near)
+        values = rolling(self.hashes, self.window, 1)[places]
+        more = mixed(self.hashes[places] ^ mixed(self.hashes[places + self.window // 2]))
+        buckets = (more % np.uint64(self.buckets)).astype(np.int64)
+        order = by_small(np.argsort(values), buckets, self.buckets)
+        self.places, values, buckets = places[order], values[order], buckets[order]
+        new = runs(values) | runs(buckets)
+        self.window_of = np.cumsum(new) - 1
+        self.values, self.value_buckets = values[new], buckets[new]
+        self.first_place = np.minimum.reduceat(self.places, np.flatnonzero(new)) if len(places) else places
+        doc = np.searchsorted(self.first, self.first_place, "right") - 1
+        self.owners = self.ids[doc]
+
+    def window_questions(self, page: int, near: np.ndarray) -> pa.Table:
         spans = pages.spans_of(self.value_buckets)
         payloads = [self.values[i:j].tobytes() + self.owners[i:j].tobytes() for _, i, j in spans]
-        # A page sends its hits to itself, in a bucket of its own, for the last step.
-        return pages.questions(
-            page, [-1 - page, *(b for b, _, _ in spans)], [np.packbits(self.hit).tobytes(), *payloads]
-        )
+        # A page sends the places to itself, in a bucket of its own, for the last step.
+        return pages.questions(page, [-1 - page, *(b for b, _, _ in spans)], [np.packbits(near).tobytes(), *payloads])
 
     def result(self, replies: pa.Table) -> pa.Table:
         lengths = [j - i for _, i, j in pages.spans_of(self.value_buckets)]
         ours = pages.bits(pages.answers_of(replies, 2), lengths)
         # The first place in the page stays where no other page has an earlier one.
-        repeated = self.places[~(self.new & ours[np.cumsum(self.new) - 1])] if len(self.places) else self.places
+        stays = (self.places == self.first_place[self.window_of]) & ours[self.window_of]
+        repeated = self.places[~stays]
         cover = np.zeros(len(self.hashes) + 1, np.int64)
         np.add.at(cover, repeated, 1)
         np.subtract.at(cover, repeated + self.window, 1)
@@ -119,7 +130,7 @@ def _answer_blocks(key: Key, table: pa.Table) -> pa.Table:
     asked = [np.frombuffer(p, np.uint32) for p in table["payload"].to_pylist()]
     every = np.sort(np.concatenate(asked))
     codes = every >> np.uint32(2)
-    first = np.flatnonzero(np.insert(codes[1:] != codes[:-1], 0, True))
+    first = np.flatnonzero(runs(codes))
     indexed = np.bitwise_or.reduceat(every, first)
     several = np.diff(np.append(first, len(codes))) > 1
     hits = codes[first][(indexed & 2 > 0) & (several | (indexed & 1 > 0))]
@@ -136,7 +147,7 @@ def _answer_windows(key: Key, table: pa.Table) -> pa.Table:
     owners = np.concatenate([a[1] for a in asked])
     order = np.argsort(values, kind="stable")
     ordered = values[order]
-    first = np.insert(ordered[1:] != ordered[:-1], 0, True)
+    first = runs(ordered)
     earliest = np.minimum.reduceat(owners[order], np.flatnonzero(first))
     ours = np.empty(len(values), bool)
     ours[order] = owners[order] == earliest[np.cumsum(first) - 1]
@@ -168,12 +179,13 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
 
     def ask_windows(key: Key, table: pa.Table, replies: pa.Table) -> pa.Table:
         page = _Page(table, window, size.buckets)
-        page.candidates(replies)
-        return page.window_questions(key[0].as_py())
+        near = page.near_hits(replies)
+        page.compare(near)
+        return page.window_questions(key[0].as_py(), near)
 
     def finish(key: Key, table: pa.Table, replies: pa.Table) -> pa.Table:
         page = _Page(table, window, size.buckets)
-        page.candidates(replies)
+        page.compare(pages.bits(pages.answers_of(replies, KEPT), [len(page.hashes)]))
         return page.result(replies)
 
     by_page = split.groupBy("page")
