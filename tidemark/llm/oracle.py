@@ -24,3 +24,84 @@ SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(len(w.w) - coalesce(k
        sha256(coalesce(k.kept, '')) AS kept_sha256
 FROM words w LEFT JOIN kept k USING (doc_id)
 """
+
+ORACLE["op4_mixing"] = r"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
+    FROM documents
+), sizes AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM docs GROUP BY source
+), weighed AS (
+    SELECT source, source_size, [5.0, 2.0, 1.0][1 + (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3]
+        ::DOUBLE AS weight
+    FROM sizes
+), goal AS (
+    SELECT 1.5 * sum(source_size)::DOUBLE AS goal FROM sizes
+), levels(n, level) AS (
+    SELECT 0, 0.0::DOUBLE
+    UNION ALL
+    SELECT n + 1, (
+        SELECT (goal - coalesce(sum(2.0 * source_size) FILTER (level * weight > 2.0 * source_size), 0))
+               / sum(weight) FILTER (NOT level * weight > 2.0 * source_size)
+        FROM weighed, goal GROUP BY goal)
+    FROM levels WHERE n < 30 AND level IS NOT NULL
+), final AS (
+    SELECT max(level) AS level, bool_or(level IS NULL) AS none FROM levels
+), targets AS (
+    SELECT source, source_size,
+           CASE WHEN none THEN 2.0 * source_size ELSE least(2.0 * source_size, level * weight) END::DOUBLE AS target
+    FROM weighed, final
+), rated AS (
+    SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
+           ('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13))::BIGINT::DOUBLE
+               / 4503599627370496.0 AS draw
+    FROM docs LEFT JOIN targets ON docs.source IS NOT DISTINCT FROM targets.source
+)
+SELECT doc_id, size, source_size, target,
+       CAST(size * (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM rated
+"""
+
+ORACLE["op6_line_dedup"] = r"""
+WITH lines AS (
+    SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS n
+    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)
+), keyed AS (
+    SELECT doc_id, line, n, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM lines
+), common AS (
+    SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (c.key IS NOT NULL)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (c.key IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN common c USING (key)
+GROUP BY doc_id
+"""
+
+ORACLE["op10_jaccard_join"] = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[s:s + 4], ' ') AS shingle
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS s FROM words WHERE len(w) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id, x.n, y.n
+    HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))
+), reached AS (
+    SELECT doc_id AS node, doc_id AS other FROM sizes
+    UNION
+    SELECT r.node, l.b FROM reached r JOIN links l ON r.other = l.a
+), least AS (
+    SELECT node, min(other) AS component_id FROM reached GROUP BY node
+)
+SELECT w.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles, coalesce(l.component_id, w.doc_id) AS component_id
+FROM words w LEFT JOIN sizes s USING (doc_id) LEFT JOIN least l ON l.node = w.doc_id
+"""

@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import read_table
+from tidemark.llm import mixing, sharding, toxicity
+from tidemark.llm.decontamination import find_leaks
+from tidemark.llm.jaccard_join import similar_groups
+from tidemark.llm.line_dedup import drop_common_lines
+from tidemark.llm.shared import held_out, read_table
 from tidemark.llm.substring_dedup import remove_repeats
 
 
@@ -14,4 +18,58 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup,)}
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a document and a benchmark item that it holds."""
+    return find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count().alias("size"))
+    targets = mixing.with_targets(mixing.cyclic_weights(mixing.source_sizes(docs), [5, 2, 1]))
+    taken = (F.col("size") * F.col("copies")).alias("taken")
+    return mixing.planned(docs, targets).select("doc_id", "size", "source_size", "target", taken)
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
+    rows = toxicity.scored(docs, model)
+    return rows.select("doc_id", held_out().alias("held_out"), "score", predicted, "n_sentences", "offending")
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = drop_common_lines(read_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.sharded(read_table(spark, sf_dir, "documents"))
+    body = F.coalesce("text", F.lit(""))
+    return rows.select(
+        "doc_id",
+        (F.octet_length(body) + 8).cast("long").alias("size"),
+        F.crc32(body).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_groups(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_substring_dedup,
+        op3_decontamination,
+        op4_mixing,
+        op5_toxicity,
+        op6_line_dedup,
+        op7_sharding,
+        op10_jaccard_join,
+    )
+}
