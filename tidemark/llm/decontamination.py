@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.hashing import PLAIN_WORDS, mixed, rolling, window_starts, word_hashes
+from tidemark.llm.shared import shipped
 
 PERCENT = 75
 MIN_WORDS = 8
@@ -268,10 +269,10 @@ def find_leaks(
     def pass_over(block: int) -> DataFrame:
         chosen = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         rows = sorted(map(tuple, chosen.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
-        index = spark.sparkContext.broadcast(Index(rows, percent, min_words, recall))
+        index = shipped(spark, Index(rows, percent, min_words, recall))
 
         def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            wanted = index.value
+            wanted = index()
             for batch in batches:
                 ids = batch.column("doc_id").to_pylist()
                 bodies = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]

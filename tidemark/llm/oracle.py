@@ -105,3 +105,20 @@ WITH RECURSIVE words AS (
 SELECT w.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles, coalesce(l.component_id, w.doc_id) AS component_id
 FROM words w LEFT JOIN sizes s USING (doc_id) LEFT JOIN least l ON l.node = w.doc_id
 """
+
+ORACLE["op9_metric_search"] = r"""
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)) AS e
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id
+    WHERE q.vec_id % 100 = 0
+), ranked AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+           vec_id, score
+    FROM scored
+)
+SELECT * FROM ranked WHERE rank <= 10
+"""

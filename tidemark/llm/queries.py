@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, sharding, toxicity
+from tidemark.llm import language_id, metric_search, mixing, sharding, toxicity
 from tidemark.llm.decontamination import find_leaks
 from tidemark.llm.jaccard_join import similar_groups
+from tidemark.llm.license_scan import scan_licenses
 from tidemark.llm.line_dedup import drop_common_lines
 from tidemark.llm.shared import held_out, read_table
 from tidemark.llm.substring_dedup import remove_repeats
@@ -18,6 +19,22 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = scan_licenses(read_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    starts = F.transform(base, lambda s: s["first"])
+    return rows.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform(base, lambda s: s["label"]))), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_distinct("spans.label")), ",").alias("labels"),
+        F.coalesce(F.array_max("spans.score"), F.lit(0.0)).alias("score"),
+    )
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of a document and a benchmark item that it holds."""
     return find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
@@ -34,7 +51,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
     predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
-    rows = toxicity.scored(docs, model)
+    rows = toxicity.scored(docs, model, keep=["doc_id"])
     return rows.select("doc_id", held_out().alias("held_out"), "score", predicted, "n_sentences", "offending")
 
 
@@ -57,6 +74,17 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    rows = language_id.predicted(docs, language_id.train(docs))
+    return rows.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "family")
+
+
+def op9_metric_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = metric_search.scaled(read_table(spark, sf_dir, "embeddings"))
+    return metric_search.nearest(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(read_table(spark, sf_dir, "documents"))
 
@@ -65,11 +93,14 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_substring_dedup,
+        op2_license_scan,
         op3_decontamination,
         op4_mixing,
         op5_toxicity,
         op6_line_dedup,
         op7_sharding,
+        op8_language_id,
+        op9_metric_search,
         op10_jaccard_join,
     )
 }

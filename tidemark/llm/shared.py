@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
+from collections.abc import Callable
+from typing import Any
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,20 +16,31 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names for intermediate data; only where there is none, as in tests, a new one."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
+    return context.getCheckpointDir()
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The frame's rows, written to the cluster's shared checkpoint folder and read from there.
 
     Later reads do not depend on executors that may be lost. Spark removes the
-    files when the frame is no longer in use and the cluster says so. Only where
-    no folder is set, as in tests, one is made.
+    files when the frame is no longer in use and the cluster says so.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def shipped(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """Broadcast a value of bounded size, its classes included; tasks call what this returns to get it."""
+    packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(packed.value)
+
+
 def held_out(doc_id: str = "doc_id"):
     """Rows whose label must not be learned: crc32 of the id as text leaves 2 modulo 4."""
     text = F.col(doc_id).cast("string")

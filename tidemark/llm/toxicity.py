@@ -13,7 +13,7 @@ one pass without a shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,10 +21,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.decontamination import parts
 from tidemark.llm.hashing import PLAIN_WORDS
-from tidemark.llm.shared import held_out, unit_hash
+from tidemark.llm.shared import held_out, shipped, unit_hash
 
 POSITIVES, NEGATIVES = 2000, 4000
 WEIGHTS = 1 << 18
@@ -37,7 +38,7 @@ _END = b"\x01"
 # As PLAIN_WORDS, with the ends of sentences kept apart.
 _SENTENCES = bytes(1 if chr(c) in ".!?\n" else PLAIN_WORDS[c] for c in range(256))
 SCORED = (
-    "doc_id long, score double, n_sentences long, "
+    "score double, n_sentences long, "
     "offending array<struct<sentence:long,first_word:long,n_words:long,score:double>>"
 )
 
@@ -171,24 +172,29 @@ def train(
     return fit([(r["text"], r["y"], totals[r["y"]] / taken[r["y"]]) for r in rows])
 
 
-def scored(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: doc_id, score (0 to 1), n_sentences, offending sentences.
+def scored(docs: DataFrame, model: Model, keep: Sequence[str] | None = None, text: str = "text") -> DataFrame:
+    """The columns `keep` (all by default) with score (0 to 1), n_sentences and offending sentences.
 
-    Sentences end at . ! ? and line ends; those without a word do not count. The
-    offending ones, with a score of at least OFFENDING, carry their number among
-    all sentences, their first word in the document and their number of words,
-    from 0. Null and empty texts have score 0. Other columns are not looked at.
+    One row per input row. Sentences end at . ! ? and line ends; those without a
+    word do not count. The offending ones, with a score of at least OFFENDING,
+    carry their number among all sentences, their first word in the document and
+    their number of words, from 0. Null and empty texts have score 0. Kept columns
+    of the new names are replaced.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    shared = shipped(docs.sparkSession, model)
+    new = T.StructType.fromDDL(SCORED)
+    names = [c for c in (docs.columns if keep is None else keep) if c not in new.names]
+    body = F.col(text).cast("string").alias("_text")
+    schema = T.StructType([*docs.select(*names).schema.fields, *new.fields])
     sentence = pa.struct(
         [("sentence", pa.int64()), ("first_word", pa.int64()), ("n_words", pa.int64()), ("score", pa.float64())]
     )
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, bias = _WordScores(shared.value), shared.value.bias
+        words = _WordScores(shared())
+        bias = words.model.bias
         for batch in batches:
-            bodies = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
+            bodies = [t or b"" for t in batch.column("_text").cast(pa.binary()).to_pylist()]
             for a, b in parts(bodies, PART_BYTES):
                 tokens, lengths = [], []
                 for body in bodies[a:b]:
@@ -217,11 +223,11 @@ def scored(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "t
                     )
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "doc_id": batch.column("doc_id").slice(a, b - a),
+                        **{name: batch.column(name).slice(a, b - a) for name in names},
                         "score": pa.array(-np.expm1(-none)),
                         "n_sentences": pa.array(np.bincount(doc, minlength=b - a), pa.int64()),
                         "offending": pa.array(found, pa.list_(sentence)),
                     }
                 )
 
-    return texts.mapInArrow(score, SCORED)
+    return docs.select(*names, body).mapInArrow(score, schema)
