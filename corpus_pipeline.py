@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import sys
-import uuid
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -16,7 +15,7 @@ from tidemark.llm.decontamination import find_leaks  # noqa: E402
 from tidemark.llm.jaccard_join import similar_groups  # noqa: E402
 from tidemark.llm.mixing import mixed_documents  # noqa: E402
 from tidemark.llm.sharding import sharded  # noqa: E402
-from tidemark.llm.shared import read_table, shared_folder  # noqa: E402
+from tidemark.llm.shared import read_table, written  # noqa: E402
 from tidemark.operators.joins import join_grouped  # noqa: E402
 
 WEIGHTS = [5, 2, 1]
@@ -68,9 +67,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over documents, each written to the shared folder and read by the next."""
     docs = read_table(spark, sf_dir, "documents")
-    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
-    for number, (name, stage) in enumerate(STAGES):
-        path = f"{folder}/{number}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), name)
     return docs

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import stored
+from tidemark.llm.shared import written
 from tidemark.operators.joins import join_grouped
 
 
@@ -47,10 +47,10 @@ def components(edges: DataFrame) -> DataFrame:
     to themselves; null ends are left out. No links: no rows.
     """
     edges = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
-    edges = stored(edges.filter("a <> b").distinct())
+    edges = written(edges.filter("a <> b").distinct())
     before = _state(edges)
     while before[0]:
-        edges = stored(_small_star(_large_star(edges).filter("a <> b").distinct()).filter("a <> b").distinct())
+        edges = written(_small_star(_large_star(edges).filter("a <> b").distinct()).filter("a <> b").distinct())
         after = _state(edges)
         if after == before:
             break

@@ -10,8 +10,10 @@ Token frequencies are questions of pages (see pages.py). Documents whose prefix
 holds only tokens of their own can have no partner and go no further. Documents
 with equal sets are one node. Within a group of near copies links are not made
 all to all: each document is first compared with the smallest holder of its
-prefix tokens, then only pairs that are not yet in one component are, until none
-is left. Every pair is either compared or already linked, so no group is lost.
+prefix tokens; then the documents that share a prefix token with another component
+are compared with the members of their cluster, block by block, by posting lists
+in memory. Every pair that passes the filter of the first order is either in one
+component already or compared, so no group is lost and no pairs are written out.
 """
 
 from __future__ import annotations
@@ -26,11 +28,13 @@ from pyspark.sql import functions as F
 from tidemark.llm import pages
 from tidemark.llm.components import components
 from tidemark.llm.hashing import by_small, mixed, rolling, runs, window_starts, word_hashes
-from tidemark.llm.shared import stored
+from tidemark.llm.shared import written
 from tidemark.operators.joins import join_grouped
 
 WORDS = 5
 PERCENT = 75
+# Nodes of a cluster that are compared with as many others at a time.
+BLOCK = 2048
 Key = tuple[pa.Scalar, ...]
 
 # A document with its set: `shared` are its tokens that other documents have too, rare
@@ -191,7 +195,7 @@ def _grouped(nodes: DataFrame, known: DataFrame, percent: int) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.min(F.struct("node", "n_shingles")).alias("least"),
         F.max(F.struct("node", "n_shingles")).alias("last"),
     )
-    tokens = stored(
+    tokens = written(
         join_grouped(tokens, holders.filter("n > 1").drop("n"), ["token"]).select(
             "node", F.col("n_shingles").alias("n"), F.col("l.token").alias("token"), "least", "last"
         )
@@ -201,19 +205,104 @@ def _grouped(nodes: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     star = tokens.select("node", "n", ends.alias("e")).select("node", "n", "e.node", "e.n_shingles")
     star = star.toDF("a", "n", "b", "m").filter((F.col("a") != F.col("b")) & _comparable(percent))
     star = star.groupBy("a", "b").count().groupBy("a").agg(F.max_by("b", F.struct("count", -F.col("b"))).alias("b"))
-    links = stored(_similar(_pairs(star), nodes, percent).unionByName(known))
-    group = stored(components(links))
+    links = written(_similar(_pairs(star), nodes, percent).unionByName(known))
+    group = written(components(links))
+
+    # Then what shares a prefix token across components.
+    placed = join_grouped(tokens.select("node", "token"), group, ["node"], "left")
+    placed = placed.select(F.col("l.node").alias("node"), "token", F.coalesce("component", "l.node").alias("c"))
+    split = placed.groupBy("token").agg(
+        F.min("c").alias("low"), F.max("c").alias("high"), F.min("node").alias("first")
+    )
+    split = split.filter("low < high").select("token", "first")
+    near = written(join_grouped(placed, split, ["token"]).select("node", "c", "first").distinct())
+    return components(links.unionByName(_across(near, nodes, percent)))
+
+
+class _Holders:
+    """Which rows of a block hold a token."""
+
+    def __init__(self, lists: pa.ListArray):
+        flat = lists.flatten().to_numpy()
+        row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+        order = np.argsort(flat, kind="stable")
+        ordered = flat[order]
+        first = np.flatnonzero(runs(ordered))
+        self.tokens, self.rows, self.n = ordered[first], row[order], len(lists)
+        self.bounds = np.append(first, len(ordered))
+
+    def common(self, tokens: np.ndarray) -> np.ndarray:
+        """How many of the tokens each row holds."""
+        at = np.minimum(np.searchsorted(self.tokens, tokens), max(len(self.tokens) - 1, 0))
+        at = at[self.tokens[at] == tokens] if len(self.tokens) else at[:0]
+        if not len(at):
+            return np.zeros(self.n, np.int64)
+        return np.bincount(
+            np.concatenate([self.rows[self.bounds[i] : self.bounds[i + 1]] for i in at.tolist()]), minlength=self.n
+        )
+
 
-    # Then every pair that shares a prefix token across components.
-    placed = join_grouped(tokens.select("node", "n", "token"), group, ["node"], "left")
-    placed = placed.select(F.col("l.node").alias("node"), "n", "token", F.coalesce("component", "l.node").alias("c"))
-    split = placed.groupBy("token").agg(F.min("c").alias("c"), F.max("c").alias("d")).filter("c < d").select("token")
-    open_ = stored(join_grouped(placed, split, ["token"], "left_semi"))
-    x = open_.select("token", F.col("node").alias("a"), "n", F.col("c").alias("c"))
-    y = open_.select("token", F.col("node").alias("b"), F.col("n").alias("m"), F.col("c").alias("d"))
-    across = x.join(y, "token").filter((F.col("c") < F.col("d")) & _comparable(percent))
-    more = _similar(_pairs(across), nodes, percent)
-    return components(links.unionByName(more))
+def _block_links(percent: int):
+    """Links between the probes and the members of a block; of those to one component, one per probe."""
+
+    def compare(key: Key, members: pa.Table, probes: pa.Table) -> pa.Table:
+        columns = {name: members[name].combine_chunks() for name in members.column_names}
+        nodes, c, n = (columns[name].to_numpy() for name in ("node", "c", "n_shingles"))
+        orders = [_Holders(columns[name]) for name in ("leading", "second", "third")]
+        whole = _Holders(columns["shared"])
+        links: list[tuple[int, int]] = []
+        for probe in probes.to_batches(max_chunksize=64):
+            lists = [probe.column(name) for name in ("leading", "second", "third", "shared")]
+            for i, (node, own, size) in enumerate(zip(*(probe.column(x).to_pylist() for x in ("node", "c", "n_shingles")))):
+                leading, second, third, shared = (x[i].values.to_numpy() for x in lists)
+                left = (c != own) & (100 * np.minimum(n, size) >= percent * np.maximum(n, size))
+                for order, prefix in zip(orders, (leading, second, third)):
+                    if left.any():
+                        left &= order.common(prefix) > 0
+                if left.any():
+                    common = whole.common(shared)
+                    left &= 100 * common >= percent * (n + size - common)
+                    at = np.flatnonzero(left)
+                    links.extend((node, other) for other in nodes[at[np.unique(c[at], return_index=True)[1]]].tolist())
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    return compare
+
+
+def _across(near: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Links between components, from rows (node, c, first) of nodes that share a prefix token across components.
+
+    Nodes that such tokens connect are a cluster. Its members outside its largest
+    component are compared with all members, in blocks of BLOCK by BLOCK nodes.
+    """
+    clusters = components(near.select(F.col("node").alias("a"), F.col("first").alias("b")))
+    members = join_grouped(near.select("node", "c").distinct(), clusters.withColumnRenamed("component", "cluster"), ["node"])
+    members = written(members.select(F.col("l.node").alias("node"), "c", "cluster"))
+    counts = members.groupBy("cluster", "c").count()
+    facts = counts.groupBy("cluster").agg(
+        F.sum("count").alias("size"), F.max(F.struct("count", "c")).alias("main")
+    )
+    members = join_grouped(members, facts, ["cluster"]).select(
+        "node", "c", F.col("l.cluster").alias("cluster"), "size", "main"
+    )
+    blocks = F.ceil(F.col("size") / BLOCK)
+    probe_blocks = F.ceil((F.col("size") - F.col("main.count")) / BLOCK)
+    own = F.xxhash64("node")
+
+    def every(n):
+        return F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+
+    index = members.withColumn("i", F.pmod(own, blocks)).withColumn("j", every(probe_blocks))
+    probes = members.filter("c <> main.c").withColumn("j", F.pmod(own, probe_blocks)).withColumn("i", every(blocks))
+    sides = []
+    for side in (index, probes):
+        whole = join_grouped(side.select("node", "c", "cluster", "i", "j"), nodes, ["node"])
+        whole = whole.select(
+            F.col("l.node").alias("node"), "c", "cluster", "i", "j", "n_shingles", "second", "third", "shared",
+            F.slice("shared", F.lit(1), F.col("lead")).alias("leading"),
+        )
+        sides.append(whole.toDF(*whole.columns).groupBy("cluster", "i", "j"))
+    return sides[0].cogroup(sides[1]).applyInArrow(_block_links(percent), "a long, b long")
 
 
 def similar_groups(
@@ -233,7 +322,7 @@ def similar_groups(
     (component_id null where it has no copy). Other columns are not looked at.
     Builds and runs intermediate jobs when called.
     """
-    sets = stored(shingle_sets(docs, words, percent, doc_id, text))
+    sets = written(shingle_sets(docs, words, percent, doc_id, text))
     classes = sets.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("node"))
     light = sets.select("doc_id", "n_shingles", "digest")
     rows = join_grouped(light, classes, ["digest"], "left").select("doc_id", "n_shingles", "node")

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import stored
+from tidemark.llm.shared import written
 from tidemark.operators.joins import join_grouped
 
 MIN_DOCS = 10
@@ -174,7 +174,7 @@ def drop_common_lines(
     texts = docs.select(key.alias("doc_id"), body.alias("text"))
     # Rows with one id and one text share their result, so these two tell rows apart.
     texts = texts.withColumn("version", F.xxhash64("text"))
-    suspects = stored(_suspects(texts, _seen_twice(texts, min_chars), min_chars))
+    suspects = written(_suspects(texts, _seen_twice(texts, min_chars), min_chars))
     common = suspects.groupBy("digest").count().filter(F.col("count") >= min_docs).select("digest")
     hits = join_grouped(suspects, common, ["digest"], "left_semi")
     dropped = hits.groupBy("doc_id", "version").agg(

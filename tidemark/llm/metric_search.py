@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import stored
+from tidemark.llm.shared import written
 
 K = 10
 REGIONS = 64
@@ -152,7 +152,7 @@ def build_pages(vectors: DataFrame, width: int, most: float, centers: np.ndarray
                 [pa.array(region), batch.column("vec_id"), batch.column("v")], ["region", "vec_id", "v"]
             )
 
-    placed = stored(vectors.mapInArrow(place, PLACED))
+    placed = written(vectors.mapInArrow(place, PLACED))
     counts = dict(map(tuple, placed.groupBy("region").count().collect()))  # REGIONS rows at most
     groups = F.element_at(F.create_map(*[F.lit(x) for r, n in counts.items() for x in (r, n // GROUP + 1)]), F.col("region"))
     part = F.pmod(F.xxhash64("vec_id"), groups.cast("long")).alias("part")
@@ -187,7 +187,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     routes = vectors.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(REGIONS).collect()
     padded = [r["v"] + [0] * (width - len(r["v"])) for r in routes]
     centers = _placed(np.array(padded, np.int64).reshape(-1, width), most)
-    pages = stored(build_pages(vectors, width, most, centers))
+    pages = written(build_pages(vectors, width, most, centers))
 
     single = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
     blocks = -(-longest[1] // BLOCK)

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import stored
+from tidemark.llm.shared import written
 
 SHARE = 1.5
 MOST = 2.0
@@ -43,7 +43,7 @@ def ranked_sources(sources: DataFrame) -> DataFrame:
     ordered = sources.repartitionByRange(F.col("source").asc_nulls_last()).sortWithinPartitions(
         F.col("source").asc_nulls_last()
     )
-    placed = stored(ordered.withColumn("at", F.monotonically_increasing_id()))
+    placed = written(ordered.withColumn("at", F.monotonically_increasing_id()))
     part, row = F.shiftright("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)
     counts = placed.groupBy(part.alias("part")).count().collect()  # one row per task of the sort
     before, shifts = 0, {}
@@ -74,7 +74,7 @@ def with_targets(sizes: DataFrame, share: float = SHARE, most: float = MOST) ->
     is above. What is left when all are at their limit is not given out. A weight
     of null or 0 gets target 0.
     """
-    sizes = stored(sizes.select(*SIZED).withColumn("weight", F.coalesce("weight", F.lit(0.0))))
+    sizes = written(sizes.select(*SIZED).withColumn("weight", F.coalesce("weight", F.lit(0.0))))
     goal = share * float(sizes.agg(F.sum("source_size")).first()[0] or 0)
     limit = most * F.col("source_size")
     level = 0.0

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pickle
 import tempfile
+import uuid
 from collections.abc import Callable
 from typing import Any
 
@@ -17,22 +18,29 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names for intermediate data; only where there is none, as in tests, a new one."""
+    """This session's folder in the one the cluster names for intermediate data; it goes when the session's JVM ends.
+
+    Only where the cluster names none, as in tests, a new one is made.
+    """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
-    return context.getCheckpointDir()
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(base or tempfile.mkdtemp(prefix="checkpoints-"))
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    folder = f"{base.rstrip('/')}/documents-{context.applicationId}"
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """The frame's rows, written to the cluster's shared checkpoint folder and read from there.
+def written(df: DataFrame, name: str = "step") -> DataFrame:
+    """The frame's rows, written to the shared folder and read from there.
 
-    Later reads do not depend on executors that may be lost. Spark removes the
-    files when the frame is no longer in use and the cluster says so.
+    Later reads do not depend on executors that may be lost, and plans start anew.
     """
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shipped(spark: SparkSession, value: Any) -> Callable[[], Any]:
