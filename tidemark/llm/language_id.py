@@ -126,7 +126,10 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """
     own = docs.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     order = Window.partitionBy("lang").orderBy("u", "doc_id")
-    lowest = own.select("doc_id", "lang", unit_hash("doc_id", seed=8).alias("u"))
+    counts = own.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # About twice as many by their hash alone, so that no language's rows meet in one task.
+    lowest = own.select("doc_id", "lang", unit_hash("doc_id", seed=8).alias("u")).join(counts, "lang")
+    lowest = lowest.filter(F.col("u") * F.col("n") <= 2 * per_language + 100)
     lowest = lowest.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= per_language)
     chosen = F.broadcast(lowest.select("doc_id", "lang"))  # per_language rows of each language
     rows = own.select("doc_id", F.col("text").cast("string").alias("text"), "lang").join(chosen, ["doc_id", "lang"])

@@ -169,6 +169,8 @@ def drop_common_lines(
     all lines go, kept is empty. Other columns are not looked at. Builds the
     filters and stores the suspected lines when called.
     """
+    if min_docs < 2:
+        raise ValueError("a line that repeats is in two documents at least")
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     key = F.col(doc_id).cast("long")
     texts = docs.select(key.alias("doc_id"), body.alias("text"))

@@ -114,7 +114,8 @@ def mixed_documents(docs: DataFrame, weights: Sequence[float], share: float = SH
     Sizes are words. Null texts have size 0; their documents are taken like others
     of their source. An empty frame gives an empty mix.
     """
-    sized = docs.withColumn("size", word_count())
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_whole")  # keeps columns named like ours
+    sized = docs.select("doc_id", "source", word_count().alias("size"), whole)
     targets = with_targets(cyclic_weights(source_sizes(sized), weights), share, most)
     taken = planned(sized, targets).filter("copies > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    return taken.select("_whole", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("_whole.*")

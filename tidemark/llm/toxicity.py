@@ -13,6 +13,7 @@ one pass without a shuffle.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -163,7 +164,9 @@ def train(
     there = own.join(docs.select("doc_id").distinct(), "doc_id").withColumn("u", unit_hash("doc_id", seed=5))
     totals = dict(map(tuple, there.groupBy("y").count().collect()))
     lowest = [
-        there.filter(F.col("y") == y).orderBy("u", "doc_id").limit(n) for y, n in ((1, positives), (0, negatives))
+        # About twice as many by their hash alone, so that the sort is small.
+        there.filter((F.col("y") == y) & (F.col("u") * totals.get(y, 0) <= 2 * n + 100)).orderBy("u", "doc_id").limit(n)
+        for y, n in ((1, positives), (0, negatives))
     ]
     chosen = F.broadcast(lowest[0].unionByName(lowest[1]).select("doc_id", "y"))  # positives + negatives rows
     sample = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(chosen, "doc_id")
@@ -184,7 +187,7 @@ def scored(docs: DataFrame, model: Model, keep: Sequence[str] | None = None, tex
     shared = shipped(docs.sparkSession, model)
     new = T.StructType.fromDDL(SCORED)
     names = [c for c in (docs.columns if keep is None else keep) if c not in new.names]
-    body = F.col(text).cast("string").alias("_text")
+    body = f"_text_{uuid.uuid4().hex}"
     schema = T.StructType([*docs.select(*names).schema.fields, *new.fields])
     sentence = pa.struct(
         [("sentence", pa.int64()), ("first_word", pa.int64()), ("n_words", pa.int64()), ("score", pa.float64())]
@@ -194,7 +197,7 @@ def scored(docs: DataFrame, model: Model, keep: Sequence[str] | None = None, tex
         words = _WordScores(shared())
         bias = words.model.bias
         for batch in batches:
-            bodies = [t or b"" for t in batch.column("_text").cast(pa.binary()).to_pylist()]
+            bodies = [t or b"" for t in batch.column(body).cast(pa.binary()).to_pylist()]
             for a, b in parts(bodies, PART_BYTES):
                 tokens, lengths = [], []
                 for body in bodies[a:b]:
@@ -230,4 +233,4 @@ def scored(docs: DataFrame, model: Model, keep: Sequence[str] | None = None, tex
                     }
                 )
 
-    return docs.select(*names, body).mapInArrow(score, schema)
+    return docs.select(*names, F.col(text).cast("string").alias(body)).mapInArrow(score, schema)
