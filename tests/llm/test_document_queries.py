@@ -1,0 +1,124 @@
+"""Queries of the operators against their SQL, and the pipeline against a plain version of it."""
+
+import math
+import re
+import zlib
+from collections import Counter
+
+import duckdb
+import numpy as np
+import pytest
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from test_jaccard_join import plain as plain_groups
+from test_mixing import plain_targets
+from tidemark.llm import toxicity
+from tidemark.llm.oracle import ORACLE
+from tidemark.llm.queries import QUERIES
+
+TABLES = ("documents", "embeddings", "benchmark", "labels")
+
+
+@pytest.fixture(scope="module")
+def con(sf_dir):
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')")
+    return con
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_equals_sql(spark, con, sf_dir, name):
+    ours, theirs = QUERIES[name](spark, sf_dir).toArrow(), con.sql(ORACLE[name]).to_arrow_table()
+    assert {f.name: str(f.type) for f in ours.schema} == {f.name: str(f.type) for f in theirs.schema}
+    names = sorted(ours.column_names)
+    assert ours.num_rows and Counter(zip(*[ours[n].to_pylist() for n in names])) == Counter(
+        zip(*[theirs[n].to_pylist() for n in names])
+    )
+
+
+def test_all_are_registered():
+    names = entry.queries()
+    assert set(QUERIES) | {"pipeline"} <= set(names) and set(ORACLE) <= set(entry.oracle_sql())
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+
+
+@pytest.fixture(scope="module")
+def tables(con):
+    return {t: con.sql(f"SELECT * FROM {t}").to_arrow_table().to_pylist() for t in TABLES}
+
+
+def plain_toxicity(tables):
+    """Scores by the model trained on the same rows, sentence by sentence."""
+    labels = {}
+    for row in tables["labels"]:
+        if row["toxic"] is not None:
+            labels[row["doc_id"]] = max(row["toxic"], labels.get(row["doc_id"], 0))
+    rows = sorted(tables["documents"], key=lambda r: r["doc_id"])
+    known = [r for r in rows if r["doc_id"] in labels and zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2]
+    model = toxicity.fit([(r["text"], labels[r["doc_id"]], 1.0) for r in known])
+
+    def score(text):
+        clean = 1.0
+        for sentence in re.split(r"[.!?\n]", text or ""):
+            words = [w.encode().lower() for w in re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", sentence)]
+            if words:
+                total = model.bias + sum(model.weights[toxicity._features(w)].sum() for w in words)
+                clean *= 1 - 1 / (1 + math.exp(-total))
+        return 1 - clean
+
+    return {r["doc_id"]: score(r["text"]) for r in rows}
+
+
+def test_pipeline_equals_plain_version(spark, sf_dir, tables):
+    rows = corpus_pipeline.run(spark, sf_dir).collect()
+    scores = plain_toxicity(tables)
+    docs = [r for r in tables["documents"] if scores[r["doc_id"]] < toxicity.THRESHOLD]
+    groups = plain_groups([(r["doc_id"], r["text"]) for r in docs])
+    firsts = {doc_id for doc_id, _, component in groups if doc_id == component}
+    docs = [r for r in docs if r["doc_id"] in firsts]
+
+    def plain(text):
+        lower = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        return " " + " ".join(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)) + " "
+
+    items = [plain(r["text"]) for r in tables["benchmark"]]
+    docs = [r for r in docs if not any(item in plain(r["text"]) for item in items)]
+    sizes = Counter()
+    for r in docs:
+        sizes[r["source"]] += len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or ""))
+    order = sorted(sizes, key=lambda s: (s is None, s))
+    targets = plain_targets(sizes, {s: [5, 2, 1][i % 3] for i, s in enumerate(order)})
+    found, total = Counter(r["doc_id"] for r in rows), Counter()
+    for r in docs:
+        rate = targets[r["source"]] / sizes[r["source"]] if sizes[r["source"]] else 0
+        assert math.floor(rate) <= found[r["doc_id"]] <= math.ceil(rate)
+        total["given"] += found[r["doc_id"]]
+        total["wanted"] += rate
+    assert set(found) <= {r["doc_id"] for r in docs} and total["given"] == pytest.approx(total["wanted"], rel=0.2)
+    texts = {r["doc_id"]: r["text"] for r in docs}
+    assert all(texts[r["doc_id"]] == r["text"] for r in rows)
+    shards = Counter(r["shard"] for r in rows)
+    assert max(shards.values()) - min(shards.values()) <= 1
+    assert len({(r["shard"], r["slot"]) for r in rows}) == len(rows)
+
+
+def test_scores_are_those_of_the_plain_version(spark, sf_dir, tables):
+    scores = plain_toxicity(tables)
+    rows = QUERIES["op5_toxicity"](spark, sf_dir).collect()
+    ours = np.array([r["score"] for r in rows])
+    assert np.allclose(ours, [scores[r["doc_id"]] for r in rows], atol=0.02)
+    assert all((r["score"] >= 0.3) == (r["predicted"] == 1) for r in rows)
+
+
+@pytest.mark.parametrize("stage", range(len(corpus_pipeline.STAGES)))
+def test_stages_take_odd_documents(spark, docs, no_docs, sf_dir, stage):
+    name, function = corpus_pipeline.STAGES[stage]
+    plain = docs.select("doc_id", "text", "lang", "source")
+    result = function(spark, plain, sf_dir)
+    if stage < len(corpus_pipeline.STAGES) - 1:
+        assert result.columns == plain.columns
+    n = result.count()
+    assert n > 0 if name == "mixing" else 20 <= n <= plain.count()
+    assert function(spark, no_docs.select(*plain.columns), sf_dir).count() == 0

@@ -187,7 +187,7 @@ def scored(docs: DataFrame, model: Model, keep: Sequence[str] | None = None, tex
     shared = shipped(docs.sparkSession, model)
     new = T.StructType.fromDDL(SCORED)
     names = [c for c in (docs.columns if keep is None else keep) if c not in new.names]
-    body = f"_text_{uuid.uuid4().hex}"
+    own_name = f"_text_{uuid.uuid4().hex}"
     schema = T.StructType([*docs.select(*names).schema.fields, *new.fields])
     sentence = pa.struct(
         [("sentence", pa.int64()), ("first_word", pa.int64()), ("n_words", pa.int64()), ("score", pa.float64())]
@@ -197,7 +197,7 @@ def scored(docs: DataFrame, model: Model, keep: Sequence[str] | None = None, tex
         words = _WordScores(shared())
         bias = words.model.bias
         for batch in batches:
-            bodies = [t or b"" for t in batch.column(body).cast(pa.binary()).to_pylist()]
+            bodies = [t or b"" for t in batch.column(own_name).cast(pa.binary()).to_pylist()]
             for a, b in parts(bodies, PART_BYTES):
                 tokens, lengths = [], []
                 for body in bodies[a:b]:
@@ -233,4 +233,4 @@ def scored(docs: DataFrame, model: Model, keep: Sequence[str] | None = None, tex
                     }
                 )
 
-    return docs.select(*names, F.col(text).cast("string").alias(body)).mapInArrow(score, schema)
+    return docs.select(*names, F.col(text).cast("string").alias(own_name)).mapInArrow(score, schema)
