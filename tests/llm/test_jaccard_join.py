@@ -58,7 +58,7 @@ def family(seed, size, n, change):
         yield " ".join(words)
 
 
-@pytest.mark.parametrize("block", [2048, 7])
+@pytest.mark.parametrize("block", [256, 7])
 def test_groups_of_near_copies(spark, monkeypatch, block):
     """Members that link through others only, in one block and in many, over many pages."""
     monkeypatch.setattr(jaccard_join, "BLOCK", block)

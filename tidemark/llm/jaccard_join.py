@@ -34,7 +34,7 @@ from tidemark.operators.joins import join_grouped
 WORDS = 5
 PERCENT = 75
 # Nodes of a cluster that are compared with as many others at a time.
-BLOCK = 2048
+BLOCK = 256
 Key = tuple[pa.Scalar, ...]
 
 # A document with its set: `shared` are its tokens that other documents have too, rare
