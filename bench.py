@@ -12,6 +12,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -42,6 +43,7 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidemark-bench-"))
         # Keep the compiled code of all queries between rounds (the default holds 100 classes).
         .config("spark.sql.codegen.cache.maxEntries", "2000")
         # Do not record a Python call site for every column expression.

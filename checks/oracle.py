@@ -4,7 +4,7 @@ from __future__ import annotations
 
 CDC = """
 cdc AS (
-  SELECT user_id, ts, event_id, event_type, value,
+  SELECT user_id, ts, event_id, event_type, value, props,
          CASE event_type WHEN 'signup' THEN 'I' WHEN 'error' THEN 'D' ELSE 'U' END AS op
   FROM events)"""
 
@@ -14,22 +14,22 @@ LOGS = (
 log AS (SELECT * FROM cdc WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'),
 late_log AS (SELECT * FROM cdc WHERE ts >= TIMESTAMP '2024-01-14 00:00:00'),
 cur AS (
-  SELECT user_id, event_type, value, ts AS effective_from, nx AS effective_to,
+  SELECT user_id, event_type, value, props, ts AS effective_from, nx AS effective_to,
          CASE WHEN nx IS NULL THEN 'active' ELSE 'inactive' END AS status
   FROM (SELECT *, LEAD(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nx
         FROM cdc WHERE ts < TIMESTAMP '2024-01-15 00:00:00') h),
 act AS (SELECT * FROM cur WHERE status = 'active'),
 fc AS (SELECT user_id, MIN(ts) AS first_change FROM log GROUP BY user_id),
 closed AS (
-  SELECT a.user_id, a.event_type, a.value, a.effective_from,
+  SELECT a.user_id, a.event_type, a.value, a.props, a.effective_from,
          fc.first_change AS effective_to, 'inactive' AS status
   FROM act a JOIN fc ON a.user_id = fc.user_id),
 newv AS (
-  SELECT user_id, event_type, value, ts AS effective_from, nx AS effective_to,
+  SELECT user_id, event_type, value, props, ts AS effective_from, nx AS effective_to,
          CASE WHEN nx IS NULL THEN 'active' ELSE 'inactive' END AS status, op
   FROM (SELECT *, LEAD(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nx FROM log) l),
-newrows AS (SELECT user_id, event_type, value, effective_from, effective_to, status FROM newv),
-newkept AS (SELECT user_id, event_type, value, effective_from, effective_to, status FROM newv WHERE op <> 'D'),
+newrows AS (SELECT user_id, event_type, value, props, effective_from, effective_to, status FROM newv),
+newkept AS (SELECT user_id, event_type, value, props, effective_from, effective_to, status FROM newv WHERE op <> 'D'),
 untouched AS (
   SELECT c.* FROM cur c
   WHERE c.status <> 'active' OR NOT EXISTS (SELECT 1 FROM fc WHERE fc.user_id = c.user_id)),
@@ -40,6 +40,12 @@ timely AS (
   WHERE a.user_id IS NULL OR l.ts > a.effective_from)"""
 )
 
+KINDS = """
+kinds AS (
+  SELECT CASE WHEN event_type IN ('view', 'click') THEN 'busy' ELSE event_type END AS kind,
+         user_id, value, ts, event_id
+  FROM events)"""
+
 ORDERS = """
 old_orders AS (
   SELECT o_orderkey, o_orderstatus, o_totalprice, 1 AS ver FROM orders
@@ -62,15 +68,15 @@ ctl AS (
          'R' AS status, CAST(NULL AS TIMESTAMP) AS updated_at
   FROM orders),
 cfg AS (
-  SELECT DISTINCT o_orderpriority AS owner, CONCAT('t', CAST(o_custkey AS VARCHAR)) AS tab,
+  SELECT '1-URGENT' AS owner, CONCAT('t', CAST(c_custkey AS VARCHAR)) AS tab,
          CONCAT('daily_', LOWER(c_mktsegment)) AS target
-  FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'P')"""
+  FROM customer)"""
 
 FEED = (
     CDC
     + """,
 feed AS (
-  SELECT user_id, event_id, event_type, value, op, ts + INTERVAL 8 HOUR AS hk FROM cdc),
+  SELECT user_id, event_id, event_type, value, props, op, ts + INTERVAL 8 HOUR AS hk FROM cdc),
 w1 AS (SELECT * FROM feed WHERE hk BETWEEN TIMESTAMP '1970-01-01 00:00:00' AND TIMESTAMP '2024-01-15 00:00:00'),
 w2 AS (SELECT * FROM feed
        WHERE hk BETWEEN TIMESTAMP '2024-01-15 00:00:00.000001' AND TIMESTAMP '2024-12-31 00:00:00'),
@@ -96,7 +102,7 @@ def _with(prelude: str, body: str) -> str:
     return f"WITH {prelude.strip()}\n{body.strip()}"
 
 
-USER_COLUMNS = "user_id, event_id, ts, event_type, value"
+USER_COLUMNS = "user_id, event_id, ts, event_type, value, props"
 
 ORACLE = {
     "scan_csv": "SELECT * FROM events",
@@ -112,7 +118,10 @@ SELECT o_orderpriority, COUNT(*) AS n_orders, MAX(o_totalprice) AS max_price
 FROM orders WHERE o_totalprice > 1000.0 AND o_orderstatus <> 'P' GROUP BY o_orderpriority""",
     "file_manifest": "\nUNION ALL\n".join(
         f"SELECT '{t}' AS table_name, COUNT(*) AS n_rows, TRUE AS has_bytes FROM {t}"
-        for t in ("customer", "events", "lineitem", "orders", "part", "supplier")
+        for t in (
+            "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+            "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+        )
     ),
     "sink_csv_roundtrip": "SELECT * FROM lineitem",
     "sink_parquet_roundtrip": "SELECT * FROM lineitem",
@@ -127,13 +136,18 @@ SELECT CAST(-1 AS BIGINT), 'O''Hara "quoted"', CAST(NULL AS INTEGER), CAST(NULL
     "rename_columns": """
 SELECT o_orderkey AS order_id, o_custkey, o_orderstatus, o_totalprice AS total, o_orderdate FROM orders""",
     "rename_swap": "SELECT l_orderkey, l_suppkey AS l_partkey, l_partkey AS l_suppkey, l_quantity FROM lineitem",
-    "replace_values": """
-SELECT l_orderkey,
-       CAST(CASE l_linenumber WHEN 1 THEN 100 ELSE l_linenumber END AS INTEGER) AS l_linenumber,
-       CASE l_returnflag WHEN 'A' THEN 'N' WHEN 'N' THEN 'A' WHEN 'F' THEN NULL ELSE l_returnflag END AS l_returnflag,
-       CASE l_linestatus WHEN 'A' THEN 'N' WHEN 'N' THEN 'A' WHEN 'F' THEN NULL ELSE l_linestatus END AS l_linestatus
-FROM (SELECT CASE l_orderkey WHEN 1 THEN 100 ELSE l_orderkey END AS l_orderkey,
-             l_linenumber, l_returnflag, l_linestatus FROM lineitem) l""",
+    "replace_values": "SELECT "
+    + ", ".join(
+        [f"CAST(CASE WHEN {c} = 1 THEN 100 ELSE {c} END AS {kind}) AS {c}" for c, kind in (
+            ("l_orderkey", "BIGINT"), ("l_partkey", "BIGINT"), ("l_suppkey", "BIGINT"), ("l_linenumber", "INTEGER"),
+            ("l_quantity", "DOUBLE"), ("l_extendedprice", "DOUBLE"), ("l_discount", "DOUBLE"), ("l_tax", "DOUBLE"),
+        )]
+        + [f"CASE {c} WHEN 'A' THEN 'N' WHEN 'N' THEN 'A' WHEN 'F' THEN NULL ELSE {c} END AS {c}" for c in (
+            "l_returnflag", "l_linestatus",
+        )]
+        + ["l_shipdate"]
+    )
+    + " FROM lineitem",
     "replace_values_subset": """
 SELECT o_orderkey,
        CASE o_orderstatus WHEN 'F' THEN 'finished' WHEN 'O' THEN 'open' ELSE o_orderstatus END AS o_orderstatus,
@@ -145,7 +159,7 @@ FROM lineitem""",
     "add_audit_columns": _with(
         CDC,
         """
-SELECT user_id, ts + INTERVAL 8 HOUR AS ts, event_id, event_type, value, op,
+SELECT user_id, ts + INTERVAL 8 HOUR AS ts, event_id, event_type, value, props, op,
        'job-1' AS job_id, TIMESTAMP '2024-02-01 08:00:00' AS updated_at,
        ts + INTERVAL 8 HOUR AS effective_from, CAST(NULL AS TIMESTAMP) AS effective_to,
        DATE '2024-01-31' AS load_date, 'active' AS status, 'erp' AS source_system
@@ -188,7 +202,7 @@ SELECT a.user_id, a.event_type, a.effective_from, fc.first_change
 FROM act a JOIN fc ON a.user_id = fc.user_id""",
     ),
     "join_left_keys": """
-SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
+SELECT d.*, l.quality, l.toxic
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
     "union_by_name": """
 SELECT c_name AS name, c_custkey AS id, c_acctbal AS balance, CAST(NULL AS INTEGER) AS nation FROM customer
@@ -217,7 +231,7 @@ FROM ctl""",
     ),
     "keep_last_events": _first_row("events", USER_COLUMNS, "user_id", "ts DESC, event_id DESC"),
     "keep_last_orders": _first_row(
-        "orders", "o_custkey, o_orderkey, o_orderdate, o_totalprice", "o_custkey", "o_orderdate DESC, o_orderkey DESC"
+        "orders", "* EXCLUDE (rn)", "o_custkey", "o_orderdate DESC, o_orderkey DESC"
     ),
     "keep_last_conversations": _first_row(
         "conversations", "conv_id, turn, role, text", "conv_id", "turn DESC, role DESC, text DESC"
@@ -227,6 +241,15 @@ FROM ctl""",
 SELECT o_custkey, o_orderkey, o_orderdate,
        ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS n
 FROM orders""",
+    "row_number_hot_key": """
+SELECT *, ROW_NUMBER() OVER (PARTITION BY l_returnflag ORDER BY l_shipdate, l_orderkey, l_partkey, l_suppkey) AS n
+FROM lineitem""",
+    "row_number_ties": """
+SELECT l_orderkey, l_linenumber, ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS n
+FROM lineitem""",
+    "lead_hot_key": _with(
+        KINDS, "SELECT *, LEAD(value) OVER (PARTITION BY kind ORDER BY ts, event_id) AS next_value FROM kinds"
+    ),
     "lead_next_change": """
 SELECT user_id, event_id, ts, LEAD(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS next_ts FROM events""",
     "cdc_log": _with(LOGS, "SELECT * FROM log"),
@@ -235,7 +258,7 @@ SELECT user_id, event_id, ts, LEAD(ts) OVER (PARTITION BY user_id ORDER BY ts, e
         LOGS,
         _first_row(
             "cdc",
-            "user_id, event_type, value, ts AS effective_from, CAST(NULL AS TIMESTAMP) AS effective_to, "
+            "user_id, event_type, value, props, ts AS effective_from, CAST(NULL AS TIMESTAMP) AS effective_to, "
             "'active' AS status",
             "user_id",
             "ts DESC, event_id DESC",
@@ -250,10 +273,10 @@ SELECT user_id, event_id, ts, LEAD(ts) OVER (PARTITION BY user_id ORDER BY ts, e
     "scd2_delta_on_time": _with(
         LOGS,
         """
-SELECT a.user_id, a.event_type, a.value, a.effective_from, t.ended AS effective_to, 'inactive' AS status
+SELECT a.user_id, a.event_type, a.value, a.props, a.effective_from, t.ended AS effective_to, 'inactive' AS status
 FROM act a JOIN (SELECT user_id, MIN(ts) AS ended FROM timely GROUP BY user_id) t ON a.user_id = t.user_id
 UNION ALL
-SELECT user_id, event_type, value, ts, nx, CASE WHEN nx IS NULL THEN 'active' ELSE 'inactive' END
+SELECT user_id, event_type, value, props, ts, nx, CASE WHEN nx IS NULL THEN 'active' ELSE 'inactive' END
 FROM (SELECT *, LEAD(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nx FROM timely) n""",
     ),
     "scd2_snapshot": _with(LOGS, "SELECT * FROM snap"),
@@ -268,6 +291,59 @@ WHERE effective_from <= TIMESTAMP '2024-01-20 00:00:00'
     "scd2_late_rows": _with(
         LOGS, "SELECT l.* FROM late_log l JOIN act a ON l.user_id = a.user_id WHERE l.ts <= a.effective_from"
     ),
+    "scd2_snapshot_hot_key": _with(
+        KINDS,
+        """
+SELECT kind, user_id, value, event_id, ts AS effective_from, nx AS effective_to,
+       CASE WHEN nx IS NULL THEN 'active' ELSE 'inactive' END AS status
+FROM (SELECT *, LEAD(ts) OVER (PARTITION BY kind ORDER BY ts, event_id) AS nx FROM kinds) k""",
+    ),
+    "scd2_delta_hot_key_on_time": _with(
+        KINDS,
+        """,
+old AS (SELECT * FROM kinds WHERE ts < TIMESTAMP '2024-01-15 00:00:00'),
+act AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY kind ORDER BY ts DESC, event_id DESC) AS rn FROM old) o
+        WHERE rn = 1),
+timely AS (
+  SELECT k.* FROM kinds k LEFT JOIN act a ON k.kind = a.kind
+  WHERE k.ts >= TIMESTAMP '2024-01-14 00:00:00' AND (a.kind IS NULL OR k.ts > a.ts))
+SELECT kind, user_id, value, event_id, ts AS effective_from, nx AS effective_to,
+       CASE WHEN nx IS NULL THEN 'active' ELSE 'inactive' END AS status
+FROM (SELECT *, LEAD(ts) OVER (PARTITION BY kind ORDER BY ts, event_id) AS nx FROM timely) t
+UNION ALL
+SELECT a.kind, a.user_id, a.value, a.event_id, a.ts, t.ended, 'inactive'
+FROM act a JOIN (SELECT kind, MIN(ts) AS ended FROM timely GROUP BY kind) t ON a.kind = t.kind""".lstrip(),
+    ),
+    "history_table_ties": """
+SELECT l_orderkey, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus,
+       l_shipdate, l_linenumber AS effective_from, nx AS effective_to,
+       CASE WHEN nx IS NULL THEN 'active' ELSE 'inactive' END AS status
+FROM (SELECT *, LEAD(l_linenumber) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS nx
+      FROM (SELECT * FROM lineitem
+            UNION ALL
+            SELECT * REPLACE (-1 - l_orderkey AS l_orderkey) FROM lineitem WHERE l_linenumber <= 3) u) l""",
+    "processed_to_structured_ties": """
+WITH feed AS (
+  SELECT * EXCLUDE (l_quantity, l_discount, l_tax) FROM lineitem
+  UNION ALL
+  SELECT * EXCLUDE (l_quantity, l_discount, l_tax)
+           REPLACE (-1 - l_partkey AS l_partkey, l_shipdate + INTERVAL 60 YEAR AS l_shipdate)
+  FROM lineitem WHERE l_linenumber = 1),
+runs AS (
+  SELECT *, CASE WHEN l_shipdate <= TIMESTAMP '1998-01-01 00:00:00' THEN DATE '1998-01-02'
+                 WHEN l_shipdate <= TIMESTAMP '2050-01-01 00:00:00' THEN DATE '2050-01-02'
+                 ELSE DATE '2090-01-02' END AS day,
+         LEAD(l_shipdate) OVER (PARTITION BY l_partkey ORDER BY l_shipdate, l_orderkey, l_linenumber, l_suppkey) AS nx
+  FROM feed)
+SELECT l_partkey, l_orderkey, l_linenumber, l_suppkey, l_extendedprice, l_returnflag, l_linestatus,
+       l_shipdate AS effective_from, nx AS effective_to,
+       CASE WHEN nx IS NULL THEN 'active' ELSE 'inactive' END AS status, 'erp' AS source_system,
+       CONCAT('job-', CAST(day AS VARCHAR)) AS job_id, day AS load_date, TIMESTAMP '2024-02-01 00:00:00' AS updated_at,
+       CASE WHEN nx IS NULL THEN day
+            WHEN nx <= TIMESTAMP '1998-01-01 00:00:00' THEN DATE '1998-01-02'
+            WHEN nx <= TIMESTAMP '2050-01-01 00:00:00' THEN DATE '2050-01-02'
+            ELSE DATE '2090-01-02' END AS business_date
+FROM runs""",
     "scd2_table": _with(LOGS, "SELECT * FROM snap_op"),
     "zone_copy": """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, TRUE AS has_source FROM orders""",
@@ -275,7 +351,7 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, TRUE AS
     "landing_to_processed": _with(
         CDC,
         """
-SELECT user_id, ts + INTERVAL 8 HOUR AS ts, event_id, event_type, value, op,
+SELECT user_id, ts + INTERVAL 8 HOUR AS ts, event_id, event_type, value, props, op,
        'job-2024-01-15' AS job_id, TIMESTAMP '2024-02-01 08:00:00' AS updated_at,
        CAST(ts + INTERVAL 8 HOUR AS DATE) AS change_date
 FROM cdc""",
@@ -283,27 +359,27 @@ FROM cdc""",
     "processed_to_structured_initial": _with(
         FEED,
         """
-SELECT user_id, event_id, event_type, value, hk AS effective_from, CAST(NULL AS TIMESTAMP) AS effective_to,
+SELECT user_id, event_id, event_type, value, props, hk AS effective_from, CAST(NULL AS TIMESTAMP) AS effective_to,
        'active' AS status, source_system, job_id, load_date, updated_at, DATE '2024-01-15' AS business_date
 FROM l1 CROSS JOIN done1""",
     ),
     "processed_to_structured": _with(
         FEED,
         """
-SELECT l1.user_id, l1.event_id, l1.event_type, l1.value, l1.hk AS effective_from, l2.hk AS effective_to,
+SELECT l1.user_id, l1.event_id, l1.event_type, l1.value, l1.props, l1.hk AS effective_from, l2.hk AS effective_to,
        CASE WHEN l2.hk IS NULL THEN 'active' ELSE 'inactive' END AS status,
        source_system, job_id, load_date, updated_at,
        CASE WHEN l2.hk IS NULL THEN DATE '2024-01-15' ELSE DATE '2024-02-01' END AS business_date
 FROM l1 CROSS JOIN done1 LEFT JOIN l2 ON l1.user_id = l2.user_id
 UNION ALL
-SELECT user_id, event_id, event_type, value, hk, CAST(NULL AS TIMESTAMP), 'active',
+SELECT user_id, event_id, event_type, value, props, hk, CAST(NULL AS TIMESTAMP), 'active',
        source_system, job_id, load_date, updated_at, DATE '2024-02-01'
 FROM l2 CROSS JOIN done2 WHERE op <> 'D'""",
     ),
     "processed_to_structured_all": _with(
         FEED,
         """
-SELECT user_id, event_id, event_type, value, hk AS effective_from, nx AS effective_to,
+SELECT user_id, event_id, event_type, value, props, hk AS effective_from, nx AS effective_to,
        CASE WHEN nx IS NULL THEN 'active' ELSE 'inactive' END AS status, source_system,
        CASE WHEN first THEN 'job-2024-01-15' ELSE 'job-2024-02-01' END AS job_id,
        CASE WHEN first THEN DATE '2024-01-15' ELSE DATE '2024-02-01' END AS load_date,

@@ -14,7 +14,7 @@ from tidemark.operators import columns, filters, history, joins, latest
 from tidemark.operators.history import History
 from tidemark.plans import control, zones
 from tidemark.plans.daily import Zones, run_table
-from tidemark.plans.history_table import write_versions
+from tidemark.plans.history_table import merge_history, write_versions
 from tidemark.session import apply_defaults, shared_dir
 from tidemark.sources import catalog, files, keyed
 from tidemark.streaming import ingest
@@ -23,8 +23,8 @@ CUT = "2024-01-15 00:00:00"
 RUN_TS = "2024-02-01 00:00:00"
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
 
-USERS = History(keys="user_id", ts="ts", tie_breaker="event_id")
-USERS_OP = History(keys="user_id", ts="ts", tie_breaker="event_id", op="op")
+USERS = History(keys="user_id", ts="ts", tie_breaker="event_id", unique_order=True)
+USERS_OP = History(keys="user_id", ts="ts", tie_breaker="event_id", op="op", unique_order=True)
 
 
 _SCHEMAS: dict[str, T.StructType] = {}
@@ -45,7 +45,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cdc(spark, sf_dir) -> DataFrame:
     op = F.when(F.col("event_type") == "signup", "I").when(F.col("event_type") == "error", "D").otherwise("U")
     events = table(spark, sf_dir, "events")
-    return events.select("user_id", "ts", "event_id", "event_type", "value", op.alias("op"))
+    return events.withColumn("op", op)
 
 
 def user_log(spark, sf_dir) -> DataFrame:
@@ -114,6 +114,12 @@ def sql_param_query(spark, sf_dir):
     )
 
 
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
+
+
 def file_manifest(spark, sf_dir):
     """Files of each table by listing, with the rows read from them."""
     name = F.regexp_extract("path", r"([a-z]+)\.parquet", 1)
@@ -124,7 +130,7 @@ def file_manifest(spark, sf_dir):
         table(spark, sf_dir, t)
         .groupBy(F.lit(t).alias("table_name"), F.col("_metadata.file_name").alias("file_name"))
         .agg(F.count("*").alias("n"))
-        for t in ("customer", "events", "lineitem", "orders", "part", "supplier")
+        for t in TABLES
     ]
     found = joins.join_on_keys(listed, reduce(DataFrame.unionByName, counts), ["table_name", "file_name"])
     return found.groupBy("table_name").agg(F.sum("n").alias("n_rows"), (F.min("length") > 0).alias("has_bytes"))
@@ -199,7 +205,7 @@ def rename_swap(spark, sf_dir):
 
 
 def replace_values(spark, sf_dir):
-    df = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    df = table(spark, sf_dir, "lineitem")
     return columns.replace_values(df, {"A": "N", "N": "A", "F": None, 1: 100})
 
 
@@ -287,8 +293,7 @@ def join_inner_keys(spark, sf_dir):
 
 
 def join_left_keys(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
-    return joins.join_on_keys(documents, table(spark, sf_dir, "labels"), "doc_id", "left")
+    return joins.join_on_keys(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id", "left")
 
 
 def union_by_name(spark, sf_dir):
@@ -321,16 +326,11 @@ def control_rows(spark, sf_dir):
 
 
 def config_rows(spark, sf_dir):
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    due = table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'").select("o_orderpriority", "o_custkey")
-    return (
-        due.distinct()
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .select(
-            F.col("o_orderpriority").alias("owner"),
-            F.concat(F.lit("t"), F.col("o_custkey").cast("string")).alias("tab"),
-            F.concat(F.lit("daily_"), F.lower("c_mktsegment")).alias("target"),
-        )
+    """One configuration per customer's table, for one of the batches."""
+    return table(spark, sf_dir, "customer").select(
+        F.lit("1-URGENT").alias("owner"),
+        F.concat(F.lit("t"), F.col("c_custkey").cast("string")).alias("tab"),
+        F.concat(F.lit("daily_"), F.lower("c_mktsegment")).alias("target"),
     )
 
 
@@ -353,12 +353,12 @@ def control_update(spark, sf_dir):
 
 
 def keep_last_events(spark, sf_dir):
-    df = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    df = table(spark, sf_dir, "events")
     return latest.keep_last(df, "user_id", ["ts", "event_id"], unique_order=True)
 
 
 def keep_last_orders(spark, sf_dir):
-    df = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+    df = table(spark, sf_dir, "orders")
     return latest.keep_last(df, "o_custkey", [F.desc("o_orderdate"), F.desc("o_orderkey")], unique_order=True)
 
 
@@ -369,18 +369,34 @@ def keep_last_conversations(spark, sf_dir):
 
 
 def keep_first_events(spark, sf_dir):
-    df = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    df = table(spark, sf_dir, "events")
     return latest.keep_first(df, "user_id", ["ts", "event_id"], unique_order=True)
 
 
 def row_number_per_key(spark, sf_dir):
     df = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
-    return latest.row_number_per_key(df, "o_custkey", ["o_orderdate", "o_orderkey"], "n")
+    return latest.row_number_per_key(df, "o_custkey", ["o_orderdate", "o_orderkey"], "n", unique_order=True)
+
+
+def row_number_hot_key(spark, sf_dir):
+    """Each of the three flags has a third of all rows."""
+    df = table(spark, sf_dir, "lineitem")
+    return latest.row_number_per_key(df, "l_returnflag", ["l_shipdate", "l_orderkey", "l_partkey", "l_suppkey"], "n")
+
+
+def row_number_ties(spark, sf_dir):
+    """Lines of an order by a number that repeats: each number once, whoever gets it among equals."""
+    df = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    return latest.row_number_per_key(df, "l_orderkey", "l_linenumber", "n")
+
+
+def lead_hot_key(spark, sf_dir):
+    return latest.lead_next(kinds(spark, sf_dir), "kind", ["ts", "event_id"], "value", "next_value", unique_order=True)
 
 
 def lead_next_change(spark, sf_dir):
     df = cdc(spark, sf_dir).select("user_id", "event_id", "ts")
-    return latest.lead_next(df, "user_id", ["ts", "event_id"], "ts", "next_ts")
+    return latest.lead_next(df, "user_id", ["ts", "event_id"], "ts", "next_ts", unique_order=True)
 
 
 # History.
@@ -409,7 +425,41 @@ def scd2_as_of(spark, sf_dir):
     return history.as_of(whole, "2024-01-20 00:00:00", USERS)
 
 
-ON_TIME = History(keys="user_id", ts="ts", tie_breaker="event_id", late="drop")
+ON_TIME = History(keys="user_id", ts="ts", tie_breaker="event_id", late="drop", unique_order=True)
+
+# Kinds of events: one has two fifths of all rows, so its windows are cut into slices.
+KINDS = History(keys="kind", ts="ts", tie_breaker="event_id", unique_order=True)
+KINDS_ON_TIME = History(keys="kind", ts="ts", tie_breaker="event_id", late="drop", unique_order=True)
+
+
+def kinds(spark, sf_dir) -> DataFrame:
+    kind = F.when(F.col("event_type").isin("view", "click"), "busy").otherwise(F.col("event_type"))
+    return table(spark, sf_dir, "events").select(kind.alias("kind"), "user_id", "value", "ts", "event_id")
+
+
+def _on_kinds(operator, spec, cut):
+    def run(spark, sf_dir):
+        log = kinds(spark, sf_dir)
+        before = F.col("ts") < F.lit(CUT).cast("timestamp_ntz")
+        current = history.new_versions(log.filter(before), spec, spec.schema(log))
+        return operator(current, log.filter(F.col("ts") >= F.lit(cut).cast("timestamp_ntz")), spec)
+
+    return run
+
+
+def history_table_ties(spark, sf_dir):
+    """Lines as versions of their order: several at one place, told apart by part and supplier.
+
+    The third batch holds other keys only and must leave all versions as they are.
+    """
+    spec = History(keys="l_orderkey", ts="l_linenumber", tie_breaker=["l_partkey", "l_suppkey"])
+    path = shared_dir(spark, "lines")
+    lines = table(spark, sf_dir, "lineitem")
+    early = F.col("l_linenumber") <= 3
+    unrelated = lines.filter(early).withColumn("l_orderkey", -1 - F.col("l_orderkey"))
+    for batch in (lines.filter(early), lines.filter(~early), unrelated):
+        merge_history(batch, path, spec)
+    return keyed.read_keyed(spark, path)
 
 
 def scd2_table(spark, sf_dir):
@@ -484,6 +534,31 @@ def processed_to_structured_all(spark, sf_dir):
     return keyed.read_keyed(spark, structured)
 
 
+def processed_to_structured_ties(spark, sf_dir):
+    """Lines as changes of their part by shipping day: many on one day, in three runs, one of other parts only."""
+    processed, structured = shared_dir(spark, "processed"), shared_dir(spark, "structured")
+
+    def run(start: str, end: str, day: str) -> zones.Run:
+        return zones.Run(
+            keys="l_partkey", ts_col="l_shipdate", window_from=start, window_to=end, business_date=day,
+            load_time=f"{day} 01:30:00", job_id=f"job-{day}", source_system="erp", run_ts=RUN_TS,
+            tie_breaker=["l_orderkey", "l_linenumber", "l_suppkey"], collapse=False, zone="UTC",
+        )
+
+    first = run("1970-01-01 00:00:00", "1998-01-01 00:00:00", "1998-01-02")
+    second = run("1998-01-01 00:00:00.000001", "2050-01-01 00:00:00", "2050-01-02")
+    third = run("2050-01-01 00:00:00.000001", "2090-01-01 00:00:00", "2090-01-02")
+    lines = table(spark, sf_dir, "lineitem").drop("l_quantity", "l_discount", "l_tax")
+    other = lines.filter("l_linenumber = 1").withColumns(
+        {"l_partkey": -1 - F.col("l_partkey"), "l_shipdate": F.expr("l_shipdate + INTERVAL 60 YEARS")}
+    )
+    for step, batch in ((first, lines), (second, None), (third, other)):
+        if batch is not None:
+            zones.land(batch, processed, step)
+        zones.structure(spark, processed, structured, step)
+    return keyed.read_keyed(spark, structured)
+
+
 def control_run(spark, sf_dir):
     """One source table per event type; all but one are due and run through the zones."""
     events = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
@@ -551,8 +626,7 @@ def stream_upsert_events(spark, sf_dir):
     _land_in_parts(
         spark, sf_dir, f"{base}/landing",
         lambda stream: ingest.upsert_stream(
-            stream.select("user_id", "event_id", "ts", "event_type", "value"),
-            f"{base}/users", "user_id", ["ts", "event_id"], f"{base}/bookmark",
+            stream, f"{base}/users", "user_id", ["ts", "event_id"], f"{base}/bookmark",
         ),
     )
     return keyed.read_keyed(spark, f"{base}/users")
@@ -563,12 +637,10 @@ def stream_scd2_users(spark, sf_dir):
     _land_in_parts(
         spark, sf_dir, f"{base}/landing",
         lambda stream: ingest.history_stream(
-            stream.drop("props"), f"{base}/users", USERS, f"{base}/bookmark"
+            stream, f"{base}/users", USERS, f"{base}/bookmark"
         ),
     )
-    return keyed.read_keyed(spark, f"{base}/users").select(
-        "user_id", "event_type", "value", "effective_from", "effective_to", "status"
-    )
+    return keyed.read_keyed(spark, f"{base}/users").drop("event_id")
 
 
 def zone_archive(spark, sf_dir):
@@ -632,6 +704,9 @@ QUERIES = {
     "keep_last_conversations": keep_last_conversations,
     "keep_first_events": keep_first_events,
     "row_number_per_key": row_number_per_key,
+    "row_number_hot_key": row_number_hot_key,
+    "row_number_ties": row_number_ties,
+    "lead_hot_key": lead_hot_key,
     "lead_next_change": lead_next_change,
     "cdc_log": user_log,
     "scd2_current": user_history,
@@ -646,7 +721,11 @@ QUERIES = {
     "scd2_snapshot_deletes": _on_history(history.snapshot, spec=USERS_OP),
     "scd2_as_of": scd2_as_of,
     "scd2_late_rows": _on_history(history.late_rows, late_log),
+    "scd2_snapshot_hot_key": _on_kinds(history.snapshot, KINDS, CUT),
+    "scd2_delta_hot_key_on_time": _on_kinds(history.delta, KINDS_ON_TIME, "2024-01-14 00:00:00"),
     "scd2_table": scd2_table,
+    "history_table_ties": history_table_ties,
+    "processed_to_structured_ties": processed_to_structured_ties,
     "zone_copy": zone_copy,
     "zone_archive": zone_archive,
     "landing_to_processed": landing_to_processed,

@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -19,6 +20,7 @@ def spark():
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidemark-tests-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

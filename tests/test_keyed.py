@@ -1,9 +1,10 @@
+from pathlib import Path
+
 import pytest
 
 from helpers import plan, rows
-from tidemark.functions import sizes
 from tidemark.session import shared_dir
-from tidemark.sources import keyed
+from tidemark.sources import keyed, paths
 from tidemark.sources.keyed import drop_old_versions, read_keyed, table_state, write_keyed
 from tidemark.sources.paths import has_files
 
@@ -28,9 +29,7 @@ def test_append_keeps_all_rows(spark, folder):
 
 
 @pytest.mark.parametrize("partition_by", [[], ["part"]])
-@pytest.mark.parametrize("large", [0, 1 << 100])
-def test_upsert_newest_wins(spark, folder, partition_by, large, monkeypatch):
-    monkeypatch.setattr(sizes, "WORTH_SPARING", large)
+def test_upsert_newest_wins(spark, folder, partition_by):
     one = frame(spark, (1, "a", 5, "old"), (2, "a", 5, "old"), (3, "b", 5, "old"), (None, "b", 5, "old"), (1, "a", 4, "x"))
     two = frame(spark, (1, "a", 9, "new"), (2, "a", 1, "late"), (3, "c", 5, "tie"), (None, "b", 6, "new"), (4, None, 1, "new"))
     for batch in (one, two, two):
@@ -100,6 +99,73 @@ def test_failed_write_leaves_the_table_as_it_was(spark, folder):
     assert drop_old_versions(spark, folder) == ["commit_seq=2/commit_id=half"]
 
 
+class Stopped(Exception):
+    pass
+
+
+def test_writer_that_dies_in_the_commit_leaves_a_readable_table(spark, folder, monkeypatch):
+    """Stopped at each step of making the state file: before it is full, and before it has its name."""
+    write_keyed(frame(spark, (1, "a", 1, "x")), folder, "k")
+
+    class Stream:
+        def write(self, _):
+            raise Stopped
+
+        def close(self):
+            pass
+
+    class Files:
+        def __init__(self, real):
+            self.real = real
+
+        def create(self, path, overwrite):
+            self.real.create(path, overwrite).close()  # there, and empty
+            return Stream()
+
+        def delete(self, *_):  # a dead writer does not clean up
+            return False
+
+        def __getattr__(self, name):
+            return getattr(self.real, name)
+
+    real = paths.file_system
+    monkeypatch.setattr(paths, "file_system", lambda *a: (Files(real(*a)[0]), real(*a)[1]))
+    with pytest.raises(Stopped):
+        paths.write_new_text(spark, f"{folder}/state/0000000002.json", "{}")
+    monkeypatch.undo()
+    assert got(spark, folder) == [(1, "a", 1, "x")]
+    write_keyed(frame(spark, (2, "a", 1, "y")), folder, "k")
+    assert got(spark, folder) == [(1, "a", 1, "x"), (2, "a", 1, "y")]
+
+
+def test_reads_during_commits(spark, folder):
+    """A reader sees whole states only, whenever it looks."""
+    import threading
+
+    path, seen, done = f"{folder}/state", [], threading.Event()
+
+    def look():
+        while not done.is_set():
+            if keyed.table_exists(spark, folder):
+                seen.append(table_state(spark, folder)["version"])
+
+    reader = threading.Thread(target=look)
+    reader.start()
+    for version in range(1, 41):
+        paths.write_new_text(spark, f"{path}/{version:010d}.json", f'{{"version": {version}, "x": "{"y" * 50_000}"}}')
+    done.set()
+    reader.join()
+    assert seen == sorted(seen) and set(seen) <= set(range(1, 41))
+
+
+def test_state_file_is_never_replaced(spark, folder):
+    paths.write_new_text(spark, f"{folder}/x.json", "one")
+    with pytest.raises(FileExistsError, match="already exists"):
+        paths.write_new_text(spark, f"{folder}/x.json", "two")
+    assert paths.read_text(spark, f"{folder}/x.json") == "one"
+    assert [p.name for p in Path(folder).iterdir() if not p.name.endswith(".crc")] == ["x.json"]
+
+
 def test_second_writer_fails(spark, folder, monkeypatch):
     write_keyed(frame(spark, (1, "a", 1, "x")), folder, "k")
     stale = table_state(spark, folder)

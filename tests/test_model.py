@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from tidemark.operators import history, hotkeys, latest
+from tidemark.operators import history, latest
 from tidemark.operators.history import History
 from tidemark.plans.history_table import merge_history
 from tidemark.sources import keyed
@@ -38,10 +38,10 @@ def test_snapshot(spark, seed):
     current = [(i, "c", rnd.randrange(40), None, "active") for i in range(5)] + [(6, "old", 1, 2, "inactive")]
     log = random_log(rnd, 30)
     op, late = rnd.choice([None, "op"]), rnd.choice(["apply", "drop"])
-    spec = History(keys="id", ts="ts", tie_breaker="seq", op=op, late=late)
     frames = spark.createDataFrame(current, TABLE), spark.createDataFrame(log, LOG)
-    for min_bytes in (0, hotkeys.NEVER):
-        got = history.snapshot(*frames, spec, min_bytes=min_bytes)
+    for hot_keys in (True, False):
+        spec = History(keys="id", ts="ts", tie_breaker="seq", op=op, late=late, hot_keys=hot_keys)
+        got = history.snapshot(*frames, spec)
         assert sorted((tuple(r) for r in got.collect()), key=str) == model(current, log, op, late)
 
 
@@ -49,10 +49,10 @@ def test_snapshot(spark, seed):
 def test_history_table_over_batches(spark, folder, seed):
     rnd = random.Random(seed)
     spec = History(keys="id", ts="ts", tie_breaker="seq", op="op")
-    # Times within a key must differ, as versions are stored by key and start.
-    whole = {(c[0], c[2]): c for c in random_log(rnd, 60)}.values()
+    # Several changes of a key at one instant: the tie-breaker tells their versions apart.
+    whole = random_log(rnd, 90, 0, 30)
     table = []
-    for low, high in ((0, 20), (20, 40), (40, 60)):
+    for low, high in ((0, 10), (10, 20), (20, 30)):
         batch = [c for c in whole if low <= c[2] < high]
         merge_history(spark.createDataFrame(batch, LOG), folder, spec)
         table = model(table, batch, "op", "apply")
@@ -84,8 +84,8 @@ def test_order_within_key(spark, seed):
     groups = {}
     for row in sorted(data, key=lambda r: (r[1] is not None, r[1] or 0, r[2])):
         groups.setdefault(row[0], []).append(row)
-    numbers = {r.id: r.n for r in latest.row_number_per_key(df, "k", "ts,id", "n", min_bytes=0).collect()}
-    nexts = {r.id: r.nx for r in latest.lead_next(df, "k", "ts,id", "id", "nx", min_bytes=0).collect()}
+    numbers = {r.id: r.n for r in latest.row_number_per_key(df, "k", "ts,id", "n").collect()}
+    nexts = {r.id: r.nx for r in latest.lead_next(df, "k", "ts,id", "id", "nx").collect()}
     for rows in groups.values():
         assert [numbers[r[2]] for r in rows] == list(range(1, len(rows) + 1))
         assert [nexts[r[2]] for r in rows] == [r[2] for r in rows[1:]] + [None]

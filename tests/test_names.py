@@ -18,14 +18,14 @@ def test_history(spark, folder):
     merge_history(first, folder, SPEC)
     merge_history(second, folder, SPEC)
     got = keyed.read_keyed(spark, folder)
-    assert got.columns == ["cust.id", "a b", "fr om", "t`o", "st.at"]
-    want = [(1, "A", 1, 5, "inactive"), (1, "C", 5, None, "active"), (2, "B", 1, 5, "inactive")]
+    assert got.columns == ["cust.id", "a b", "s.eq", "fr om", "t`o", "st.at"]
+    want = [(1, "A", 1, 1, 5, "inactive"), (1, "C", 3, 5, None, "active"), (2, "B", 2, 1, 5, "inactive")]
     assert sorted((tuple(r) for r in got.collect()), key=str) == want
     assert history.late_rows(got, first, SPEC).count() == 1
     for late in ("apply", "drop"):
         spec = History(**{**SPEC.__dict__, "late": late})
         assert history.closed_versions(got, log(spark, (1, "D", 9, 5, "U")), spec).count() == 1
-        assert history.delta(got, log(spark, (1, "D", 9, 5, "U")), spec, min_bytes=0).count() == 2
+        assert history.delta(got, log(spark, (1, "D", 9, 5, "U")), spec).count() == 2
     assert history.as_of(got, 3, SPEC).count() == 2
 
 
@@ -37,10 +37,10 @@ def test_upsert(spark, folder):
 
 def test_others(spark):
     df = log(spark, *[(i % 2, "A", i, i, "x") for i in range(20)])
-    for min_bytes in (0, hotkeys.NEVER):
-        numbered = latest.row_number_per_key(df, "cust.id", ["change`d at"], "N o", min_bytes=min_bytes)
+    for hot_keys in (True, False):
+        numbered = latest.row_number_per_key(df, "cust.id", ["change`d at"], "N o", hot_keys=hot_keys)
         assert sorted(r["N o"] for r in numbered.collect()) == sorted([*range(1, 11)] * 2)
-        after = latest.lead_next(df, "cust.id", "change`d at", "s.eq", "ne.xt", min_bytes=min_bytes)
+        after = latest.lead_next(df, "cust.id", "change`d at", "s.eq", "ne.xt", hot_keys=hot_keys)
         assert sum(r["ne.xt"] is None for r in after.collect()) == 2
     assert latest.keep_last(df, "CUST.id", "change`d at").count() == 2
     assert columns.rename_columns(df, {"A B": "c.d"}).columns[1] == "c.d"

@@ -60,8 +60,8 @@ def skewed(spark):
 @pytest.mark.parametrize("ascending", [True, False])
 def test_row_number_with_hot_key(spark, ascending):
     df = skewed(spark)
-    plain = latest.row_number_per_key(df, "k", ["ts", "id"], "n", ascending, min_bytes=hotkeys.NEVER)
-    sliced = latest.row_number_per_key(df, "k", ["ts", "id"], "n", ascending, min_bytes=0)
+    plain = latest.row_number_per_key(df, "k", ["ts", "id"], "n", ascending, hot_keys=False)
+    sliced = latest.row_number_per_key(df, "k", ["ts", "id"], "n", ascending)
     assert "slice" in plan(sliced) and "slice" not in plan(plain)
     assert plain.dtypes == sliced.dtypes
     assert rows(plain) == rows(sliced)
@@ -69,15 +69,15 @@ def test_row_number_with_hot_key(spark, ascending):
 
 def test_lead_with_hot_key(spark):
     df = skewed(spark)
-    plain = latest.lead_next(df, "k", ["ts", "id"], "value", "nx", min_bytes=hotkeys.NEVER)
-    sliced = latest.lead_next(df, "k", ["ts", "id"], "value", "nx", min_bytes=0)
+    plain = latest.lead_next(df, "k", ["ts", "id"], "value", "nx", hot_keys=False)
+    sliced = latest.lead_next(df, "k", ["ts", "id"], "value", "nx")
     assert "slice" in plan(sliced)
     assert rows(plain) == rows(sliced)
 
 
 def test_hot_key_is_spread(spark):
     df = skewed(spark)
-    cuts = hotkeys.find_cuts(df, ["k"], ["ts", "id"], 0)
+    cuts = hotkeys.find_cuts(df, ["k"], ["ts", "id"])
     assert cuts.count() == 1
     sizes = hotkeys.with_slices(df, ["k"], ["ts", "id"], cuts).filter("k = 'hot'").groupBy(hotkeys.SLICE).count()
     found = [r["count"] for r in sizes.collect()]
@@ -86,20 +86,20 @@ def test_hot_key_is_spread(spark):
 
 def test_slices_spread_also_when_rows_come_spread_by_key(spark):
     df = skewed(spark).repartition("k")
-    text = plan(latest.lead_next(df, "k", ["ts", "id"], "value", "nx", min_bytes=0))
+    text = plan(latest.lead_next(df, "k", ["ts", "id"], "value", "nx"))
     window = text.index("Window [lead")
     assert "hashpartitioning(k#" in text and ", __tm_slice#" in text[window:].split("Exchange hashpartitioning(")[1].split(")")[0]
 
 
 def test_no_cuts_without_hot_keys(spark, sf_dir):
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    assert hotkeys.find_cuts(orders, ["o_custkey"], ["o_orderdate"], 0) is None
+    assert hotkeys.find_cuts(orders, ["o_custkey"], ["o_orderdate"]) is None
 
 
 def test_string_order_can_be_cut(spark):
     df = skewed(spark).withColumn("s", F.concat(F.lit("x"), F.col("id").cast("string")))
-    plain = latest.lead_next(df, "k", "s", "s", "nx", min_bytes=hotkeys.NEVER)
-    assert rows(plain) == rows(latest.lead_next(df, "k", "s", "s", "nx", min_bytes=0))
+    plain = latest.lead_next(df, "k", "s", "s", "nx", hot_keys=False)
+    assert rows(plain) == rows(latest.lead_next(df, "k", "s", "s", "nx"))
 
 
 @pytest.mark.parametrize(
@@ -114,9 +114,39 @@ def test_hot_null_key_and_orders_of_all_types(spark, order):
     df = skewed(spark).withColumn("k", F.when(F.col("k") != "hot", F.col("k")))
     df = df.withColumn("at", F.expr(order.replace("CAST(ts AS timestamp", "CAST(timestamp_seconds(ts) AS timestamp")))
     results = []
-    for min_bytes in (0, hotkeys.NEVER):
-        numbered = latest.row_number_per_key(df, "k", ["at", "id"], "n", min_bytes=min_bytes)
-        after = latest.lead_next(df, "k", ["at", "id"], "id", "nx", min_bytes=min_bytes)
-        assert ("__tm_slice" in plan(numbered)) == (min_bytes == 0)
+    for hot_keys in (True, False):
+        numbered = latest.row_number_per_key(df, "k", ["at", "id"], "n", hot_keys=hot_keys)
+        after = latest.lead_next(df, "k", ["at", "id"], "id", "nx", hot_keys=hot_keys)
+        assert ("__tm_slice" in plan(numbered)) == hot_keys
         results.append((rows(numbered, "id", "n"), rows(after, "id", "nx")))
     assert results[0] == results[1]
+
+
+def test_ties_in_windows_do_not_depend_on_row_order(spark):
+    """Rows of one place in an order get the same numbers and successors however they lie, cut or not."""
+    data = [("k", i // 10, i) for i in range(60)] + [("j", 1, i) for i in range(20)]
+    found = set()
+    for seed in range(3):
+        random.Random(seed).shuffle(data)
+        df = spark.createDataFrame(data, "k string, ts int, id int").repartition(5)
+        for hot_keys in (True, False):
+            numbered = rows(latest.row_number_per_key(df, "k", "ts", "n", hot_keys=hot_keys))
+            after = rows(latest.lead_next(df, "k", "ts", "id", "nx", hot_keys=hot_keys))
+            found.add((frozenset(numbered.items()), frozenset(after.items())))
+    assert len(found) == 1
+
+
+def test_cost_of_finding_a_slice_grows_with_the_root_of_their_number(spark):
+    """Compared points per row: the coarse ones and one step of the others."""
+    n = 1000
+    step = -(-(n**0.5) // 1)
+    assert n / step + step < 70
+    cuts = spark.range(1).selectExpr(
+        "xxhash64('a') AS __tm_hash", f"transform(sequence(1, {n - 1}), i -> named_struct('o0', i * 10)) AS __tm_cuts",
+        f"{int(step)} AS __tm_step",
+    )
+    cuts = cuts.withColumn("__tm_coarse", F.expr("filter(__tm_cuts, (c, i) -> (i + 1) % __tm_step = 0)"))
+    df = spark.range(0, 12_000).selectExpr("'a' AS k", "CAST(id AS int) AS ts")
+    sliced = hotkeys.with_slices(df, ["k"], ["ts"], cuts)
+    wrong = sliced.filter(F.col(hotkeys.SLICE) != F.least(F.lit(n - 1), F.greatest(F.lit(0), F.ceil(F.col("ts") / 10) - 1)))
+    assert wrong.count() == 0

@@ -43,9 +43,9 @@ def rows(df):
 spec = History(keys="user_id", ts="ts", tie_breaker="event_id")
 for operator in (
     lambda df: latest.keep_last(df.drop("ts"), "user_id", "event_type"),
-    lambda df: latest.row_number_per_key(df, "user_id", ["event_type", "event_id"], min_bytes=0),
-    lambda df: latest.lead_next(df, "user_id", ["ts", "event_id"], "ts", min_bytes=0),
-    lambda df: history.new_versions(df, spec, min_bytes=0),
+    lambda df: latest.row_number_per_key(df, "user_id", ["event_type", "event_id"]),
+    lambda df: latest.lead_next(df, "user_id", ["ts", "event_id"], "ts"),
+    lambda df: history.new_versions(df, spec),
 ):
     assert rows(operator(shaky)) == rows(operator(events))
 path = shared_dir(spark, "retries")

@@ -16,9 +16,9 @@ def test_shared_dir_is_new_and_below_the_checkpoint_dir(spark):
     assert first != second and first.startswith(spark.conf.get("spark.checkpoint.dir")) and first.endswith("/x")
 
 
-def test_no_local_folder_on_a_cluster():
+def test_no_folder_of_the_machine():
     class Context:
-        master = "yarn"
+        master = "local[8]"
 
     class Session:
         sparkContext = Context()
@@ -37,17 +37,3 @@ def test_size_shuffles(spark: SparkSession):
     finally:
         spark.conf.unset(name)
     assert sizes.shuffle_parts(spark) == 8
-
-
-@pytest.mark.parametrize("text,size", [("10MB", 10 << 20), ("-1", -1), ("123", 123), ("123b", 123), ("1.5g", 3 << 29)])
-def test_conf_bytes(text, size):
-    class Session:
-        conf = {"x": text}
-
-    assert sizes.conf_bytes(Session(), "x") == size
-
-
-def test_plan_bytes_follow_files(spark, sf_dir):
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    assert 0 < sizes.plan_bytes(orders.select("o_orderkey")) < sizes.plan_bytes(orders) < 1 << 20
-    assert sizes.fits_broadcast(orders) and not sizes.can_spare_shuffle(orders, orders)

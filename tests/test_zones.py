@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -44,9 +46,9 @@ def test_initial_then_incremental(spark, folder):
             (None, "2024-01-03 00:00:00", 5, "e", "I"),
         ),
         p,
-        RUN,
+        replace(RUN, key_defaults={}),
     )
-    assert zones.structure(spark, p, s, RUN) == "initial"
+    assert zones.structure(spark, p, s, replace(RUN, key_defaults={})) == "initial"
     first = [
         (0, "e", "active", "2024-01-03 08:00:00", "None", "2024-01-15"),
         (1, "b", "active", "2024-01-02 08:00:00", "None", "2024-01-15"),
@@ -62,9 +64,9 @@ def test_initial_then_incremental(spark, folder):
             (3, "2024-01-20 00:00:00", 9, "z", "I"),
         ),
         p,
-        NEXT,
+        replace(NEXT, key_defaults={}),
     )
-    assert zones.structure(spark, p, s, NEXT) == "incremental"
+    assert zones.structure(spark, p, s, replace(NEXT, key_defaults={})) == "incremental"
     want = [
         first[0],
         (1, "b", "inactive", "2024-01-02 08:00:00", "2024-01-21 08:00:00", "2024-02-01"),
@@ -179,3 +181,28 @@ def test_daily_run_of_one_table(spark, folder):
     assert versions(spark, where.structured) == want
     assert keyed.read_keyed(spark, where.processed).count() == 3
     assert has_files(spark, where.backup)
+
+
+def test_null_key_stops_the_run_unless_a_default_is_given(spark, folder):
+    p, s = folder + "/p", folder + "/s"
+    rows = [(None, "2024-01-02 00:00:00", 1, "n", "I"), (0, "2024-01-02 00:00:00", 2, "zero", "I")]
+    zones.land(changes(spark, *rows), p, RUN)
+    with pytest.raises(Exception, match="NULL in key"):
+        zones.structure(spark, p, s, RUN)
+    with pytest.raises(Exception, match="a key in use"):
+        zones.structure(spark, p, s, replace(RUN, key_defaults={}))
+    assert zones.structure(spark, p, s, replace(RUN, key_defaults={"user_id": -1})) == "initial"
+    assert [r[:2] for r in versions(spark, s)] == [(-1, "n"), (0, "zero")]
+
+
+def test_an_unrelated_run_keeps_versions_of_one_instant(spark, folder):
+    p, s = folder + "/p", folder + "/s"
+    run, later = (replace(r, collapse=False, tie_breaker="event_id") for r in (RUN, NEXT))
+    instant = "2024-01-02 00:00:00"
+    zones.land(changes(spark, (1, instant, 1, "a", "I"), (1, instant, 2, "b", "U")), p, run)
+    assert zones.structure(spark, p, s, run) == "initial"
+    before = versions(spark, s)
+    assert [r[1] for r in before] == ["a", "b"]
+    zones.land(changes(spark, (9, "2024-01-20 00:00:00", 3, "z", "I")), p, later)
+    assert zones.structure(spark, p, s, later) == "incremental"
+    assert [r for r in versions(spark, s) if r[0] == 1] == before

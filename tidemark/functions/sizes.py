@@ -1,40 +1,8 @@
-"""Size checks behind plan choices."""
+"""How many tasks shuffles have."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-
-
-def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's estimate of the frame's size; files count with their full size."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def conf_bytes(spark: SparkSession, name: str) -> int:
-    text = spark.conf.get(name).strip().lower()
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    text = text.removesuffix("b")
-    if text[-1] in units:
-        return int(float(text[:-1]) * units[text[-1]])
-    return int(text)
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """True when Spark itself would broadcast the frame by its own threshold."""
-    limit = conf_bytes(df.sparkSession, "spark.sql.autoBroadcastJoinThreshold")
-    return limit > 0 and plan_bytes(df) <= limit
-
-
-# Below this size a shuffle costs less than the joins that would avoid it.
-WORTH_SPARING = 64 << 20
-
-
-def can_spare_shuffle(large: DataFrame, few: DataFrame) -> bool:
-    """Whether to keep rows of `large` that `few` does not concern out of a shuffle.
-
-    Only a choice of plan: Spark itself decides on broadcasting `few`.
-    """
-    return fits_broadcast(few) and plan_bytes(large) >= WORTH_SPARING
+from pyspark.sql import SparkSession
 
 
 def shuffle_parts(spark: SparkSession) -> int:

@@ -104,8 +104,14 @@ KEY_DEFAULTS = {
 }
 
 
-def fill_null_keys(df: DataFrame, keys: str | Iterable[str], defaults: Mapping | None = None) -> DataFrame:
-    """Give NULL key values a default, so that they compare equal to themselves."""
+def fill_null_keys(
+    df: DataFrame, keys: str | Iterable[str], defaults: Mapping | None = None, unused: bool = False
+) -> DataFrame:
+    """Give NULL key values a default, so that they compare equal to themselves.
+
+    With `unused`, a row that has the default as a key of its own stops the query:
+    it would be taken for the rows without a key.
+    """
     given = {k.lower(): v for k, v in (defaults or {}).items()}
     filled = {}
     for name in resolve(df, keys):
@@ -115,7 +121,12 @@ def fill_null_keys(df: DataFrame, keys: str | Iterable[str], defaults: Mapping |
             default = 0
         if default is None:
             raise ValueError(f"no default for key {name} of type {dtype.simpleString()}")
-        filled[name] = F.coalesce(col(name), as_column(default).cast(dtype))
+        value = as_column(default).cast(dtype)
+        known = col(name)
+        if unused:
+            message = f"the default of key {name} is a key in use: give another one"
+            known = F.when(col(name) == value, F.raise_error(F.lit(message)).cast(dtype)).otherwise(col(name))
+        filled[name] = F.coalesce(known, value)
     return df.withColumns(filled)
 
 

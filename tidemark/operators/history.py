@@ -20,11 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.names import RESERVED, as_column, as_list, col, quoted, resolve, same_schema
-from tidemark.functions.sizes import can_spare_shuffle
 from tidemark.operators.filters import not_deleted
 from tidemark.operators.hotkeys import find_cuts
-from tidemark.operators.joins import distinct_keys, join_grouped, key_condition
-from tidemark.operators.latest import keep_last, lead_in_key
+from tidemark.operators.joins import join_grouped
+from tidemark.operators.latest import content_hash, keep_last, lead_in_key
 
 _NEW = RESERVED + "new"
 _START = RESERVED + "start"
@@ -43,6 +42,9 @@ class History:
                 Without it every change opens a version
     late        "apply" takes changes that are not newer than the active
                 version as they come, "drop" leaves them out (see late_rows)
+    unique_order  ts and tie_breaker tell all changes of a key apart; otherwise
+                changes at one place go by their content
+    hot_keys    False states that no key holds a large share of the changes
     """
 
     keys: list[str] | str
@@ -56,6 +58,8 @@ class History:
     active: str = "active"
     inactive: str = "inactive"
     late: str = "apply"
+    unique_order: bool = False
+    hot_keys: bool = True
 
     def __post_init__(self):
         for name in ("keys", "ts", "tie_breaker"):
@@ -69,15 +73,18 @@ class History:
     def own(self) -> set[str]:
         return {self.status.lower(), self.start.lower(), self.end.lower()}
 
-    @property
-    def record_keys(self) -> list[str]:
-        """What identifies one version."""
-        return [*self.keys, self.start]
+    def record_keys(self, versions: DataFrame) -> list[str]:
+        """What identifies one version: key, start, and the tie-breakers that the table keeps."""
+        there = {c.lower() for c in versions.columns}
+        return [*self.keys, self.start, *[t for t in self.tie_breaker if t.lower() in there]]
 
     def schema(self, log: DataFrame, drop: Iterable[str] = ()) -> T.StructType:
-        """Schema of a history built from `log`: its business columns plus the history's own."""
+        """Schema of a history built from `log`: its business columns plus the history's own.
+
+        Tie-breakers stay: versions that start at one instant are told apart by them.
+        """
         ts = log.schema[resolve(log, self.ts[0])[0]].dataType
-        gone = {c.lower() for c in [*self.ts, *self.tie_breaker, *([self.op] if self.op else []), *drop]}
+        gone = {c.lower() for c in [*self.ts, *([self.op] if self.op else []), *drop]}
         gone = (gone | self.own) - {k.lower() for k in self.keys}
         fields = [f for f in log.schema if f.name.lower() not in gone]
         return T.StructType(
@@ -94,12 +101,16 @@ def _active(current: DataFrame, spec: History) -> DataFrame:
     return current.filter(col(spec.status) == spec.active)
 
 
-def _checked_key(name: str) -> Column:
+def checked_key(name: str) -> Column:
     """The key itself; a NULL stops the query, since it would never match its versions."""
     message = f"NULL in key {name} of the change log: use fill_null_keys first"
     return F.coalesce(col(name), F.raise_error(F.lit(message)))
 
 
+def _checked(log: DataFrame, spec: History) -> DataFrame:
+    return log.withColumns({k: checked_key(k) for k in resolve(log, spec.keys)})
+
+
 def _changes(log: DataFrame, schema: T.StructType, spec: History) -> DataFrame:
     """Changes as versions to be: business columns by name, start, order and delete flag."""
     business = T.StructType([f for f in schema if f.name.lower() not in spec.own])
@@ -109,26 +120,29 @@ def _changes(log: DataFrame, schema: T.StructType, spec: History) -> DataFrame:
         gone = col(resolve(log, spec.op)[0]).eqNullSafe(spec.deleted)
     keys = {k.lower() for k in spec.keys}
     names = resolve(log, [f.name for f in business])
+    # Changes that the order does not tell apart go by their content.
+    ties = [] if spec.unique_order else [content_hash(log).alias(f"{RESERVED}o{len(order)}")]
     return log.select(
         *[
-            (_checked_key(n) if n.lower() in keys else col(n)).cast(f.dataType).alias(f.name)
+            (checked_key(n) if n.lower() in keys else col(n)).cast(f.dataType).alias(f.name)
             for n, f in zip(names, business)
         ],
         F.lit(1).alias(_NEW),
         col(order[0]).alias(_START),
         gone.alias(_GONE),
         *[col(o).alias(f"{RESERVED}o{i}") for i, o in enumerate(order)],
+        *ties,
     )
 
 
-def _merge(active: DataFrame | None, log: DataFrame, schema: T.StructType, spec: History, min_bytes) -> DataFrame:
+def _merge(active: DataFrame | None, log: DataFrame, schema: T.StructType, spec: History) -> DataFrame:
     """Active versions and changes, each with the start of the key's next version."""
     keys = [f.name for f in schema if f.name.lower() in {k.lower() for k in spec.keys}]
     if len(keys) != len(spec.keys):
         raise ValueError(f"keys {spec.keys} must all be columns of the history")
-    order = [f"{RESERVED}o{i}" for i in range(len(spec.ts + spec.tie_breaker))]
+    order = [f"{RESERVED}o{i}" for i in range(len(spec.ts + spec.tie_breaker) + (not spec.unique_order))]
     rows = _changes(log, schema, spec)
-    cuts = find_cuts(rows, keys, order, min_bytes)
+    cuts = find_cuts(rows, keys, order) if spec.hot_keys else None
     if active is None:
         return lead_in_key(rows, keys, [_NEW, *order], _START, _NEXT, cuts, order)
     before = active.select(
@@ -137,21 +151,9 @@ def _merge(active: DataFrame | None, log: DataFrame, schema: T.StructType, spec:
         col(spec.start).alias(_START),
         F.lit(False).alias(_GONE),
     )
-    drop_late = spec.late == "drop"
-    if drop_late and cuts is not None:
-        # A hot key's slices do not all see its active version: fetch it first.
+    if spec.late == "drop":
         rows = _newer_than_active(rows, before, keys)
     rows = before.unionByName(rows, allowMissingColumns=True)
-    if drop_late and cuts is None:
-        # Same keys and order as the window that follows: no further shuffle or sort.
-        so_far = (
-            Window.partitionBy(*[col(k) for k in keys])
-            .orderBy(*[col(o).asc() for o in [_NEW, *order]])
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-        rows = rows.withColumn(_SINCE, F.max(F.when(F.col(_NEW) == 0, F.col(_START))).over(so_far))
-        on_time = F.col(_SINCE).isNull() | (F.col(_START) > F.col(_SINCE))
-        rows = rows.filter((F.col(_NEW) == 0) | on_time).drop(_SINCE)
     return lead_in_key(rows, keys, [_NEW, *order], _START, _NEXT, cuts, order)
 
 
@@ -173,6 +175,7 @@ def _as_versions(merged: DataFrame, schema: T.StructType, spec: History) -> Data
 def late_rows(current: DataFrame, log: DataFrame, spec: History) -> DataFrame:
     """Changes that are not newer than the active version of their key."""
     names = resolve(log, spec.keys)
+    log = _checked(log, spec)
     starts = (
         _active(current, spec)
         .groupBy(*[col(k).alias(n) for k, n in zip(resolve(current, spec.keys), names)])
@@ -184,18 +187,18 @@ def late_rows(current: DataFrame, log: DataFrame, spec: History) -> DataFrame:
 
 def first_change(log: DataFrame, spec: History, name: str = "first_change") -> DataFrame:
     """When the batch first touches each key: the time its active version ends."""
-    return log.groupBy(*[col(k) for k in resolve(log, spec.keys)]).agg(
+    return _checked(log, spec).groupBy(*[col(k) for k in resolve(log, spec.keys)]).agg(
         F.min(col(resolve(log, spec.ts[0])[0])).alias(name)
     )
 
 
 def closed_versions(
-    current: DataFrame, log: DataFrame, spec: History, min_bytes: float | None = None
+    current: DataFrame, log: DataFrame, spec: History
 ) -> DataFrame:
     """Active versions that the batch ends, each once however many changes there are."""
     active = _active(current, spec)
     if spec.late == "drop":
-        merged = _merge(active, log, current.schema, spec, min_bytes)
+        merged = _merge(active, log, current.schema, spec)
         return _as_versions(merged.filter((F.col(_NEW) == 0) & F.col(_NEXT).isNotNull()), current.schema, spec)
     ends = first_change(log, spec, _NEXT)
     names = resolve(current, spec.keys)
@@ -207,55 +210,31 @@ def closed_versions(
 
 
 def new_versions(
-    log: DataFrame, spec: History, schema: T.StructType | None = None, min_bytes: float | None = None
+    log: DataFrame, spec: History, schema: T.StructType | None = None
 ) -> DataFrame:
     """One version per change, ended by the next change of the key."""
     schema = schema or spec.schema(log)
-    return _as_versions(_merge(None, log, schema, spec, min_bytes), schema, spec)
+    return _as_versions(_merge(None, log, schema, spec), schema, spec)
 
 
-def _touched_by_small(current: DataFrame, log: DataFrame, spec: History) -> DataFrame | None:
-    """The log's keys if Spark would broadcast them and `current` is large, else None."""
-    keys = distinct_keys(log, spec.keys)
-    names = resolve(current, spec.keys)
-    keys = keys.select(*[col(s).alias(n) for s, n in zip(keys.columns, names)])
-    return keys if can_spare_shuffle(current, keys) else None
-
-
-def _is_active(spec: History, side: str = "l") -> Column:
-    return F.col(f"{side}.{quoted(spec.status)}") == spec.active
-
-
-def delta(current: DataFrame, log: DataFrame, spec: History, min_bytes: float | None = None) -> DataFrame:
+def delta(current: DataFrame, log: DataFrame, spec: History) -> DataFrame:
     """What the batch changes: versions it ends and versions it opens.
 
     Columns are those of `current`, by name; columns only the log has are left
     out. Upserting the result by key and start brings the table up to date.
     """
     schema = current.schema
-    active = _active(current, spec)
-    small = _touched_by_small(current, log, spec)
-    if small is not None:
-        on = key_condition(resolve(current, spec.keys), null_safe=False)
-        active = active.alias("l").join(small.alias("r"), on, "left_semi")
-    merged = _merge(active, log, schema, spec, min_bytes)
+    merged = _merge(_active(current, spec), log, schema, spec)
     changed = (F.col(_NEW) == 1) | F.col(_NEXT).isNotNull()
     return _as_versions(merged.filter(changed), schema, spec)
 
 
-def snapshot(current: DataFrame, log: DataFrame, spec: History, min_bytes: float | None = None) -> DataFrame:
+def snapshot(current: DataFrame, log: DataFrame, spec: History) -> DataFrame:
     """The whole table after the batch: past versions, untouched ones and the delta."""
     schema = current.schema
-    small = _touched_by_small(current, log, spec)
-    if small is not None:
-        on = key_condition(resolve(current, spec.keys), null_safe=False)
-        tagged, keys = current.alias("l"), small.alias("r")
-        rest = tagged.join(keys, on & _is_active(spec), "left_anti")
-        active = _active(current, spec).alias("l").join(keys, on, "left_semi")
-    else:
-        rest = current.filter(~col(spec.status).eqNullSafe(spec.active))
-        active = _active(current, spec)
-    merged = _merge(active, log, schema, spec, min_bytes)
+    rest = current.filter(~col(spec.status).eqNullSafe(spec.active))
+    active = _active(current, spec)
+    merged = _merge(active, log, schema, spec)
     return rest.unionByName(_as_versions(merged, schema, spec))
 
 

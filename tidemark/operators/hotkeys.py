@@ -14,24 +14,22 @@ from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions.names import RESERVED, col
-from tidemark.functions.sizes import plan_bytes, shuffle_parts
+from tidemark.functions.sizes import shuffle_parts
+from tidemark.session import shared_dir
 
 SLICE = RESERVED + "slice"
 _HASH = RESERVED + "hash"
 _CUTS = RESERVED + "cuts"
 _AT = RESERVED + "at"
+_COARSE = RESERVED + "coarse"
+_STEP = RESERVED + "step"
+_WHOLE = RESERVED + "whole"
+
+# Spark's limit on the size of the sketch.
+SKETCH = 1_000_000
 
-# Below this size (compressed files) even a single key's rows suit one task.
-MIN_BYTES = 256 << 20
-# For callers that know that no key has many rows, or do not want the extra pass.
-NEVER = float("inf")
-# At most this many keys are cut, and each into at most this many slices; any
-# further key keeps its plain window.
-MAX_HOT = 1000
-MAX_SLICES = 1000
 # Sampled points per slice.
 POINTS = 8
 
@@ -45,51 +43,66 @@ def _at(order: list[str]) -> Column:
     return F.struct(*[col(o).alias(f"o{i}") for i, o in enumerate(order)])
 
 
-def find_cuts(df: DataFrame, keys: list[str], order: list[str], min_bytes: float | None = None) -> DataFrame | None:
-    """Cut points per hot key, or None when no key needs them.
+def kept(few: DataFrame) -> DataFrame:
+    """A small table, written to the shared folder: its files tell Spark whether to broadcast it."""
+    path = shared_dir(few.sparkSession, "few")
+    few.write.parquet(path)
+    return few.sparkSession.read.schema(few.schema).parquet(path)
+
 
-    One pass with a bounded sketch finds the keys with more than two even
-    shares of all rows; a sample of their rows gives the cut points. Both are
-    small whatever the data: a key gets about one slice per even share, so all
-    keys together get fewer than twice as many as there are shuffle partitions.
-    The points become a literal table, the same in every place of the plan and
-    in every retry, and safe to broadcast.
+def find_cuts(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame | None:
+    """Cut points per hot key, or None when no key is hot.
+
+    One pass with a bounded sketch finds the keys with more than two even shares
+    of all rows; of those there are at most half as many as shuffle tasks. A
+    sample of their rows, about POINTS per slice, gives the cut points. A key gets
+    about one slice per even share, so all keys together get fewer than twice as
+    many as there are tasks. The points are written to the shared folder: the
+    same in every place of the plan and in every retry, and not held in the driver.
     """
-    min_bytes = MIN_BYTES if min_bytes is None else min_bytes
-    if min_bytes == NEVER or plan_bytes(df) < min_bytes:
-        return None
     spark = df.sparkSession
     parts = max(8, shuffle_parts(spark))
-    track = min(10 * parts, 100_000)
-    top_k = F.expr(f"approx_top_k({_HASH}, {min(parts, MAX_HOT)}, {track})")
+    hot = min(parts // 2 + 1, SKETCH)
+    top_k = F.expr(f"approx_top_k({_HASH}, {hot}, {min(10 * parts, SKETCH)})")
     total, top = df.select(_hash(keys)).agg(F.count("*"), top_k).first()
     counts = {item["item"]: item["count"] for item in top or [] if item["count"] > 2 * total / parts}
     if not counts:
         return None
-    slices = {key: min(MAX_SLICES, ceil(n * parts / total)) for key, n in counts.items()}
-    share = min(1.0, POINTS * sum(slices.values()) / sum(counts.values()))
+    slices = spark.createDataFrame([(key, ceil(n * parts / total)) for key, n in counts.items()], f"{_HASH} long, n int")
+    share = min(1.0, POINTS * sum(ceil(n * parts / total) for n in counts.values()) / sum(counts.values()))
     points = (
         df.select(_hash(keys), _at(order).alias(_AT))
         .where(F.col(_HASH).isin(list(counts)))
         .sample(share, seed=1)
         .groupBy(_HASH)
         .agg(F.sort_array(F.collect_list(_AT)).alias(_AT))
-        .collect()
+        .join(slices, _HASH)
     )
-    rows = [(key, [at[i * len(at) // slices[key]] for i in range(1, slices[key])]) for key, at in points]
-    place = T.StructType([T.StructField(f"o{i}", df.schema[o].dataType) for i, o in enumerate(order)])
-    schema = T.StructType([T.StructField(_HASH, T.LongType()), T.StructField(_CUTS, T.ArrayType(place))])
-    return spark.createDataFrame(rows, schema)
+    n, size = F.col("n"), F.size(_AT)
+    places = F.when(n > 1, F.sequence(F.lit(1), n - 1)).otherwise(F.array().cast("array<int>"))
+    cuts = F.transform(places, lambda i: F.get(F.col(_AT), F.floor(i.cast("long") * size / n).cast("int")))
+    # Every step-th cut point as well, so that a row need not be compared with all.
+    step = F.ceil(F.sqrt(n)).cast("int")
+    coarse = F.filter(F.col(_CUTS), lambda cut, i: (i + 1) % F.col(_STEP) == 0)
+    table = points.select(_HASH, cuts.alias(_CUTS), step.alias(_STEP)).withColumn(_COARSE, coarse)
+    return kept(table)
 
 
 def with_slices(df: DataFrame, keys: list[str], order: list[str], cuts: DataFrame) -> DataFrame:
-    """Add the slice of each row: 0, 1, … along the order for hot keys, NULL otherwise."""
-    before = F.size(F.filter(F.col(_CUTS), lambda cut: cut < F.col(_AT)))
-    return (
-        df.withColumns({_HASH: _hash(keys), _AT: _at(order)})
-        .join(F.broadcast(cuts), _HASH, "left")
-        .withColumn(SLICE, F.when(F.col(_CUTS).isNotNull(), before))
-        .drop(_HASH, _CUTS, _AT)
+    """Add the slice of each row: 0, 1, … along the order for hot keys, NULL otherwise.
+
+    A row's slice is the number of cut points before it: whole steps by the
+    coarse points, then the rest within one step.
+    """
+
+    def before(points: Column) -> Column:
+        return F.size(F.filter(points, lambda cut: cut < F.col(_AT)))
+
+    whole = before(F.col(_COARSE)) * F.col(_STEP)
+    marked = df.withColumns({_HASH: _hash(keys), _AT: _at(order)}).join(cuts, _HASH, "left").withColumn(_WHOLE, whole)
+    rest = before(F.slice(_CUTS, F.col(_WHOLE) + 1, F.col(_STEP)))
+    return marked.withColumn(SLICE, F.when(F.col(_CUTS).isNotNull(), F.col(_WHOLE) + rest)).drop(
+        _HASH, _CUTS, _AT, _COARSE, _STEP, _WHOLE
     )
 
 

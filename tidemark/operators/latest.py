@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.names import RESERVED, all_of, as_list, col, quoted, resolve
-from tidemark.operators.hotkeys import SLICE, find_cuts, spread, with_slices
+from tidemark.operators.hotkeys import SLICE, find_cuts, kept, spread, with_slices
 
 _RANK = RESERVED + "rank"
+_TIE = RESERVED + "tie"
 
 
 def ordering(df: DataFrame, order_by, ascending: bool) -> list[Column]:
@@ -90,6 +91,11 @@ def keep_first(
     return _keep(df, keys, order_by, True, unique_order)
 
 
+def _ordered(df: DataFrame, order: list[str], unique: bool) -> tuple[DataFrame, list[str]]:
+    """The frame and its order columns, with the row content as the last one unless the order is unique."""
+    return (df, order) if unique else (df.withColumn(_TIE, content_hash(df)), [*order, _TIE])
+
+
 def _slice_keys(df: DataFrame, names: list[str]) -> Column:
     same = [F.col(f"l.{quoted(k)}").eqNullSafe(F.col(f"r.{quoted(k)}")) for k in names]
     return all_of([*same, F.col(f"l.{SLICE}") == F.col(f"r.{SLICE}")])
@@ -101,35 +107,43 @@ def row_number_per_key(
     order_by: str | Iterable[str],
     name: str = "row_number",
     ascending: bool = True,
-    min_bytes: float | None = None,
+    unique_order: bool = False,
+    hot_keys: bool = True,
 ) -> DataFrame:
-    """Number the rows of each key from 1 along the order."""
+    """Number the rows of each key from 1 along the order.
+
+    Ties go by row content unless `unique_order` states that there are none.
+    `hot_keys=False` states that no key holds a large share of the rows.
+    """
     names, order_names = resolve(df, keys), resolve(df, order_by)
+    columns = [c for c in df.columns if c.lower() != name.lower()]
+    df, order_names = _ordered(df, order_names, unique_order)
     order = ordering(df, order_names, ascending)
     key_cols = [col(k) for k in names]
     number = F.row_number()
-    cuts = find_cuts(df, names, order_names, min_bytes)
+    cuts = find_cuts(df, names, order_names) if hot_keys else None
     if cuts is None:
-        return df.withColumn(name, number.over(Window.partitionBy(*key_cols).orderBy(*order)).cast("bigint"))
+        numbered = df.withColumn(name, number.over(Window.partitionBy(*key_cols).orderBy(*order)).cast("bigint"))
+        return numbered.select(*[col(c) for c in columns], col(name))
     sliced = with_slices(df, names, order_names, cuts)
     along = F.col(SLICE).asc() if ascending else F.col(SLICE).desc()
     before = Window.partitionBy(*key_cols).orderBy(along).rowsBetween(Window.unboundedPreceding, -1)
     offset = RESERVED + "offset"
-    offsets = (
+    # One row per slice of a hot key.
+    offsets = kept(
         sliced.where(F.col(SLICE).isNotNull())
         .groupBy(*key_cols, SLICE)
         .agg(F.count("*").alias(offset))
         .withColumn(offset, F.coalesce(F.sum(offset).over(before), F.lit(0)))
     )
     within = Window.partitionBy(*key_cols, F.col(SLICE)).orderBy(*order)
-    # One row per slice of a hot key: bounded by find_cuts.
     return (
         spread(sliced, names)
         .withColumn(name, number.over(within))
         .alias("l")
-        .join(F.broadcast(offsets).alias("r"), _slice_keys(df, names), "left")
+        .join(offsets.alias("r"), _slice_keys(df, names), "left")
         .select(
-            *[F.col(f"l.{quoted(c)}") for c in df.columns if c.lower() != name.lower()],
+            *[F.col(f"l.{quoted(c)}") for c in columns],
             (F.col(f"l.{quoted(name)}") + F.coalesce(F.col(f"r.{offset}"), F.lit(0))).alias(name),
         )
     )
@@ -157,19 +171,19 @@ def lead_in_key(
     along = Window.partitionBy(*key_cols).orderBy(SLICE)
     after, found = RESERVED + "after", RESERVED + "found"
     first = F.min(F.struct(*[col(o).alias(f"o{i}") for i, o in enumerate(order)], col(value).alias("value")))
-    firsts = (
+    # One row per slice of a hot key.
+    firsts = kept(
         sliced.where(F.col(SLICE).isNotNull())
         .groupBy(*key_cols, SLICE)
         .agg(first.alias(after))
         .withColumn(after, F.lead(after).over(along))
     )
-    # One row per slice of a hot key: bounded by find_cuts.
     return (
         spread(sliced, keys)
         .withColumn(name, F.lead(col(value)).over(within))
         .withColumn(found, F.lead(F.lit(True)).over(within))
         .alias("l")
-        .join(F.broadcast(firsts).alias("r"), _slice_keys(df, keys), "left")
+        .join(firsts.alias("r"), _slice_keys(df, keys), "left")
         .select(
             *[F.col(f"l.{quoted(c)}") for c in df.columns if c.lower() != name.lower()],
             F.when(F.col(f"l.{found}"), F.col(f"l.{quoted(name)}"))
@@ -185,10 +199,17 @@ def lead_next(
     order_by: str | Iterable[str],
     value: str,
     name: str = "next_value",
-    min_bytes: float | None = None,
+    unique_order: bool = False,
+    hot_keys: bool = True,
 ) -> DataFrame:
-    """Add the value of the next row of the same key, NULL at the last row."""
+    """Add the value of the next row of the same key, NULL at the last row.
+
+    Ties go by row content unless `unique_order` states that there are none.
+    `hot_keys=False` states that no key holds a large share of the rows.
+    """
     names, order = resolve(df, keys), resolve(df, as_list(order_by))
     (value,) = resolve(df, value)
-    cuts = find_cuts(df, names, order, min_bytes)
-    return lead_in_key(df, names, order, value, name, cuts, order)
+    columns = [c for c in df.columns if c.lower() != name.lower()]
+    df, order = _ordered(df, order, unique_order)
+    cuts = find_cuts(df, names, order) if hot_keys else None
+    return lead_in_key(df, names, order, value, name, cuts, order).select(*[col(c) for c in columns], col(name))

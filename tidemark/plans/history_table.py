@@ -39,7 +39,7 @@ def write_versions(
     return write_keyed(
         versions,
         path,
-        spec.record_keys,
+        spec.record_keys(versions),
         open_first(spec),
         partition_by=[spec.status],
         dedup=True,

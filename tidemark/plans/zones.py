@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +14,7 @@ from tidemark.functions.names import as_list, col, resolve
 from tidemark.functions.times import HONG_KONG, timestamp_literal
 from tidemark.operators.columns import add_column, drop_columns, fill_null_keys, landing_columns, version_columns
 from tidemark.operators.filters import in_window, is_nonempty, not_deleted
-from tidemark.operators.history import History, delta, new_versions
-from tidemark.operators.hotkeys import NEVER
+from tidemark.operators.history import History, checked_key, delta, new_versions
 from tidemark.operators.latest import keep_last
 from tidemark.plans.history_table import read_active, write_versions
 from tidemark.sources.files import read_parquet, write_parquet
@@ -29,8 +29,11 @@ class Run:
     op_col     operation code of the feed; None treats every change as a version
     collapse   a batch adds at most one version per key (its newest change);
                False keeps every change as a version
-    tie_breaker  feed columns that order changes with equal times, after the commit order
+    tie_breaker  feed columns that order changes with equal times, after the commit order;
+               versions that start at one instant are told apart by them
     late       what happens to changes not newer than the active version: "apply" or "drop"
+    key_defaults  what NULL keys become, by column ({} for the defaults by type); None:
+               a NULL key stops the run
     """
 
     keys: list[str] | str
@@ -46,17 +49,20 @@ class Run:
     tie_breaker: list[str] | str = ()
     collapse: bool = True
     late: str = "apply"
+    key_defaults: Mapping | None = None
     run_ts: str | datetime | None = None
     zone: str = HONG_KONG
 
-    def history(self, tie_breaker: list[str] = ()) -> History:
+    def history(self) -> History:
+        """Rules of the structured table; one change per key and batch has no hot keys to look for."""
         return History(
             keys=self.keys,
             ts="effective_from",
             op=self.op_col,
             deleted=self.deleted,
-            tie_breaker=list(tie_breaker),
+            tie_breaker=as_list(self.tie_breaker),
             late=self.late,
+            hot_keys=not self.collapse,
         )
 
 
@@ -94,7 +100,10 @@ def changes_in_window(spark: SparkSession, processed: str, run: Run) -> DataFram
 
 def prepare_changes(changes: DataFrame, run: Run) -> DataFrame:
     """Newest change per key (or all of them) with version columns and filled keys."""
-    changes = fill_null_keys(changes, run.keys)
+    if run.key_defaults is None:
+        changes = changes.withColumns({k: checked_key(k) for k in resolve(changes, run.keys)})
+    else:
+        changes = fill_null_keys(changes, run.keys, run.key_defaults, unused=True)
     if run.collapse:
         order = [run.ts_col, SEQ, *as_list(run.tie_breaker)]
         changes = keep_last(changes, run.keys, order)
@@ -103,6 +112,11 @@ def prepare_changes(changes: DataFrame, run: Run) -> DataFrame:
     )
 
 
+def _in_commit_order(run: Run) -> History:
+    spec = run.history()
+    return replace(spec, tie_breaker=[SEQ, *spec.tie_breaker])
+
+
 def first_versions(changes: DataFrame, run: Run) -> DataFrame:
     """Versions of the initial load: deletes dropped, feed columns removed."""
     feed = [run.ts_col, SEQ, *([run.op_col] if run.op_col else [])]
@@ -111,18 +125,15 @@ def first_versions(changes: DataFrame, run: Run) -> DataFrame:
             changes = not_deleted(changes, run.op_col, run.deleted)
         versions = drop_columns(changes, feed)
     else:
-        spec = run.history([SEQ, *as_list(run.tie_breaker)])
         plain = drop_columns(changes, feed).schema
-        versions = new_versions(changes, spec, plain)
+        versions = new_versions(changes, _in_commit_order(run), plain)
     return add_column(versions, "business_date", timestamp_literal(run.business_date).cast("date"))
 
 
 def next_versions(current: DataFrame, changes: DataFrame, run: Run) -> DataFrame:
     """What an incremental run changes; its business date goes on every such version."""
     plain = drop_columns(current, "business_date")
-    ties = [] if run.collapse else [SEQ, *as_list(run.tie_breaker)]
-    # One change per key has no hot keys to look for.
-    changed = delta(plain, changes, run.history(ties), NEVER if run.collapse else None)
+    changed = delta(plain, changes, run.history() if run.collapse else _in_commit_order(run))
     return add_column(changed, "business_date", timestamp_literal(run.business_date).cast("date"))
 
 
@@ -139,15 +150,7 @@ def structure(spark: SparkSession, processed: str, structured: str, run: Run) ->
     changes = prepare_changes(window, run)
     spec = run.history()
     if not table_exists(spark, structured):
-        versions = first_versions(changes, run)
-        write_keyed(
-            versions,
-            structured,
-            [*resolve(versions, run.keys), spec.start],
-            partition_by=[spec.status],
-            known_unique=run.collapse,
-            rebalance=False,
-        )
+        write_versions(first_versions(changes, run), structured, spec)
         return "initial"
     versions = next_versions(read_active(spark, structured, spec), changes, run)
     write_versions(versions, structured, spec, timestamp_literal(run.window_from))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+from tidemark.sources.paths import delete_on_exit
+
 # Audit times are UTC wall clocks shifted explicitly, so the session zone is
 # pinned; rebase modes are stated because old parquet writers differ in them.
 DEFAULTS = {
@@ -47,10 +48,14 @@ def get_session(app_name: str, **conf: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below the one the cluster names in spark.checkpoint.dir."""
+    """A new folder below the one the cluster names in spark.checkpoint.dir.
+
+    All such folders of a session lie in one, which is deleted when the session's
+    JVM ends.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.gettempdir()
-    return f"{base.rstrip('/')}/tidemark-{uuid.uuid4().hex}/{name}"
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    own = f"{base.rstrip('/')}/tidemark-{spark.sparkContext.applicationId}"
+    delete_on_exit(spark, own)
+    return f"{own}/{uuid.uuid4().hex}/{name}"

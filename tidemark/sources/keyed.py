@@ -6,9 +6,10 @@ A table is a folder:
     state/<n>.json                                 which of these folders are live
 
 A write makes a folder of its own and then one small state file, so a reader
-sees the state before or after it. One writer at a time: the state file is
-created only if absent, so of two writers on the same state one fails and the
-table is as the other left it. Folders of a failed write are never live.
+sees the state before or after it: the file is written under another name and
+appears whole. One writer at a time: it appears only if there is none of its
+name, so of two writers on the same state one fails and the table is as the
+other left it. Folders of a failed write are never live.
 
 Cost of an upsert: folders without any of the batch's keys are neither read
 beyond the key columns nor rewritten. Partitioning a table so that a batch meets
@@ -28,11 +29,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.names import RESERVED, as_list, col, resolve, same_schema
-from tidemark.functions.sizes import can_spare_shuffle
-from tidemark.operators.joins import distinct_keys, rows_touched, rows_untouched
+from tidemark.operators.joins import rows_touched, rows_untouched
 from tidemark.operators.latest import first_of_few, keep_last, ordering
 from tidemark.session import shared_dir
-from tidemark.sources.files import by_folder, write_files
+from tidemark.sources.files import write_files
 from tidemark.sources.paths import file_system, read_text, write_new_text
 
 SEQ = "commit_seq"
@@ -141,13 +141,12 @@ def _met_folders(old: DataFrame, keys: list[str], batch: DataFrame, near: Sequen
 
 
 def _merge(
-    old: DataFrame, batch: DataFrame, keys: list[str], order_by: list, unique: bool, replace: bool, few: bool
+    old: DataFrame, batch: DataFrame, keys: list[str], order_by: list, unique: bool, replace: bool
 ) -> tuple[DataFrame | None, DataFrame]:
     """One row per key of stored and new rows; the batch wins where the order does not decide.
 
     Returns stored rows the batch does not meet, if they can be told apart, and
-    the others. With `few` keys in the batch Spark broadcasts them, and the
-    first of the two comes from the scan without a shuffle.
+    the others.
     """
     if replace:
         # Thin out keys stored many times before the join, not after it.
@@ -157,11 +156,7 @@ def _merge(
     new, old = batch.withColumn(_BATCH, F.lit(1)), old.withColumn(_BATCH, F.lit(0))
     if not unique:
         return None, keep_last(old.unionByName(new), keys, order).drop(_BATCH)
-    if not few:
-        return None, first_of_few(old.unionByName(new), keys, order).drop(_BATCH)
-    rest = rows_untouched(old, batch, keys, null_safe=True)
-    met = rows_touched(old, batch, keys, null_safe=True)
-    return rest.drop(_BATCH), first_of_few(met.unionByName(new), keys, order).drop(_BATCH)
+    return None, first_of_few(old.unionByName(new), keys, order).drop(_BATCH)
 
 
 def write_keyed(
@@ -238,11 +233,7 @@ def write_keyed(
         keep = [name for name in state["live"] if name not in set(met)]
         if met:
             old = _frame(spark, path, state, met).select(*[col(c) for c in df.columns])
-            few = unique and can_spare_shuffle(old, distinct_keys(batch, keys))
-            rest, batch = _merge(old, batch, keys, order_by, unique, replace, few)
-            if rest is not None and few and rebalance:
-                # Scanned rows still lie folder by folder: only the others need to move.
-                batch, rebalance = by_folder(batch, parts), False
+            rest, batch = _merge(old, batch, keys, order_by, unique, replace)
             if rest is not None:
                 batch = rest.unionByName(batch)
         return _commit(batch, path, state, keep, meta, rebalance)
