@@ -324,10 +324,13 @@ FROM (SELECT *, LEAD(l_linenumber) OVER (PARTITION BY l_orderkey ORDER BY l_line
             SELECT * REPLACE (-1 - l_orderkey AS l_orderkey) FROM lineitem WHERE l_linenumber <= 3) u) l""",
     "processed_to_structured_ties": """
 WITH feed AS (
-  SELECT * EXCLUDE (l_quantity, l_discount, l_tax) FROM lineitem
+  SELECT * EXCLUDE (l_quantity, l_discount, l_tax)
+           REPLACE (CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) AS l_shipdate)
+  FROM lineitem
   UNION ALL
   SELECT * EXCLUDE (l_quantity, l_discount, l_tax)
-           REPLACE (-1 - l_partkey AS l_partkey, l_shipdate + INTERVAL 60 YEAR AS l_shipdate)
+           REPLACE (-1 - l_partkey AS l_partkey,
+                    CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) + INTERVAL 60 YEAR AS l_shipdate)
   FROM lineitem WHERE l_linenumber = 1),
 runs AS (
   SELECT *, CASE WHEN l_shipdate <= TIMESTAMP '1998-01-01 00:00:00' THEN DATE '1998-01-02'

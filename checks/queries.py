@@ -23,8 +23,10 @@ CUT = "2024-01-15 00:00:00"
 RUN_TS = "2024-02-01 00:00:00"
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
 
-USERS = History(keys="user_id", ts="ts", tie_breaker="event_id", unique_order=True)
-USERS_OP = History(keys="user_id", ts="ts", tie_breaker="event_id", op="op", unique_order=True)
+# Events are spread evenly over users; KINDS below has a key that is not.
+EVEN = {"ts": "ts", "tie_breaker": "event_id", "unique_order": True, "hot_keys": False}
+USERS = History(keys="user_id", **EVEN)
+USERS_OP = History(keys="user_id", op="op", **EVEN)
 
 
 _SCHEMAS: dict[str, T.StructType] = {}
@@ -375,7 +377,7 @@ def keep_first_events(spark, sf_dir):
 
 def row_number_per_key(spark, sf_dir):
     df = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
-    return latest.row_number_per_key(df, "o_custkey", ["o_orderdate", "o_orderkey"], "n", unique_order=True)
+    return latest.row_number_per_key(df, "o_custkey", ["o_orderdate", "o_orderkey"], "n", unique_order=True, hot_keys=False)
 
 
 def row_number_hot_key(spark, sf_dir):
@@ -396,7 +398,9 @@ def lead_hot_key(spark, sf_dir):
 
 def lead_next_change(spark, sf_dir):
     df = cdc(spark, sf_dir).select("user_id", "event_id", "ts")
-    return latest.lead_next(df, "user_id", ["ts", "event_id"], "ts", "next_ts", unique_order=True)
+    return latest.lead_next(
+        df, "user_id", ["ts", "event_id"], "ts", "next_ts", unique_order=True, hot_keys=False
+    )
 
 
 # History.
@@ -425,7 +429,7 @@ def scd2_as_of(spark, sf_dir):
     return history.as_of(whole, "2024-01-20 00:00:00", USERS)
 
 
-ON_TIME = History(keys="user_id", ts="ts", tie_breaker="event_id", late="drop", unique_order=True)
+ON_TIME = History(keys="user_id", late="drop", **EVEN)
 
 # Kinds of events: one has two fifths of all rows, so its windows are cut into slices.
 KINDS = History(keys="kind", ts="ts", tie_breaker="event_id", unique_order=True)
@@ -535,7 +539,7 @@ def processed_to_structured_all(spark, sf_dir):
 
 
 def processed_to_structured_ties(spark, sf_dir):
-    """Lines as changes of their part by shipping day: many on one day, in three runs, one of other parts only."""
+    """Lines as changes of their part by month: many at one instant, in three runs, one of other parts only."""
     processed, structured = shared_dir(spark, "processed"), shared_dir(spark, "structured")
 
     def run(start: str, end: str, day: str) -> zones.Run:
@@ -549,6 +553,7 @@ def processed_to_structured_ties(spark, sf_dir):
     second = run("1998-01-01 00:00:00.000001", "2050-01-01 00:00:00", "2050-01-02")
     third = run("2050-01-01 00:00:00.000001", "2090-01-01 00:00:00", "2090-01-02")
     lines = table(spark, sf_dir, "lineitem").drop("l_quantity", "l_discount", "l_tax")
+    lines = lines.withColumn("l_shipdate", F.date_trunc("month", "l_shipdate").cast("timestamp_ntz"))
     other = lines.filter("l_linenumber = 1").withColumns(
         {"l_partkey": -1 - F.col("l_partkey"), "l_shipdate": F.expr("l_shipdate + INTERVAL 60 YEARS")}
     )
