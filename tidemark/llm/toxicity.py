@@ -14,6 +14,7 @@ one pass without a shuffle.
 from __future__ import annotations
 
 import uuid
+from array import array
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.decontamination import parts
-from tidemark.llm.hashing import PLAIN_WORDS
+from tidemark.llm.hashing import PLAIN_WORDS, runs
 from tidemark.llm.shared import held_out, shipped, unit_hash
 
 POSITIVES, NEGATIVES = 2000, 4000
@@ -94,31 +95,38 @@ def fit(examples: list[tuple[str | None, int, float]], rounds: int = ROUNDS) ->
     importance = np.array([weight for *_, weight in examples], float)
     if not len(examples) or labels.min() == labels.max():
         return Model(np.zeros(WEIGHTS), -np.inf)
-    # Numbers for words; per document the starts of its sentences.
+    # Numbers for words, and for each word its sentence, for each sentence its document.
     numbers: dict[bytes, int] = {}
-    words, sentence_of, doc_of = [], [], []
-    n_sentences = 0
+    words, sizes, doc_of = array("i"), array("i"), array("i")
     for doc, (text, _, _) in enumerate(examples):
-        sentence: list[int] = []
+        n = 0
         for token in _tokens((text or "").encode()):
             if token != _END:
-                sentence.append(numbers.setdefault(token, len(numbers)))
-            elif sentence:
-                words.extend(sentence)
-                sentence_of.extend([n_sentences] * len(sentence))
+                words.append(numbers.setdefault(token, len(numbers)))
+                n += 1
+            elif n:
+                sizes.append(n)
                 doc_of.append(doc)
-                n_sentences, sentence = n_sentences + 1, []
-    words, sentence_of, doc_of = np.array(words, np.int32), np.array(sentence_of, np.int32), np.array(doc_of, np.int32)
-    lists = [_features(word) for word in numbers]
-    of_word = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    places = np.array([p for x in lists for p in x], np.int64)
+                n = 0
+    n_words, n_sentences = len(numbers), len(sizes)
+    places, n_features = array("i"), array("i")
+    for word in numbers:
+        own = _features(word)
+        places.extend(own)
+        n_features.append(len(own))
+    del numbers
+    words, doc_of, places = (np.frombuffer(x, np.int32) for x in (words, doc_of, places))
+    sentence_of = np.repeat(np.arange(n_sentences, dtype=np.int32), sizes)
+    of_word = np.repeat(np.arange(n_words, dtype=np.int32), n_features)
     # Start from how much more often documents with label 1 have a feature.
-    pairs = np.unique(doc_of[sentence_of].astype(np.int64) * len(lists) + words)
-    docs, types = pairs // len(lists), pairs % len(lists)
+    pairs = np.sort(doc_of[sentence_of].astype(np.int64) * n_words + words)
+    pairs = pairs[runs(pairs)]
+    docs, types = pairs // n_words, pairs % n_words
     counts = []
     for label in (1, 0):
-        own = np.bincount(types[labels[docs] == label], minlength=len(lists))
+        own = np.bincount(types[labels[docs] == label], minlength=n_words)
         counts.append(np.bincount(places, own[of_word], minlength=WEIGHTS))
+    del pairs, docs, types
     total = [max(float((labels == label).sum()), 1.0) for label in (1, 0)]
     odds = np.log((counts[0] + 0.5) / total[0]) - np.log((counts[1] + 0.5) / total[1])
     known = counts[0] + counts[1] >= 3
@@ -127,7 +135,7 @@ def fit(examples: list[tuple[str | None, int, float]], rounds: int = ROUNDS) ->
     # Adam on the weighted log loss of the noisy-or.
     first, second, b_first, b_second = np.zeros(WEIGHTS), np.zeros(WEIGHTS), 0.0, 0.0
     for step in range(1, rounds + 1):
-        by_word = np.bincount(of_word, weights[places], minlength=len(lists))
+        by_word = np.bincount(of_word, weights[places], minlength=n_words)
         logit = np.bincount(sentence_of, by_word[words], minlength=n_sentences) + bias
         soft = np.logaddexp(0.0, logit)
         none = np.bincount(doc_of, soft, minlength=len(examples))  # -log(1 - P)
@@ -135,7 +143,7 @@ def fit(examples: list[tuple[str | None, int, float]], rounds: int = ROUNDS) ->
         slope = np.where(labels > 0, -1.0 / np.maximum(np.expm1(np.minimum(none, 500)), 1e-9), 1.0)
         g = (importance * np.maximum(slope, -1e3))[doc_of] * np.exp(logit - soft)
         norm = importance.sum()
-        g_word = np.bincount(words, g[sentence_of], minlength=len(lists))
+        g_word = np.bincount(words, g[sentence_of], minlength=n_words)
         gradient = np.where(known, np.bincount(places, g_word[of_word], minlength=WEIGHTS) / norm, 0.0) + 1e-5 * weights
         g_bias = g.sum() / norm
         first, second = 0.9 * first + 0.1 * gradient, 0.99 * second + 0.01 * gradient**2
