@@ -132,6 +132,14 @@ UNION ALL
 SELECT CAST(-1 AS BIGINT), 'O''Hara "quoted"', CAST(NULL AS INTEGER), CAST(NULL AS DOUBLE), CAST(NULL AS VARCHAR)""",
     "keyed_append": _with(ORDERS, "SELECT * FROM old_orders UNION ALL SELECT * FROM new_orders"),
     "keyed_upsert": _with(ORDERS, "SELECT * FROM upserted"),
+    "keyed_upsert_buckets": _with(
+        ORDERS,
+        """
+SELECT o_orderkey,
+       CASE WHEN ver = 2 AND o_orderkey % 500 = 0 THEN 'Y' ELSE o_orderstatus END AS o_orderstatus, o_totalprice,
+       CAST(CASE WHEN ver = 2 AND o_orderkey % 500 = 0 THEN 3 ELSE ver END AS INTEGER) AS ver
+FROM upserted""",
+    ),
     "keyed_upsert_partitioned": _with(ORDERS, "SELECT * FROM upserted"),
     "rename_columns": """
 SELECT o_orderkey AS order_id, o_custkey, o_orderstatus, o_totalprice AS total, o_orderdate FROM orders""",

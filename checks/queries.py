@@ -185,6 +185,16 @@ def keyed_upsert(spark, sf_dir):
     return keyed.read_keyed(spark, path)
 
 
+def keyed_upsert_buckets(spark, sf_dir):
+    """The table is laid out by key; three batches, the last with few keys."""
+    path = shared_dir(spark, "orders")
+    old, new = _order_batches(spark, sf_dir)
+    few = new.filter("o_orderkey % 500 = 0").withColumns({"o_orderstatus": F.lit("Y"), "ver": F.lit(3)})
+    for batch in (old, new, few):
+        keyed.write_keyed(batch, path, "o_orderkey", "ver", dedup=True, buckets=16)
+    return keyed.read_keyed(spark, path)
+
+
 def keyed_upsert_partitioned(spark, sf_dir):
     """The second batch moves rows to another partition and meets only some folders."""
     path = shared_dir(spark, "orders")
@@ -631,7 +641,7 @@ def stream_upsert_events(spark, sf_dir):
     _land_in_parts(
         spark, sf_dir, f"{base}/landing",
         lambda stream: ingest.upsert_stream(
-            stream, f"{base}/users", "user_id", ["ts", "event_id"], f"{base}/bookmark",
+            stream, f"{base}/users", "user_id", ["ts", "event_id"], f"{base}/bookmark", buckets=8,
         ),
     )
     return keyed.read_keyed(spark, f"{base}/users")
@@ -642,7 +652,7 @@ def stream_scd2_users(spark, sf_dir):
     _land_in_parts(
         spark, sf_dir, f"{base}/landing",
         lambda stream: ingest.history_stream(
-            stream, f"{base}/users", USERS, f"{base}/bookmark"
+            stream, f"{base}/users", USERS, f"{base}/bookmark", buckets=8
         ),
     )
     return keyed.read_keyed(spark, f"{base}/users").drop("event_id")
@@ -681,6 +691,7 @@ QUERIES = {
     "catalog_table_roundtrip": catalog_table_roundtrip,
     "keyed_append": keyed_append,
     "keyed_upsert": keyed_upsert,
+    "keyed_upsert_buckets": keyed_upsert_buckets,
     "keyed_upsert_partitioned": keyed_upsert_partitioned,
     "rename_columns": rename_columns,
     "rename_swap": rename_swap,

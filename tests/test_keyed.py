@@ -208,3 +208,42 @@ def test_empty_batches(spark, folder):
     write_keyed(frame(spark, (1, "a", 1, "x")), folder, "k", "ts", dedup=True)
     write_keyed(frame(spark).limit(0), folder, "k", "ts", dedup=True)
     assert got(spark, folder) == [(1, "a", 1, "x")]
+
+
+def test_one_row_upsert_rewrites_one_bucket_and_reads_no_other(spark, folder):
+    data = [(i, "a", 1, "x") for i in range(400)]
+    write_keyed(frame(spark, *data), folder, "k", "ts", dedup=True, buckets=8)
+    before = set(table_state(spark, folder)["live"])
+    assert len(before) == 8
+    opened = []
+
+    def counted(spark, path, state, live):
+        opened.append(list(live))
+        return real(spark, path, state, live)
+
+    real = keyed._frame
+    keyed._frame = counted
+    try:
+        write_keyed(frame(spark, (7, "a", 2, "new")), folder, "k", "ts", dedup=True)
+    finally:
+        keyed._frame = real
+    after = set(table_state(spark, folder)["live"])
+    assert len(before - after) == 1 and len(after - before) == 1
+    assert all(set(live) == before - after for live in opened)  # looked up and merged: one bucket
+    files = {r[0].split("/data/")[1].rsplit("/", 1)[0] for r in keyed._frame(
+        spark, folder, table_state(spark, folder), table_state(spark, folder)["live"]
+    ).select("_metadata.file_path").distinct().collect()}
+    assert files == after
+    assert got(spark, folder) == sorted([(7, "a", 2, "new"), *[d for d in data if d[0] != 7]], key=str)
+
+
+def test_buckets_of_a_partitioned_table(spark, folder):
+    write_keyed(frame(spark, *[(i, "ab"[i % 2], 1, "x") for i in range(60)]), folder, "k", "ts", "part", dedup=True, buckets=4)
+    write_keyed(frame(spark, (1, "a", 2, "y"), (99, None, 1, "z")), folder, "k", "ts", dedup=True)
+    assert len(got(spark, folder)) == 61 and (1, "a", 2, "y") in got(spark, folder)
+    drop_old_versions(spark, folder, keep=1)
+    assert len(got(spark, folder)) == 61
+    with pytest.raises(ValueError, match="bucket_by"):
+        write_keyed(frame(spark, (1, "a", 2, "y")), folder + "2", "k", dedup=True, buckets=4, bucket_by="part")
+    with pytest.raises(ValueError, match="reserved"):
+        write_keyed(frame(spark, (1, "a", 2, "y")).withColumnRenamed("v", "key_bucket"), folder + "3", "k")

@@ -88,6 +88,28 @@ def test_jdbc_options():
     assert options == {"user": "u", "url": "jdbc:x:y", "dbtable": "s.t"}
 
 
-def test_jdbc_split_needs_bounds(spark):
-    with pytest.raises(ValueError, match="bounds"):
+def test_jdbc_split_must_be_given(spark):
+    with pytest.raises(TypeError, match="bounds"):
         jdbc.read_jdbc(spark, "jdbc:x:y", "t", split_by="id")
+
+
+def test_catalog_names_are_quoted(spark, folder):
+    from tidemark.sources import catalog
+
+    catalog.create_database(spark, "odd_names", f"{folder}/it's")
+    try:
+        catalog.create_table(spark, "odd_names.values", "id INT, v STRING")
+        catalog.insert_values(spark, "odd_names.values", ["id", "v"], [1, "a"])
+        assert [tuple(r) for r in catalog.select_table(spark, "odd_names.`values`").collect()] == [(1, "a")]
+    finally:
+        catalog.drop_table(spark, "odd_names.values")
+        spark.sql("DROP DATABASE odd_names")
+
+
+def test_schema_of_text_formats_must_be_given(spark, folder):
+    from tidemark.plans.daily import Zones, run_table
+
+    spark.range(3).write.json(f"{folder}/landing")
+    zones = Zones(f"{folder}/landing", f"{folder}/p", f"{folder}/s", f"{folder}/b", fmt="json")
+    with pytest.raises(ValueError, match="schema of json"):
+        run_table(spark, zones, None)

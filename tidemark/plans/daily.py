@@ -33,6 +33,8 @@ def run_table(spark: SparkSession, zones: Zones, run: Run, schema: T.StructType
     """
     if has_files(spark, zones.landing):
         if schema is None:
+            if zones.fmt not in ("parquet", "orc"):
+                raise ValueError(f"give the schema of {zones.fmt} files: to infer it would read all that ever landed")
             schema = read_files(spark, zones.fmt, zones.landing).schema
         landed = new_files(spark, zones.landing, schema, zones.fmt, archive=zones.backup)
         run_available(landed, zones.bookmark, lambda batch, id_: land(batch, zones.processed, run, id_))

@@ -22,9 +22,14 @@ def read_active(spark: SparkSession, path: str, spec: History) -> DataFrame:
 
 
 def write_versions(
-    versions: DataFrame, path: str, spec: History, since=None, batch_id: tuple[str, int] | None = None
+    versions: DataFrame,
+    path: str,
+    spec: History,
+    since=None,
+    batch_id: tuple[str, int] | None = None,
+    buckets: int = 0,
 ) -> int | None:
-    """Upsert versions by key and start.
+    """Upsert versions by key, start and tie-breakers; `buckets` lays a new table out by key.
 
     The table is partitioned by status: ended versions are only ever added to,
     and a batch rewrites the active ones at most. `since` is a time before
@@ -47,13 +52,17 @@ def write_versions(
         near=near,
         batch_id=batch_id,
         rebalance=False,
+        buckets=buckets,
+        bucket_by=spec.keys,
     )
 
 
-def merge_history(log: DataFrame, path: str, spec: History, batch_id: tuple[str, int] | None = None) -> int | None:
-    """Bring the history at `path` up to date with a batch of changes."""
+def merge_history(
+    log: DataFrame, path: str, spec: History, batch_id: tuple[str, int] | None = None, buckets: int = 0
+) -> int | None:
+    """Bring the history at `path` up to date with a batch of changes; `buckets` as in write_versions."""
     spark = log.sparkSession
     if not table_exists(spark, path):
-        return write_versions(new_versions(log, spec), path, spec, batch_id=batch_id)
+        return write_versions(new_versions(log, spec), path, spec, batch_id=batch_id, buckets=buckets)
     (since,) = log.agg(F.min(col(*resolve(log, spec.ts[0])))).first()
     return write_versions(delta(read_active(spark, path, spec), log, spec), path, spec, since, batch_id)

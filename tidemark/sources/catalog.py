@@ -9,9 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.functions.names import as_list, col, quoted, resolve
 
 
+def _name(name: str) -> str:
+    """A table or database name, its parts quoted."""
+    return ".".join(quoted(part.strip("`")) for part in name.split("."))
+
+
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
-    place = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{place}")
+    escaped = (location or "").replace("\\", "\\\\").replace("'", "\\'")
+    place = f" LOCATION '{escaped}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_name(name)}{place}")
 
 
 def create_table(
@@ -20,18 +26,18 @@ def create_table(
     """Create a table from column definitions such as "id INT, name STRING"."""
     parts = as_list(partition_by)
     split = f" PARTITIONED BY ({', '.join(quoted(p) for p in parts)})" if parts else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt}{split}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {_name(name)} ({columns}) USING {fmt}{split}")
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {_name(name)}")
 
 
 def insert_values(spark: SparkSession, name: str, columns: Sequence[str], values: Sequence) -> None:
     """Insert one row; values are bound, so quotes, NULL and dates arrive as they are."""
     marks = ", ".join("?" for _ in values)
     names = ", ".join(quoted(c) for c in columns)
-    spark.sql(f"INSERT INTO {name} ({names}) VALUES ({marks})", args=list(values))
+    spark.sql(f"INSERT INTO {_name(name)} ({names}) VALUES ({marks})", args=list(values))
 
 
 def insert_rows(df: DataFrame, name: str) -> None:

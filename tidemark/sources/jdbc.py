@@ -16,27 +16,29 @@ def read_jdbc(
     url: str,
     table: str,
     properties: Mapping[str, str] | None = None,
-    split_by: str | None = None,
-    bounds: tuple | None = None,
-    splits: int = 1,
+    *,
+    split_by: str,
+    bounds: tuple,
+    splits: int,
 ) -> DataFrame:
     """Scan a database table; filters and the column list run in the database.
 
-    Without `split_by` one task reads everything. With it, `splits` tasks read
-    equal ranges between `bounds` (rows outside go to the first and last one).
+    `splits` tasks read equal ranges of `split_by` between `bounds` (rows outside
+    go to the first and last one); no table is read by a single task unasked.
     """
     reader = spark.read.format("jdbc").options(**jdbc_options(url, table, properties))
-    if split_by is not None:
-        if bounds is None:
-            raise ValueError("split_by needs bounds")
-        reader = reader.options(
-            partitionColumn=split_by, lowerBound=str(bounds[0]), upperBound=str(bounds[1]), numPartitions=str(splits)
-        )
-    return reader.load()
+    split = {"lowerBound": str(bounds[0]), "upperBound": str(bounds[1]), "numPartitions": str(splits)}
+    return reader.options(partitionColumn=split_by, **split).load()
 
 
 def write_jdbc(
-    df: DataFrame, url: str, table: str, properties: Mapping[str, str] | None = None, mode: str = "errorifexists"
+    df: DataFrame,
+    url: str,
+    table: str,
+    properties: Mapping[str, str] | None = None,
+    mode: str = "errorifexists",
+    connections: int = 16,
 ) -> None:
-    """Write to a database table, one connection per task."""
-    df.write.format("jdbc").mode(mode).options(**jdbc_options(url, table, properties)).save()
+    """Write to a database table over at most `connections` connections."""
+    options = {**jdbc_options(url, table, properties), "numPartitions": str(connections)}
+    df.write.format("jdbc").mode(mode).options(**options).save()

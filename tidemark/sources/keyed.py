@@ -13,7 +13,8 @@ other left it. Folders of a failed write are never live.
 
 Cost of an upsert: folders without any of the batch's keys are neither read
 beyond the key columns nor rewritten. Partitioning a table so that a batch meets
-few folders (history by status, facts by day) keeps daily work to those.
+few folders (history by status, facts by day) keeps daily work to those; with
+buckets, folders of other buckets are not even listed.
 """
 
 from __future__ import annotations
@@ -37,6 +38,7 @@ from tidemark.sources.paths import file_system, read_text, write_new_text
 
 SEQ = "commit_seq"
 ID = "commit_id"
+BUCKET = "key_bucket"
 _FILE = RESERVED + "file"
 _BATCH = RESERVED + "batch"
 
@@ -70,6 +72,8 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 def _frame(spark: SparkSession, path: str, state: dict, live: list[str]) -> DataFrame:
     schema = T.StructType.fromJson(state["schema"])
     stored = T.StructType([*schema, T.StructField(SEQ, T.IntegerType()), T.StructField(ID, T.StringType())])
+    if state.get("buckets"):
+        stored = stored.add(BUCKET, T.IntegerType())
     if not live:
         return spark.createDataFrame([], stored)
     data = f"{path}/data"
@@ -114,11 +118,27 @@ def _folders(spark: SparkSession, path: str, below: str) -> list[str]:
     return sorted(n[n.rindex(f"/{SEQ}=") + 1 :] for n in names)
 
 
+def _bucket(state: dict) -> Column:
+    """The bucket of a row: its keys decide, or those of them that the table is laid out by."""
+    return F.pmod(F.xxhash64(*[col(k) for k in state["bucket_by"]]), F.lit(state["buckets"])).cast("int")
+
+
+def _in_buckets(state: dict, batch: DataFrame) -> list[str]:
+    """Live folders of the buckets that the batch's keys belong to; all where there are no buckets."""
+    if not state.get("buckets"):
+        return state["live"]
+    touched = {str(r[0]) for r in batch.select(_bucket(state)).distinct().collect()}  # one per bucket at most
+    return [f for f in state["live"] if _parts(f)[BUCKET] in touched]
+
+
 def _commit(df: DataFrame, path: str, state: dict | None, keep: list[str], meta: dict, rebalance: bool) -> int:
     """Write `df` to a folder of its own, then make it and the `keep` folders live."""
     spark = df.sparkSession
     version = state["version"] + 1 if state else 1
-    parts = meta["partition_by"]
+    parts = list(meta["partition_by"])
+    if meta.get("buckets"):
+        df, rebalance = df.withColumn(BUCKET, _bucket(meta)), True
+        parts.append(BUCKET)
     folder = f"{SEQ}={version}/{ID}={uuid4().hex}"
     write_files(df, "parquet", f"{path}/data/{folder}", partition_by=parts, rebalance=rebalance)
     live = keep + _folders(spark, path, folder + "/*=*" * len(parts))
@@ -171,6 +191,8 @@ def write_keyed(
     near: Sequence[Column] = (),
     batch_id: tuple[str, int] | None = None,
     rebalance: bool = True,
+    buckets: int = 0,
+    bucket_by: str | Iterable[str] = (),
 ) -> int | None:
     """Write a batch to a keyed table; returns the new version.
 
@@ -183,14 +205,20 @@ def write_keyed(
                    when appending, that the table has none of them)
     near           upsert: conditions; every stored row that shares a key with the
                    batch meets one of them, and others are not even looked at
+    buckets        lay a new table out in so many buckets by a hash of the keys (or of
+                   `bucket_by`, some of them), below its partitions: an upsert then
+                   lists and reads the buckets of its own keys only. Choose it such
+                   that a bucket of the largest partition suits a few tasks
     batch_id       (source, number): a batch already written is skipped and
                    None returned, which makes retries of a stream harmless
     """
     spark = df.sparkSession
     keys, parts = resolve(df, keys), resolve(df, partition_by)
     order_by = as_list(order_by) if isinstance(order_by, str) else list(order_by)
-    if {SEQ, ID} & {c.lower() for c in df.columns}:
-        raise ValueError(f"{SEQ} and {ID} are reserved column names")
+    if {SEQ, ID, BUCKET} & {c.lower() for c in df.columns}:
+        raise ValueError(f"{SEQ}, {ID} and {BUCKET} are reserved column names")
+    if not set(resolve(df, bucket_by)) <= set(keys):
+        raise ValueError("bucket_by must name keys")
     state = table_state(spark, path)
     if state is not None:
         if as_list(partition_by) and [p.lower() for p in parts] != [p.lower() for p in state["partition_by"]]:
@@ -214,6 +242,8 @@ def write_keyed(
         "partition_by": parts,
         "unique": dedup or (known_unique and (state is None or state["unique"])),
         "batches": seen,
+        "buckets": state.get("buckets", 0) if state else buckets,
+        "bucket_by": state.get("bucket_by", []) if state else (resolve(df, bucket_by) or keys),
     }
     if not dedup:
         return _commit(df, path, state, state["live"] if state else [], meta, rebalance)
@@ -229,7 +259,8 @@ def write_keyed(
         unique = state["unique"] and [k.lower() for k in state["keys"]] == [k.lower() for k in keys]
         met = state["live"]
         if unique:
-            met = _met_folders(_frame(spark, path, state, state["live"]), keys, batch, near)
+            met = _in_buckets(state, batch)
+            met = _met_folders(_frame(spark, path, state, met), keys, batch, near) if met else []
         keep = [name for name in state["live"] if name not in set(met)]
         if met:
             old = _frame(spark, path, state, met).select(*[col(c) for c in df.columns])
@@ -252,7 +283,8 @@ def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str
     for version in gone:
         fs, file = file_system(spark, f"{path}/state/{version:010d}.json")
         fs.delete(file, False)
-    parts = _load(spark, path, kept[-1])["partition_by"]
+    newest = _load(spark, path, kept[-1])
+    parts = [*newest["partition_by"], *([BUCKET] if newest.get("buckets") else [])]
     used = {folder for version in kept for folder in _load(spark, path, version)["live"]}
     dropped = []
     for folder in _folders(spark, path, f"{SEQ}=*/{ID}=*" + "/*=*" * len(parts)):

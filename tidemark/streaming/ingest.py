@@ -82,13 +82,17 @@ def upsert_stream(
     order_by: str | Iterable[str | Column],
     checkpoint: str,
     partition_by: str | Iterable[str] = (),
+    buckets: int = 0,
 ) -> None:
-    """Keep the newest row per key; `order_by` decides, so files may arrive in any order."""
+    """Keep the newest row per key; `order_by` decides, so files may arrive in any order.
+
+    With `buckets`, a micro-batch reads and rewrites only the buckets of its keys.
+    """
     run_available(
         stream,
         checkpoint,
         lambda batch, id_: write_keyed(
-            batch, path, keys, order_by, partition_by, dedup=True, batch_id=id_
+            batch, path, keys, order_by, partition_by, dedup=True, batch_id=id_, buckets=buckets
         ),
     )
 
@@ -99,9 +103,11 @@ def history_stream(
     spec: History,
     checkpoint: str,
     prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
+    buckets: int = 0,
 ) -> None:
     """Merge changes into a history table, micro-batch by micro-batch.
 
-    Changes that arrive after a newer one of their key follow `spec.late`.
+    Changes that arrive after a newer one of their key follow `spec.late`. With
+    `buckets`, a micro-batch looks at the buckets of its keys only.
     """
-    run_available(stream, checkpoint, lambda batch, id_: merge_history(prepare(batch), path, spec, id_))
+    run_available(stream, checkpoint, lambda batch, id_: merge_history(prepare(batch), path, spec, id_, buckets))
