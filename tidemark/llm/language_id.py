@@ -27,6 +27,8 @@ from tidemark.llm.shared import held_out, shipped, unit_hash
 
 PER_LANGUAGE = 500
 WEIGHTS = 1 << 16
+# Up to this many languages, their counts are broadcast; beyond, ids are shuffled by language.
+BROADCAST_LANGUAGES = 10_000
 ROUNDS = 80
 PART_BYTES = 1 << 20
 UNDETERMINED = "und"
@@ -127,6 +129,8 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     own = docs.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     order = Window.partitionBy("lang").orderBy("u", "doc_id")
     counts = own.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    if counts.limit(BROADCAST_LANGUAGES + 1).count() <= BROADCAST_LANGUAGES:
+        counts = F.broadcast(counts)
     # About twice as many by their hash alone, so that no language's rows meet in one task.
     lowest = own.select("doc_id", "lang", unit_hash("doc_id", seed=8).alias("u")).join(counts, "lang")
     lowest = lowest.filter(F.col("u") * F.col("n") <= 2 * per_language + 100)
