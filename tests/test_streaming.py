@@ -8,6 +8,7 @@ from checks import queries
 from helpers import rows
 from tidemark.operators import history, latest
 from tidemark.operators.columns import add_column
+from tidemark.operators.history import History
 from tidemark.sources import files, keyed
 from tidemark.streaming import ingest
 
@@ -84,6 +85,21 @@ def test_history_stream_equals_batch(spark, events, folder):
     assert rows(got) == rows(history.new_versions(feed, spec))
 
 
+def test_late_changes_of_a_stream_are_kept_apart(spark, folder):
+    spec = History(keys="id", ts="ts", tie_breaker="seq")
+    deliveries = [[(1, "b", 10, 1), (2, "c", 3, 2)], [(1, "a", 5, 3), (2, "d", 9, 4)], [(1, "x", 12, 5)]]
+    for rows_ in deliveries:
+        df = spark.createDataFrame(rows_, "id int, v string, ts int, seq int")
+        files.write_parquet(df.coalesce(1), folder + "/landing", mode="append")
+        stream = ingest.new_files(spark, folder + "/landing", df.schema)
+        ingest.history_stream(stream, folder + "/out", spec, folder + "/mark", buckets=2)
+    got = keyed.read_keyed(spark, folder + "/out").select("id", "v", "effective_from", "effective_to", "status")
+    assert sorted(map(tuple, got.collect()), key=str) == [
+        (1, "b", 10, 12, "inactive"), (1, "x", 12, None, "active"), (2, "c", 3, 9, "inactive"), (2, "d", 9, None, "active"),
+    ]
+    assert [tuple(r) for r in keyed.read_keyed(spark, folder + "/out-late").collect()] == [(1, "a", 5, 3)]
+
+
 def queries_dir(events) -> str:
     return events.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
 

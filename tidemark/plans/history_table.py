@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import as_column, col, resolve
-from tidemark.operators.history import History, delta, new_versions
+from tidemark.operators.history import History, delta, late_rows, new_versions
+from tidemark.session import shared_dir
 from tidemark.sources.keyed import read_keyed, table_exists, write_keyed
+from tidemark.sources.paths import file_system
 
 
 def open_first(spec: History) -> list[Column]:
@@ -64,5 +66,20 @@ def merge_history(
     spark = log.sparkSession
     if not table_exists(spark, path):
         return write_versions(new_versions(log, spec), path, spec, batch_id=batch_id, buckets=buckets)
-    (since,) = log.agg(F.min(col(*resolve(log, spec.ts[0])))).first()
-    return write_versions(delta(read_active(spark, path, spec), log, spec), path, spec, since, batch_id)
+    # The batch is read several times: write it once, whatever it took to make it.
+    folder = shared_dir(spark, "changes")
+    try:
+        log.write.parquet(folder)
+        log = spark.read.schema(log.schema).parquet(folder)
+        (since,) = log.agg(F.min(col(*resolve(log, spec.ts[0])))).first()
+        return write_versions(delta(read_active(spark, path, spec), log, spec), path, spec, since, batch_id)
+    finally:
+        fs, written = file_system(spark, folder)
+        fs.delete(written.getParent(), True)
+
+
+def write_late(log: DataFrame, path: str, late_path: str, spec: History, batch_id: tuple[str, int]) -> None:
+    """Append the changes that `late="drop"` leaves out of the history at `path` to a table of their own."""
+    if table_exists(log.sparkSession, path):
+        late = late_rows(read_active(log.sparkSession, path, spec), log, spec)
+        write_keyed(late, late_path, spec.keys, batch_id=batch_id)

@@ -33,10 +33,14 @@ def size_shuffles(spark: SparkSession, input_bytes: int, task_bytes: int = 256 <
     """Start shuffles with enough tasks for `input_bytes`.
 
     Adaptive execution joins small shuffle tasks but never adds any, so the
-    number to start from must suit the largest input. Returns that number.
+    number to start from must suit the largest input. Only ever raised; returns
+    the number that the input asks for.
     """
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes // task_bytes))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(parts))
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(usual, -(-input_bytes // task_bytes))
+    if parts > int(spark.conf.get(name, None) or usual):
+        spark.conf.set(name, str(parts))
     return parts
 
 

@@ -32,9 +32,9 @@ from pyspark.sql import types as T
 from tidemark.functions.names import RESERVED, as_list, col, resolve, same_schema
 from tidemark.operators.joins import rows_touched, rows_untouched
 from tidemark.operators.latest import first_of_few, keep_last, ordering
-from tidemark.session import shared_dir
+from tidemark.session import shared_dir, size_shuffles
 from tidemark.sources.files import write_files
-from tidemark.sources.paths import file_system, read_text, write_new_text
+from tidemark.sources.paths import file_system, folder_bytes, read_text, write_new_text
 
 SEQ = "commit_seq"
 ID = "commit_id"
@@ -76,6 +76,8 @@ def _frame(spark: SparkSession, path: str, state: dict, live: list[str]) -> Data
         stored = stored.add(BUCKET, T.IntegerType())
     if not live:
         return spark.createDataFrame([], stored)
+    # Shuffles of what is about to be read start with enough tasks for it.
+    size_shuffles(spark, sum(state.get("bytes", {}).get(folder, 0) for folder in live))
     data = f"{path}/data"
     folders = [f"{data}/{folder}" for folder in live]
     return spark.read.schema(stored).option("basePath", data).parquet(*folders)
@@ -141,8 +143,11 @@ def _commit(df: DataFrame, path: str, state: dict | None, keep: list[str], meta:
         parts.append(BUCKET)
     folder = f"{SEQ}={version}/{ID}={uuid4().hex}"
     write_files(df, "parquet", f"{path}/data/{folder}", partition_by=parts, rebalance=rebalance)
-    live = keep + _folders(spark, path, folder + "/*=*" * len(parts))
-    text = json.dumps({"version": version, **meta, "live": live})
+    new = _folders(spark, path, folder + "/*=*" * len(parts))
+    known = state.get("bytes", {}) if state else {}
+    sizes = {name: known[name] for name in keep if name in known}
+    sizes |= {name: folder_bytes(spark, f"{path}/data/{name}") for name in new}
+    text = json.dumps({"version": version, **meta, "live": keep + new, "bytes": sizes})
     write_new_text(spark, f"{path}/state/{version:010d}.json", text)
     return version
 
@@ -255,6 +260,7 @@ def write_keyed(
     folder = shared_dir(spark, "batch")
     try:
         batch.write.parquet(folder)
+        size_shuffles(spark, folder_bytes(spark, folder))
         batch = spark.read.schema(df.schema).parquet(folder)
         unique = state["unique"] and [k.lower() for k in state["keys"]] == [k.lower() for k in keys]
         met = state["live"]

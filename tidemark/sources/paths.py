@@ -74,6 +74,11 @@ def write_new_text(spark: SparkSession, path: str, text: str) -> None:
             fs.delete(draft, False)
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    fs, folder = file_system(spark, path)
+    return fs.getContentSummary(folder).getLength()
+
+
 def delete_on_exit(spark: SparkSession, path: str) -> None:
     """Delete a folder when the session's JVM ends."""
     fs, folder = file_system(spark, path)

@@ -8,12 +8,13 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidemark.operators.history import History
-from tidemark.plans.history_table import merge_history
+from tidemark.plans.history_table import merge_history, write_late
 from tidemark.sources.keyed import write_keyed
 from tidemark.sources.paths import read_text
 
@@ -104,10 +105,22 @@ def history_stream(
     checkpoint: str,
     prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
     buckets: int = 0,
+    late: str = "drop",
+    late_path: str | None = None,
 ) -> None:
     """Merge changes into a history table, micro-batch by micro-batch.
 
-    Changes that arrive after a newer one of their key follow `spec.late`. With
-    `buckets`, a micro-batch looks at the buckets of its keys only.
+    Files arrive in any order. Changes that arrive after a newer one of their key
+    go to a keyed table of their own at `late_path` (by default the history's path
+    with "-late"), so that none is lost; late="apply" merges them as they come.
+    With `buckets`, a micro-batch looks at the buckets of its keys only.
     """
-    run_available(stream, checkpoint, lambda batch, id_: merge_history(prepare(batch), path, spec, id_, buckets))
+    spec = replace(spec, late=late)
+
+    def merge(batch: DataFrame, id_: tuple[str, int]) -> None:
+        changes = prepare(batch)
+        if late == "drop":
+            write_late(changes, path, late_path or f"{path}-late", spec, id_)
+        merge_history(changes, path, spec, id_, buckets)
+
+    run_available(stream, checkpoint, merge)
