@@ -11,7 +11,7 @@ from collections import Counter
 from pathlib import Path
 
 import duckdb
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from checks.oracle import ORACLE
 from checks.queries import QUERIES
@@ -36,9 +36,9 @@ def connect(sf_dir: str):
     return con
 
 
-def compare(spark: SparkSession, con, sf_dir: str, name: str) -> str:
-    """Empty text when equal, otherwise what differs."""
-    ours = QUERIES[name](spark, sf_dir).toArrow()
+def compare(spark: SparkSession, con, sf_dir: str, name: str, frame: DataFrame | None = None) -> str:
+    """Empty text when equal, otherwise what differs; `frame` is the query's result if it is made already."""
+    ours = (QUERIES[name](spark, sf_dir) if frame is None else frame).toArrow()
     if name not in ORACLE:
         return "" if ours.num_rows else "no rows"
     theirs = con.sql(ORACLE[name]).to_arrow_table()

@@ -326,7 +326,8 @@ FROM act a JOIN (SELECT kind, MIN(ts) AS ended FROM timely GROUP BY kind) t ON a
 SELECT l_orderkey, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus,
        l_shipdate, l_linenumber AS effective_from, nx AS effective_to,
        CASE WHEN nx IS NULL THEN 'active' ELSE 'inactive' END AS status
-FROM (SELECT *, LEAD(l_linenumber) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS nx
+FROM (SELECT *, LEAD(l_linenumber) OVER (PARTITION BY l_orderkey
+                 ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS nx
       FROM (SELECT * FROM lineitem
             UNION ALL
             SELECT * REPLACE (-1 - l_orderkey AS l_orderkey) FROM lineitem WHERE l_linenumber <= 3) u) l""",

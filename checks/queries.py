@@ -462,11 +462,12 @@ def _on_kinds(operator, spec, cut):
 
 
 def history_table_ties(spark, sf_dir):
-    """Lines as versions of their order: several at one place, told apart by part and supplier.
+    """Lines as versions of their order: several at one place, told apart by what they are of.
 
     The third batch holds other keys only and must leave all versions as they are.
     """
-    spec = History(keys="l_orderkey", ts="l_linenumber", tie_breaker=["l_partkey", "l_suppkey"])
+    ties = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+    spec = History(keys="l_orderkey", ts="l_linenumber", tie_breaker=ties)
     path = shared_dir(spark, "lines")
     lines = table(spark, sf_dir, "lineitem")
     early = F.col("l_linenumber") <= 3
