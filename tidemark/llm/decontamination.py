@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.hashing import PLAIN_WORDS, mixed, rolling, window_starts, word_hashes
-from tidemark.llm.shared import shipped
+from tidemark.llm.shared import parts, shipped
 
 PERCENT = 75
 MIN_WORDS = 8
@@ -294,13 +294,3 @@ def find_leaks(
     for block in range(1, blocks):
         result = result.unionByName(pass_over(block))
     return result
-
-
-def parts(texts: list[bytes], size: int) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about `size` bytes each, one text at least."""
-    a, held = 0, 0
-    for b, text in enumerate(texts, 1):
-        held += len(text)
-        if held >= size or b == len(texts):
-            yield a, b
-            a, held = b, 0

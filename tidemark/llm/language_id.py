@@ -22,8 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.decontamination import parts
-from tidemark.llm.shared import held_out, shipped, unit_hash
+from tidemark.llm.shared import held_out, parts, shipped, unit_hash
 
 PER_LANGUAGE = 500
 WEIGHTS = 1 << 16

@@ -21,7 +21,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import written
+from tidemark.llm.hashing import runs
+from tidemark.llm.shared import parts, written
 from tidemark.operators.joins import join_grouped
 
 MIN_DOCS = 10
@@ -29,6 +30,7 @@ MIN_CHARS = 1
 # Bits of a filter: a quarter as many as bytes of text, 32 MB to broadcast at most.
 LEAST_BITS, MOST_BITS = 1 << 16, 1 << 28
 CHUNK_BYTES = 1 << 13
+PART_BYTES = 2 << 20  # of text that a task works on at a time
 FILTERS = "chunk int, once binary, twice binary"
 SUSPECTS = "doc_id long, version long, digest binary, numbers array<int>"
 
@@ -100,16 +102,20 @@ def _seen_twice(texts: DataFrame, min_chars: int) -> np.ndarray:
     def record(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once, twice = np.zeros(size // 8, np.uint8), np.zeros(size // 8, np.uint8)
         for batch in batches:
-            found: list[int] = []
-            for text in _texts(batch):
-                found.extend({xxhash.xxh3_64_intdigest(key) for _, key in _keys(text, min_chars)})
-            hashes, counts = np.unique(np.array(found, np.uint64), return_counts=True)
-            i, j = _bits(hashes, size)
-            again = (counts > 1) | (_has(once, i) & _has(once, j))
-            for at in (i, j):
-                _set(twice, at[again])
-            for at in (i, j):
-                _set(once, at)
+            texts_ = _texts(batch)
+            for a, b in parts(texts_, PART_BYTES):
+                found: list[int] = []
+                for text in texts_[a:b]:
+                    found.extend({xxhash.xxh3_64_intdigest(key) for _, key in _keys(text, min_chars)})
+                hashes = np.sort(np.array(found, np.uint64))
+                new = runs(hashes)
+                several = np.diff(np.append(np.flatnonzero(new), len(hashes))) > 1
+                i, j = _bits(hashes[new], size)
+                again = several | (_has(once, i) & _has(once, j))
+                for at in (i, j):
+                    _set(twice, at[again])
+                for at in (i, j):
+                    _set(once, at)
         yield from _chunks(once, twice)
 
     chunks = texts.mapInArrow(record, FILTERS).repartition("chunk").mapInArrow(_fold, FILTERS)
@@ -127,15 +133,17 @@ def _suspects(texts: DataFrame, bitmap: np.ndarray, min_chars: int) -> DataFrame
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, versions = batch.column("doc_id").to_pylist(), batch.column("version").to_pylist()
-            rows, hashes = [], []
-            for row, text in enumerate(_texts(batch)):
-                found = defaultdict(list)
-                for number, key in _keys(text, min_chars):
-                    found[key].append(number)
-                rows.extend((row, key, numbers) for key, numbers in found.items())
-                hashes.extend(map(xxhash.xxh3_64_intdigest, found))
-            i, j = _bits(np.array(hashes, np.uint64), size)
-            rows = [rows[at] for at in np.flatnonzero(_has(twice.value, i) & _has(twice.value, j)).tolist()]
+            bodies, rows = _texts(batch), []
+            for a, b in parts(bodies, PART_BYTES):
+                seen, hashes = [], []
+                for row in range(a, b):
+                    found = defaultdict(list)
+                    for number, key in _keys(bodies[row], min_chars):
+                        found[key].append(number)
+                    seen.extend((row, key, numbers) for key, numbers in found.items())
+                    hashes.extend(map(xxhash.xxh3_64_intdigest, found))
+                i, j = _bits(np.array(hashes, np.uint64), size)
+                rows += [seen[at] for at in np.flatnonzero(_has(twice.value, i) & _has(twice.value, j)).tolist()]
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": pa.array([ids[row] for row, _, _ in rows], pa.int64()),

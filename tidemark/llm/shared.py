@@ -5,7 +5,7 @@ from __future__ import annotations
 import pickle
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
 from pyspark import cloudpickle
@@ -59,3 +59,13 @@ def unit_hash(*columns, seed: int):
     """A number from 0 up to 1 that depends on the columns and the seed alone."""
     bits = F.xxhash64(F.lit(seed), *columns)
     return F.pmod(bits, F.lit(1 << 52)).cast("double") / float(1 << 52)
+
+
+def parts(texts: list[bytes], size: int) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about `size` bytes each, one text at least."""
+    a, held = 0, 0
+    for b, text in enumerate(texts, 1):
+        held += len(text)
+        if held >= size or b == len(texts):
+            yield a, b
+            a, held = b, 0

@@ -25,9 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.decontamination import parts
 from tidemark.llm.hashing import PLAIN_WORDS, runs
-from tidemark.llm.shared import held_out, shipped, unit_hash
+from tidemark.llm.shared import held_out, parts, shipped, unit_hash
 
 POSITIVES, NEGATIVES = 2000, 4000
 WEIGHTS = 1 << 18
