@@ -21,7 +21,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from pyspark.sql import SparkSession  # noqa: E402
 
 from checks.queries import QUERIES  # noqa: E402
-from tidemark.session import apply_defaults  # noqa: E402
+from tidemark.session import get_session  # noqa: E402
 
 
 def timed(spark: SparkSession, sf_dir: str, name: str) -> float:
@@ -36,22 +36,16 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or list(QUERIES)
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
-        .appName("bench")
-        .config("spark.sql.shuffle.partitions", cpus)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "8g")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidemark-bench-"))
-        # Keep the compiled code of all queries between rounds (the default holds 100 classes).
-        .config("spark.sql.codegen.cache.maxEntries", "2000")
-        # Do not record a Python call site for every column expression.
-        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
-        .getOrCreate()
-    )
+    conf = {
+        "spark.master": f"local[{cpus}]",
+        "spark.sql.shuffle.partitions": cpus,
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.driver.memory": "8g",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tidemark-bench-"),
+    }
+    spark = get_session("bench", **conf)
     spark.sparkContext.setLogLevel("ERROR")
-    apply_defaults(spark)
     rounds = [{name: timed(spark, sf_dir, name) for name in names} for _ in range(1 + runs)][1:]
     times = {name: round(statistics.median(r[name] for r in rounds), 3) for name in names}
     print(

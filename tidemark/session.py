@@ -23,6 +23,15 @@ DEFAULTS = {
 }
 
 
+# Set when a session is made; they cannot be changed later.
+AT_START = {
+    # Keep the compiled code of many queries (Spark's default holds 100 classes).
+    "spark.sql.codegen.cache.maxEntries": "2000",
+    # Do not record a Python call site for every column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
+
 def apply_defaults(spark: SparkSession) -> SparkSession:
     for name, value in DEFAULTS.items():
         spark.conf.set(name, value)
@@ -46,7 +55,7 @@ def size_shuffles(spark: SparkSession, input_bytes: int, task_bytes: int = 256 <
 
 def get_session(app_name: str, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
-    for name, value in conf.items():
+    for name, value in {**AT_START, **conf}.items():
         builder = builder.config(name, value)
     return apply_defaults(builder.getOrCreate())
 
