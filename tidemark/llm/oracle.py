@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from tidemark.llm.license_scan import BASE, NOTICES
+
 ORACLE: dict[str, str] = {}
 
 ORACLE["op1_substring_dedup"] = r"""
@@ -122,3 +124,51 @@ WITH v AS (
 )
 SELECT * FROM ranked WHERE rank <= 10
 """
+
+_TEMPLATES = ", ".join(
+    f"('{kind}', '{phrase}', '{label}')"
+    for kind, phrases in (("base", BASE), ("notice", NOTICES))
+    for phrase, label in phrases.items()
+)
+
+ORACLE["op2_license_scan"] = rf"""
+WITH templates(kind, phrase, label) AS (
+    VALUES {_TEMPLATES}
+), template_words AS (
+    SELECT *, string_split(phrase, ' ') AS w FROM templates
+), template_grams AS (
+    SELECT kind, phrase, label, len(w) AS size, i - 1 AS place, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS gram
+    FROM (SELECT *, unnest(range(1, len(w) - 1)) AS i FROM template_words)
+), words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), grams AS (
+    SELECT doc_id, i - 1 AS pos, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS gram
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM words)
+), hits AS (
+    SELECT doc_id, kind, phrase, label, size, place, pos, pos - place AS diagonal FROM grams JOIN template_grams USING (gram)
+), diagonals AS (
+    SELECT DISTINCT doc_id, kind, phrase, diagonal FROM hits
+), marked AS (
+    SELECT *, kind = 'base' OR coalesce(diagonal - lag(diagonal) OVER (
+        PARTITION BY doc_id, kind, phrase ORDER BY diagonal) > 3, TRUE) AS new
+    FROM diagonals
+), numbered AS (
+    SELECT *, sum(new::INTEGER) OVER (PARTITION BY doc_id, kind, phrase ORDER BY diagonal) AS span FROM marked
+), covered AS (
+    SELECT doc_id, kind, label, count(DISTINCT place + k) / size AS score, min(pos) AS first
+    FROM numbered JOIN hits USING (doc_id, kind, phrase, diagonal), (SELECT unnest([0, 1, 2]) AS k)
+    GROUP BY doc_id, kind, phrase, label, size, span
+), spans AS (
+    SELECT * FROM covered WHERE score >= CASE WHEN kind = 'base' THEN 1 ELSE 0.75 END
+)
+SELECT words.doc_id, CAST(len(w) AS BIGINT) AS n_words, count(*) FILTER (kind = 'base') AS n_base,
+       min(first) FILTER (kind = 'base') AS first_word, max(first) FILTER (kind = 'base') AS last_word,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (kind = 'base'), '') AS base_labels,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels,
+       CAST(coalesce(max(score), 0) AS DOUBLE) AS score
+FROM words LEFT JOIN spans USING (doc_id)
+GROUP BY words.doc_id, len(w)
+"""
