@@ -26,16 +26,19 @@ def new_files(
     fmt: str = "parquet",
     archive: str | None = None,
     max_files: int | None = None,
+    archive_threads: int = 8,
     **options,
 ) -> DataFrame:
     """Stream of the files that appear at `path` (a folder or a glob).
 
     `archive` moves a micro-batch's files there once a later batch has
     committed; files of the last batch stay until then, so the checkpoint, not
-    the archive, says what has been processed.
+    the archive, says what has been processed. The driver moves them one by one
+    in `archive_threads` threads; on an object store each move is a copy.
     """
     reader = spark.readStream.format(fmt).schema(schema).options(**options)
     if archive is not None:
+        spark.conf.set("spark.sql.streaming.fileSource.cleaner.numThreads", str(archive_threads))
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
