@@ -80,8 +80,11 @@ def test_rows_of_one_id(spark):
     assert found == [(3, 3), (4, 3), (5, 3), (5, 3), (7, 7), (9, 3)]
 
 
-def test_empty_table(no_docs):
+def test_empty_table_and_wrong_parameters(no_docs):
     assert similar_groups(no_docs).count() == 0
+    for words, percent in ((0, 75), (5, 0), (5, 101)):
+        with pytest.raises(ValueError):
+            similar_groups(no_docs, words, percent)
 
 
 def test_components(spark):

@@ -58,7 +58,6 @@ class _Page:
         self.ids, texts = pages.page_rows(table)
         hashes, counts = word_hashes([t.lower() for t in texts])
         n_docs = len(counts)
-        text = np.repeat(np.arange(n_docs), counts)
         tokens, owner = [], []
         for k in range(1, words + 1):  # a text of fewer words is one token of its own kind
             sized = counts >= k if k == words else counts == k
@@ -322,6 +321,8 @@ def similar_groups(
     (component_id null where it has no copy). Other columns are not looked at.
     Builds and runs intermediate jobs when called.
     """
+    if words < 1 or not 1 <= percent <= 100:
+        raise ValueError("words must be at least 1 and percent from 1 to 100")
     sets = written(shingle_sets(docs, words, percent, doc_id, text))
     classes = sets.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("node"))
     light = sets.select("doc_id", "n_shingles", "digest")
