@@ -7,7 +7,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from tidemark.session import apply_defaults, shared_dir  # noqa: E402
+from tidemark.session import AT_START, apply_defaults, shared_dir  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -17,6 +17,7 @@ def spark():
     session = (
         SparkSession.builder.master("local[8]")
         .appName("tests")
+        .config(map=AT_START)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
