@@ -91,3 +91,23 @@ def test_distance():
 def test_index_of_many_sizes():
     index = Index([(i, text_of(i, i)) for i in range(8, 400, 3)], 75, 8, 0.9)
     assert len(index.sizes) <= 64 and all(size.need >= 1 for size in index.sizes)
+
+
+@pytest.mark.parametrize("n", [40, 80, 200, 600])
+def test_long_items_at_the_edit_limit(n):
+    items = [(i, text_of(5000 + i, n)) for i in range(10)]
+    texts = [f"{text_of(j, 40)} {edited(items[j % 10][1], n // 4, j)} {text_of(j + 7, 40)}" for j in range(60)]
+    index = Index(items, 75, 8, 0.99)
+    found = {(text, item): (distance, first) for text, item, distance, first in index.look_up([t.encode() for t in texts])}
+    assert {(j, j % 10) for j in range(60)} <= set(found)
+    for (text, item), (distance, first) in found.items():
+        words, passage = texts[text].split(), items[item][1].split()
+        assert distance == plain_distance(passage, words) <= n // 4
+        assert plain_distance(passage, words[first : first + n + n // 4]) == distance
+
+
+def test_sizes_are_exact_or_reach_the_recall():
+    index = Index([(i, text_of(i, n)) for i, n in enumerate((10, 16, 60, 300))], 75, 8, 0.99)
+    assert [size.exact for size in index.sizes][-2:] == [True, True]
+    assert all(size.exact == (not size.walks) for size in index.sizes)
+    assert all(size.exact for size in Index([(1, text_of(1, 16))], 75, 8, 1.0).sizes)

@@ -11,8 +11,11 @@ exact edit distance.
 
 Windows are left out beforehand where too few of their word q-grams belong to
 items of that size: an item of n words within k edits keeps n - q + 1 - k q of its
-q-grams, so this loses nothing. Benchmark items are the stated query set; they go
-to the tasks in blocks of bounded size, one pass over the documents per block.
+q-grams, so this loses nothing. Sizes whose walks do not reach the recall, long
+items with many edits, go without walks: every window that holds enough q-grams
+of one item is compared with it, and nothing is lost. Benchmark items are the
+stated query set; they go to the tasks in blocks of bounded size, one pass over
+the documents per block.
 """
 
 from __future__ import annotations
@@ -32,7 +35,9 @@ PERCENT = 75
 MIN_WORDS = 8
 RECALL = 0.99
 SAMPLED = 4
+# Sizes that need more walks, or have more words, are compared exactly instead.
 MOST_WALKS = 64
+LONGEST_WALK = 256
 SIMULATED = 200
 # Text of the items that one pass over the documents looks for.
 BLOCK_BYTES = 32 << 20
@@ -77,6 +82,10 @@ class _Size:
     need: int
     items: list[int] = field(default_factory=list)
     walks: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=list)
+    # Without walks: sorted q-grams of the items, and the item each belongs to.
+    exact: bool = False
+    grams: np.ndarray | None = None
+    owners: np.ndarray | None = None
 
 
 def _gram(n: int, edits: int) -> tuple[int, int]:
@@ -123,20 +132,32 @@ class Index:
         return _walk(np.concatenate(words), ends - [len(w) for w in words], ends, steps, walk)
 
     def _sample(self, size: _Size, recall: float) -> None:
-        """Walks until edited copies of the items are found with the recall, at most MOST_WALKS."""
+        """Walks until edited copies of the items are found with the recall; exact if MOST_WALKS do not find them.
+
+        A copy stands in other words and is read as a window of the widest item, from its first word on.
+        """
         random = np.random.Generator(np.random.PCG64(size.least))
         items = [self.words[i] for i in size.items]
-        tried = random.integers(len(items), size=SIMULATED)
-        copies = [self._edited(items[i], self.edits[size.items[i]], random) for i in tried]
-        missing = np.ones(SIMULATED, bool)
-        for walk in range(MOST_WALKS):
-            steps = np.sort(random.integers(2 * size.least, size=SAMPLED))
-            keys = self._keys(items, steps, walk)
-            order = np.argsort(keys, kind="stable")
-            size.walks.append((steps, keys[order], np.array(size.items)[order]))
-            missing &= keys[tried] != self._keys(copies, steps, walk)
-            if missing.mean() <= 1 - recall:
-                break
+        if size.most <= LONGEST_WALK and recall <= 1 - 1 / SIMULATED:
+            tried = random.integers(len(items), size=SIMULATED)
+            copies = [self._edited(items[i], self.edits[size.items[i]], random) for i in tried]
+            behind = random.integers(1 << 62, size=size.most).astype(np.uint64)
+            windows = [np.concatenate([copy, behind])[: size.most] for copy in copies]
+            missing = np.ones(SIMULATED, bool)
+            for walk in range(MOST_WALKS):
+                steps = np.sort(random.integers(2 * size.least, size=SAMPLED))
+                keys = self._keys(items, steps, walk)
+                order = np.argsort(keys, kind="stable")
+                size.walks.append((steps, keys[order], np.array(size.items)[order]))
+                missing &= keys[tried] != self._keys(windows, steps, walk)
+                if missing.mean() <= 1 - recall:
+                    return
+        size.exact, size.walks = True, []
+        own = [np.unique(rolling(words, size.gram)) for words in items]
+        grams = np.concatenate(own)
+        order = np.argsort(grams, kind="stable")
+        size.grams = grams[order]
+        size.owners = np.repeat(np.arange(len(own), dtype=np.int32), [len(g) for g in own])[order]
 
     @staticmethod
     def _edited(words: np.ndarray, edits: int, random: np.random.Generator) -> np.ndarray:
@@ -183,14 +204,14 @@ class Index:
             maybe = np.flatnonzero(quick[(grams & np.uint64(len(quick) - 1)).astype(np.int64)])
             at = np.minimum(np.searchsorted(hashes, grams[maybe]), len(hashes) - 1)
             real = hashes[at] == grams[maybe]
-            places, bits = starts[maybe[real]], masks[at[real]]
+            places, kinds, bits = starts[maybe[real]], hashes[at[real]], masks[at[real]]
             for number, size in enumerate(self.sizes):
                 if size.gram == q:
-                    hits = places[bits >> np.uint64(number) & np.uint64(1) > 0]
-                    self._of_size(size, h, hits, owner, ends, best)
+                    chosen = bits >> np.uint64(number) & np.uint64(1) > 0
+                    self._of_size(size, h, places[chosen], kinds[chosen], owner, ends, best)
         return [(t, i, d, s) for (t, i), (d, s) in best.items()]
 
-    def _of_size(self, size, h, hits, owner, ends, best) -> None:
+    def _of_size(self, size, h, hits, kinds, owner, ends, best) -> None:
         if not len(hits):
             return
         # Starts whose window, as wide as an item may become, holds enough hits.
@@ -203,6 +224,10 @@ class Index:
         near, stop = near[enough], ends[owner[near[enough]]]
         if not len(near):
             return
+        if size.exact:
+            for text in np.unique(owner[near]).tolist():
+                self._compare(size, text, h, hits, kinds, ends, best)
+            return
         # Walks read only words in some window; those of one window stay together.
         stop = np.minimum(near + size.most, stop)
         cover = np.zeros(len(h) + 1, np.int64)
@@ -222,6 +247,51 @@ class Index:
                         seen.add((start, item))
                         self._verify(item, start, h, owner, ends, best)
 
+    def _compare(self, size, text, h, hits, kinds, ends, best) -> None:
+        """Edit distance to each item wherever the text holds enough of the item's own q-grams."""
+        begin, stop = int(ends[text - 1]) if text else 0, int(ends[text])
+        a, b = np.searchsorted(hits, [begin, stop])
+        places = hits[a:b]
+        grams, kind, times = np.unique(kinds[a:b], return_inverse=True, return_counts=True)
+        low = np.searchsorted(size.grams, grams)
+        n_owners = np.searchsorted(size.grams, grams, "right") - low
+        shift = np.repeat(low - np.cumsum(n_owners) + n_owners, n_owners)
+        owners = size.owners[shift + np.arange(len(shift))]
+        of = np.repeat(np.arange(len(grams)), n_owners)
+        order = np.argsort(owners, kind="stable")
+        owners, of = owners[order], of[order]
+        held = np.bincount(owners, times[of], len(size.items))
+        for number in np.flatnonzero(held >= size.need).tolist():
+            item = size.items[number]
+            words, edits = self.words[item], self.edits[item]
+            widest = len(words) + edits
+            need = len(words) - size.gram + 1 - edits * size.gram
+            own = np.zeros(len(grams), bool)
+            own[of[slice(*np.searchsorted(owners, [number, number + 1]))]] = True
+            mine = places[own[kind]]
+            if len(mine) < need:
+                continue
+            first, last = mine[: len(mine) - need + 1], mine[need - 1 :]
+            close = last + size.gram - first <= widest
+            # Where passages that hold these q-grams may lie, put together where they overlap.
+            lows = np.maximum(last[close] + size.gram - widest, begin)
+            highs = np.minimum(first[close] + widest, stop)
+            cuts = np.flatnonzero(lows[1:] >= highs[:-1]) + 1
+            for at in np.split(np.arange(len(lows)), cuts) if len(lows) else []:
+                self._place(item, text, int(lows[at[0]]), int(highs[at[-1]]), begin, h, best)
+
+    def _place(self, item, text, low, high, begin, h, best) -> None:
+        """Note the item's best place in h[low:high] if it is within the edits."""
+        words, edits = self.words[item], self.edits[item]
+        known = best.get((text, item))
+        distance, end = _distance(words, h[low:high])
+        if distance <= edits:
+            back = max(0, end - len(words) - edits)
+            backward, length = _distance(words[::-1], h[low + back : low + end][::-1])
+            first = low + end - length - begin
+            if known is None or (distance, first) < known:
+                best[text, item] = (distance, first)
+
     def _verify(self, item, start, h, owner, ends, best) -> None:
         words, edits, text = self.words[item], self.edits[item], int(owner[start])
         begin = int(ends[text - 1]) if text else 0
@@ -229,12 +299,7 @@ class Index:
         known = best.get((text, item))
         if known and known[0] == 0:
             return
-        distance, end = _distance(words, h[low : min(int(ends[text]), start + len(words) + edits)])
-        if distance <= edits:
-            backward, length = _distance(words[::-1], h[low : low + end][::-1])
-            first = low + end - length - begin
-            if known is None or (distance, first) < known:
-                best[text, item] = (distance, first)
+        self._place(item, text, low, min(int(ends[text]), start + len(words) + edits), begin, h, best)
 
 
 def find_leaks(
@@ -253,7 +318,8 @@ def find_leaks(
     100 word edits, rounded down, make the item a part of it. Columns: doc_id,
     item_id, distance (of the best place found), first_word (its first word, from
     0), n_item_words. Pairs are found with at least the recall, simulated with
-    random edits; unchanged items always.
+    random edits; unchanged items, and those of sizes whose walks do not reach the
+    recall, always.
 
     Items of fewer than `min_words` words and null or empty texts find and hold
     nothing; no items, no pairs. Rows that repeat on either side give a pair each.
