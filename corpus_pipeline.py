@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import uuid
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -28,18 +29,35 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return rows.filter(F.col("score") < toxicity.THRESHOLD).select(*docs.columns)
 
 
+def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The documents with a key, and its name: a hash of id and text, so rows that differ in either are told apart."""
+    name = f"_key_{uuid.uuid4().hex}"
+    return docs.withColumn(name, F.xxhash64("doc_id", "text")), name
+
+
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id; rows of one id count as one document."""
-    first = similar_groups(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = join_grouped(docs, first, ["doc_id"], "left_semi", null_safe=True)
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), *docs.columns)
-    return kept.withColumn("_row", F.row_number().over(order)).filter("_row = 1").select(*docs.columns)
+    """Of each group of near copies the document with the smallest id, null last; of equal ids and texts one row.
+
+    Texts without words are nobody's copies: all of those with a null id stay.
+    """
+    rows, key = keyed(docs)
+    groups = similar_groups(rows, doc_id=key).select(F.col("doc_id").alias(key), "n_shingles", "component_id").distinct()
+    ids = rows.select(key, "doc_id").distinct()
+    best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", key, "n_shingles")).alias("best")
+    first = groups.join(ids, key).groupBy("component_id").agg(best).select(f"best.{key}", "best.n_shingles")
+    own = F.col("doc_id").isNull() & (F.col("r.n_shingles") == 0)
+    kept = join_grouped(rows, first, [key]).select("l.*", own.alias(f"{key}_own"))
+    order = Window.partitionBy(key, "doc_id", "text").orderBy(*docs.columns)
+    numbered = kept.withColumn(f"{key}_row", F.row_number().over(order))
+    return numbered.filter((F.col(f"{key}_row") == 1) | F.col(f"{key}_own")).select(*docs.columns)
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    held = find_leaks(docs, read_table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return join_grouped(docs, held, ["doc_id"], "left_anti", null_safe=True)
+    """Documents that hold no benchmark item, whatever other documents of their id hold."""
+    rows, key = keyed(docs)
+    held = find_leaks(rows, read_table(spark, sf_dir, "benchmark"), doc_id=key)
+    held = held.select(F.col("doc_id").alias(key)).distinct()
+    return join_grouped(rows, held, [key], "left_anti").select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

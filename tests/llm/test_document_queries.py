@@ -11,6 +11,7 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
+from conftest import documents, text_of
 from test_jaccard_join import plain as plain_groups
 from test_mixing import plain_targets
 from tidemark.llm import toxicity
@@ -122,3 +123,36 @@ def test_stages_take_odd_documents(spark, docs, no_docs, sf_dir, stage):
     n = result.count()
     assert n > 0 if name == "mixing" else 20 <= n <= plain.count()
     assert function(spark, no_docs.select(*plain.columns), sf_dir).count() == 0
+
+
+def test_near_copies_leave_every_other_document(spark, sf_dir):
+    """Rows that share an id, or have none, are documents of their own."""
+    base = text_of(1, 120)
+    more = [
+        (None, None, "en", "z"),
+        (None, None, "en", "z"),
+        (None, " ", "en", "z"),
+        (None, text_of(300, 25), "en", "z"),
+        (None, text_of(301, 25), "en", "z"),
+        (None, text_of(301, 25), "en", "z"),
+        (None, base, "en", "z"),
+        (13, text_of(302, 25), "en", "z"),
+        (9, text_of(303, 25), "en", "z"),
+    ]
+    frame = spark.createDataFrame(documents() + more, "doc_id long, text string, lang string, source string")
+    first = documents()
+    gone = {1, 2, 3, 9}  # near copies of -4, and a copy of 8
+    kept = [row for row in first if row[0] not in gone]
+    kept.remove((13, text_of(5, 25), "en", "b"))  # one of two equal rows
+    kept += [row for i, row in enumerate(more) if i not in (5, 6)]
+    result = corpus_pipeline.without_near_copies(spark, frame.repartition(3), sf_dir)
+    assert Counter(map(tuple, result.collect())) == Counter(kept)
+
+
+def test_leaks_go_alone(spark, sf_dir, tables):
+    """A leaking row takes no other row of its id, or of none, with it."""
+    item = next(r["text"] for r in tables["benchmark"] if len((r["text"] or "").split()) > 10)
+    clean = [(None, text_of(400, 25)), (None, None), (7, text_of(401, 25)), (8, text_of(402, 25)), (8, None), (8, "")]
+    frame = spark.createDataFrame([*clean, (None, item), (7, item), (7, item)], "doc_id long, text string")
+    result = corpus_pipeline.without_leaks(spark, frame.repartition(3), sf_dir)
+    assert Counter(map(tuple, result.collect())) == Counter(clean)
