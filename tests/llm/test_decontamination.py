@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -111,3 +112,13 @@ def test_sizes_are_exact_or_reach_the_recall():
     assert [size.exact for size in index.sizes][-2:] == [True, True]
     assert all(size.exact == (not size.walks) for size in index.sizes)
     assert all(size.exact for size in Index([(1, text_of(1, 16))], 75, 8, 1.0).sizes)
+
+
+def test_memory_of_a_long_item():
+    item, other = text_of(1, 4000), text_of(2, 2000)
+    index = Index([(1, item)], 75, 8, 0.99)
+    tracemalloc.start()
+    found = index.look_up([f"{other} {item}".encode(), other.encode()])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == [(0, 0, 0, 2000)] and peak < 20e6

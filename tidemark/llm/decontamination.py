@@ -216,8 +216,10 @@ class Index:
             return
         # Starts whose window, as wide as an item may become, holds enough hits.
         reach = size.most + size.edits
-        near = np.unique((hits[:, None] - np.arange(reach)[None, :]).ravel()) if len(hits) else hits
-        near = near[near >= 0]
+        # Each hit adds the starts up to it that the hit before did not; memory is linear in the starts.
+        opens = np.maximum(hits - reach + 1, np.concatenate([[0], hits[:-1] + 1]))
+        added = hits - opens + 1
+        near = np.repeat(opens - np.cumsum(added) + added, added) + np.arange(int(added.sum()))
         stop = np.minimum(near + reach, ends[owner[near]])
         count = np.searchsorted(hits, stop) - np.searchsorted(hits, near)
         enough = count >= size.need
