@@ -25,8 +25,10 @@ WEIGHTS = [5, 2, 1]
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below the threshold; null and empty texts stay."""
     model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
-    rows = toxicity.scored(docs, model)
-    return rows.filter(F.col("score") < toxicity.THRESHOLD).select(*docs.columns)
+    # Columns go by number meanwhile, so that none is taken for one of the model's.
+    names = [f"_column_{i}" for i in range(len(docs.columns))]
+    rows = toxicity.scored(docs.toDF(*names), model, text=names[docs.columns.index("text")])
+    return rows.filter(F.col("score") < toxicity.THRESHOLD).select(*names).toDF(*docs.columns)
 
 
 def keyed(docs: DataFrame) -> tuple[DataFrame, str]:

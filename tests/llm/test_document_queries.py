@@ -156,3 +156,11 @@ def test_leaks_go_alone(spark, sf_dir, tables):
     frame = spark.createDataFrame([*clean, (None, item), (7, item), (7, item)], "doc_id long, text string")
     result = corpus_pipeline.without_leaks(spark, frame.repartition(3), sf_dir)
     assert Counter(map(tuple, result.collect())) == Counter(clean)
+
+
+def test_toxicity_keeps_columns_of_its_own_names(spark, sf_dir, tables):
+    rows = [(r["doc_id"], r["text"], -5.0, "mine", r["doc_id"]) for r in tables["documents"]]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, score double, offending string, n_sentences long")
+    result = corpus_pipeline.without_toxic(spark, frame, sf_dir)
+    found = [tuple(r) for r in result.collect()]
+    assert result.columns == frame.columns and found and set(found) <= set(rows)
