@@ -42,7 +42,7 @@ def test_query_equals_sql(spark, con, sf_dir, name):
 def test_all_are_registered():
     names = entry.queries()
     assert set(QUERIES) | {"pipeline"} <= set(names) and set(ORACLE) <= set(entry.oracle_sql())
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.fixture(scope="module")

@@ -172,3 +172,39 @@ SELECT words.doc_id, CAST(len(w) AS BIGINT) AS n_words, count(*) FILTER (kind =
 FROM words LEFT JOIN spans USING (doc_id)
 GROUP BY words.doc_id, len(w)
 """
+
+ORACLE["op11_phrase_collocations"] = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(p) AS piece, unnest(range(len(p))) AS at
+    FROM (SELECT lang, doc_id, string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS p FROM documents)
+), words AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), grams AS (
+    SELECT lang, k, array_to_string(w[s:s + k - 1], ' ') AS phrase, count(*)::HUGEINT AS f
+    FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM words, (SELECT unnest([1, 2, 3]) AS k))
+    GROUP BY ALL
+), totals AS (
+    SELECT lang, sum(f) AS n FROM grams WHERE k = 1 GROUP BY lang
+), candidates AS (
+    SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM grams WHERE k > 1 AND f >= 10
+), cuts AS (
+    SELECT c.lang, c.k, c.phrase, c.a, c.w, cut, l.f AS l, r.f AS r, 1000000 * c.a * c.a // (l.f * r.f) AS score
+    FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates) c
+    JOIN grams l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:cut], ' ')
+    JOIN grams r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[cut + 1:], ' ')
+), best AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), within AS (
+    SELECT lang, array_to_string(w[i:i + 1], ' ') AS phrase, max(a) AS longer
+    FROM (SELECT lang, a, w, unnest([1, 2]) AS i FROM candidates WHERE k = 3) GROUP BY ALL
+), ranked AS (
+    SELECT lang, phrase, a, l, r, n, score,
+           row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank
+    FROM best LEFT JOIN within USING (lang, phrase) JOIN totals USING (lang)
+    WHERE longer IS NULL OR 100 * longer < 50 * a
+)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n,
+       score::BIGINT AS score
+FROM ranked WHERE rank <= 2000
+"""

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language_id, metric_search, mixing, sharding, toxicity
+from tidemark.llm import language_id, metric_search, mixing, quality_rules, sharding, token_alignment, toxicity
+from tidemark.llm.collocations import best_phrases, count_phrases
 from tidemark.llm.decontamination import find_leaks
 from tidemark.llm.jaccard_join import similar_groups
 from tidemark.llm.license_scan import scan_licenses
@@ -89,6 +90,20 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = best_phrases(count_phrases(read_table(spark, sf_dir, "documents")))
+    return rows.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.linked(token_alignment.align(read_table(spark, sf_dir, "documents")))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return quality_rules.judged(docs, quality_rules.learn(docs, read_table(spark, sf_dir, "labels")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -102,5 +117,8 @@ QUERIES = {
         op8_language_id,
         op9_metric_search,
         op10_jaccard_join,
+        op11_phrase_collocations,
+        op12_token_alignment,
+        op13_quality_rules,
     )
 }
