@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.hashing import mixed, rolling, runs, window_starts, word_hashes
 from tidemark.llm.shared import parts, shipped
-from tidemark.operators.joins import rows_touched
+from tidemark.operators.joins import join_grouped
 
 BUCKETS = 1 << 16
 ORDERS = (1, 2)
@@ -122,7 +122,9 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Ratio:
     """
     good = labels.filter(F.col(label) == 1).select(F.col("doc_id").cast("long").alias("doc_id"))
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return Ratio.of(bucket_counts(rows_touched(own, good, "doc_id")), bucket_counts(docs))
+    # Labels grow with the documents, so no side is small; one plan at every size.
+    trusted = join_grouped(own, good.distinct().hint("merge"), ["doc_id"], "left_semi")
+    return Ratio.of(bucket_counts(trusted), bucket_counts(docs))
 
 
 def _repeated_words(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
