@@ -38,9 +38,10 @@ TOP = 2000
 NO_LANG = "und"
 PART_BYTES = 2 << 20  # of text that a task works on at a time
 WORDS_HELD = 1 << 19  # distinct words that a task counts before it passes them on
-KEYS_HELD = 1 << 22  # n-grams that a task gathers before it sorts them
-SHARD_KEYS = 1 << 21  # places of n-grams per shard of the filters
+KEYS_HELD = 1 << 21  # n-grams that a task gathers before it sorts them
+SHARD_KEYS = 1 << 20  # places of n-grams per shard of the filters
 LEAST_SHARDS = 256
+RANK_PARTS = 64
 ROWS = 64  # shards that a task passes on at a time
 SEEDS = 8
 # A-Z to a-z, ends of pieces to \n; words of a piece lie between spaces and tabs.
@@ -317,6 +318,10 @@ def _left_out(phrases: Phrases, rows: DataFrame, k: int, covered: int) -> DataFr
 
 def best_phrases(phrases: Phrases, top: int = TOP, covered: int = COVERED) -> DataFrame:
     """Each language's first `top` phrases by score, then a, both falling, then phrase by code point."""
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = scored(phrases, covered).withColumn("rank", F.row_number().over(order))
+    order = (F.desc("score"), F.desc("a"), F.asc("phrase"))
+    part = F.pmod(F.hash("phrase"), F.lit(RANK_PARTS))
+    # A language's rows meet in one task only after each of its parts has sent its first ones.
+    rows = scored(phrases, covered).withColumn("rank", F.row_number().over(Window.partitionBy("lang", part).orderBy(*order)))
+    rows = rows.filter(F.col("rank") <= top)
+    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
     return ranked.filter(F.col("rank") <= top).withColumn("rank", F.col("rank").cast("long"))
