@@ -1,0 +1,154 @@
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from conftest import documents, text_of
+from tidemark.llm import bloom, collocations
+from tidemark.llm.quotient_filter import Filter, permuted, restored
+
+COLUMNS = ("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def plain(rows, longest=3, least=10, covered=50, top=2000):
+    """Best phrases of (text, lang) rows by counting everything."""
+    counts, totals = Counter(), Counter()
+    for text, lang in rows:
+        lower = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang or "und"] += len(words)
+            for k in range(1, longest + 1):
+                counts.update((lang or "und", *words[i : i + k]) for i in range(len(words) - k + 1))
+    often = {g: n for g, n in counts.items() if n >= least and len(g) > 2}
+    found = []
+    for gram, a in often.items():
+        lang, words = gram[0], gram[1:]
+        inside = [
+            n
+            for (other, *more), n in often.items()
+            if other == lang and len(more) > len(words)
+            and any(tuple(more[i : i + len(words)]) == words for i in range(len(more)))
+        ]
+        if any(100 * n >= covered * a for n in inside):
+            continue
+        cuts = [(counts[(lang, *words[:c])], counts[(lang, *words[c:])]) for c in range(1, len(words))]
+        score, c = min((1_000_000 * a * a // (left * right), c) for c, (left, right) in enumerate(cuts))
+        found.append((lang, " ".join(words), a, *cuts[c], totals[lang], score))
+    found.sort(key=lambda x: (x[0], -x[6], -x[2], x[1].encode()))
+    ranks, rows = Counter(), []
+    for lang, phrase, a, left, right, n, score in found:
+        ranks[lang] += 1
+        if ranks[lang] <= top:
+            rows.append((lang, ranks[lang], phrase, a, left, right, n, score))
+    return sorted(rows)
+
+
+def found(frame, top=2000, **options):
+    rows = collocations.best_phrases(collocations.count_phrases(frame, **options), top)
+    return sorted(tuple(r) for r in rows.select(*COLUMNS).collect())
+
+
+@pytest.mark.parametrize("options", [{}, {"min_count": 2}, {"longest": 4, "min_count": 2}, {"longest": 2}])
+def test_equals_plain_counts(docs, options):
+    rows = [(text, lang) for _, text, lang, _ in documents()]
+    want = plain(rows, options.get("longest", 3), options.get("min_count", 10))
+    assert want and found(docs, **options) == want
+
+
+def test_odd_texts(spark):
+    rows = [
+        ("The  cat\tsat. the CAT sat, the cat;sat\nThe cat sat", None),
+        ("the cat sat " * 12, "und"),
+        ("ÀB c d e\x1cf " * 11, "fr"),
+        ("ÀB c d\x0be\x1cf àb " * 11, "fr"),
+        (None, "fr"),
+        ("", "fr"),
+        ("a" * 100_000 + " b " + "a" * 100_000 + " b", "en"),
+        ("tie one tie two tie three ", "xx"),
+        ("tie one. tie two. tie three. ", "xx"),
+    ]
+    frame = spark.createDataFrame(rows, "text string, lang string").withColumns({"id": F.lit("x"), "n": F.lit("y")})
+    assert found(frame.repartition(4), min_count=2) == plain(rows, least=2)
+    assert found(frame, top=2, min_count=2) == plain(rows, least=2, top=2)
+    assert found(frame.limit(0)) == []
+
+
+def test_keys_are_gathered_in_portions(spark, docs, monkeypatch):
+    monkeypatch.setattr(collocations, "KEYS_HELD", 500)
+    monkeypatch.setattr(collocations, "WORDS_HELD", 50)
+    monkeypatch.setattr(collocations, "PART_BYTES", 1000)
+    assert found(docs) == plain([(text, lang) for _, text, lang, _ in documents()])
+
+
+def test_scores_are_exact(spark):
+    big = 10**12
+    cases = [(big - 1, big, big), (big, big + 1, big + 3), (7, 13, 11), (big, big, big), (3, 10**9, 10**9)]
+    frame = spark.createDataFrame(cases, "a long, l long, r long")
+    rows = frame.select("a", "l", "r", collocations._score(F.col("a"), F.col("l"), F.col("r")).alias("s")).collect()
+    assert {(r["a"], r["l"], r["r"]): r["s"] for r in rows} == {
+        (a, left, right): 1_000_000 * a * a // (left * right) for a, left, right in cases
+    }
+
+
+def test_words_that_share_an_id_get_others(spark, monkeypatch):
+    real = collocations.word_hashes
+    seen = []
+
+    def poor(texts):
+        hashes, counts = real(texts)
+        seen.append(1)
+        return hashes & np.uint64(3), counts
+
+    words = spark.createDataFrame([("en", text_of(i, 1).encode(), 10 + i) for i in range(40)], collocations.WORDS)
+    distinct = words.dropDuplicates(["lang", "word"])
+    ids, seed = collocations._identified(distinct)
+    assert seed == 0 and ids.select("id").distinct().count() == distinct.count()
+    monkeypatch.setattr(collocations, "word_hashes", poor)
+    with pytest.raises(RuntimeError):
+        collocations._identified(distinct)
+    spellings = [collocations._spelling(s) for s in range(collocations.SEEDS)]
+    assert len(set(spellings)) == len(spellings)
+    for s in spellings:  # spaces stay, ends become line ends, no letter becomes either
+        assert s[32] == 32 and s[9] == 9 and all(s[c] == 10 for c in b".,;:!?\n\x0b\x0c\r")
+        assert all(s[c] not in b" \t\n\x0b\x0c\r" for c in range(256) if c not in b" \t.,;:!?\n\x0b\x0c\r")
+
+
+@given(
+    st.integers(1, 4).flatmap(
+        lambda k: st.lists(st.tuples(*[st.sampled_from([0, 1, 2, 2**63, 2**64 - 1, 12345]) for _ in range(k)]), max_size=400)
+    ),
+    st.integers(1, 9),
+)
+@settings(max_examples=60, deadline=None)
+def test_filters_lose_nothing(keys, bits):
+    k = len(keys[0]) if keys else 2
+    columns = [np.array([key[i] for key in keys], np.uint64) for i in range(k)]
+    assert [c.tolist() for c in restored(permuted(columns))] == [c.tolist() for c in columns]
+    whole = Filter.of(permuted(columns), np.full(len(keys), 200, np.uint64))
+    got = Counter()
+    for shard, part in whole.shards(bits):
+        again = Filter.unpacked(part.packed(bits), shard, bits, k)
+        both = Filter.merged([again, part])
+        for key, n in zip(zip(*[c.tolist() for c in restored(both.columns)]), both.counts.tolist()):
+            got[key] += n
+    assert got == Counter({key: 400 * n for key, n in Counter(keys).items()})
+
+
+def test_keys_with_equal_first_words_stay_apart():
+    columns = [np.array([5, 5, 5, 5, 1], np.uint64), np.array([2, 1, 2, 1, 0], np.uint64)]
+    merged = Filter.of(columns, np.ones(5, np.uint64))
+    assert [c.tolist() for c in merged.columns] == [[1, 5, 5], [0, 1, 2]] and merged.counts.tolist() == [1, 2, 2]
+
+
+def test_bloom_knows_all_it_was_given(spark):
+    draw = np.random.default_rng(3)
+    inside, outside = (draw.integers(0, 1 << 64, 5000, np.uint64) for _ in range(2))
+    frame = spark.createDataFrame([(int(x),) for x in inside.view(np.int64)] + [(None,)], "h long")
+    bitmap = bloom.build(frame, "h", 5000)
+    assert bloom.may_hold(bitmap, inside).all() and bloom.may_hold(bitmap, outside).mean() < 0.05
+    assert not bloom.may_hold(bloom.build(frame.limit(0), "h", 0), outside).any()
