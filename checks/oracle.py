@@ -126,6 +126,9 @@ FROM orders WHERE o_totalprice > 1000.0 AND o_orderstatus <> 'P' GROUP BY o_orde
     "sink_csv_roundtrip": "SELECT * FROM lineitem",
     "sink_parquet_roundtrip": "SELECT * FROM lineitem",
     "sink_partitioned": "SELECT * FROM lineitem",
+    "sink_overwrite_partitions": """
+SELECT * REPLACE (CASE WHEN l_returnflag = 'R' OR l_linestatus = 'O' THEN -l_quantity ELSE l_quantity END AS l_quantity)
+FROM lineitem WHERE NOT (l_returnflag = 'R' OR l_linestatus = 'O') OR l_linenumber <= 3""",
     "catalog_table_roundtrip": """
 SELECT * FROM customer
 UNION ALL
@@ -138,6 +141,14 @@ SELECT CAST(-1 AS BIGINT), 'O''Hara "quoted"', CAST(NULL AS INTEGER), CAST(NULL
 SELECT o_orderkey,
        CASE WHEN ver = 2 AND o_orderkey % 500 = 0 THEN 'Y' ELSE o_orderstatus END AS o_orderstatus, o_totalprice,
        CAST(CASE WHEN ver = 2 AND o_orderkey % 500 = 0 THEN 3 ELSE ver END AS INTEGER) AS ver
+FROM upserted""",
+    ),
+    "keyed_upsert_slices": _with(
+        ORDERS,
+        """
+SELECT o_orderkey,
+       CASE WHEN ver = 2 AND o_orderkey = 500 THEN 'Y' ELSE o_orderstatus END AS o_orderstatus, o_totalprice,
+       CAST(CASE WHEN ver = 2 AND o_orderkey = 500 THEN 3 ELSE ver END AS INTEGER) AS ver
 FROM upserted""",
     ),
     "keyed_upsert_partitioned": _with(ORDERS, "SELECT * FROM upserted"),

@@ -137,6 +137,17 @@ def sink_partitioned(spark, sf_dir):
     return files.read_parquet(spark, path, df.schema).select(*df.columns)
 
 
+def sink_overwrite_partitions(spark, sf_dir):
+    """Two of the partitions are run again, from the folder itself; the others stay as they were."""
+    df = table(spark, sf_dir, "lineitem")
+    path = shared_dir(spark, "lineitem")
+    files.write_files(df, "parquet", path, partition_by=["l_returnflag", "l_linestatus"])
+    again = files.read_parquet(spark, path, df.schema).filter("l_returnflag = 'R' OR l_linestatus = 'O'")
+    again = again.filter("l_linenumber <= 3").withColumn("l_quantity", -F.col("l_quantity"))
+    files.write_files(again, "parquet", path, "overwrite_partitions", ["l_returnflag", "l_linestatus"])
+    return files.read_parquet(spark, path, df.schema).select(*df.columns)
+
+
 def catalog_table_roundtrip(spark, sf_dir):
     df = table(spark, sf_dir, "customer")
     database = f"tidemark_{uuid4().hex}"
@@ -187,6 +198,16 @@ def keyed_upsert_buckets(spark, sf_dir):
     return keyed.read_keyed(spark, path)
 
 
+def keyed_upsert_slices(spark, sf_dir):
+    """Slices of keys are folders of their own; the last batch meets one of them."""
+    path = shared_dir(spark, "orders")
+    old, new = _order_batches(spark, sf_dir)
+    few = new.filter("o_orderkey = 500").withColumns({"o_orderstatus": F.lit("Y"), "ver": F.lit(3)})
+    for batch in (old, new, few):
+        keyed.write_keyed(batch, path, "o_orderkey", "ver", dedup=True, buckets=4, slices=5)
+    return keyed.read_keyed(spark, path)
+
+
 def keyed_upsert_partitioned(spark, sf_dir):
     """The second batch moves rows to another partition and meets only some folders."""
     path = shared_dir(spark, "orders")
@@ -681,10 +702,12 @@ QUERIES = {
     "sink_csv_roundtrip": _round_trip("csv", "lineitem", **files.EXACT_TIMES),
     "sink_parquet_roundtrip": _round_trip("parquet", "lineitem"),
     "sink_partitioned": sink_partitioned,
+    "sink_overwrite_partitions": sink_overwrite_partitions,
     "catalog_table_roundtrip": catalog_table_roundtrip,
     "keyed_append": keyed_append,
     "keyed_upsert": keyed_upsert,
     "keyed_upsert_buckets": keyed_upsert_buckets,
+    "keyed_upsert_slices": keyed_upsert_slices,
     "keyed_upsert_partitioned": keyed_upsert_partitioned,
     "rename_columns": rename_columns,
     "rename_swap": rename_swap,

@@ -1,12 +1,11 @@
-from pathlib import Path
-
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import plan, rows
 from tidemark.session import shared_dir
-from tidemark.sources import keyed, paths
-from tidemark.sources.keyed import drop_old_versions, read_keyed, table_state, write_keyed
-from tidemark.sources.paths import has_files
+from tidemark.sources import keyed
+from tidemark.sources.keyed import catalog_name, read_keyed, write_keyed
+from tidemark.sources.paths import child_names, has_files
 
 SCHEMA = "k int, part string, ts int, v string"
 
@@ -19,26 +18,41 @@ def got(spark, folder):
     return sorted((tuple(r) for r in read_keyed(spark, folder).collect()), key=str)
 
 
+def partitions(spark, folder):
+    return sorted(r[0] for r in spark.sql(f"SHOW PARTITIONS {catalog_name(folder)}").collect())
+
+
+def stored_files(spark, folder):
+    return set(spark.table(catalog_name(folder)).inputFiles())
+
+
 def test_append_keeps_all_rows(spark, folder):
     a, b = frame(spark, (1, "a", 1, "x")), frame(spark, (1, "a", 1, "x"), (2, "b", 1, "y"))
     assert write_keyed(a, folder, "k", "ts") == 1
     assert write_keyed(b, folder, "k", "ts") == 2
     assert got(spark, folder) == [(1, "a", 1, "x"), (1, "a", 1, "x"), (2, "b", 1, "y")]
     assert [r.commit_seq for r in read_keyed(spark, folder, with_seq=True).orderBy("commit_seq").collect()] == [1, 2, 2]
-    assert rows(read_keyed(spark, folder, version=1)) == rows(a)
 
 
 @pytest.mark.parametrize("partition_by", [[], ["part"]])
-def test_upsert_newest_wins(spark, folder, partition_by):
+@pytest.mark.parametrize("slices", [1, 3])
+def test_upsert_newest_wins(spark, folder, partition_by, slices):
     one = frame(spark, (1, "a", 5, "old"), (2, "a", 5, "old"), (3, "b", 5, "old"), (None, "b", 5, "old"), (1, "a", 4, "x"))
     two = frame(spark, (1, "a", 9, "new"), (2, "a", 1, "late"), (3, "c", 5, "tie"), (None, "b", 6, "new"), (4, None, 1, "new"))
     for batch in (one, two, two):
-        write_keyed(batch, folder, "k", "ts", partition_by, dedup=True)
+        write_keyed(batch, folder, "k", "ts", partition_by, dedup=True, slices=slices)
     assert got(spark, folder) == sorted(
         [(1, "a", 9, "new"), (2, "a", 5, "old"), (3, "c", 5, "tie"), (None, "b", 6, "new"), (4, None, 1, "new")], key=str
     )
 
 
+def test_late_row_does_not_move_to_another_partition(spark, folder):
+    write_keyed(frame(spark, (1, "a", 5, "old"), (None, "a", 5, "old")), folder, "k", "ts", "part", dedup=True)
+    late = frame(spark, (1, "b", 4, "late"), (None, "b", 4, "late"), (2, "b", 1, "new"))
+    write_keyed(late, folder, "k", "ts", dedup=True)
+    assert got(spark, folder) == sorted([(1, "a", 5, "old"), (None, "a", 5, "old"), (2, "b", 1, "new")], key=str)
+
+
 @pytest.mark.parametrize("unique", [True, False])
 def test_replace_takes_the_batch(spark, folder, unique):
     one = [(1, "a", 5, "old"), (2, "a", 5, "old")] + ([] if unique else [(2, "b", 7, "newer")])
@@ -48,23 +62,67 @@ def test_replace_takes_the_batch(spark, folder, unique):
     assert got(spark, folder) == sorted([(1, "b", 1, "late"), kept], key=str)
 
 
-def test_only_met_folders_are_rewritten(spark, folder):
-    write_keyed(frame(spark, (1, "a", 1, "x"), (2, "b", 1, "x"), (3, "c/d e", 1, "x")), folder, "k", "ts", "part", dedup=True)
-    write_keyed(frame(spark, (2, "b", 2, "y"), (3, "c/d e", 2, "y"), (4, "a", 1, "y")), folder, "k", "ts", dedup=True)
-    live = table_state(spark, folder)["live"]
-    assert [(f.split("/")[0], f.split("/")[2]) for f in live] == [
-        ("commit_seq=1", "part=a"),
-        ("commit_seq=2", "part=a"),
-        ("commit_seq=2", "part=b"),
-        ("commit_seq=2", "part=c%2Fd e"),
-    ]
-    assert got(spark, folder) == [(1, "a", 1, "x"), (2, "b", 2, "y"), (3, "c/d e", 2, "y"), (4, "a", 1, "y")]
+def test_only_met_partitions_are_rewritten(spark, folder):
+    one = [(1, "a", 1, "x"), (2, "b", 1, "x"), (3, "c/d e", 1, "x"), (9, None, 1, "x"), (8, "d", 1, "x")]
+    write_keyed(frame(spark, *one), folder, "k", "ts", "part", dedup=True)
+    before = stored_files(spark, folder)
+    write_keyed(frame(spark, (2, "b", 2, "y"), (3, "c/d e", 2, "y"), (4, "a", 1, "y"), (8, "a", 2, "y")), folder, "k", "ts", dedup=True)
+    gone = {f.split("/")[-3] for f in before - stored_files(spark, folder)}
+    assert gone == {"part=b", "part=c%252Fd%20e", "part=d"}  # a is added to, the one of NULL is left alone
+    assert [p.split("/")[0] for p in partitions(spark, folder)] == ["part=__HIVE_DEFAULT_PARTITION__", "part=a", "part=b", "part=c%2Fd e"]
+    assert got(spark, folder) == sorted(
+        [(1, "a", 1, "x"), (2, "b", 2, "y"), (3, "c/d e", 2, "y"), (4, "a", 1, "y"), (8, "a", 2, "y"), (9, None, 1, "x")], key=str
+    )
+
+
+def test_emptied_partition_does_not_come_back(spark, folder):
+    for part in ("a", "b", "a", None, "a"):
+        write_keyed(frame(spark, (1, part, 1, f"in {part}")), folder, "k", "ts", "part", dedup=True)
+        assert got(spark, folder) == [(1, part, 1, f"in {part}")]
+        assert len(partitions(spark, folder)) == 1
 
 
 def test_upsert_after_append_makes_all_keys_unique(spark, folder):
     write_keyed(frame(spark, (1, "a", 1, "x"), (1, "a", 2, "y")), folder, "k", "ts")
     write_keyed(frame(spark, (2, "a", 1, "z")), folder, "k", "ts", dedup=True)
     assert got(spark, folder) == [(1, "a", 2, "y"), (2, "a", 1, "z")]
+    write_keyed(frame(spark, (2, "a", 2, "z2"), (3, "a", 1, "w")), folder, "k", "ts", dedup=True)
+    assert got(spark, folder) == [(1, "a", 2, "y"), (2, "a", 2, "z2"), (3, "a", 1, "w")]
+
+
+def test_append_after_upsert(spark, folder):
+    write_keyed(frame(spark, (1, "a", 1, "x")), folder, "k", "ts", "part", dedup=True)
+    write_keyed(frame(spark, (1, "b", 2, "y"), (1, "a", 0, "z")), folder, "k", "ts")
+    assert len(got(spark, folder)) == 3
+    write_keyed(frame(spark, (2, "b", 1, "w")), folder, "k", "ts", dedup=True)
+    assert got(spark, folder) == [(1, "b", 2, "y"), (2, "b", 1, "w")]
+
+
+def test_stored_rows_are_not_moved(spark, folder, monkeypatch):
+    """In the plans of an upsert, only the batch is exchanged."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        data = [(i, "ab"[i % 2], 1, "x") for i in range(400)]
+        write_keyed(frame(spark, *data), folder, "k", "ts", "part", dedup=True, buckets=4)
+        plans = []
+        real = keyed._insert
+        monkeypatch.setattr(keyed, "_insert", lambda df, *a, **k: plans.append(plan(df)) or real(df, *a, **k))
+        write_keyed(frame(spark, (7, "a", 2, "new"), (500, "b", 2, "new")), folder, "k", "ts", dedup=True)
+        text = plans[-1].split("Union")[-1].split("\n")  # of the merge, whose first join is of keys without NULL
+        at = next(i for i, line in enumerate(text) if "SortMergeJoin" in line and "FullOuter" in line)
+        scan = next(i for i, line in enumerate(text) if i > at and "FileScan" in line and "Bucketed: true" in line)
+        assert not [line for line in text[at:scan] if "Exchange" in line]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    assert len(got(spark, folder)) == 401
+
+
+def test_two_bucketed_tables_join_without_a_shuffle(spark, folder):
+    for name in ("/one", "/two"):
+        write_keyed(frame(spark, *[(i, "a", 1, "x") for i in range(50)]), folder + name, "k", "ts", dedup=True, buckets=4)
+    one, two = (read_keyed(spark, folder + name) for name in ("/one", "/two"))
+    text = plan(one.hint("merge").join(two, "k"))
+    assert "Exchange" not in text and "SortMergeJoin" in text
 
 
 def test_intermediate_batch_is_removed(spark, folder, monkeypatch):
@@ -89,92 +147,71 @@ def test_batch_is_written_once(spark, folder):
     assert read_keyed(spark, folder).count() == 2
 
 
-def test_failed_write_leaves_the_table_as_it_was(spark, folder):
-    write_keyed(frame(spark, (1, "a", 1, "x")), folder, "k")
-    # A write that stopped before its state file: a data folder nobody refers to.
-    frame(spark, (9, "z", 9, "half")).write.parquet(f"{folder}/data/commit_seq=2/commit_id=half")
-    assert got(spark, folder) == [(1, "a", 1, "x")]
-    write_keyed(frame(spark, (2, "a", 1, "y")), folder, "k")
-    assert got(spark, folder) == [(1, "a", 1, "x"), (2, "a", 1, "y")]
-    assert drop_old_versions(spark, folder) == ["commit_seq=2/commit_id=half"]
-
-
-class Stopped(Exception):
-    pass
-
-
-def test_writer_that_dies_in_the_commit_leaves_a_readable_table(spark, folder, monkeypatch):
-    """Stopped at each step of making the state file: before it is full, and before it has its name."""
-    write_keyed(frame(spark, (1, "a", 1, "x")), folder, "k")
-
-    class Stream:
-        def write(self, _):
-            raise Stopped
-
-        def close(self):
-            pass
-
-    class Files:
-        def __init__(self, real):
-            self.real = real
-
-        def create(self, path, overwrite):
-            self.real.create(path, overwrite).close()  # there, and empty
-            return Stream()
-
-        def delete(self, *_):  # a dead writer does not clean up
-            return False
-
-        def __getattr__(self, name):
-            return getattr(self.real, name)
-
-    real = paths.file_system
-    monkeypatch.setattr(paths, "file_system", lambda *a: (Files(real(*a)[0]), real(*a)[1]))
-    with pytest.raises(Stopped):
-        paths.write_new_text(spark, f"{folder}/state/0000000002.json", "{}")
+def test_append_whose_end_was_not_noted_is_not_repeated(spark, folder, monkeypatch):
+    """The driver dies after the write and before the table's properties say so."""
+    batch = frame(spark, (1, "a", 1, "x"))
+    write_keyed(batch, folder, "k", batch_id=("s", 0))
+    monkeypatch.setattr(keyed._Stored, "done", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        write_keyed(batch, folder, "k", batch_id=("s", 1))
     monkeypatch.undo()
-    assert got(spark, folder) == [(1, "a", 1, "x")]
-    write_keyed(frame(spark, (2, "a", 1, "y")), folder, "k")
-    assert got(spark, folder) == [(1, "a", 1, "x"), (2, "a", 1, "y")]
-
-
-def test_reads_during_commits(spark, folder):
-    """A reader sees whole states only, whenever it looks."""
-    import threading
-
-    path, seen, done = f"{folder}/state", [], threading.Event()
-
-    def look():
-        while not done.is_set():
-            if keyed.table_exists(spark, folder):
-                seen.append(table_state(spark, folder)["version"])
-
-    reader = threading.Thread(target=look)
-    reader.start()
-    for version in range(1, 41):
-        paths.write_new_text(spark, f"{path}/{version:010d}.json", f'{{"version": {version}, "x": "{"y" * 50_000}"}}')
-    done.set()
-    reader.join()
-    assert seen == sorted(seen) and set(seen) <= set(range(1, 41))
+    assert write_keyed(batch, folder, "k", batch_id=("s", 1)) is None
+    assert read_keyed(spark, folder).count() == 2
 
 
-def test_state_file_is_never_replaced(spark, folder):
-    paths.write_new_text(spark, f"{folder}/x.json", "one")
-    with pytest.raises(FileExistsError, match="already exists"):
-        paths.write_new_text(spark, f"{folder}/x.json", "two")
-    assert paths.read_text(spark, f"{folder}/x.json") == "one"
-    assert [p.name for p in Path(folder).iterdir() if not p.name.endswith(".crc")] == ["x.json"]
+@pytest.mark.parametrize("step", [0, 1])
+def test_interrupted_upsert_is_put_right_by_the_next(spark, folder, monkeypatch, step):
+    """The driver dies before or after the rows that move have been added to their new partition."""
+    write_keyed(frame(spark, (1, "a", 1, "x"), (2, "a", 1, "x"), (3, "b", 1, "x")), folder, "k", "ts", "part", dedup=True)
+    move = frame(spark, (1, "c", 2, "moved"), (3, "b", 2, "y"))
+    real, calls = keyed._insert, []
 
+    def stopped(*args, **options):
+        calls.append(1)
+        if len(calls) > step:
+            raise RuntimeError("driver lost")
+        real(*args, **options)
 
-def test_second_writer_fails(spark, folder, monkeypatch):
-    write_keyed(frame(spark, (1, "a", 1, "x")), folder, "k")
-    stale = table_state(spark, folder)
-    write_keyed(frame(spark, (2, "a", 1, "y")), folder, "k")
-    monkeypatch.setattr(keyed, "table_state", lambda *_: stale)
-    with pytest.raises(Exception, match="already exists"):
-        write_keyed(frame(spark, (3, "a", 1, "z")), folder, "k")
+    monkeypatch.setattr(keyed, "_insert", stopped)
+    with pytest.raises(RuntimeError, match="driver lost"):
+        write_keyed(move, folder, "k", "ts", dedup=True)
     monkeypatch.undo()
-    assert got(spark, folder) == [(1, "a", 1, "x"), (2, "a", 1, "y")]
+    write_keyed(move, folder, "k", "ts", dedup=True)
+    assert got(spark, folder) == [(1, "c", 2, "moved"), (2, "a", 1, "x"), (3, "b", 2, "y")]
+
+
+def test_another_session_finds_a_table_by_its_path(spark, folder):
+    write_keyed(frame(spark, (1, "a", 1, "x"), (2, "b", 1, "x")), folder, "k", "ts", "part", dedup=True, buckets=4, slices=2)
+    write_keyed(frame(spark, (1, "a", 1, "x")), folder + "-log", "k", batch_id=("s", 3))
+    for name in (folder, folder + "-log"):
+        spark.sql(f"DROP TABLE {catalog_name(name)}")  # what a catalog that ends with its session leaves: the folders
+        assert keyed.table_exists(spark, name)
+    assert child_names(spark, folder) == ["rows-4-2"]
+    assert sorted(tuple(r) for r in read_keyed(spark, folder).select("k", "part", "ts", "v").collect()) == [
+        (1, "a", 1, "x"), (2, "b", 1, "x"),
+    ]
+    write_keyed(frame(spark, (1, "b", 2, "y")), folder, "k", "ts", "part", dedup=True, buckets=7, slices=1)
+    assert got(spark, folder) == [(1, "b", 2, "y"), (2, "b", 1, "x")] and child_names(spark, folder) == ["rows-4-2"]
+    assert write_keyed(frame(spark, (1, "a", 1, "x")), folder + "-log", "k", batch_id=("s", 3)) is None
+
+
+def test_tables_by_name(spark):
+    name = "keyed_by_name_test"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    write_keyed(frame(spark, (1, "a", 1, "x")), name, "k", "ts", "part", dedup=True, buckets=2)
+    write_keyed(frame(spark, (1, "b", 2, "y")), name, "k", "ts", dedup=True)
+    assert got(spark, name) == [(1, "b", 2, "y")] and spark.table(name).count() == 1
+    spark.sql(f"DROP TABLE {name}")
+    assert not keyed.table_exists(spark, name)
+
+
+def test_settings_are_put_back(spark, folder):
+    before = {name: spark.conf.get(name, None) for name in keyed._DURING_WRITES}
+    with keyed._settings(spark):
+        with keyed._settings(spark):
+            assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "dynamic"
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "dynamic"
+    assert {name: spark.conf.get(name, None) for name in keyed._DURING_WRITES} == before
 
 
 def test_schema_is_checked(spark, folder):
@@ -187,19 +224,15 @@ def test_schema_is_checked(spark, folder):
     assert got(spark, folder) == [(1, "a", 1, "x"), (2, "b", 1, "y")]
     with pytest.raises(FileNotFoundError):
         read_keyed(spark, folder + "/none")
-    with pytest.raises(ValueError, match="reserved"):
-        write_keyed(frame(spark, (1, "a", 1, "x")).withColumnRenamed("v", "commit_seq"), folder + "2", "k")
-
-
-def test_old_versions_can_go(spark, folder):
-    for i in range(4):
-        write_keyed(frame(spark, (1, "a", i, f"v{i}"), (i + 10, "b", i, "x")), folder, "k", "ts", dedup=True)
-    want = got(spark, folder)
-    dropped = drop_old_versions(spark, folder, keep=1)
-    assert [f.split("/")[0] for f in dropped] == ["commit_seq=1", "commit_seq=2", "commit_seq=3"]
-    assert got(spark, folder) == want and not has_files(spark, f"{folder}/data/commit_seq=1")
-    write_keyed(frame(spark, (1, "a", 9, "v9")), folder, "k", "ts", dedup=True)
-    assert (1, "a", 9, "v9") in got(spark, folder)
+    for name in ("commit_seq", "key_slice", "commit_id"):
+        with pytest.raises(ValueError, match="reserved"):
+            write_keyed(frame(spark, (1, "a", 1, "x")).withColumnRenamed("v", name), folder + "2", "k")
+    with pytest.raises(ValueError, match="bucket_by"):
+        write_keyed(frame(spark, (1, "a", 2, "y")), folder + "2", "k", dedup=True, buckets=4, bucket_by="part")
+    with pytest.raises(ValueError, match="as names"):
+        write_keyed(frame(spark, (1, "a", 2, "y")), folder + "2", "k", [F.desc("ts")], dedup=True)
+    with pytest.raises(ValueError, match="is partitioned by"):
+        write_keyed(frame(spark, (1, "a", 1, "x")), folder, "k", partition_by="part")
 
 
 def test_empty_batches(spark, folder):
@@ -208,42 +241,28 @@ def test_empty_batches(spark, folder):
     write_keyed(frame(spark, (1, "a", 1, "x")), folder, "k", "ts", dedup=True)
     write_keyed(frame(spark).limit(0), folder, "k", "ts", dedup=True)
     assert got(spark, folder) == [(1, "a", 1, "x")]
+    write_keyed(frame(spark).limit(0), folder + "-log", "k")
+    assert got(spark, folder + "-log") == []
 
 
-def test_one_row_upsert_rewrites_one_bucket_and_reads_no_other(spark, folder):
+def test_one_row_upsert_rewrites_one_slice_and_reads_no_other(spark, folder, monkeypatch):
     data = [(i, "a", 1, "x") for i in range(400)]
-    write_keyed(frame(spark, *data), folder, "k", "ts", dedup=True, buckets=8)
-    before = set(table_state(spark, folder)["live"])
-    assert len(before) == 8
-    opened = []
-
-    def counted(spark, path, state, live):
-        opened.append(list(live))
-        return real(spark, path, state, live)
-
-    real = keyed._frame
-    keyed._frame = counted
-    try:
-        write_keyed(frame(spark, (7, "a", 2, "new")), folder, "k", "ts", dedup=True)
-    finally:
-        keyed._frame = real
-    after = set(table_state(spark, folder)["live"])
-    assert len(before - after) == 1 and len(after - before) == 1
-    assert all(set(live) == before - after for live in opened)  # looked up and merged: one bucket
-    files = {r[0].split("/data/")[1].rsplit("/", 1)[0] for r in keyed._frame(
-        spark, folder, table_state(spark, folder), table_state(spark, folder)["live"]
-    ).select("_metadata.file_path").distinct().collect()}
-    assert files == after
+    write_keyed(frame(spark, *data), folder, "k", "ts", dedup=True, slices=8)
+    before = stored_files(spark, folder)
+    assert len(partitions(spark, folder)) == 8
+    read = []
+    real = keyed._joined
+    monkeypatch.setattr(keyed, "_joined", lambda old, *a: read.append(set(old.inputFiles())) or real(old, *a))
+    write_keyed(frame(spark, (7, "a", 2, "new")), folder, "k", "ts", dedup=True)
+    gone = before - stored_files(spark, folder)
+    assert len({f.rsplit("/", 1)[0] for f in gone}) == 1 and all(files == gone for files in read)
     assert got(spark, folder) == sorted([(7, "a", 2, "new"), *[d for d in data if d[0] != 7]], key=str)
 
 
-def test_buckets_of_a_partitioned_table(spark, folder):
-    write_keyed(frame(spark, *[(i, "ab"[i % 2], 1, "x") for i in range(60)]), folder, "k", "ts", "part", dedup=True, buckets=4)
+def test_buckets_and_slices_of_a_partitioned_table(spark, folder):
+    write_keyed(frame(spark, *[(i, "ab"[i % 2], 1, "x") for i in range(60)]), folder, "k", "ts", "part", dedup=True, buckets=4, slices=2)
     write_keyed(frame(spark, (1, "a", 2, "y"), (99, None, 1, "z")), folder, "k", "ts", dedup=True)
     assert len(got(spark, folder)) == 61 and (1, "a", 2, "y") in got(spark, folder)
-    drop_old_versions(spark, folder, keep=1)
-    assert len(got(spark, folder)) == 61
-    with pytest.raises(ValueError, match="bucket_by"):
-        write_keyed(frame(spark, (1, "a", 2, "y")), folder + "2", "k", dedup=True, buckets=4, bucket_by="part")
-    with pytest.raises(ValueError, match="reserved"):
-        write_keyed(frame(spark, (1, "a", 2, "y")).withColumnRenamed("v", "key_bucket"), folder + "3", "k")
+    want = rows(read_keyed(spark, folder))
+    write_keyed(read_keyed(spark, folder).filter("k % 7 = 0"), folder, "k", "ts", dedup=True)
+    assert rows(read_keyed(spark, folder)) == want

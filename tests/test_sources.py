@@ -60,6 +60,28 @@ def test_manifest_does_not_read_contents(spark, sf_dir):
     assert "content" not in plan(found).split("ReadSchema:")[1].split("\n")[0]
 
 
+def test_partitions_are_overwritten_alone(spark, folder):
+    def frame(*rows_):
+        return spark.createDataFrame(list(rows_), "v int, p string, q int")
+
+    files.write_files(frame((1, "a", 1), (2, "a", 2), (3, "b", 1), (4, None, 1)), "parquet", folder, partition_by=["p", "q"])
+    # From the folder itself: one partition runs again, one is new, one of NULL is replaced.
+    again = files.read_parquet(spark, folder, "v int, p string, q int").filter("p = 'a' AND q = 1").selectExpr("v * 10 AS v", "p", "q")
+    files.write_files(again.union(frame((5, "c", 1), (6, None, 1))), "parquet", folder, "overwrite_partitions", ["p", "q"])
+    got = sorted((tuple(r) for r in files.read_parquet(spark, folder, "v int, p string, q int").collect()), key=str)
+    assert got == sorted([(10, "a", 1), (2, "a", 2), (3, "b", 1), (5, "c", 1), (6, None, 1)], key=str)
+    files.write_files(frame((7, "z", 1)), "parquet", folder, "overwrite", ["p", "q"])
+    assert [tuple(r) for r in files.read_parquet(spark, folder).select("v", "p", "q").collect()] == [(7, "z", 1)]
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:  # another writer's setting does not turn a whole overwrite into one of partitions
+        files.write_files(frame((8, "y", 1)), "parquet", folder, "overwrite", ["p", "q"])
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert files.read_parquet(spark, folder).count() == 1
+    with pytest.raises(ValueError, match="needs partition_by"):
+        files.write_files(frame((1, "a", 1)), "parquet", folder, "overwrite_partitions")
+
+
 def test_catalog(spark, folder):
     catalog.create_database(spark, "tm_db", folder)
     catalog.create_table(spark, "tm_db.t", "id INT, name STRING, d DATE, p STRING", partition_by="p")

@@ -18,9 +18,8 @@ def open_first(spec: History) -> list[Column]:
 
 
 def read_active(spark: SparkSession, path: str, spec: History) -> DataFrame:
-    """Active versions, all that a batch is merged with; folders of ended ones are not listed."""
-    df = read_keyed(spark, path, folders=lambda part: part.get(spec.status.lower(), spec.active) == spec.active)
-    return df.filter(col(spec.status) == spec.active)
+    """Active versions, all that a batch is merged with; partitions of ended ones are not read."""
+    return read_keyed(spark, path).filter(col(spec.status) == spec.active)
 
 
 def write_versions(
@@ -31,10 +30,10 @@ def write_versions(
     batch_id: tuple[str, int] | None = None,
     buckets: int = 0,
 ) -> int | None:
-    """Upsert versions by key, start and tie-breakers; `buckets` lays a new table out by key.
+    """Upsert versions by key, start and tie-breakers; `buckets` of a new table are by its business keys.
 
     The table is partitioned by status: ended versions are only ever added to,
-    and a batch rewrites the active ones at most. `since` is a time before
+    unless the batch holds them again, and a batch rewrites the active ones at most. `since` is a time before
     which no new version starts; ended versions from before it cannot meet the
     batch and are not read.
     """
@@ -53,7 +52,6 @@ def write_versions(
         replace=True,
         near=near,
         batch_id=batch_id,
-        rebalance=False,
         buckets=buckets,
         bucket_by=spec.keys,
     )

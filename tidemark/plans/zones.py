@@ -93,8 +93,8 @@ def _as_datetime(moment: str | datetime) -> datetime:
 
 def changes_in_window(spark: SparkSession, processed: str, run: Run) -> DataFrame:
     """Landed changes from the run's start to its end, both included; other days are not read."""
-    first, last = (_as_datetime(t).date().isoformat() for t in (run.window_from, run.window_to))
-    df = read_keyed(spark, processed, with_seq=True, folders=lambda part: first <= part[DAY] <= last)
+    first, last = (_as_datetime(t).date() for t in (run.window_from, run.window_to))
+    df = read_keyed(spark, processed, with_seq=True).filter(col(DAY).between(first, last))
     return drop_columns(in_window(df, run.ts_col, run.window_from, run.window_to), DAY)
 
 

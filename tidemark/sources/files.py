@@ -58,10 +58,17 @@ def write_files(
 ) -> None:
     """Write any format. With `partition_by`, one folder per value, by default after `by_folder`.
 
-    A frame that reads from `path` must not overwrite it: Spark empties the
-    folder first. Write to a new folder, or use a keyed table.
+    mode="overwrite" replaces all that is there. mode="overwrite_partitions" replaces
+    the partitions that the frame has rows of, all at the end of the write, and
+    leaves the others: one day can be run again, also by a frame that reads the
+    folder. Otherwise a frame must not overwrite what it reads, which Spark empties first.
     """
     names = resolve(df, partition_by)
+    if mode == "overwrite_partitions" and not names:
+        raise ValueError("overwrite_partitions needs partition_by")
+    kept = "dynamic" if mode == "overwrite_partitions" else "static"
+    mode = "overwrite" if mode == "overwrite_partitions" else mode
+    options = {"partitionOverwriteMode": kept, **options}
     if rebalance:
         df = by_folder(df, names)
     writer = df.write.format(fmt).mode(mode).options(**options)

@@ -1,192 +1,330 @@
-"""Keyed tables on plain parquet: append, upsert and read a consistent state.
-
-A table is a folder:
-
-    data/commit_seq=<n>/commit_id=<id>/[partition folders]/*.parquet   never changed
-    state/<n>.json                                 which of these folders are live
-
-A write makes a folder of its own and then one small state file, so a reader
-sees the state before or after it: the file is written under another name and
-appears whole. One writer at a time: it appears only if there is none of its
-name, so of two writers on the same state one fails and the table is as the
-other left it. Folders of a failed write are never live.
-
-Cost of an upsert: folders without any of the batch's keys are neither read
-beyond the key columns nor rewritten. Partitioning a table so that a batch meets
-few folders (history by status, facts by day) keeps daily work to those; with
-buckets, folders of other buckets are not even listed.
+"""Keyed tables: catalog tables of Spark that are appended to and upserted by key.
+
+A table is parquet, partitioned by columns of the caller's choice and by a hash of
+the keys (`key_slice`), and bucketed and sorted by the keys within. So an upsert
+joins the batch with the stored rows without shuffling them, and replaces whole
+partitions by Spark's dynamic partition overwrite: those that hold a key of the
+batch, no others. Any Spark session reads the table, and any tool its folders.
+
+A table is named as in the catalog, or by a path (anything with a slash). A path
+is a table of its own in the session's catalog, below a folder that says how many
+buckets and slices it has, so that another session finds the same layout.
+
+A write is one or two Spark writes. Before the first one the table's properties
+say that its keys may repeat, after the last one that they do not; so what an
+interrupted upsert has left is put right by the next one, which then looks at
+every partition. There is one writer at a time, and readers read again after it.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
-from collections.abc import Callable, Iterable, Sequence
+import re
+import threading
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 from urllib.parse import unquote
-from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.names import RESERVED, as_list, col, resolve, same_schema
-from tidemark.operators.joins import rows_touched, rows_untouched
-from tidemark.operators.latest import first_of_few, keep_last, ordering
+from tidemark.functions.names import RESERVED, all_of, as_list, col, quoted, resolve, same_schema
+from tidemark.operators.latest import keep_last
 from tidemark.session import shared_dir, size_shuffles
-from tidemark.sources.files import write_files
-from tidemark.sources.paths import file_system, folder_bytes, read_text, write_new_text
+from tidemark.sources.paths import child_names, file_system, folder_bytes
 
+SLICE = "key_slice"
+ID = "commit_id"  # partition of one append: its number, and the batch it is of
 SEQ = "commit_seq"
-ID = "commit_id"
-BUCKET = "key_bucket"
-_FILE = RESERVED + "file"
 _BATCH = RESERVED + "batch"
+_COLUMNS, _KEYS, _BY, _UNIQUE, _WRITES, _SEEN = (
+    f"tidemark.{name}" for name in ("columns", "keys", "by", "unique", "writes", "batch.")
+)
+_DURING_WRITES = {
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # A table bucketed by some of its keys is joined on all of them without a shuffle.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+}
+_writing: dict[str, tuple[int, dict[str, str | None]]] = {}
+_lock = threading.Lock()
+
+
+@contextmanager
+def _settings(spark: SparkSession) -> Iterator[None]:
+    """The session's settings during writes, which may overlap in several threads."""
+    session = str(id(spark._jsparkSession))
+    with _lock:
+        if session not in _writing:
+            _writing[session] = (0, {name: spark.conf.get(name, None) for name in _DURING_WRITES})
+            for name, value in _DURING_WRITES.items():
+                spark.conf.set(name, value)
+        _writing[session] = (_writing[session][0] + 1, _writing[session][1])
+    try:
+        yield
+    finally:
+        with _lock:
+            writes, before = _writing.pop(session)
+            if writes > 1:
+                _writing[session] = (writes - 1, before)
+            else:
+                for name, value in before.items():
+                    spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    fs, folder = file_system(spark, f"{path}/state")
-    if not fs.exists(folder):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(folder)]
-    return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
+def _is_path(table: str) -> bool:
+    return "/" in table
 
 
-def _load(spark: SparkSession, path: str, version: int) -> dict:
-    return json.loads(read_text(spark, f"{path}/state/{version:010d}.json"))
+def catalog_name(table: str) -> str:
+    """The table's name in the catalog; that of a path is made from the path."""
+    if not _is_path(table):
+        return table
+    return f"keyed_{hashlib.sha256(table.rstrip('/').encode()).hexdigest()[:24]}"
 
 
-def table_state(spark: SparkSession, path: str, version: int | None = None) -> dict | None:
-    """The newest state (or that of `version`); None when there is no table yet."""
-    versions = _versions(spark, path)
-    if version is not None and version not in versions:
-        raise ValueError(f"{path} has no version {version}")
-    if not versions:
-        return None
-    return _load(spark, path, versions[-1] if version is None else version)
+def _layout_folder(spark: SparkSession, path: str) -> str | None:
+    """The folder below a path that holds its rows, named after buckets and slices."""
+    found = [n for n in child_names(spark, path) if re.fullmatch(r"rows-\d+-\d+", n)]
+    return f"{path.rstrip('/')}/{found[0]}" if found else None
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    return bool(_versions(spark, path))
+def table_exists(spark: SparkSession, table: str) -> bool:
+    """Whether the table has been written; one whose first write failed before any row has not."""
+    name = catalog_name(table)
+    if spark.catalog.tableExists(name):
+        written = int(_properties(spark, name)[_WRITES]) > 0
+        return written or not spark.sql(f"SHOW PARTITIONS {name}").isEmpty()
+    return _is_path(table) and _layout_folder(spark, table) is not None
 
 
-def _frame(spark: SparkSession, path: str, state: dict, live: list[str]) -> DataFrame:
-    schema = T.StructType.fromJson(state["schema"])
-    stored = T.StructType([*schema, T.StructField(SEQ, T.IntegerType()), T.StructField(ID, T.StringType())])
-    if state.get("buckets"):
-        stored = stored.add(BUCKET, T.IntegerType())
-    if not live:
-        return spark.createDataFrame([], stored)
-    # Shuffles of what is about to be read start with enough tasks for it.
-    size_shuffles(spark, sum(state.get("bytes", {}).get(folder, 0) for folder in live))
-    data = f"{path}/data"
-    folders = [f"{data}/{folder}" for folder in live]
-    return spark.read.schema(stored).option("basePath", data).parquet(*folders)
+def _properties(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
 
 
-def _parts(folder: str) -> dict[str, str]:
-    """Partition values in a folder's name, by lower-case column name."""
-    pairs = [part.split("=", 1) for part in folder.split("/")]
-    return {unquote(name).lower(): unquote(value) for name, value in pairs}
+def _text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def read_keyed(
-    spark: SparkSession,
-    path: str,
-    version: int | None = None,
-    with_seq: bool = False,
-    folders: Callable[[dict[str, str]], bool] | None = None,
-) -> DataFrame:
-    """Current rows of a keyed table, or those of an earlier version still kept.
+def _set(spark: SparkSession, name: str, properties: dict[str, str]) -> None:
+    pairs = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in properties.items())
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
+
 
-    `with_seq` adds the number of the commit that wrote the row, an ordering
-    column for rows with equal change times. `folders` picks folders by their
-    partition values (as text, by lower-case name); others are not even listed,
-    which a filter alone would not spare.
+def _create(
+    spark: SparkSession,
+    table: str,
+    schema: T.StructType,
+    keys: list[str],
+    parts: list[str],
+    by: list[str],
+    buckets: int,
+    slices: int,
+    append: bool,
+) -> None:
+    name, location = catalog_name(table), None
+    if _is_path(table):
+        location = _layout_folder(spark, table) or f"{table.rstrip('/')}/rows-{buckets}-{slices}"
+        buckets, slices = map(int, location.rsplit("/", 1)[1].split("-")[1:])
+    fields = [T.StructField(f.name, f.dataType) for f in schema]
+    fields += [T.StructField(SLICE, T.IntegerType())] + ([T.StructField(ID, T.StringType())] if append else [])
+    folders = [*parts, SLICE, *([ID] if append else [])]
+    listed = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in fields)
+    inside = [c for c in by if c.lower() not in {p.lower() for p in parts}]
+    text = f"CREATE TABLE {name} ({listed}) USING parquet PARTITIONED BY ({', '.join(map(quoted, folders))})"
+    if buckets and inside:
+        columns = ", ".join(map(quoted, inside))
+        text += f" CLUSTERED BY ({columns}) SORTED BY ({columns}) INTO {buckets} BUCKETS"
+    if location:
+        text += f" LOCATION {_text(location)}"
+    properties = {
+        _COLUMNS: json.dumps(schema.names), _KEYS: json.dumps(keys), _BY: json.dumps([by, slices, buckets if inside else 0]),
+        _UNIQUE: "false", _WRITES: "0",
+    }
+    pairs = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in properties.items())
+    spark.sql(f"{text} TBLPROPERTIES ({pairs})")
+    if location and child_names(spark, location):  # rows of another session
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+
+
+class _Stored:
+    """What the catalog knows of a table."""
+
+    def __init__(self, spark: SparkSession, table: str):
+        self.spark, self.name = spark, catalog_name(table)
+        self.properties = _properties(spark, self.name)
+        self.schema = spark.table(self.name).schema
+        self.columns: list[str] = json.loads(self.properties[_COLUMNS])
+        self.keys: list[str] = json.loads(self.properties[_KEYS])
+        self.by, self.slices, self.buckets = json.loads(self.properties[_BY])
+        self.folders = [c.name for c in spark.catalog.listColumns(self.name) if c.isPartition]
+        self.append = ID in self.folders
+        self.parts = [c for c in self.folders if c not in (SLICE, ID)]
+        self.unique = self.properties[_UNIQUE] == "true"
+
+    def rows(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def plain(self) -> T.StructType:
+        types = {f.name: f for f in self.schema}
+        return T.StructType([types[c] for c in self.columns])
+
+    def slice_of(self) -> Column:
+        return F.pmod(F.xxhash64(*[col(k) for k in self.by]), F.lit(self.slices)).cast("int").alias(SLICE)
+
+    def partitions(self) -> DataFrame:
+        return self.spark.sql(f"SHOW PARTITIONS {self.name}")
+
+    def next_write(self) -> int:
+        last = int(self.properties[_WRITES])
+        if self.append:
+            number = F.regexp_extract("partition", rf"(?:^|/){ID}=(\d+)", 1).cast("int")
+            last = max(last, self.partitions().agg(F.max(number)).first()[0] or 0)
+        return last + 1
+
+    def has_batch(self, source: str, number: int) -> bool:
+        if int(self.properties.get(_SEEN + source, -1)) >= number:
+            return True
+        if not self.append:
+            return False
+        # A table found by its path knows appended batches by their folders.
+        return not self.partitions().filter(F.col("partition").endswith(f"-{source}-{number}")).isEmpty()
+
+    def done(self, write: int, unique: bool, batch_id: tuple[str, int] | None) -> int:
+        seen = {_SEEN + batch_id[0]: str(batch_id[1])} if batch_id else {}
+        _set(self.spark, self.name, {_UNIQUE: str(unique).lower(), _WRITES: str(write), **seen})
+        return write
+
+
+def read_keyed(spark: SparkSession, table: str, with_seq: bool = False) -> DataFrame:
+    """Current rows of a keyed table; filters on its partition columns leave out whole folders.
+
+    `with_seq` adds the number of the append that wrote the row, an ordering column
+    for rows with equal change times. Read again after the table has been written.
     """
-    state = table_state(spark, path, version)
-    if state is None:
-        raise FileNotFoundError(f"no keyed table at {path}")
-    names = [f["name"] for f in state["schema"]["fields"]]
-    live = [f for f in state["live"] if folders is None or folders(_parts(f))]
-    df = _frame(spark, path, state, live)
-    return df.select(*[col(n) for n in names], *([SEQ] if with_seq else []))
+    name = catalog_name(table)
+    if spark.catalog.tableExists(name):
+        stored = _Stored(spark, table)
+        number = [F.regexp_extract(ID, r"^\d+", 0).cast("int").alias(SEQ)] if with_seq else []
+        return stored.rows().select(*[col(c) for c in stored.columns], *number)
+    folder = _layout_folder(spark, table) if _is_path(table) else None
+    if folder is None:
+        raise FileNotFoundError(f"no keyed table {table}")
+    df = spark.read.parquet(folder)
+    number = [F.regexp_extract(F.col(ID).cast("string"), r"^\d+", 0).cast("int").alias(SEQ)] if with_seq else []
+    return df.select("*", *number).drop(SLICE, ID)
 
 
-def _folders(spark: SparkSession, path: str, below: str) -> list[str]:
-    """Folders matching a glob below data/, relative to it: names only, as a catalog lists them."""
-    fs, pattern = file_system(spark, f"{path}/data/{below}")
-    found = fs.globStatus(pattern) or []
-    names = [s.getPath().toString() for s in found if s.isDirectory()]
-    return sorted(n[n.rindex(f"/{SEQ}=") + 1 :] for n in names)
+def _equal(folders: list[str], row) -> Column:
+    return all_of([col(c).eqNullSafe(F.lit(row[c])) for c in folders])
 
 
-def _bucket(state: dict) -> Column:
-    """The bucket of a row: its keys decide, or those of them that the table is laid out by."""
-    return F.pmod(F.xxhash64(*[col(k) for k in state["bucket_by"]]), F.lit(state["buckets"])).cast("int")
+def _any(conditions: list[Column]) -> Column:
+    return reduce(lambda a, b: a | b, conditions, F.lit(False))
 
 
-def _in_buckets(state: dict, batch: DataFrame) -> list[str]:
-    """Live folders of the buckets that the batch's keys belong to; all where there are no buckets."""
-    if not state.get("buckets"):
-        return state["live"]
-    touched = {str(r[0]) for r in batch.select(_bucket(state)).distinct().collect()}  # one per bucket at most
-    return [f for f in state["live"] if _parts(f)[BUCKET] in touched]
+def _of(df: DataFrame, folders: list[str], values: list) -> DataFrame:
+    """Rows of the given partitions, by conditions that leave out the others' folders."""
+    return df.filter(_any([_equal(folders, v) for v in values]))
 
 
-def _commit(df: DataFrame, path: str, state: dict | None, keep: list[str], meta: dict, rebalance: bool) -> int:
-    """Write `df` to a folder of its own, then make it and the `keep` folders live."""
-    spark = df.sparkSession
-    version = state["version"] + 1 if state else 1
-    parts = list(meta["partition_by"])
-    if meta.get("buckets"):
-        df, rebalance = df.withColumn(BUCKET, _bucket(meta)), True
-        parts.append(BUCKET)
-    folder = f"{SEQ}={version}/{ID}={uuid4().hex}"
-    write_files(df, "parquet", f"{path}/data/{folder}", partition_by=parts, rebalance=rebalance)
-    new = _folders(spark, path, folder + "/*=*" * len(parts))
-    known = state.get("bytes", {}) if state else {}
-    sizes = {name: known[name] for name in keep if name in known}
-    sizes |= {name: folder_bytes(spark, f"{path}/data/{name}") for name in new}
-    text = json.dumps({"version": version, **meta, "live": keep + new, "bytes": sizes})
-    write_new_text(spark, f"{path}/state/{version:010d}.json", text)
-    return version
-
-
-def _met_folders(old: DataFrame, keys: list[str], batch: DataFrame, near: Sequence[Column]) -> list[str]:
-    """Live folders that hold a key of the batch; reads only the key columns."""
-    # One scan per condition: each then skips folders and row groups on its own.
-    scans = [old.filter(condition) for condition in near] or [old]
-    tagged = reduce(
-        DataFrame.union, [s.select(*[col(k) for k in keys], F.col("_metadata.file_path").alias(_FILE)) for s in scans]
-    )
-    folder = F.regexp_extract(_FILE, rf"/data/({SEQ}=.*)/[^/]*$", 1)
-    met = rows_touched(tagged, batch, keys, null_safe=True).select(folder).distinct()
-    # At most one row per live folder, and their list is in the state file anyway.
-    return [unquote(r[0]) for r in met.collect()]
-
-
-def _merge(
-    old: DataFrame, batch: DataFrame, keys: list[str], order_by: list, unique: bool, replace: bool
-) -> tuple[DataFrame | None, DataFrame]:
-    """One row per key of stored and new rows; the batch wins where the order does not decide.
-
-    Returns stored rows the batch does not meet, if they can be told apart, and
-    the others.
+def _prunes(batch: DataFrame, stored: _Stored) -> list[int]:
+    """Slices of the batch's keys; at most as many as the table has."""
+    return [r[0] for r in batch.select(stored.slice_of()).distinct().collect()]
+
+
+def _newer(order: list[str], replace: bool) -> Column:
+    """Whether the batch's row "r" takes the place of the stored row "l" of its key, if there is one."""
+    there = F.col(f"l.{_BATCH}").isNotNull()
+    if replace or not order:
+        return F.lit(True)
+    left, right = (F.struct(*[F.col(f"{side}.{quoted(c)}") for c in order]) for side in "lr")
+    return ~there | (right >= left)
+
+
+def _whole(keys: list[str]) -> Column:
+    return all_of([col(k).isNotNull() for k in keys])
+
+
+def _joined(old: DataFrame, batch: DataFrame, keys: list[str], how: str, nulls: bool) -> DataFrame:
+    """Stored rows "l" and the batch's rows "r" by key, each with _BATCH where there is one.
+
+    With `nulls`, keys with a NULL match each other, but in a join of their own:
+    the join of all others does not move stored rows that are bucketed by their keys.
     """
-    if replace:
-        # Thin out keys stored many times before the join, not after it.
-        old = old if unique else keep_last(old, keys, order_by)
-        return rows_untouched(old, batch, keys, null_safe=True), batch
-    order = [*ordering(batch, order_by, False), F.col(_BATCH).desc()]
-    new, old = batch.withColumn(_BATCH, F.lit(1)), old.withColumn(_BATCH, F.lit(0))
-    if not unique:
-        return None, keep_last(old.unionByName(new), keys, order).drop(_BATCH)
-    return None, first_of_few(old.unionByName(new), keys, order).drop(_BATCH)
+    old, batch = (df.withColumn(_BATCH, F.lit(1)) for df in (old, batch))
+    pairs = [(F.col(f"l.{quoted(k)}"), F.col(f"r.{quoted(k)}")) for k in keys]
+    same = [all_of([a == b for a, b in pairs]), all_of([a.eqNullSafe(b) for a, b in pairs])]
+    sides = [(old, batch)]
+    if nulls:
+        sides = [(old.filter(c), batch.filter(c)) for c in (_whole(keys), ~_whole(keys))]
+    both = [
+        left.alias("l").join(right.alias("r"), on, how).select(F.struct("l.*").alias("l"), F.struct("r.*").alias("r"))
+        for (left, right), on in zip(sides, same)
+    ]
+    return reduce(DataFrame.unionByName, both)
+
+
+def merged(
+    old: DataFrame, batch: DataFrame, keys: list[str], order: list[str], replace: bool, nulls: bool = True
+) -> DataFrame:
+    """One row per key of stored and new rows, the newer one; the batch wins where the order does not decide.
+
+    Both sides have one row per key; `nulls` tells whether the batch may have keys with a NULL.
+    """
+    new = F.col(f"r.{_BATCH}").isNotNull() & _newer(order, replace)
+    sides = [(F.col(f"r.{quoted(c)}"), F.col(f"l.{quoted(c)}"), c) for c in old.columns]
+    return _joined(old, batch, keys, "full_outer", nulls).select(*[F.when(new, r).otherwise(l).alias(c) for r, l, c in sides])
+
+
+def _winners(
+    old: DataFrame, batch: DataFrame, keys: list[str], order: list[str], replace: bool, nulls: bool
+) -> DataFrame:
+    """The batch's rows that are in the merged table; reads keys and order of the stored ones only."""
+    if replace or not order:
+        return batch
+    names = [col(c) for c in dict.fromkeys([*keys, *order])]
+    joined = _joined(old.select(*names), batch, keys, "right", nulls).filter(_newer(order, replace))
+    return joined.select("r.*").drop(_BATCH)
+
+
+def _met(
+    old: DataFrame, batch: DataFrame, stored: _Stored, keys: list[str], near: Sequence[Column], nulls: bool
+) -> list:
+    """Partitions that hold a key of the batch; reads key columns only."""
+    names, own = dict.fromkeys([*keys, *stored.folders]), batch.select(*map(col, keys))
+    # One scan per condition: each then skips partitions and row groups on its own.
+    scans = [old.filter(condition) for condition in near] or [old]
+    found = [_joined(s.select(*map(col, names)), own, keys, "inner", nulls) for s in scans]
+    folders = [F.col(f"l.{quoted(c)}") for c in stored.folders]
+    return reduce(DataFrame.union, [f.select(*folders) for f in found]).distinct().collect()
+
+
+def _drop_partition(stored: _Stored, row, files: list[str]) -> None:
+    """Leave a partition out of the catalog, and delete the files it had."""
+    pairs = [(quoted(c), "null" if row[c] is None else _text(str(row[c]))) for c in stored.folders]
+    spec = ", ".join(f"{c} = {value}" for c, value in pairs)
+    stored.spark.sql(f"ALTER TABLE {stored.name} DROP IF EXISTS PARTITION ({spec})")
+    for file in files:  # those of a table with a location of its own are not deleted by the catalog
+        fs, path = file_system(stored.spark, unquote(file))
+        fs.delete(path, False)
+
+
+def _insert(df: DataFrame, stored: _Stored, overwrite: bool) -> None:
+    rows = df.select(*[col(f.name) for f in stored.schema])
+    if stored.buckets and not overwrite:
+        # Each task then writes one bucket.
+        inside = [c for c in stored.by if c.lower() not in {p.lower() for p in stored.parts}]
+        rows = rows.repartition(stored.buckets, *map(col, inside))
+    rows.write.insertInto(stored.name, overwrite=overwrite)
 
 
 def write_keyed(
     df: DataFrame,
-    path: str,
+    table: str,
     keys: str | Iterable[str],
     order_by: str | Iterable[str | Column] = (),
     partition_by: str | Iterable[str] = (),
@@ -195,108 +333,125 @@ def write_keyed(
     known_unique: bool = False,
     near: Sequence[Column] = (),
     batch_id: tuple[str, int] | None = None,
-    rebalance: bool = True,
     buckets: int = 0,
+    slices: int = 1,
     bucket_by: str | Iterable[str] = (),
 ) -> int | None:
-    """Write a batch to a keyed table; returns the new version.
+    """Write a batch to a keyed table, made by the first write; returns the number of the write.
 
     dedup=False    append all rows as they are
     dedup=True     upsert: one row per key, the newest by `order_by` stays;
-                   on a tie the batch replaces the stored row
+                   on a tie the batch replaces the stored row. Sort expressions in
+                   `order_by` need `replace`
     replace        upsert in which `order_by` only decides within the batch,
                    and the batch replaces stored rows whatever their order
     known_unique   the caller states that the batch has one row per key (and,
-                   when appending, that the table has none of them)
+                   when appending to a new table, that the table is unique then)
     near           upsert: conditions; every stored row that shares a key with the
                    batch meets one of them, and others are not even looked at
-    buckets        lay a new table out in so many buckets by a hash of the keys (or of
-                   `bucket_by`, some of them), below its partitions: an upsert then
-                   lists and reads the buckets of its own keys only. Choose it such
-                   that a bucket of the largest partition suits a few tasks
+    buckets        buckets of a new table by its keys, or by `bucket_by`, some of
+                   them; as many as upserts shall have tasks. By default those of the
+                   session's shuffles for upserted tables, and none for appended ones
+    slices         parts of the keys by their hash that are folders of their own:
+                   an upsert reads and rewrites those of its own keys only
     batch_id       (source, number): a batch already written is skipped and
                    None returned, which makes retries of a stream harmless
+
+    An upsert rewrites the partitions that hold a key of the batch and adds to
+    others. Null partition values, empty batches and keys with NULLs are as any
+    others; columns go by name, and names the table lacks are refused.
     """
     spark = df.sparkSession
     keys, parts = resolve(df, keys), resolve(df, partition_by)
     order_by = as_list(order_by) if isinstance(order_by, str) else list(order_by)
-    if {SEQ, ID, BUCKET} & {c.lower() for c in df.columns}:
-        raise ValueError(f"{SEQ}, {ID} and {BUCKET} are reserved column names")
-    if not set(resolve(df, bucket_by)) <= set(keys):
+    by = resolve(df, bucket_by) or keys
+    if {SEQ, ID, SLICE} & {c.lower() for c in df.columns}:
+        raise ValueError(f"{SEQ}, {ID} and {SLICE} are reserved column names")
+    if not set(by) <= set(keys):
         raise ValueError("bucket_by must name keys")
-    state = table_state(spark, path)
-    if state is not None:
-        if as_list(partition_by) and [p.lower() for p in parts] != [p.lower() for p in state["partition_by"]]:
-            raise ValueError(f"table at {path} is partitioned by {state['partition_by']}")
-        parts = state["partition_by"]
-        schema = T.StructType.fromJson(state["schema"])
-        extra = {c.lower() for c in df.columns} - {f.name.lower() for f in schema}
-        if extra:
-            raise ValueError(f"table at {path} has no column {sorted(extra)}")
-        df = same_schema(df, schema)
-        keys = resolve(df, keys)
-    seen = dict(state["batches"]) if state else {}
-    if batch_id is not None:
-        source, number = batch_id
-        if seen.get(source, -1) >= number:
-            return None
-        seen[source] = number
-    meta = {
-        "schema": df.schema.jsonValue(),
-        "keys": keys,
-        "partition_by": parts,
-        "unique": dedup or (known_unique and (state is None or state["unique"])),
-        "batches": seen,
-        "buckets": state.get("buckets", 0) if state else buckets,
-        "bucket_by": state.get("bucket_by", []) if state else (resolve(df, bucket_by) or keys),
-    }
-    if not dedup:
-        return _commit(df, path, state, state["live"] if state else [], meta, rebalance)
-    batch = df if known_unique else keep_last(df, keys, order_by)
-    if state is None or not state["live"]:
-        return _commit(batch, path, state, [], meta, rebalance)
-    # The batch is read several times below: write it once, and let its files
-    # rather than estimates tell how large it is.
+    if dedup and not replace and any(isinstance(c, Column) for c in order_by):
+        raise ValueError("an upsert compares columns: give order_by as names")
+    name = catalog_name(table)
+    if not spark.catalog.tableExists(name):
+        buckets = buckets or (int(spark.conf.get("spark.sql.shuffle.partitions")) if dedup else 0)
+        _create(spark, table, df.schema, keys, parts, by, buckets, slices, append=not dedup)
+        new = spark.sql(f"SHOW PARTITIONS {name}").isEmpty()
+    else:
+        new = False
+    stored = _Stored(spark, table)
+    if as_list(partition_by) and [p.lower() for p in parts] != [p.lower() for p in stored.parts]:
+        raise ValueError(f"table {table} is partitioned by {stored.parts}")
+    extra = {c.lower() for c in df.columns} - {c.lower() for c in stored.columns}
+    if extra:
+        raise ValueError(f"table {table} has no column {sorted(extra)}")
+    df = same_schema(df, stored.plain())
+    keys = resolve(df, keys)
+    if batch_id is not None and stored.has_batch(*batch_id):
+        return None
+    write = stored.next_write()
+    label = "-".join([f"{write:010d}", *([batch_id[0], str(batch_id[1])] if batch_id else [])])
+    with _settings(spark):
+        if not dedup:
+            rows = df.withColumn(SLICE, stored.slice_of())
+            if stored.append:
+                # The append's own partitions: written again by a retry, not twice.
+                rows = rows.withColumn(ID, F.lit(label))
+            # Whether or not an append is told to be unique, stored rows may share its keys.
+            unique = known_unique and (new or stored.unique)
+            _set(spark, name, {_UNIQUE: "false"})
+            _insert(rows, stored, overwrite=stored.append)
+            return stored.done(write, unique, batch_id)
+        batch = df if known_unique else keep_last(df, keys, order_by)
+        if new:
+            _insert(batch.withColumn(SLICE, stored.slice_of()), stored, overwrite=False)
+            return stored.done(write, True, batch_id)
+        _upsert(batch, stored, keys, order_by, replace, near, label)
+        return stored.done(write, True, batch_id)
+
+
+def _upsert(
+    batch: DataFrame, stored: _Stored, keys: list[str], order_by: list, replace: bool, near: Sequence[Column], label: str
+) -> None:
+    """Merge a batch with one row per key into the partitions that hold its keys."""
+    spark = stored.spark
+    order = [] if replace else resolve(batch, order_by)
+    # The batch is read several times: write it once, whatever it took to make it.
     folder = shared_dir(spark, "batch")
     try:
-        batch.write.parquet(folder)
+        batch.withColumn(SLICE, stored.slice_of()).write.parquet(folder)
         size_shuffles(spark, folder_bytes(spark, folder))
-        batch = spark.read.schema(df.schema).parquet(folder)
-        unique = state["unique"] and [k.lower() for k in state["keys"]] == [k.lower() for k in keys]
-        met = state["live"]
+        schema = T.StructType([*batch.schema, T.StructField(SLICE, T.IntegerType())])
+        batch = spark.read.schema(schema).parquet(folder)
+        nulls = not batch.filter(~_whole(keys)).isEmpty()
+        old = stored.rows()
+        unique = stored.unique and [k.lower() for k in stored.keys] == [k.lower() for k in keys]
+        if stored.slices > 1 and unique:
+            own = _prunes(batch, stored)
+            old = old.filter(F.col(SLICE).isin(own)) if own else old.limit(0)
         if unique:
-            met = _in_buckets(state, batch)
-            met = _met_folders(_frame(spark, path, state, met), keys, batch, near) if met else []
-        keep = [name for name in state["live"] if name not in set(met)]
-        if met:
-            old = _frame(spark, path, state, met).select(*[col(c) for c in df.columns])
-            rest, batch = _merge(old, batch, keys, order_by, unique, replace)
-            if rest is not None:
-                batch = rest.unionByName(batch)
-        return _commit(batch, path, state, keep, meta, rebalance)
+            met = _met(old, batch, stored, keys, near, nulls)
+        else:  # every row of a key is found, and the newest kept
+            met = old.select(*map(col, stored.folders)).distinct().collect()
+        old = _of(old, stored.folders, met)
+        before = set(old.inputFiles())
+        if not unique:
+            old = keep_last(old, keys, order_by)
+        _set(spark, stored.name, {_UNIQUE: "false"})
+        if stored.append:  # all rows of the partitions met become rows of this write
+            old, batch = (df.withColumn(ID, F.lit(label)) for df in (old, batch))
+            _insert(merged(old, batch, keys, order, replace, nulls), stored, overwrite=True)
+        else:
+            # New rows of other partitions first: no version of a row is ever missing.
+            inside = _any([_equal(stored.folders, v) for v in met])
+            _insert(_winners(old, batch.filter(~inside), keys, order, replace, nulls), stored, overwrite=False)
+            if met:
+                _insert(merged(old, batch, keys, order, replace, nulls).filter(inside), stored, overwrite=True)
+        # A partition that came to have no row was not written, so it still has its files.
+        if before & set(_of(stored.rows(), stored.folders, met).inputFiles()):
+            for row in met:
+                files = before & set(_of(stored.rows(), stored.folders, [row]).inputFiles())
+                if files:
+                    _drop_partition(stored, row, sorted(files))
     finally:
         fs, written = file_system(spark, folder)
         fs.delete(written.getParent(), True)
-
-
-def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
-    """Delete states before the last `keep`, and all folders no kept state uses.
-
-    Readers of those versions must have finished.
-    """
-    versions = _versions(spark, path)
-    gone, kept = versions[:-keep], versions[-keep:]
-    for version in gone:
-        fs, file = file_system(spark, f"{path}/state/{version:010d}.json")
-        fs.delete(file, False)
-    newest = _load(spark, path, kept[-1])
-    parts = [*newest["partition_by"], *([BUCKET] if newest.get("buckets") else [])]
-    used = {folder for version in kept for folder in _load(spark, path, version)["live"]}
-    dropped = []
-    for folder in _folders(spark, path, f"{SEQ}=*/{ID}=*" + "/*=*" * len(parts)):
-        # A later number belongs to a write under way.
-        if folder not in used and int(folder.split("/")[0].split("=")[1]) <= kept[-1]:
-            fs, file = file_system(spark, f"{path}/data/{folder}")
-            fs.delete(file, True)
-            dropped.append(folder)
-    return dropped

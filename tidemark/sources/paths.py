@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from uuid import uuid4
-
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -31,6 +28,12 @@ def has_files(spark: SparkSession, path: str) -> bool:
     return False
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder; none where there is no folder."""
+    fs, folder = file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, file = file_system(spark, path)
     stream = fs.open(file)
@@ -40,40 +43,6 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def write_new_text(spark: SparkSession, path: str, text: str) -> None:
-    """Make a small file appear whole under `path`; fails if there is one.
-
-    The text goes to a file of another name first. That file then gets its name
-    in one step that fails if the name is taken: a link on a local file system,
-    elsewhere a rename that does not replace. HDFS does that atomically; on a
-    store without such a rename, two writers need a lock of their own.
-    """
-    fs, file = file_system(spark, path)
-    jvm = spark.sparkContext._jvm
-    file = fs.makeQualified(file)
-    draft = jvm.org.apache.hadoop.fs.Path(file.getParent(), f"{file.getName()}.{uuid4().hex}.draft")
-    stream = fs.create(draft, False)
-    try:
-        stream.write(bytearray(text, "utf-8"))
-    finally:
-        stream.close()
-    try:
-        if file.toUri().getScheme() == "file":
-            whole, name = (jvm.java.io.File(p.toUri().getPath()).toPath() for p in (draft, file))
-            jvm.java.nio.file.Files.createLink(name, whole)
-        else:
-            options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
-            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(file.toUri(), fs.getConf())
-            context.rename(draft, file, options)
-    except Py4JJavaError as error:
-        if error.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
-            raise FileExistsError(f"{path} already exists: another writer came first") from None
-        raise
-    finally:
-        if fs.exists(draft):
-            fs.delete(draft, False)
-
-
 def folder_bytes(spark: SparkSession, path: str) -> int:
     fs, folder = file_system(spark, path)
     return fs.getContentSummary(folder).getLength()
