@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import written
+from tidemark.llm.shared import unit_hash, written
 from tidemark.operators.joins import join_grouped
 
 
@@ -57,3 +57,31 @@ def components(edges: DataFrame) -> DataFrame:
         before = after
     roots = edges.select("b").distinct().select(F.col("b").alias("node"), F.col("b").alias("component"))
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
+
+
+def clusters(held: DataFrame) -> DataFrame:
+    """(node, cluster) of rows (node, key): nodes that keys connect are in one cluster, named by one of its nodes.
+
+    No node is linked with another one. In each round a key takes the least label
+    among its holders, and a label the least among its keys, in an order that
+    changes by round; then labels stand for nodes, keys of a single label go, and
+    equal rows count once. So rows only ever get fewer, and rounds grow with the
+    logarithm of the longest path. Columns are longs without nulls; no rows: no rows.
+    """
+    rows = held.select(F.col("node").alias("label"), "key").distinct()
+    named = written(rows.select(F.col("label").alias("node"), "label").distinct())
+    seed = 0
+    while True:
+        seed += 1
+        order = F.struct(unit_hash("label", seed=seed), "label")
+        keys = rows.groupBy("key").agg(F.min(order).alias("least"), F.max(order).alias("last"))
+        keys = keys.filter("least <> last").select("key", "least")
+        rows = written(join_grouped(rows, keys, ["key"]).select("label", F.col("l.key").alias("key"), "least"))
+        if rows.isEmpty():
+            return named.select("node", F.col("label").alias("cluster"))
+        moves = rows.groupBy("label").agg(F.min("least").alias("least"))
+        moves = written(moves.select("label", F.col("least.label").alias("next")))
+        moved = join_grouped(named, moves, ["label"], "left")
+        named = written(moved.select("node", F.coalesce("next", F.col("l.label")).alias("label")))
+        rows = join_grouped(rows.select("label", "key"), moves, ["label"])
+        rows = rows.select(F.col("next").alias("label"), "key").distinct()

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import pages
-from tidemark.llm.components import components
+from tidemark.llm.components import clusters, components
 from tidemark.llm.hashing import by_small, mixed, rolling, runs, window_starts, word_hashes
 from tidemark.llm.shared import written
 from tidemark.operators.joins import join_grouped
@@ -210,11 +210,9 @@ def _grouped(nodes: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     # Then what shares a prefix token across components.
     placed = join_grouped(tokens.select("node", "token"), group, ["node"], "left")
     placed = placed.select(F.col("l.node").alias("node"), "token", F.coalesce("component", "l.node").alias("c"))
-    split = placed.groupBy("token").agg(
-        F.min("c").alias("low"), F.max("c").alias("high"), F.min("node").alias("first")
-    )
-    split = split.filter("low < high").select("token", "first")
-    near = written(join_grouped(placed, split, ["token"]).select("node", "c", "first").distinct())
+    split = placed.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high"))
+    split = split.filter("low < high").select("token")
+    near = written(join_grouped(placed, split, ["token"], "left_semi").select("node", "c", "token"))
     return components(links.unionByName(_across(near, nodes, percent)))
 
 
@@ -269,13 +267,13 @@ def _block_links(percent: int):
 
 
 def _across(near: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Links between components, from rows (node, c, first) of nodes that share a prefix token across components.
+    """Links between components, from rows (node, c, token) of prefix tokens that several components have.
 
     Nodes that such tokens connect are a cluster. Its members outside its largest
     component are compared with all members, in blocks of BLOCK by BLOCK nodes.
     """
-    clusters = components(near.select(F.col("node").alias("a"), F.col("first").alias("b")))
-    members = join_grouped(near.select("node", "c").distinct(), clusters.withColumnRenamed("component", "cluster"), ["node"])
+    groups = clusters(near.select("node", F.col("token").alias("key")))
+    members = join_grouped(near.select("node", "c").distinct(), groups, ["node"])
     members = written(members.select(F.col("l.node").alias("node"), "c", "cluster"))
     counts = members.groupBy("cluster", "c").count()
     facts = counts.groupBy("cluster").agg(
