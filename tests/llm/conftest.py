@@ -41,7 +41,7 @@ def documents() -> list[tuple]:
 
 
 #: Names that the operators use inside or give to results.
-CLASHING = "page bucket payload row pos n p node component size weight copies score shard slot version digest _text".split()
+CLASHING = "page bucket payload row pos n p node component size weight copies score shard slot version digest _text _bucket _tie _source chance".split()
 
 
 @pytest.fixture(scope="session")

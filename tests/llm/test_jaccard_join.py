@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from conftest import documents, rows_of, text_of
 from tidemark.llm import jaccard_join, pages
-from tidemark.llm.components import components
+from tidemark.llm import components as components_module
+from tidemark.llm.components import clusters, components
 from tidemark.llm.jaccard_join import similar_groups
 
 
@@ -117,3 +118,51 @@ def test_no_pairs_of_a_large_group_are_made(spark):
     nodes = sets.filter("lead > 0").withColumnRenamed("doc_id", "node").drop("digest")
     group = jaccard_join._grouped(nodes, spark.createDataFrame([], "a long, b long"), 75)
     assert group.agg(F.count_distinct("component")).first()[0] == 1
+
+
+def test_clusters_of_keys(spark):
+    draw = random.Random(11)
+    held = [(draw.randrange(-400, 400), draw.randrange(300)) for _ in range(500)]
+    held += [(1000 + i, 5000 + i) for i in range(120)] + [(1001 + i, 5000 + i) for i in range(120)]  # a long chain
+    held += [(2000 + i, 9000) for i in range(300)] + [(3000, 9500)] * 3  # one key of many, one node alone
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for node, key in held:
+        parent[root(("n", node))] = root(("k", key))
+    frame = spark.createDataFrame(held, "node long, key long")
+    found = clusters(frame.repartition(5)).collect()
+    assert sorted(r["node"] for r in found) == sorted({n for n, _ in held})
+    names, roots = {}, {}
+    for r in found:
+        assert names.setdefault(root(("n", r["node"])), r["cluster"]) == r["cluster"]
+        assert roots.setdefault(r["cluster"], root(("n", r["node"]))) == root(("n", r["node"]))
+    assert clusters(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("key", ["doc_id", "xxhash64(doc_id)"])
+def test_rows_of_clusters_grow_with_the_family(spark, monkeypatch, key):
+    """Near copies of one text: what each round writes grows in proportion to their number."""
+    written_rows = []
+    real = components_module.written
+
+    def counted(df, *args):
+        frame = real(df, *args)
+        written_rows.append(frame.count())
+        return frame
+
+    monkeypatch.setattr(components_module, "written", counted)
+    totals = []
+    for n in (100, 200, 400):
+        draw = random.Random(n)
+        base = text_of(77, 160).split()
+        rows = [(i, " ".join(w if draw.random() > 0.02 else f"x{i}y{j}" for j, w in enumerate(base))) for i in range(n)]
+        frame = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(f"{key} AS doc_id", "text")
+        written_rows.clear()
+        similar_groups(frame).count()
+        totals.append(sum(written_rows) / n)
+    assert totals[2] < 1.6 * totals[0] + 20

@@ -53,10 +53,35 @@ def test_copies(docs):
 
 def test_taken_near_target(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/documents.parquet")
-    docs = docs.select("doc_id", "source", mixing.word_count().alias("size"))
+    docs = docs.select("doc_id", "text", "source", mixing.word_count().alias("size"))
+    check_taken(docs)
+
+
+def check_taken(docs):
+    """Each source within five standard deviations of its draws; all together close."""
     targets = mixing.with_targets(mixing.cyclic_weights(mixing.source_sizes(docs), [5, 2, 1]))
-    rows = mixing.planned(docs, targets).groupBy("source", "target").agg(F.sum(F.col("size") * F.col("copies")).alias("taken")).collect()
+    rate = F.col("target") / F.col("source_size")
+    spread = F.sum(F.col("size") * F.col("size") * (rate - F.floor(rate)) * (1 - rate + F.floor(rate)))
+    rows = mixing.planned(docs, targets).groupBy("source", "target").agg(
+        F.sum(F.col("size") * F.col("copies")).alias("taken"), F.sqrt(spread).alias("sd")
+    ).collect()
     assert sum(r["taken"] for r in rows) == pytest.approx(sum(r["target"] for r in rows), rel=0.1)
+    for r in rows:
+        assert abs(r["taken"] - r["target"]) <= 5 * r["sd"] + 1
+
+
+@pytest.mark.parametrize("doc_id", ["CAST(NULL AS BIGINT)", "CAST(7 AS BIGINT)"])
+def test_null_and_repeated_ids_draw_apart(spark, sf_dir, doc_id):
+    docs = spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/documents.parquet")
+    docs = docs.dropDuplicates(["text"]).selectExpr(f"{doc_id} AS doc_id", "text", "source")
+    check_taken(docs.withColumn("size", mixing.word_count()))
+
+
+def test_plan_keeps_columns_of_its_own_names(spark):
+    frame = spark.createDataFrame([(1, "a b", "x", 2, "mine")], "doc_id long, text string, source string, size long, _source string")
+    targets = spark.createDataFrame([("x", 2, 1.0, 4.0)], "source string, source_size long, weight double, target double")
+    row = mixing.planned(frame, targets).first()
+    assert row["_source"] == "mine" and row["copies"] == 2
 
 
 def test_many_sources_without_broadcast(docs, monkeypatch):

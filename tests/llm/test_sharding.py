@@ -28,6 +28,26 @@ def test_same_order_however_rows_lie(docs):
     assert order(sharded(docs, 4, seed=1)) != order(sharded(docs, 4, seed=2))
 
 
+def test_columns_of_any_names_stay(docs):
+    rows = sharded(docs, 4)
+    assert set(docs.columns) - {"shard", "slot"} <= set(rows.columns)
+    assert {(r["_bucket"], r["_tie"]) for r in rows.select("_bucket", "_tie").collect()} == {("_bucket", "_tie")}
+
+
+def test_equals_plain_version(spark, monkeypatch):
+    """Buckets in order, each by Fisher and Yates, dealt to the shards in turn."""
+    monkeypatch.setattr(sharding, "BUCKET_BYTES", 1000)
+    rows = [(d, t) for d, t, *_ in documents() if d is not None and len(t or "") < 2000]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    hashed = frame.selectExpr("doc_id", "text", "xxhash64(20000, doc_id, crc32(text)) AS h", "xxhash64(doc_id, text) AS tie").collect()
+    n = sum(len((t or "").encode()) for _, t in rows) // 1000 + 1
+    buckets = [sorted((r for r in hashed if r["h"] % n == b), key=lambda r: r["tie"]) for b in range(n)]
+    whole = [own[i] for b, own in enumerate(buckets) for i in fisher_yates(len(own), 20_000, b).tolist()]
+    want = sorted((r["doc_id"], r["text"] or "", i % 4, i // 4) for i, r in enumerate(whole))
+    got = sorted((r["doc_id"], r["text"] or "", r["shard"], r["slot"]) for r in sharded(frame, 4).collect())
+    assert n > 3 and got == want
+
+
 def test_permutations():
     assert sorted(fisher_yates(100, 1, 2)) == list(range(100))
     first = np.array([fisher_yates(3, seed, 0)[0] for seed in range(3000)])

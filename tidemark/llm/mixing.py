@@ -2,12 +2,13 @@
 
 Method: sizes are summed per source, each source's repetition rate is its target
 over its size, and a document is taken floor(rate) times plus once more with the
-probability of the remaining fraction, drawn from a seeded hash of its id.
+probability of the remaining fraction, drawn from a seeded hash of its id and text.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -28,10 +29,15 @@ def word_count(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(text).cast("string"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def draw(doc_id: str = "doc_id", seed: str = SEED) -> Column:
-    """A number from 0 up to 1 by the id and the seed alone: 52 bits of an md5."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit("null")))
-    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / float(1 << 52)
+def draw(doc_id: str = "doc_id", text: str = "text", seed: str = SEED) -> Column:
+    """A number from 0 up to 1 by the id, the text and the seed alone: 52 bits of an md5.
+
+    Documents without an id, or with one that others have too, draw apart as long
+    as their texts differ; a null text draws like an empty one.
+    """
+    own = F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))
+    whole = F.concat(F.lit(f"{seed}:"), own, F.lit(":"), F.md5(F.coalesce(F.col(text).cast("string"), F.lit(""))))
+    return F.conv(F.substring(F.md5(whole), 1, 13), 16, 10).cast("double") / float(1 << 52)
 
 
 def ranked_sources(sources: DataFrame) -> DataFrame:
@@ -92,19 +98,21 @@ def with_targets(sizes: DataFrame, share: float = SHARE, most: float = MOST) ->
     return sizes.withColumn("target", F.least(limit, share_of))
 
 
-def planned(docs: DataFrame, targets: DataFrame, seed: str = SEED) -> DataFrame:
-    """`docs` (doc_id, size, source and others) with source_size, target and copies.
+def planned(docs: DataFrame, targets: DataFrame, chance: Column | None = None) -> DataFrame:
+    """`docs` (size, source and others) with source_size, target and copies.
 
-    copies is floor(target / source_size), plus one where the id's draw is below
-    the fraction; 0 in a source without size or target. Rows of one id draw alike.
+    copies is floor(target / source_size), plus one where the document's `chance`
+    (by default its `draw`) is below the fraction; 0 in a source without size or
+    target. Rows that are equal in id and text draw alike.
     """
+    own = f"_source_{uuid.uuid4().hex}"  # no column of the input's
     few = targets.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
-    side = targets.select(F.col("source").alias("_source"), "source_size", "target")
+    side = targets.select(F.col("source").alias(own), "source_size", "target")
     side = F.broadcast(side) if few else side
     docs = docs.drop("source_size", "target", "copies")
-    joined = docs.join(side, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
+    joined = docs.join(side, F.col("source").eqNullSafe(F.col(own)), "left").drop(own)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    copies = F.floor(rate) + (draw(seed=seed) < rate - F.floor(rate)).cast("long")
+    copies = F.floor(rate) + ((draw() if chance is None else chance) < rate - F.floor(rate)).cast("long")
     return joined.withColumn("copies", F.coalesce(copies, F.lit(0)).cast("long"))
 
 
@@ -115,7 +123,7 @@ def mixed_documents(docs: DataFrame, weights: Sequence[float], share: float = SH
     of their source. An empty frame gives an empty mix.
     """
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_whole")  # keeps columns named like ours
-    sized = docs.select("doc_id", "source", word_count().alias("size"), whole)
+    sized = docs.select("source", word_count().alias("size"), draw().alias("chance"), whole)
     targets = with_targets(cyclic_weights(source_sizes(sized), weights), share, most)
-    taken = planned(sized, targets).filter("copies > 0")
+    taken = planned(sized, targets, F.col("chance")).filter("copies > 0")
     return taken.select("_whole", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("_whole.*")

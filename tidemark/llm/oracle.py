@@ -29,7 +29,8 @@ FROM words w LEFT JOIN kept k USING (doc_id)
 
 ORACLE["op4_mixing"] = r"""
 WITH RECURSIVE docs AS (
-    SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
+    SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+           md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || md5(coalesce(text, ''))) AS bits
     FROM documents
 ), sizes AS (
     SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM docs GROUP BY source
@@ -55,8 +56,7 @@ WITH RECURSIVE docs AS (
     FROM weighed, final
 ), rated AS (
     SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
-           ('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13))::BIGINT::DOUBLE
-               / 4503599627370496.0 AS draw
+           ('0x' || substr(bits, 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 AS draw
     FROM docs LEFT JOIN targets ON docs.source IS NOT DISTINCT FROM targets.source
 )
 SELECT doc_id, size, source_size, target,

@@ -42,10 +42,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count().alias("size"))
+    docs = read_table(spark, sf_dir, "documents")
+    docs = docs.select("doc_id", "source", mixing.word_count().alias("size"), mixing.draw().alias("chance"))
     targets = mixing.with_targets(mixing.cyclic_weights(mixing.source_sizes(docs), [5, 2, 1]))
     taken = (F.col("size") * F.col("copies")).alias("taken")
-    return mixing.planned(docs, targets).select("doc_id", "size", "source_size", "target", taken)
+    return mixing.planned(docs, targets, F.col("chance")).select("doc_id", "size", "source_size", "target", taken)
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

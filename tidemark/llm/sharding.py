@@ -9,6 +9,8 @@ counts are at most one apart.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -43,15 +45,16 @@ def sharded(
     total = docs.agg(F.sum(F.octet_length(content))).first()[0] or 0
     n = total // BUCKET_BYTES + 1
     spread = F.pmod(F.xxhash64(F.lit(seed), F.col(doc_id), F.crc32(content)), F.lit(n))
-    scattered = docs.select("*", spread.alias("_bucket"), F.xxhash64(doc_id, content).alias("_tie"))
-    counts = dict(map(tuple, scattered.groupBy("_bucket").count().collect()))  # one row per bucket
+    own, tie = (f"_{name}_{uuid.uuid4().hex}" for name in ("bucket", "tie"))  # no column of the input's
+    scattered = docs.select("*", spread.alias(own), F.xxhash64(doc_id, content).alias(tie))
+    counts = {r[own]: r["count"] for r in scattered.groupBy(own).count().collect()}  # one row per bucket
     sizes = np.array([counts.get(b, 0) for b in range(n)], np.int64)
     before = docs.sparkSession.sparkContext.broadcast(np.cumsum(sizes) - sizes)
     names = docs.columns
 
     def shuffle(key: Key, table: pa.Table) -> pa.Table:
         bucket = key[0].as_py()
-        table = table.sort_by("_tie").select(names)
+        table = table.sort_by(tie).select(names)
         rank = before.value[bucket] + np.arange(table.num_rows)
         table = table.take(pa.array(fisher_yates(table.num_rows, seed, bucket)))
         return table.append_column("shard", pa.array((rank % shards).astype(np.int32))).append_column(
@@ -59,7 +62,7 @@ def sharded(
         )
 
     schema = T.StructType([*docs.schema.fields, T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType())])
-    return scattered.groupBy("_bucket").applyInArrow(shuffle, schema)
+    return scattered.groupBy(own).applyInArrow(shuffle, schema)
 
 
 def write_shards(shuffled: DataFrame, path: str) -> None:
