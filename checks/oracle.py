@@ -368,6 +368,13 @@ SELECT l_partkey, l_orderkey, l_linenumber, l_suppkey, l_extendedprice, l_return
             ELSE DATE '2090-01-02' END AS business_date
 FROM runs""",
     "scd2_table": _with(LOGS, "SELECT * FROM snap_op"),
+    "scd2_late_insert": _with(
+        CDC,
+        """
+SELECT * EXCLUDE (ts, op, nx), ts AS effective_from, nx AS effective_to,
+       CASE WHEN nx IS NULL THEN 'active' ELSE 'inactive' END AS status
+FROM (SELECT *, LEAD(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nx FROM cdc) h WHERE op <> 'D'""",
+    ),
     "zone_copy": """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, TRUE AS has_source FROM orders""",
     "zone_archive": "SELECT * FROM events",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 from uuid import uuid4
 
@@ -499,6 +500,17 @@ def scd2_table(spark, sf_dir):
     return keyed.read_keyed(spark, path)
 
 
+def scd2_late_insert(spark, sf_dir):
+    """Three deliveries, the middle of the time last: the same versions as from all changes at once."""
+    spec = replace(USERS_OP, late="insert")
+    feed = cdc(spark, sf_dir)
+    path = shared_dir(spark, "users")
+    early, late = (F.col("ts") < F.lit(moment).cast("timestamp_ntz") for moment in ("2024-01-08 00:00:00", CUT))
+    for batch in (~late, early, ~early & late):
+        merge_history(feed.filter(batch), path, spec)
+    return keyed.read_keyed(spark, path).filter("status <> 'removed'")
+
+
 # Zones.
 
 
@@ -756,6 +768,7 @@ QUERIES = {
     "scd2_snapshot_hot_key": _on_kinds(history.snapshot, KINDS, CUT),
     "scd2_delta_hot_key_on_time": _on_kinds(history.delta, KINDS_ON_TIME, "2024-01-14 00:00:00"),
     "scd2_table": scd2_table,
+    "scd2_late_insert": scd2_late_insert,
     "history_table_ties": history_table_ties,
     "processed_to_structured_ties": processed_to_structured_ties,
     "zone_copy": zone_copy,

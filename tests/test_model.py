@@ -1,6 +1,7 @@
 """Operators against plain Python on random small inputs."""
 
 import random
+from dataclasses import replace
 
 import pytest
 
@@ -93,3 +94,51 @@ def test_order_within_key(spark, seed):
     first = {r.k: r.id for r in latest.keep_first(df, "k", "ts,id").collect()}
     assert last == {k: rows[-1][2] for k, rows in groups.items()}
     assert first == {k: rows[0][2] for k, rows in groups.items()}
+
+
+def whole_history(spark, log, spec):
+    """All changes at once, without the deletes that a history with late inserts keeps."""
+    names = ["id", "v", "seq", "effective_from", "effective_to", "status"]
+    made = history.new_versions(spark.createDataFrame(log, LOG), spec).filter("status <> 'removed'")
+    return sorted((tuple(r) for r in made.select(*names).collect()), key=str), names
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_late_changes_in_any_order_make_the_same_history(spark, seed):
+    rnd = random.Random(seed)
+    log = random_log(rnd, 60, 0, 25)
+    spec = History(keys="id", ts="ts", tie_breaker="seq", op=rnd.choice(["op", "op", None]), late="insert", hot_keys=seed % 2 == 0)
+    want, names = whole_history(spark, log, spec)
+    usual = history.new_versions(spark.createDataFrame(log, LOG), replace(spec, late="apply")).select(*names)
+    assert want == sorted((tuple(r) for r in usual.collect()), key=str)
+    rnd.shuffle(log)
+    cuts = sorted(rnd.sample(range(1, 60), 3))
+    table = history.new_versions(spark.createDataFrame(log[: cuts[0]], LOG), spec)
+    for a, b in zip(cuts, [*cuts[1:], 60]):
+        table = spark.createDataFrame(table.collect(), table.schema)
+        table = history.snapshot(table, spark.createDataFrame(log[a:b], LOG), spec)
+    got = table.filter("status <> 'removed'").select(*names)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == want
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_history_table_with_late_inserts(spark, folder, seed):
+    rnd = random.Random(100 + seed)
+    log = random_log(rnd, 50, 0, 25)
+    spec = History(keys="id", ts="ts", tie_breaker="seq", op="op", late="insert", hot_keys=False)
+    want, names = whole_history(spark, log, spec)
+    rnd.shuffle(log)
+    batches = [log[:10], log[10:30], log[20:40], log[38:], log[5:9]]  # some changes arrive twice
+    for i, batch in enumerate(batches):
+        merge_history(spark.createDataFrame(batch, LOG), folder, spec, ("feed", i), buckets=2, slices=2)
+    got = keyed.read_keyed(spark, folder).filter("status <> 'removed'").select(*names)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == want
+    at = history.as_of(keyed.read_keyed(spark, folder), 12, spec)
+    assert sorted(r["id"] for r in at.collect()) == sorted(w[0] for w in want if w[3] <= 12 and (w[4] is None or w[4] > 12))
+
+
+def test_late_inserts_need_one_order_column(spark):
+    with pytest.raises(ValueError, match="tie_breaker"):
+        History(keys="id", ts=["ts", "seq"], late="insert")
+    with pytest.raises(ValueError, match="apply, drop or insert"):
+        History(keys="id", ts="ts", late="other")

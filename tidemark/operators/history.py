@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from tidemark.functions.names import RESERVED, as_column, as_list, col, quoted, resolve, same_schema
 from tidemark.operators.filters import not_deleted
 from tidemark.operators.hotkeys import find_cuts
-from tidemark.operators.joins import join_grouped
+from tidemark.operators.joins import join_grouped, rows_untouched
 from tidemark.operators.latest import content_hash, keep_last, lead_in_key
 
 _NEW = RESERVED + "new"
@@ -30,6 +30,7 @@ _START = RESERVED + "start"
 _NEXT = RESERVED + "next"
 _GONE = RESERVED + "gone"
 _SINCE = RESERVED + "since"
+_END = RESERVED + "end"
 
 
 @dataclass(frozen=True)
@@ -41,7 +42,12 @@ class History:
     op          operation column; a delete closes a version and opens none.
                 Without it every change opens a version
     late        "apply" takes changes that are not newer than the active
-                version as they come, "drop" leaves them out (see late_rows)
+                version as they come, "drop" leaves them out (see late_rows),
+                "insert" puts them in their place: the version that holds the
+                instant is cut there, ended or not, so the order in which changes
+                arrive does not matter. Such a history keeps its tie-breakers,
+                which must tell all changes of a key apart, and its deletes, as
+                rows of status `removed` that are valid at no time
     unique_order  ts and tie_breaker tell all changes of a key apart; otherwise
                 changes at one place go by their content
     hot_keys    False states that no key holds a large share of the changes
@@ -57,6 +63,7 @@ class History:
     end: str = "effective_to"
     active: str = "active"
     inactive: str = "inactive"
+    removed: str = "removed"
     late: str = "apply"
     unique_order: bool = False
     hot_keys: bool = True
@@ -66,8 +73,10 @@ class History:
             object.__setattr__(self, name, as_list(getattr(self, name)))
         if not self.keys or not self.ts:
             raise ValueError("keys and ts must name at least one column each")
-        if self.late not in ("apply", "drop"):
-            raise ValueError(f"late must be apply or drop, not {self.late}")
+        if self.late not in ("apply", "drop", "insert"):
+            raise ValueError(f"late must be apply, drop or insert, not {self.late}")
+        if self.late == "insert" and len(self.ts) > 1:
+            raise ValueError("late='insert' orders by one column of ts: name the others as tie_breaker")
 
     @property
     def own(self) -> set[str]:
@@ -164,14 +173,50 @@ def _newer_than_active(rows: DataFrame, active: DataFrame, keys: list[str]) -> D
 
 
 def _as_versions(merged: DataFrame, schema: T.StructType, spec: History) -> DataFrame:
-    """Merged rows in the table's schema; deletes have closed their version and go."""
+    """Merged rows in the table's schema; deletes have closed their version and go, or stay as such."""
     status = F.when(F.col(_NEXT).isNull(), F.lit(spec.active)).otherwise(F.lit(spec.inactive))
-    own = {spec.start.lower(): F.col(_START), spec.end.lower(): F.col(_NEXT), spec.status.lower(): status}
-    return merged.filter(~F.col(_GONE)).select(
+    end = F.col(_NEXT)
+    if spec.late == "insert":
+        status = F.when(F.col(_GONE), F.lit(spec.removed)).otherwise(status)
+        end = F.when(F.col(_GONE), F.col(_START)).otherwise(end)
+    else:
+        merged = merged.filter(~F.col(_GONE))
+    own = {spec.start.lower(): F.col(_START), spec.end.lower(): end, spec.status.lower(): status}
+    return merged.select(
         *[own.get(f.name.lower(), col(f.name)).cast(f.dataType).alias(f.name) for f in schema]
     )
 
 
+def _recut(current: DataFrame, log: DataFrame, spec: History) -> DataFrame:
+    """What changes put at their instants add to a history and change in it, by version.
+
+    Of each key, the versions from the one that holds its first change on are met,
+    found by a range of their ends, and get their ends anew.
+    """
+    schema = current.schema
+    business = [f.name for f in schema if f.name.lower() not in spec.own]
+    keys, ties = resolve(current, spec.keys), resolve(current, spec.tie_breaker)
+    (start,), (end,) = resolve(current, spec.start), resolve(current, spec.end)
+    new = _changes(log, schema, spec).select(
+        *map(col, business), F.col(_START).cast(schema[start].dataType).alias(_START), _GONE,
+        F.lit(None).cast(schema[end].dataType).alias(_END), F.lit(1).alias(_NEW),
+    )
+    stored = current.select(
+        *map(col, business), col(start).alias(_START), col(spec.status).eqNullSafe(spec.removed).alias(_GONE),
+        col(end).alias(_END), F.lit(0).alias(_NEW),
+    )
+    since = new.groupBy(*map(col, keys)).agg(F.min(_START).alias(_SINCE))
+    met = join_grouped(stored, since, keys).filter(F.col(_END).isNull() | (F.col(_END) >= F.col(_SINCE))).select("l.*")
+    # A change that comes again takes the place of what it made before.
+    record = [*keys, _START, *ties]
+    old = join_grouped(met, new.select(*map(col, record)).distinct(), record, "left_anti", null_safe=True)
+    rows, order = old.unionByName(keep_last(new, record, [_START])), [_START, *ties]
+    cuts = find_cuts(rows, keys, order) if spec.hot_keys else None
+    merged = lead_in_key(rows, keys, order, _START, _NEXT, cuts, order)
+    moved = ~F.col(_GONE) & ~F.col(_NEXT).eqNullSafe(F.col(_END))
+    return _as_versions(merged.filter((F.col(_NEW) == 1) | moved), schema, spec)
+
+
 def late_rows(current: DataFrame, log: DataFrame, spec: History) -> DataFrame:
     """Changes that are not newer than the active version of their key."""
     names = resolve(log, spec.keys)
@@ -197,6 +242,8 @@ def closed_versions(
 ) -> DataFrame:
     """Active versions that the batch ends, each once however many changes there are."""
     active = _active(current, spec)
+    if spec.late == "insert":
+        raise ValueError("late='insert' changes ended versions too: use delta")
     if spec.late == "drop":
         merged = _merge(active, log, current.schema, spec)
         return _as_versions(merged.filter((F.col(_NEW) == 0) & F.col(_NEXT).isNotNull()), current.schema, spec)
@@ -222,7 +269,10 @@ def delta(current: DataFrame, log: DataFrame, spec: History) -> DataFrame:
 
     Columns are those of `current`, by name; columns only the log has are left
     out. Upserting the result by key and start brings the table up to date.
+    With late="insert", `current` must hold the ended versions that the batch meets.
     """
+    if spec.late == "insert":
+        return _recut(current, log, spec)
     schema = current.schema
     merged = _merge(_active(current, spec), log, schema, spec)
     changed = (F.col(_NEW) == 1) | F.col(_NEXT).isNotNull()
@@ -231,6 +281,9 @@ def delta(current: DataFrame, log: DataFrame, spec: History) -> DataFrame:
 
 def snapshot(current: DataFrame, log: DataFrame, spec: History) -> DataFrame:
     """The whole table after the batch: past versions, untouched ones and the delta."""
+    if spec.late == "insert":
+        changed = _recut(current, log, spec)
+        return rows_untouched(current, changed, spec.record_keys(current), null_safe=True).unionByName(changed)
     schema = current.schema
     rest = current.filter(~col(spec.status).eqNullSafe(spec.active))
     active = _active(current, spec)

@@ -22,6 +22,20 @@ def read_active(spark: SparkSession, path: str, spec: History) -> DataFrame:
     return read_keyed(spark, path).filter(col(spec.status) == spec.active)
 
 
+def _from(spec: History, moment: Column) -> list[Column]:
+    """What versions that a change from `moment` on can meet fulfil, one of the conditions each."""
+    return [col(spec.end).isNull(), col(spec.end) >= moment]
+
+
+def read_met(spark: SparkSession, path: str, spec: History, since) -> DataFrame:
+    """Versions that changes from `since` on can meet: active ones, and with late="insert" those ended after it."""
+    if spec.late != "insert":
+        return read_active(spark, path, spec)
+    df = read_keyed(spark, path)
+    open_, ended = _from(spec, as_column(since).cast(df.schema[resolve(df, spec.end)[0]].dataType))
+    return df.filter(open_ | ended)
+
+
 def write_versions(
     versions: DataFrame,
     path: str,
@@ -29,19 +43,23 @@ def write_versions(
     since=None,
     batch_id: tuple[str, int] | None = None,
     buckets: int = 0,
+    slices: int = 1,
 ) -> int | None:
     """Upsert versions by key, start and tie-breakers; `buckets` of a new table are by its business keys.
 
     The table is partitioned by status: ended versions are only ever added to,
     unless the batch holds them again, and a batch rewrites the active ones at most. `since` is a time before
     which no new version starts; ended versions from before it cannot meet the
-    batch and are not read.
+    batch and are not read. Late changes put in place (late="insert") rewrite the
+    partition of ended versions; `slices` of a new table limit that to their keys'.
     """
     near = []
     if since is not None:
         started = as_column(since).cast(versions.schema[resolve(versions, spec.start)[0]].dataType)
         is_active = col(spec.status).eqNullSafe(spec.active)
         near = [is_active, ~is_active & (col(spec.start) >= started)]
+        if spec.late == "insert":
+            near = _from(spec, started)
     return write_keyed(
         versions,
         path,
@@ -53,24 +71,30 @@ def write_versions(
         near=near,
         batch_id=batch_id,
         buckets=buckets,
+        slices=slices,
         bucket_by=spec.keys,
     )
 
 
 def merge_history(
-    log: DataFrame, path: str, spec: History, batch_id: tuple[str, int] | None = None, buckets: int = 0
+    log: DataFrame,
+    path: str,
+    spec: History,
+    batch_id: tuple[str, int] | None = None,
+    buckets: int = 0,
+    slices: int = 1,
 ) -> int | None:
-    """Bring the history at `path` up to date with a batch of changes; `buckets` as in write_versions."""
+    """Bring the history at `path` up to date with a batch of changes; `buckets`, `slices` as in write_versions."""
     spark = log.sparkSession
     if not table_exists(spark, path):
-        return write_versions(new_versions(log, spec), path, spec, batch_id=batch_id, buckets=buckets)
+        return write_versions(new_versions(log, spec), path, spec, batch_id=batch_id, buckets=buckets, slices=slices)
     # The batch is read several times: write it once, whatever it took to make it.
     folder = shared_dir(spark, "changes")
     try:
         log.write.parquet(folder)
         log = spark.read.schema(log.schema).parquet(folder)
         (since,) = log.agg(F.min(col(*resolve(log, spec.ts[0])))).first()
-        return write_versions(delta(read_active(spark, path, spec), log, spec), path, spec, since, batch_id)
+        return write_versions(delta(read_met(spark, path, spec, since), log, spec), path, spec, since, batch_id)
     finally:
         fs, written = file_system(spark, folder)
         fs.delete(written.getParent(), True)
