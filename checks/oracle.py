@@ -432,5 +432,7 @@ SELECT event_id, ts + INTERVAL 8 HOUR AS ts, user_id, event_type, value, props,
        'job-1' AS job_id, TIMESTAMP '2024-02-01 08:00:00' AS updated_at
 FROM events""",
     "stream_upsert_events": _first_row("events", USER_COLUMNS, "user_id", "ts DESC, event_id DESC"),
+    "zone_archive_manifest": """
+SELECT event_id, event_type, place FROM events, (SELECT unnest(['backup', 'processed']) AS place)""",
     "stream_scd2_users": _with(LOGS, "SELECT * FROM snap"),
 }

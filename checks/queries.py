@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from tidemark.functions.times import null_timestamp, parse_timestamp, shift_timezone
 from tidemark.operators import columns, filters, history, joins, latest
 from tidemark.operators.history import History
-from tidemark.plans import control, zones
+from tidemark.plans import control, landing, zones
 from tidemark.plans.daily import Zones, run_table
 from tidemark.plans.history_table import merge_history, write_versions
 from tidemark.session import apply_defaults, shared_dir
@@ -684,6 +684,27 @@ def stream_scd2_users(spark, sf_dir):
     return keyed.read_keyed(spark, f"{base}/users").drop("event_id")
 
 
+def zone_archive_manifest(spark, sf_dir):
+    """Files taken by a manifest: after each run all are in the backup, the last batch's too."""
+    base = shared_dir(spark, "manifest")
+    events = table(spark, sf_dir, "events")
+    for kind in (F.col("event_type") == "view", F.col("event_type") != "view"):
+        files.write_parquet(events.filter(kind), f"{base}/landing", mode="append")
+        for _ in range(2):
+            landing.take_files(
+                spark, f"{base}/landing", f"{base}/files",
+                lambda rows, id_: keyed.write_keyed(rows, f"{base}/processed", "event_id", batch_id=id_),
+                events.schema, archive=f"{base}/backup",
+            )
+    moved = files.read_parquet(spark, f"{base}/backup", events.schema, recursiveFileLookup="true")
+    left = spark.read.schema(events.schema).parquet(f"{base}/landing")
+    places = {"backup": moved, "processed": keyed.read_keyed(spark, f"{base}/processed"), "landing": left}
+    return reduce(
+        DataFrame.unionByName,
+        [df.select("event_id", "event_type", F.lit(place).alias("place")) for place, df in places.items()],
+    )
+
+
 def zone_archive(spark, sf_dir):
     """Each landed row is in exactly one of landing and backup while files move."""
     base = shared_dir(spark, "archive")
@@ -773,6 +794,7 @@ QUERIES = {
     "processed_to_structured_ties": processed_to_structured_ties,
     "zone_copy": zone_copy,
     "zone_archive": zone_archive,
+    "zone_archive_manifest": zone_archive_manifest,
     "landing_to_processed": landing_to_processed,
     "processed_to_structured_initial": processed_to_structured_initial,
     "processed_to_structured": processed_to_structured,

@@ -75,7 +75,9 @@ def run_pending(
 
     Only the control rows come to the driver, one per run. Each run is a set of
     Spark jobs of its own; `parallel` of them submit theirs at a time, so that
-    small tables do not leave the cluster idle. Rows that agree in `table_by`
+    small tables do not leave the cluster idle. Each table's jobs run in a pool of
+    its own, so with fair scheduling (session.AT_START) a long table does not hold
+    up short ones. Rows that agree in `table_by`
     (default: `keys`) concern one table and run one after another in the order
     of `keys`. A run that fails stays due, as do later ones of its table, and
     its error is raised after the others are marked.
@@ -91,6 +93,8 @@ def run_pending(
     errors: list[Exception] = []
 
     def run_rows(rows: list[dict]) -> None:
+        table = "/".join(str(rows[0][k]) for k in table_by or keys)
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", table)
         for row in rows:
             name = tuple(row[k] for k in keys)
             try:
@@ -101,7 +105,10 @@ def run_pending(
                 return
 
     with ThreadPoolExecutor(max_workers=parallel) as pool:
-        list(pool.map(inheritable_thread_target(spark)(run_rows), tables.values()))
+        # Each run inherits a copy of the caller's local properties, to which it adds its pool.
+        runs = [pool.submit(inheritable_thread_target(spark)(run_rows), rows) for rows in tables.values()]
+        for run in runs:
+            run.result()
     if outcome:
         control = read_keyed(spark, control_path)
         done = spark.createDataFrame([list(name) for name in outcome], control.select(*keys).schema)

@@ -13,12 +13,14 @@ from pyspark.sql import types as T
 from tidemark.functions.names import as_list, col, resolve
 from tidemark.functions.times import HONG_KONG, timestamp_literal
 from tidemark.operators.columns import add_column, drop_columns, fill_null_keys, landing_columns, version_columns
-from tidemark.operators.filters import in_window, is_nonempty, not_deleted
+from tidemark.operators.filters import in_window, not_deleted
 from tidemark.operators.history import History, checked_key, delta, new_versions
 from tidemark.operators.latest import keep_last
 from tidemark.plans.history_table import read_active, write_versions
-from tidemark.sources.files import read_parquet, write_parquet
+from tidemark.session import shared_dir
+from tidemark.sources.files import observed, read_parquet, write_parquet
 from tidemark.sources.keyed import SEQ, read_keyed, table_exists, write_keyed
+from tidemark.sources.paths import file_system
 
 
 @dataclass(frozen=True)
@@ -148,14 +150,22 @@ def structure(spark: SparkSession, processed: str, structured: str, run: Run) ->
     """
     if not table_exists(spark, processed):
         return "nothing"
-    window = changes_in_window(spark, processed, run)
-    if not is_nonempty(window):
-        return "nothing"
+    # The window is read once: its rows are counted while the changes are written.
+    window, count = observed(changes_in_window(spark, processed, run))
     changes = prepare_changes(window, run)
-    spec = run.history()
-    if not table_exists(spark, structured):
-        write_versions(first_versions(changes, run), structured, spec)
-        return "initial"
-    versions = next_versions(read_active(spark, structured, spec), changes, run)
-    write_versions(versions, structured, spec, timestamp_literal(run.window_from))
-    return "incremental"
+    folder = shared_dir(spark, "changes")
+    try:
+        changes.write.parquet(folder)
+        if not count():
+            return "nothing"
+        changes = spark.read.schema(changes.schema).parquet(folder)
+        spec = run.history()
+        if not table_exists(spark, structured):
+            write_versions(first_versions(changes, run), structured, spec)
+            return "initial"
+        versions = next_versions(read_active(spark, structured, spec), changes, run)
+        write_versions(versions, structured, spec, timestamp_literal(run.window_from))
+        return "incremental"
+    finally:
+        fs, written = file_system(spark, folder)
+        fs.delete(written.getParent(), True)

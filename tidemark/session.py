@@ -25,6 +25,8 @@ DEFAULTS = {
 
 # Set when a session is made; they cannot be changed later.
 AT_START = {
+    # Jobs of pools share the cluster's cores evenly (plans.control gives each table a pool).
+    "spark.scheduler.mode": "FAIR",
     # Keep the compiled code of many queries (Spark's default holds 100 classes).
     "spark.sql.codegen.cache.maxEntries": "2000",
     # Do not record a Python call site for every column expression.

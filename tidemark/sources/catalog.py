@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions.names import as_list, col, quoted, resolve
@@ -59,3 +60,20 @@ def select_table(
 def run_sql(spark: SparkSession, query: str, args: Mapping | Sequence | None = None, **frames: DataFrame) -> DataFrame:
     """Run SQL with bound values; `frames` are named in the text as {name}."""
     return spark.sql(query, args=args, **frames)
+
+
+def exists(spark: SparkSession, table: str, fmt: str = "parquet") -> bool:
+    """Whether there is a table of that name or, if it has a slash, data in that folder.
+
+    Only a missing one is "no": a table that is there and cannot be read raises, so
+    that it is not taken for one to be loaded for the first time.
+    """
+    if "/" not in table:
+        return spark.catalog.tableExists(table)
+    try:
+        spark.read.format(fmt).load(table)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True

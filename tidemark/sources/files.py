@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.names import col, resolve
@@ -77,6 +78,22 @@ def write_files(
     writer.save(path)
 
 
+def write_counted(df: DataFrame, fmt: str, path: str, **options) -> int:
+    """Write as write_files does; returns how many rows were written, counted by the write itself."""
+    df, count = observed(df)
+    write_files(df, fmt, path, **options)
+    return count()
+
+
+def observed(df: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
+    """The frame, and what tells its number of rows once something made from it has been written.
+
+    The rows are counted as they pass, so a run that asks whether there was anything reads it once.
+    """
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("n")), lambda: seen.get["n"]
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", **options) -> None:
     write_files(df, "csv", path, mode, **options)
 

@@ -25,6 +25,7 @@ def new_files(
     schema: T.StructType | str,
     fmt: str = "parquet",
     archive: str | None = None,
+    delete: bool = False,
     max_files: int | None = None,
     archive_threads: int = 8,
     **options,
@@ -34,12 +35,17 @@ def new_files(
     `archive` moves a micro-batch's files there once a later batch has
     committed; files of the last batch stay until then, so the checkpoint, not
     the archive, says what has been processed. The driver moves them one by one
-    in `archive_threads` threads; on an object store each move is a copy.
+    in `archive_threads` threads; on an object store each move is a copy. `delete`
+    deletes them instead, at the same time. plans.landing moves files at once.
     """
+    if archive is not None and delete:
+        raise ValueError("files can be archived or deleted, not both")
     reader = spark.readStream.format(fmt).schema(schema).options(**options)
     if archive is not None:
         spark.conf.set("spark.sql.streaming.fileSource.cleaner.numThreads", str(archive_threads))
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    if delete:
+        reader = reader.option("cleanSource", "delete")
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
     return reader.load(path)
