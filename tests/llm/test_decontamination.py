@@ -108,12 +108,62 @@ def test_long_items_at_the_edit_limit(n):
 
 
 def test_sizes_are_exact_or_reach_the_recall():
-    index = Index([(i, text_of(i, n)) for i, n in enumerate((10, 16, 60, 300))], 75, 8, 0.99)
-    assert [size.exact for size in index.sizes][-2:] == [True, True]
+    index = Index([(i, text_of(i, n)) for i, n in enumerate((10, 16, 60, 120, 300))], 75, 8, 0.99)
+    assert [size.exact for size in index.sizes] == [False, False, False, False, True]
     assert all(size.exact == (not size.walks) for size in index.sizes)
     assert all(size.exact for size in Index([(1, text_of(1, 16))], 75, 8, 1.0).sizes)
 
 
+def test_given_items_all_go_by_walks(spark):
+    """No size of the given benchmark is compared without walks, and its walks find edited copies drawn anew."""
+    rows = spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet").collect()
+    items = [(r["item_id"], r["text"]) for r in rows]
+    index = Index(items, 75, 8, 0.99)
+    assert not any(size.exact for size in index.sizes)
+    found = total = 0
+    for size in index.sizes:
+        own = [items[i] for i in size.items]
+        texts = []
+        for j in range(40):
+            words = (own[j % len(own)][1] or "").split()
+            texts.append(f"{text_of(j + 31, 25)} {edited(' '.join(words), len(words) // 4, 7000 + j)} {text_of(j + 17, 25)}")
+        met = {(t, index.ids[i]) for t, i, *_ in index.look_up([t.encode() for t in texts])}
+        hits = sum((j, own[j % len(own)][0]) in met for j in range(40))
+        assert hits >= 36
+        found, total = found + hits, total + 40
+    assert found >= 0.98 * total
+
+
+def test_short_items_are_found_unchanged(spark):
+    short = [(1, "one"), (2, "Two words"), (3, "seven words of text that are here"), (4, "?!"), (5, None)]
+    frame = spark.createDataFrame([(1, "ONE, two words"), (2, "two more words"), (3, "x seven words of text that are here."),
+                                   (4, "seven words of text that were here"), (5, None), (6, "?!")], "doc_id long, text string")
+    benchmark = spark.createDataFrame(short, "item_id long, text string")
+    found = rows_of(find_leaks(frame, benchmark), "doc_id", "item_id", "distance")
+    assert found == [(1, 1, 0), (1, 2, 0), (3, 3, 0)]
+
+
+def test_whole_table_equals_all_pairs(spark, sf_dir):
+    """Every pair of a small table that a plain edit distance finds, but for the stated recall, and no other."""
+    from tidemark.llm.hashing import PLAIN_WORDS, word_hashes
+    from tidemark.llm.queries import QUERIES
+
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()}
+    items = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()}
+    words = lambda text: word_hashes([(text or "").encode().translate(PLAIN_WORDS)])[0]
+    bodies = {d: words(t) for d, t in docs.items()}
+    want = {}
+    for item, text in items.items():
+        own = words(text)
+        for doc, body in bodies.items():
+            distance = _distance(own, body)[0]
+            if distance <= len(own) // 4:
+                want[doc, item] = distance
+    got = {(r["doc_id"], r["item_id"]): r["distance"] for r in QUERIES["op3_decontamination"](spark, sf_dir).collect()}
+    assert want and set(got) <= set(want) and all(want[pair] == distance for pair, distance in got.items())
+    assert len(got) >= 0.99 * len(want) and all(pair in got for pair, distance in want.items() if not distance)
+
+
 def test_memory_of_a_long_item():
     item, other = text_of(1, 4000), text_of(2, 2000)
     index = Index([(1, item)], 75, 8, 0.99)

@@ -5,15 +5,16 @@ the current word and moves on or stays by a random bit of (step, word); two
 sequences a few edits apart write the same word at many steps. Sampling a few
 steps of a walk gives a key, and sequences within the allowed distance share a
 key in at least one of several walks with the target recall; how many walks that
-takes is found by simulation on the items. Keys of the items are looked up from
+takes is found by simulation on the items. Steps are sampled from the first ones, as
+many as the items have words, where the walks of near copies still go together. Keys of the items are looked up from
 windows of item size in every document, and what they bring up is compared by
 exact edit distance.
 
 Windows are left out beforehand where too few of their word q-grams belong to
 items of that size: an item of n words within k edits keeps n - q + 1 - k q of its
-q-grams, so this loses nothing. Sizes whose walks do not reach the recall, long
-items with many edits, go without walks: every window that holds enough q-grams
-of one item is compared with it, and nothing is lost. Benchmark items are the
+q-grams, so this loses nothing. Items of over LONGEST_WALK words, and sizes whose
+walks do not reach the recall, go without walks: every window that holds enough
+q-grams of one item is compared with it, and nothing is lost. Benchmark items are the
 stated query set; they go to the tasks in blocks of bounded size, one pass over
 the documents per block.
 """
@@ -34,11 +35,13 @@ from tidemark.llm.shared import parts, shipped
 PERCENT = 75
 MIN_WORDS = 8
 RECALL = 0.99
-SAMPLED = 4
+# Steps of a walk that make a key: fewer where these do not reach the recall.
+SAMPLED = (3, 2)
 # Sizes that need more walks, or have more words, are compared exactly instead.
 MOST_WALKS = 64
 LONGEST_WALK = 256
-SIMULATED = 200
+SIMULATED = 1000
+MARGIN = 0.2  # share of walks added to those that reached the recall in the simulation
 # Text of the items that one pass over the documents looks for.
 BLOCK_BYTES = 32 << 20
 PART_BYTES = 4 << 20  # of documents that a task works on at a time
@@ -100,10 +103,10 @@ class Index:
         self.ids, self.words, self.edits = [], [], []
         for item_id, text in items:
             words, _ = word_hashes([(text or "").encode().translate(PLAIN_WORDS)])
-            if len(words) >= max(min_words, 1):
+            if len(words):
                 self.ids.append(item_id)
                 self.words.append(words)
-                self.edits.append(len(words) * (100 - percent) // 100)
+                self.edits.append(len(words) * (100 - percent) // 100 if len(words) >= min_words else 0)
         self.sizes = self._by_size()
         for size in self.sizes:
             self._sample(size, recall)
@@ -143,14 +146,20 @@ class Index:
             copies = [self._edited(items[i], self.edits[size.items[i]], random) for i in tried]
             behind = random.integers(1 << 62, size=size.most).astype(np.uint64)
             windows = [np.concatenate([copy, behind])[: size.most] for copy in copies]
-            missing = np.ones(SIMULATED, bool)
-            for walk in range(MOST_WALKS):
-                steps = np.sort(random.integers(2 * size.least, size=SAMPLED))
-                keys = self._keys(items, steps, walk)
-                order = np.argsort(keys, kind="stable")
-                size.walks.append((steps, keys[order], np.array(size.items)[order]))
-                missing &= keys[tried] != self._keys(windows, steps, walk)
-                if missing.mean() <= 1 - recall:
+            for sampled in SAMPLED:
+                missing, enough = np.ones(SIMULATED, bool), MOST_WALKS
+                size.walks = []
+                while len(size.walks) < enough:
+                    walk = len(size.walks)
+                    steps = np.sort(random.choice(max(size.least, sampled), sampled, replace=False))
+                    keys = self._keys(items, steps, walk)
+                    order = np.argsort(keys, kind="stable")
+                    size.walks.append((steps, keys[order], np.array(size.items)[order]))
+                    if enough == MOST_WALKS:
+                        missing &= keys[tried] != self._keys(windows, steps, walk)
+                        if missing.mean() <= 1 - recall:
+                            enough = min(int(np.ceil((walk + 1) * (1 + MARGIN))), MOST_WALKS - 1)
+                if enough < MOST_WALKS:
                     return
         size.exact, size.walks = True, []
         own = [np.unique(rolling(words, size.gram)) for words in items]
@@ -323,8 +332,8 @@ def find_leaks(
     random edits; unchanged items, and those of sizes whose walks do not reach the
     recall, always.
 
-    Items of fewer than `min_words` words and null or empty texts find and hold
-    nothing; no items, no pairs. Rows that repeat on either side give a pair each.
+    Items of fewer than `min_words` words are looked for without edits. Null texts
+    and texts without words find and hold nothing; no items, no pairs. Rows that repeat on either side give a pair each.
     Null ids are kept as null. Other columns are not looked at. Reads the
     benchmark when called.
     """
