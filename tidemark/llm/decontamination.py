@@ -44,7 +44,7 @@ SIMULATED = 1000
 MARGIN = 0.2  # share of walks added to those that reached the recall in the simulation
 # Text of the items that one pass over the documents looks for.
 BLOCK_BYTES = 32 << 20
-PART_BYTES = 4 << 20  # of documents that a task works on at a time
+PART_BYTES = 1 << 20  # of documents that a task works on at a time
 FOUND = "doc_id long, item_id long, distance int, first_word long, n_item_words long"
 
 
