@@ -1,4 +1,5 @@
 import re
+import zlib
 
 from conftest import documents
 from tidemark.llm import language_id
@@ -55,3 +56,29 @@ def test_odd_documents(docs, no_docs):
 def test_nothing_learned(docs, no_docs):
     model = language_id.train(no_docs)
     assert {r["lang_pred"] for r in language_id.predicted(docs, model).collect()} == {"und"}
+
+
+def test_repeated_ids_teach_once_and_in_bounds(spark):
+    """Thousands of rows of one id are learned from, equal ones once, up to the bounds; rare languages are left out."""
+    kept = [i for i in range(60) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rows = [(kept[0], f"the house number{chr(97 + i % 26)}{chr(97 + i // 26)} with water", "en") for i in range(600)]
+    rows += [(kept[1], "das haus mit wasser", "de")] * 3000
+    rows += [(i, f"das wasser und {'winter ' * i}", "de") for i in kept[2:]]
+    rows += [(kept[3], "la maison", "fr"), (kept[4], None, "fr"), (None, "null id", "fr"), (kept[5], "no lang", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    taught = []
+    plain, language_id.fit = language_id.fit, lambda found: taught.append(found) or plain(found)
+    try:
+        language_id.train(docs, per_language=40)
+        language_id.train(docs, per_language=40, most_bytes=1600, languages=2)
+        language_id.train(docs)
+    finally:
+        language_id.fit = plain
+    assert all(len(set(found)) == len(found) for found in taught)
+    sizes = [{name: sum(one == name for _, one in found) for name in ("en", "de", "fr")} for found in taught]
+    assert sizes[0] == {"en": 40, "de": min(40, len(kept) - 1), "fr": 1}
+    assert 0 < sizes[1]["en"] <= 40 and sizes[1]["fr"] == 0
+    for name in ("en", "de"):
+        assert sum(len(text) for text, one in taught[1] if one == name) <= 1600
+        assert all(len(text) <= 100 for text, one in taught[1])
+    assert sizes[2] == {"en": 500, "de": len(kept) - 1, "fr": 1}

@@ -63,3 +63,35 @@ def test_noisy_or_of_sentences():
     _, _, sums = toxicity._sentences(np.array([words[t] for t in tokens]))
     p = 1 / (1 + np.exp(-(sums + model.bias)))
     assert len(p) == 2 and 1 - np.prod(1 - p) > p.max()
+
+
+def test_repeated_ids_teach_once_and_in_bounds(spark):
+    """One id with thousands of equal rows is one text; one id with many texts gives no more than the bound."""
+    same = [(1, "You awful thing. Fine day.")] * 3001
+    many = [(3, f"Word one{i}. You awful{i} thing.") for i in range(500)]
+    clean = [(100 + i, f"Fine day number{i}. Nothing here.") for i in range(200)] + [(None, "You awful"), (4, None)]
+    docs = spark.createDataFrame(same + many + clean, "doc_id long, text string").repartition(4)
+    labels = [(1, 1), (3, 1), (4, 0), (None, 1), *((100 + i, 0) for i in range(200))]
+    taught = []
+    own = spark.createDataFrame(labels, "doc_id long, toxic int")
+    plain, toxicity.fit = toxicity.fit, lambda rows: taught.append(rows) or plain(rows)
+    try:
+        toxicity.train(docs, own, positives=50, negatives=60)
+        toxicity.train(docs, own, positives=50, negatives=60, most_bytes=700)
+        model = toxicity.train(docs, own)
+    finally:
+        toxicity.fit = plain
+    ids = {i for i, _ in labels if i is not None and zlib.crc32(str(i).encode()) % 4 != 2}
+    texts = {(y, text) for i, y in labels for doc, text in same + many + clean if doc == i and i in ids}
+    for rows, bounds in zip(taught, ((60, 50), (60, 50), (4000, 2000))):
+        for y in (0, 1):
+            found = [text for text, label, _ in rows if label == y]
+            assert 0 < len(found) <= bounds[y] and len(set(found)) == len(found)
+            assert {(y, text) for text in found} <= texts
+    assert sum(len(t or "") for t, y, _ in taught[1] if y == 1) <= 700
+    assert {(y, t) for t, y, _ in taught[2]} == texts
+    weights = {y: sum(w for _, label, w in taught[0] if label == y) for y in (0, 1)}
+    for y in (0, 1):
+        assert abs(weights[y] - sum(label == y for label, _ in texts)) < 1e-6
+    scores = {r["text"]: r["score"] for r in toxicity.scored(docs.distinct(), model).collect()}
+    assert scores["Word one7. You awful7 thing."] > 0.3 > scores["Fine day number3. Nothing here."]

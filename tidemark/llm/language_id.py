@@ -5,8 +5,8 @@ the language family; within it, linear support vector machines for every two
 languages vote. Features are shares of hashed letter trigrams of the whole
 lower-cased text, so long texts count like short ones.
 
-The machines are fitted in the driver on at most `per_language` documents of each
-language and have a fixed number of weights; every document is classified in one
+The machines are fitted in the driver on at most `per_language` texts of each of
+the `languages` most frequent languages and have a fixed number of weights; every document is classified in one
 pass without a shuffle.
 """
 
@@ -19,15 +19,15 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import held_out, parts, shipped, unit_hash
+from tidemark.llm.shared import examples, parts, shipped, text_facts
 
 PER_LANGUAGE = 500
 WEIGHTS = 1 << 16
-# Up to this many languages, their counts are broadcast; beyond, ids are shuffled by language.
-BROADCAST_LANGUAGES = 10_000
+MOST_BYTES = 4 << 20  # of texts of one language
+LANGUAGES = 64
 ROUNDS = 80
 PART_BYTES = 1 << 20
 UNDETERMINED = "und"
@@ -120,24 +120,20 @@ def fit(examples: list[tuple[str, str]]) -> Model:
     return model
 
 
-def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
+def train(
+    docs: DataFrame, per_language: int = PER_LANGUAGE, most_bytes: int = MOST_BYTES, languages: int = LANGUAGES
+) -> Model:
     """A model from text and non-null lang of documents that are not held out.
 
-    Takes of each language at most `per_language` documents, those whose ids hash lowest.
+    Takes of each of the `languages` most frequent languages at most `per_language`
+    texts and `most_bytes` bytes, those whose id and text hash lowest, and none of
+    over a sixteenth of `most_bytes`. Rarer languages are not learned. Equal rows
+    of one id and language are one text; null ids and texts do not count.
     """
-    own = docs.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    order = Window.partitionBy("lang").orderBy("u", "doc_id")
-    counts = own.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    if counts.limit(BROADCAST_LANGUAGES + 1).count() <= BROADCAST_LANGUAGES:
-        counts = F.broadcast(counts)
-    # About twice as many by their hash alone, so that no language's rows meet in one task.
-    lowest = own.select("doc_id", "lang", unit_hash("doc_id", seed=8).alias("u")).join(counts, "lang")
-    lowest = lowest.filter(F.col("u") * F.col("n") <= 2 * per_language + 100)
-    lowest = lowest.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= per_language)
-    chosen = F.broadcast(lowest.select("doc_id", "lang"))  # per_language rows of each language
-    rows = own.select("doc_id", F.col("text").cast("string").alias("text"), "lang").join(chosen, ["doc_id", "lang"])
-    ordered = sorted(rows.collect(), key=lambda r: (r["doc_id"], r["lang"], r["text"]))
-    return fit([(r["text"], r["lang"]) for r in ordered])
+    facts = text_facts(docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull()), "lang")
+    marked = facts.select("doc_id", "digest", "size", "lang").distinct()
+    rows, _ = examples(docs, marked, "lang", languages, F.lit(per_language), most_bytes, seed=8)
+    return fit([(r["text"], r["lang"]) for r in rows])
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:

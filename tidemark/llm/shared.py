@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -69,3 +69,36 @@ def parts(texts: list[bytes], size: int) -> Iterator[tuple[int, int]]:
         if held >= size or b == len(texts):
             yield a, b
             a, held = b, 0
+
+
+def examples(
+    docs: DataFrame, marked: DataFrame, kind: str, kinds: int, most: Column, most_bytes: int, seed: int
+) -> tuple[list[Row], dict[Any, int]]:
+    """Texts to learn from: rows (doc_id, text, `kind`), and how many texts there are of each kind.
+
+    `marked` has a row (doc_id, digest, size, `kind`) for each text that may be
+    chosen, as `text_facts` gives them. Of each of the `kinds` most frequent kinds
+    come at most `most` texts and `most_bytes` bytes, those whose id and text hash
+    lowest; texts of over a sixteenth of `most_bytes` are not learned from. Equal
+    rows are one text, so neither repeated ids nor repeated rows make it more.
+    """
+    small = written(marked.filter(F.col("size") <= most_bytes // 16), "marked")
+    counts = small.groupBy(kind).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), kind).limit(kinds)
+    # About twice as many by their hash alone, so that no kind's rows meet in one task.
+    low = small.join(F.broadcast(counts), kind).withColumn("u", unit_hash("doc_id", "digest", seed=seed))
+    low = low.filter(F.col("u") * F.col("n") <= 2 * most + 100)
+    order = Window.partitionBy(kind).orderBy("u", "doc_id", "digest")
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    low = low.withColumn("r", F.row_number().over(order)).withColumn("total", F.sum("size").over(so_far))
+    chosen = low.filter((F.col("r") <= most) & (F.col("total") <= most_bytes)).select("doc_id", "digest", kind)
+    texts = text_facts(docs).join(F.broadcast(chosen), ["doc_id", "digest"])  # at most kinds * most rows
+    rows = texts.groupBy("doc_id", "digest", kind).agg(F.min("text").alias("text")).drop("digest").collect()
+    found = {r[kind]: r["n"] for r in counts.collect()}
+    return sorted(rows, key=lambda r: (r["doc_id"], r["text"] or "", r[kind])), found
+
+
+def text_facts(docs: DataFrame, *more: str) -> DataFrame:
+    """(doc_id, text, digest, size) and the columns `more` of all rows that are not held out; a row without id is none to learn from."""
+    rows = docs.filter(~held_out() & F.col("doc_id").isNotNull())
+    rows = rows.select("doc_id", F.col("text").cast("string").alias("text"), *more)
+    return rows.withColumns({"digest": F.xxhash64("text"), "size": F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")})

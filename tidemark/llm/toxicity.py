@@ -7,7 +7,7 @@ are the offending ones. A word's weight is that of the word and of its beginning
 of 3 to 6 bytes, so unseen endings of a known stem count.
 
 The model is fitted in the driver on at most `positives` + `negatives` labelled
-documents and has a fixed number of weights; every document is scored whole, in
+texts of at most `most_bytes` a label and has a fixed number of weights; every document is scored whole, in
 one pass without a shuffle.
 """
 
@@ -26,9 +26,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.hashing import PLAIN_WORDS, runs
-from tidemark.llm.shared import held_out, parts, shipped, unit_hash
+from tidemark.llm.shared import examples, held_out, parts, shipped, text_facts
+from tidemark.operators.joins import join_grouped
 
 POSITIVES, NEGATIVES = 2000, 4000
+MOST_BYTES = 32 << 20  # of texts with one label
 WEIGHTS = 1 << 18
 THRESHOLD = 0.3
 OFFENDING = 0.1
@@ -159,25 +161,23 @@ def train(
     positives: int = POSITIVES,
     negatives: int = NEGATIVES,
     label: str = "toxic",
+    most_bytes: int = MOST_BYTES,
 ) -> Model:
     """A model from labels (doc_id, `label` 0 or 1) of documents that are not held out.
 
-    Takes at most `positives` and `negatives` documents, those whose ids hash
-    lowest; the two kinds are weighed to their share of all labelled documents.
-    A document with several labels has the largest; null labels do not count.
+    Takes at most `positives` and `negatives` texts and `most_bytes` of each kind,
+    those whose id and text hash lowest, and none of over a sixteenth of
+    `most_bytes`; the two kinds are weighed to their share of all labelled texts.
+    Equal rows of one id are one text. A document with several labels has the
+    largest; null labels and null ids do not count.
     """
     own = labels.select("doc_id", F.col(label).cast("int").alias("y"))
-    own = own.filter(~held_out() & F.col("y").isin(0, 1)).groupBy("doc_id").agg(F.max("y").alias("y"))
-    there = own.join(docs.select("doc_id").distinct(), "doc_id").withColumn("u", unit_hash("doc_id", seed=5))
-    totals = dict(map(tuple, there.groupBy("y").count().collect()))
-    lowest = [
-        # About twice as many by their hash alone, so that the sort is small.
-        there.filter((F.col("y") == y) & (F.col("u") * totals.get(y, 0) <= 2 * n + 100)).orderBy("u", "doc_id").limit(n)
-        for y, n in ((1, positives), (0, negatives))
-    ]
-    chosen = F.broadcast(lowest[0].unionByName(lowest[1]).select("doc_id", "y"))  # positives + negatives rows
-    sample = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(chosen, "doc_id")
-    rows = sorted(sample.collect(), key=lambda r: (r["doc_id"], r["text"] or ""))
+    own = own.filter(~held_out() & F.col("doc_id").isNotNull() & F.col("y").isin(0, 1))
+    own = own.groupBy("doc_id").agg(F.max("y").alias("y"))
+    facts = text_facts(docs).select("doc_id", "digest", "size").distinct()
+    marked = join_grouped(facts, own, ["doc_id"]).select("l.*", "y")
+    most = F.when(F.col("y") == 1, positives).otherwise(negatives)
+    rows, totals = examples(docs, marked, "y", 2, most, most_bytes, seed=5)
     taken = {y: sum(r["y"] == y for r in rows) for y in (0, 1)}
     return fit([(r["text"], r["y"], totals[r["y"]] / taken[r["y"]]) for r in rows])
 
