@@ -1,3 +1,4 @@
+import re
 import zlib
 
 import numpy as np
@@ -58,9 +59,7 @@ def test_labels_of_one_kind_or_none(spark, docs):
 
 def test_noisy_or_of_sentences():
     model = example_model()
-    words = toxicity._WordScores(model)
-    tokens = toxicity._tokens(b"You awful1 thing. You awful2 thing.")
-    _, _, sums = toxicity._sentences(np.array([words[t] for t in tokens]))
+    _, _, sums = toxicity._sentences([b"You awful1 thing. You awful2 thing."], np.append(model.weights, 0.0))
     p = 1 / (1 + np.exp(-(sums + model.bias)))
     assert len(p) == 2 and 1 - np.prod(1 - p) > p.max()
 
@@ -95,3 +94,35 @@ def test_repeated_ids_teach_once_and_in_bounds(spark):
         assert abs(weights[y] - sum(label == y for label, _ in texts)) < 1e-6
     scores = {r["text"]: r["score"] for r in toxicity.scored(docs.distinct(), model).collect()}
     assert scores["Word one7. You awful7 thing."] > 0.3 > scores["Fine day number3. Nothing here."]
+
+
+def test_sentences_against_plain_ones(monkeypatch):
+    """Texts, sizes and sums of sentences, from pieces of any size, as words and sentences split one by one give them."""
+    texts = [(t or "").encode() for _, t, *_ in documents() if len(t or "") < 5000]
+    texts += [b"", b"...", b"One. Two? " + b"x" * 300 + b"! three\x01four", "Ünï\nçødé 漢字 a ab abc abcd".encode(), b"no end"]
+    weights = np.append(np.random.default_rng(1).normal(size=toxicity.WEIGHTS), 0.0)
+
+    def of_word(word: str) -> float:
+        (own,) = toxicity._words([word.encode()])
+        return weights[own.places[:, 0]].sum()
+
+    plain = []
+    for number, text in enumerate(texts):
+        lowered = re.sub("[A-Z]", lambda m: m.group().lower(), text.decode())
+        for sentence in re.split(r"[.!?\n]", lowered):
+            words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", sentence)
+            if words:
+                plain.append((number, len(words), sum(map(of_word, words))))
+    for size in (1 << 20, 64, 1):
+        monkeypatch.setattr(toxicity, "PIECE", size)
+        found = toxicity._sentences(texts, weights)
+        assert found[0].tolist() == [n for n, _, _ in plain] and found[1].tolist() == [n for _, n, _ in plain]
+        assert np.allclose(found[2], [total for *_, total in plain])
+
+
+def test_forms_of_words():
+    (own,) = toxicity._words([b"abcdefgh abcdefgh abcdefxx abc ab"])
+    whole, more = own.places[:, 0].tolist(), own.places[:, 2].tolist()
+    assert own.places[:, 1].tolist() == whole and more[0] != whole[0] and more[1:] == whole[1:]
+    assert own.places[1, 3] == whole[1] and (own.places[2:, 3] == toxicity.WEIGHTS).all()
+    assert (own.places[1:, 4] == toxicity.WEIGHTS).all() and own.places[0, 4] < toxicity.WEIGHTS

@@ -75,6 +75,14 @@ def mixed(values: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def prefix_sums(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums and factors that give the hash of any bytes a to b: (sums[b] - sums[a]) * factors[a], to be mixed."""
+    up, down = _powers(len(raw), _BASE)
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_BYTES[raw] * up, out=sums[1:])
+    return sums, down
+
+
 def rolling(hashes: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
     """Hash of each window of k words, by its first word; len - k + 1 values."""
     n = len(hashes)

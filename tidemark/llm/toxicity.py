@@ -13,19 +13,18 @@ one pass without a shuffle.
 
 from __future__ import annotations
 
+import re
 import uuid
-from array import array
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.hashing import PLAIN_WORDS, runs
+from tidemark.llm.hashing import PLAIN_WORDS, mixed, prefix_sums, runs
 from tidemark.llm.shared import examples, held_out, parts, shipped, text_facts
 from tidemark.operators.joins import join_grouped
 
@@ -35,26 +34,56 @@ WEIGHTS = 1 << 18
 THRESHOLD = 0.3
 OFFENDING = 0.1
 ROUNDS = 60
-REMEMBERED = 1 << 19
 PART_BYTES = 4 << 20
-_END = b"\x01"
+PIECE = 1 << 20
+FORMS = 5  # of a word: itself, and its beginnings of 3 to 6 bytes
 # As PLAIN_WORDS, with the ends of sentences kept apart.
-_SENTENCES = bytes(1 if chr(c) in ".!?\n" else PLAIN_WORDS[c] for c in range(256))
+_END = 1
+_SENTENCES = bytes(_END if chr(c) in ".!?\n" else PLAIN_WORDS[c] for c in range(256))
 SCORED = (
     "score double, n_sentences long, "
     "offending array<struct<sentence:long,first_word:long,n_words:long,score:double>>"
 )
 
 
-def _tokens(text: bytes) -> list[bytes]:
-    """Words with an end mark behind each sentence."""
-    return text.translate(_SENTENCES).replace(_END, b" \x01 ").split() + [_END]
+@dataclass
+class _Words:
+    """Words in order: their hashes, places of the weights of their forms, sentences and texts by number."""
+
+    hashes: np.ndarray
+    places: np.ndarray  # a row per form; WEIGHTS where a word is too short for it
+    sentence: np.ndarray
+    text: np.ndarray
 
 
-def _features(word: bytes) -> list[int]:
-    """Places of a word's weights: the word, and its beginnings."""
-    forms = {b"w" + word} | {b"p" + word[:n] for n in range(3, 7) if len(word) >= n}
-    return [xxhash.xxh3_64_intdigest(form) % WEIGHTS for form in forms]
+def _words(texts: list[bytes]) -> Iterator[_Words]:
+    """The words of texts, about PIECE bytes at a time; a sentence may go on in the next piece.
+
+    Sentences are numbered through all texts, those without words included.
+    """
+    raw = np.frombuffer(b".".join([*texts, b""]).translate(_SENTENCES), np.uint8)
+    bounds = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+    a = before = 0
+    while a < len(raw):
+        b = min(a + PIECE, len(raw))
+        while b < len(raw) and raw[b - 1] > 32:  # pieces end behind a gap
+            gaps = np.flatnonzero(raw[a:b] <= 32)
+            b = a + int(gaps[-1]) + 1 if len(gaps) else min(b + PIECE, len(raw))
+        piece = raw[a:b]
+        edges = np.flatnonzero(np.diff(piece > 32, prepend=False))
+        first, last = edges[::2], edges[1::2]
+        sums, back = prefix_sums(piece)
+        places = np.full((FORMS, len(first)), WEIGHTS, np.int32)
+        whole = mixed((sums[last] - sums[first]) * back[first])
+        places[0] = whole % np.uint64(WEIGHTS)
+        for form, n in enumerate(range(3, 7), 1):
+            long = np.flatnonzero(last - first >= n)
+            start = first[long]
+            places[form, long] = mixed((sums[start + n] - sums[start]) * back[start], n) % np.uint64(WEIGHTS)
+        ends = np.flatnonzero(piece == _END)
+        sentence = before + np.searchsorted(ends, first)
+        yield _Words(whole, places, sentence, np.searchsorted(bounds, a + first, "right"))
+        a, before = b, before + len(ends)
 
 
 @dataclass
@@ -63,31 +92,19 @@ class Model:
     bias: float
 
 
-class _WordScores(dict):
-    """Sum of a word's weights, remembered; an end mark has none."""
-
-    def __init__(self, model: Model):
-        self.model = model
-        self[_END] = np.inf
-
-    def __missing__(self, word: bytes) -> float:
-        if len(self) >= REMEMBERED:
-            self.clear()
-            self[_END] = np.inf
-        value = float(self.model.weights[_features(word)].sum())
-        self[word] = value
-        return value
-
-
-def _sentences(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, word count and summed score of each sentence that has words."""
-    ends = np.flatnonzero(np.isinf(scores))
-    starts = np.concatenate([[0], ends[:-1] + 1]).astype(np.int64)
-    held = ends > starts
-    if not held.any():
-        return starts[held], starts[held], np.empty(0)
-    sums = np.concatenate([[0.0], np.cumsum(np.where(np.isinf(scores), 0.0, scores))])
-    return starts[held], (ends - starts)[held], sums[ends[held]] - sums[starts[held]]
+def _sentences(texts: list[bytes], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, word count and summed weights of each sentence that has words; `weights` end with a 0 for no form."""
+    found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+    for words in _words(texts):
+        if len(words.hashes):
+            new = np.flatnonzero(runs(words.sentence))
+            sums = np.add.reduceat(weights[words.places].sum(axis=0), new)
+            found.append((words.sentence[new], words.text[new], np.diff(np.append(new, len(words.hashes))), sums))
+    sentence, text, sizes, sums = map(np.concatenate, zip(*found))
+    new = np.flatnonzero(runs(sentence))  # a sentence that two pieces share is one
+    if not len(new):
+        return text, sizes, sums
+    return text[new], np.add.reduceat(sizes, new), np.add.reduceat(sums, new)
 
 
 def fit(examples: list[tuple[str | None, int, float]], rounds: int = ROUNDS) -> Model:
@@ -96,29 +113,31 @@ def fit(examples: list[tuple[str | None, int, float]], rounds: int = ROUNDS) ->
     importance = np.array([weight for *_, weight in examples], float)
     if not len(examples) or labels.min() == labels.max():
         return Model(np.zeros(WEIGHTS), -np.inf)
-    # Numbers for words, and for each word its sentence, for each sentence its document.
-    numbers: dict[bytes, int] = {}
-    words, sizes, doc_of = array("i"), array("i"), array("i")
-    for doc, (text, _, _) in enumerate(examples):
-        n = 0
-        for token in _tokens((text or "").encode()):
-            if token != _END:
-                words.append(numbers.setdefault(token, len(numbers)))
-                n += 1
-            elif n:
-                sizes.append(n)
-                doc_of.append(doc)
-                n = 0
-    n_words, n_sentences = len(numbers), len(sizes)
-    places, n_features = array("i"), array("i")
-    for word in numbers:
-        own = _features(word)
-        places.extend(own)
-        n_features.append(len(own))
-    del numbers
-    words, doc_of, places = (np.frombuffer(x, np.int32) for x in (words, doc_of, places))
-    sentence_of = np.repeat(np.arange(n_sentences, dtype=np.int32), sizes)
-    of_word = np.repeat(np.arange(n_words, dtype=np.int32), n_features)
+    # Each word by number, for each word its sentence, for each sentence its document.
+    hashes, sentences, texts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    known_hashes, known_places = [np.empty(0, np.uint64)], [np.empty((FORMS, 0), np.int32)]
+    bodies, before = [(text or "").encode() for text, _, _ in examples], 0
+    for a, b in parts(bodies, PART_BYTES):
+        for own in _words(bodies[a:b]):
+            distinct, at = np.unique(own.hashes, return_index=True)
+            known_hashes.append(distinct)
+            known_places.append(own.places[:, at])
+            hashes.append(own.hashes)
+            sentences.append(own.sentence + before)
+            texts.append((own.text + a).astype(np.int32))
+        before += sum(len(re.findall(rb"[.!?\n]", body)) + 1 for body in bodies[a:b])
+    distinct, at = np.unique(np.concatenate(known_hashes), return_index=True)
+    forms = np.concatenate(known_places, axis=1)[:, at].T
+    n_words = len(distinct)
+    words = np.concatenate([np.searchsorted(distinct, own).astype(np.int32) for own in hashes])
+    del hashes, known_hashes, known_places, bodies
+    new = runs(np.concatenate(sentences))
+    sentence_of = np.cumsum(new, dtype=np.int32) - 1
+    doc_of = np.concatenate(texts)[new]
+    n_sentences = len(doc_of)
+    held = forms < WEIGHTS
+    places, of_word = forms[held], np.repeat(np.arange(n_words, dtype=np.int32), held.sum(axis=1))
+    del sentences, texts, forms, held
     # Start from how much more often documents with label 1 have a feature.
     pairs = np.sort(doc_of[sentence_of].astype(np.int64) * n_words + words)
     pairs = pairs[runs(pairs)]
@@ -201,19 +220,12 @@ def scored(docs: DataFrame, model: Model, keep: Sequence[str] | None = None, tex
     )
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _WordScores(shared())
-        bias = words.model.bias
+        model = shared()
+        weights, bias = np.append(model.weights, 0.0), model.bias
         for batch in batches:
             bodies = [t or b"" for t in batch.column(own_name).cast(pa.binary()).to_pylist()]
             for a, b in parts(bodies, PART_BYTES):
-                tokens, lengths = [], []
-                for body in bodies[a:b]:
-                    own = _tokens(body)
-                    tokens.extend(own)
-                    lengths.append(len(own))
-                values = np.fromiter(map(words.__getitem__, tokens), float, len(tokens))
-                starts, sizes, sums = _sentences(values)
-                doc = np.searchsorted(np.cumsum(lengths), starts, "right")
+                doc, sizes, sums = _sentences(bodies[a:b], weights)
                 logit = sums + bias
                 soft = np.logaddexp(0.0, logit)
                 none = np.bincount(doc, soft, minlength=b - a)
