@@ -2,7 +2,7 @@ import re
 
 import pytest
 
-from conftest import documents, rows_of
+from conftest import documents, rows_of, text_of
 from tidemark.llm import pages
 from tidemark.llm.substring_dedup import remove_repeats
 
@@ -40,6 +40,23 @@ def test_spans_are_what_was_removed(docs):
     assert [tuple(s) for s in copy["spans"]] == [(0, 120)] and copy["kept"] == ""
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_one_id_for_all_rows(spark, monkeypatch, doc_id):
+    """Rows of one id are spread over pages, and a passage that all share stays once."""
+    monkeypatch.setattr(pages, "PAGE_BYTES", 2000)
+    monkeypatch.setattr(pages, "BUCKET_QUESTIONS", 500)
+    passage = text_of(1, 30)
+    rows = [(doc_id, f"{passage} own{i} " + " ".join(f"w{i}x{j}" for j in range(25))) for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    size = pages.layout(frame)
+    spread = [r["count"] for r in pages.paged(frame, size.pages).groupBy("page").count().collect()]
+    assert len(spread) > size.pages * 0.9 and max(spread) < 30
+    found = remove_repeats(frame).collect()
+    assert sorted(r["n_removed"] for r in found) == [0, *[30] * 299]
+    assert sorted(r["kept"].split()[-1] for r in found) == sorted(text.split()[-1] for _, text in rows)
+    assert {r["doc_id"] for r in found} == {doc_id}
+
+
 def test_empty_table(no_docs):
     assert remove_repeats(no_docs).count() == 0
 

@@ -1,9 +1,9 @@
 """Questions that groups of documents ask about window hashes of the whole corpus.
 
-Documents are dealt into pages by a hash of their id. A page asks about each of
-its distinct window hashes once, whatever the number of its documents that hold
-it, so a passage that a third of all documents share is one question per page.
-Questions travel as arrays, grouped by ranges of hashes (buckets); the answer to
+Documents are dealt into pages by a hash of their id and text, so that null or
+repeated ids spread like others. A page asks about each of its distinct window
+hashes once, whatever the number of its documents that hold it, so a passage that
+a third of all documents share is one question per page. Questions travel as arrays, grouped by ranges of hashes (buckets); the answer to
 an array has one bit or byte per question, in the order they were asked.
 
 Pages and buckets fit a task's memory. Both grow with the square root of the
@@ -46,10 +46,10 @@ def layout(docs: DataFrame, text: str = "text") -> Layout:
 
 
 def paged(docs: DataFrame, pages: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Columns page, doc_id, text; rows of one id lie in one page."""
-    key = F.col(doc_id).cast("long")
-    page = F.pmod(F.xxhash64(key), F.lit(pages)).cast("long")
-    return docs.select(page.alias("page"), key.alias("doc_id"), F.col(text).cast("string").alias("text"))
+    """Columns page, doc_id, text; equal rows lie in one page."""
+    key, body = F.col(doc_id).cast("long"), F.col(text).cast("string")
+    page = F.pmod(F.xxhash64(key, body), F.lit(pages)).cast("long")
+    return docs.select(page.alias("page"), key.alias("doc_id"), body.alias("text"))
 
 
 def page_rows(table: pa.Table) -> tuple[np.ndarray, list[bytes]]:

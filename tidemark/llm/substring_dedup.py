@@ -4,8 +4,9 @@ Method: fixed-block anchors. With windows of 2b words, every place where a
 window occurs holds at least one whole block of b words that starts at a multiple
 of b. Round 1 indexes those non-overlapping blocks and probes the index with
 every rolling window of b words of every document. Round 2 extends the hits: all
-windows around a hit are compared in full, and the earliest place of each is
-found. Runs of repeated windows are the maximal exact repeats; their words go.
+windows around a hit are compared by two hashes of theirs, 64 bits and a bucket,
+and the earliest place of each is found. Runs of repeated windows are the maximal
+exact repeats; their words go.
 
 Both rounds are questions of pages (see pages.py): a block or passage counts once
 per page, no pairs of places are made, and what a task holds is bounded.
@@ -142,6 +143,7 @@ def _answer_windows(key: Key, table: pa.Table) -> pa.Table:
     """For each window of a page, whether the page's first place of it is the earliest of all."""
     if key[0].as_py() < 0:
         return pages.answers(KEPT, key[0].as_py(), table["page"].to_pylist(), table["payload"].to_pylist())
+    table = table.sort_by("page")
     asked = [np.frombuffer(p, np.int64).reshape(2, -1) for p in table["payload"].to_pylist()]
     values = np.concatenate([a[0] for a in asked])
     owners = np.concatenate([a[1] for a in asked])
@@ -149,8 +151,10 @@ def _answer_windows(key: Key, table: pa.Table) -> pa.Table:
     ordered = values[order]
     first = runs(ordered)
     earliest = np.minimum.reduceat(owners[order], np.flatnonzero(first))
-    ours = np.empty(len(values), bool)
-    ours[order] = owners[order] == earliest[np.cumsum(first) - 1]
+    run = np.cumsum(first) - 1
+    own = np.flatnonzero(owners[order] == earliest[run])
+    ours = np.zeros(len(values), bool)
+    ours[order[own[runs(run[own])]]] = True  # of pages that hold rows of one id, the first
     cuts = np.cumsum([a.shape[1] for a in asked])[:-1]
     replies = [np.packbits(part).tobytes() for part in np.split(ours, cuts)]
     return pages.answers(2, key[0].as_py(), table["page"].to_pylist(), replies)
@@ -165,9 +169,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
     n_removed, spans (ranges of removed words, end exclusive), kept (the kept
     words joined by one space).
 
-    Null and empty texts have no words and `kept` is empty. Rows with one id
-    follow each other in order of text; a null id comes last. Repeated rows are
-    repeats like any other. Other columns are not looked at, whatever their names.
+    Null and empty texts have no words and `kept` is empty. Rows of one id follow
+    each other by their page, a hash of id and text, then in order of text; a null
+    id comes last. Repeated rows are repeats like any other. Other columns are not
+    looked at, whatever their names.
     """
     if window < 2 or window % 2:
         raise ValueError("window must be an even number of words")
