@@ -39,14 +39,15 @@ def vectors(n, dims, seed, spread=1.0):
 @pytest.mark.parametrize(("n", "dims"), [(400, 8), (150, 64), (3, 4), (1, 2)])
 def test_equals_all_products(spark, monkeypatch, n, dims):
     monkeypatch.setattr(metric_search, "PAGE", 16)
-    monkeypatch.setattr(metric_search, "GROUP", 60)
+    monkeypatch.setattr(metric_search, "TREE_BYTES", 60 * 8 * dims)
     rows = vectors(n, dims, n)
     assert search(spark, rows) == plain([r[:2] for r in rows], lambda i: i % 5 == 0, 10)
 
 
 def test_ties_copies_and_odd_vectors(spark, monkeypatch):
     monkeypatch.setattr(metric_search, "PAGE", 8)
-    monkeypatch.setattr(metric_search, "BLOCK", 3)  # several passes
+    monkeypatch.setattr(metric_search, "BLOCK_BYTES", 3 * 8 * 4)  # several passes
+    monkeypatch.setattr(metric_search, "SEEDS", 20)
     same = [0.5, -0.25, 1.0]
     rows = [(i, same, "x") for i in range(40)] + [
         (40, None, "x"), (41, [0.1, None, 2.0], "x"), (42, [0.1, math.nan, 2.0], "x"), (45, [math.inf, 0.0, 0.0], "x"),
@@ -62,35 +63,45 @@ def test_large_components_are_exact(spark):
 
 
 def test_pages_are_left_out():
-    """Clustered vectors: the stored distances spare most products."""
+    """Clustered vectors: the stored distances spare most products, on several levels."""
     import numpy as np
 
     draw = np.random.default_rng(1)
     centers = draw.integers(-9000, 9000, (40, 8))
-    v = (centers[draw.integers(40, size=4000)] + draw.integers(-50, 50, (4000, 8))).astype(np.int64)
+    v = (centers[draw.integers(40, size=8000)] + draw.integers(-50, 50, (8000, 8))).astype(np.int64)
     most = float((v**2).sum(axis=1).max())
-    routes = metric_search._placed(v[:10], most)
-    region = metric_search._distances(metric_search._placed(v, most), routes).argmin(axis=1)
-    pages = []
-    for r in range(10):
-        own = np.flatnonzero(region == r)
-        if len(own):
-            pages += metric_search._page_rows(r, routes[r], own, v[own], most).to_pylist()
-    tree = metric_search._Tree(pages, 8, most, routes)
-    read = []
-
-    class Counted(np.ndarray):
-        def __matmul__(self, other):
-            read.append(len(self))
-            return np.asarray(self) @ other
-
-    tree.vectors = [x.view(Counted) for x in tree.vectors]
-    query = v[17]
-    to_regions = metric_search._distances(np.append(query.astype(float), 0.0)[None, :], routes)[0]
-    found = tree.search(17, query, to_regions, 10)
-    products = sorted((-int(p), i) for i, p in enumerate(v @ query) if i != 17)[:10]
-    assert found == [(-p, i) for p, i in products]
-    assert sum(read) < 2000
+    root = metric_search._placed(v[:1], most)[0]
+    row = metric_search._tree(0, root, np.arange(8000), v, most).to_pylist()[0]
+    tree = metric_search._Tree(row, 8, True)
+    assert (tree.children[1:] > 0).any()  # a node below the first is split too
+    assert sorted(tree.ids.tolist()) == list(range(8000))
+    for node in range(len(tree.radius)):  # radii cover what lies below, stored distances are right
+        below = range(tree.child[node], tree.child[node] + tree.children[node])
+        for c in below:
+            assert tree.parent[c] == pytest.approx(np.linalg.norm(tree.centers[c] - tree.centers[node]))
+    point = np.append(v[17].astype(float), 0.0)
+    query = metric_search._Query(17, point, point[:8], math.inf, 10, most)
+    tree.search(query, float(np.linalg.norm(point - root)))
+    products = sorted((-int(p), i) for i, p in enumerate(v @ v[17]) if i != 17)[:10]
+    assert list(zip(query.scores.tolist(), query.ids.tolist())) == [(-p, i) for p, i in products]
+    assert tree.products < 4000
+
+
+def test_copies_of_one_vector_fill_pages():
+    """Vectors that no routing object tells apart are cut into pages all the same."""
+    import numpy as np
+
+    v = np.tile(np.array([[3, 4]], np.int64), (1000, 1))
+    row = metric_search._tree(0, np.array([0.0, 0.0, 5.0]), np.arange(1000), v, 25.0).to_pylist()[0]
+    tree = metric_search._Tree(row, 2, True)
+    assert tree.items.sum() == 1000 and tree.items.max() <= metric_search.PAGE
+
+
+@pytest.mark.parametrize("seeds", [1, 9, 4096])
+def test_first_limit_loses_nothing(spark, monkeypatch, seeds):
+    monkeypatch.setattr(metric_search, "SEEDS", seeds)
+    rows = vectors(200, 6, 11) + [(i, [0.0] * 6, "x") for i in range(200, 230)]
+    assert search(spark, rows) == plain([r[:2] for r in rows], lambda i: i % 5 == 0, 10)
 
 
 def test_empty_tables(spark):
