@@ -5,7 +5,8 @@ of keys seen once and, if they are in that, in a filter of keys seen twice; the
 tasks' filters are folded chunk by chunk, and a bit that two tasks have set in
 their first filter counts as seen twice. Only lines in the second filter can
 occur in two documents: they alone are shuffled, by a 128-bit digest of the key,
-and counted exactly. The filters grow with the text up to MOST_BITS; beyond that
+counted exactly, and where asked the first place of each key is chosen, which
+stays. The filters grow with the text up to MOST_BITS; beyond that
 more lines are suspected and shuffled, which changes no result.
 """
 
@@ -164,9 +165,15 @@ def drop_common_lines(
     min_chars: int = MIN_CHARS,
     doc_id: str = "doc_id",
     text: str = "text",
+    keep_first: bool = False,
 ) -> DataFrame:
     """Drop lines whose key is found in at least `min_docs` documents, everywhere.
 
+    With `keep_first` a key's first line stays: the smallest document id that has
+    it, null last, its text of the smallest hash if the id repeats, and there the
+    smallest line number. Rows equal in id and text share their result, so each of
+    them keeps it.
+
     Lines end at \\n. A line's key is the line without ASCII whitespace at both
     ends and with A-Z in lower case; keys of fewer than `min_chars` characters
     stay. One row per input row: doc_id, n_lines (before), n_dropped, dropped
@@ -185,10 +192,19 @@ def drop_common_lines(
     # Rows with one id and one text share their result, so these two tell rows apart.
     texts = texts.withColumn("version", F.xxhash64("text"))
     suspects = written(_suspects(texts, _seen_twice(texts, min_chars), min_chars))
-    common = suspects.groupBy("digest").count().filter(F.col("count") >= min_docs).select("digest")
-    hits = join_grouped(suspects, common, ["digest"], "left_semi")
+    place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "version")
+    counts = [F.count(F.lit(1)).alias("n_docs")] + ([F.min(place).alias("first")] if keep_first else [])
+    common = suspects.groupBy("digest").agg(*counts).filter(F.col("n_docs") >= min_docs)
+    hits = join_grouped(suspects, common.drop("n_docs"), ["digest"])
+    if keep_first:
+        here = F.col("l.doc_id").eqNullSafe(F.col("r.first.doc_id")) & (F.col("l.version") == F.col("r.first.version"))
+        rest = F.when(here, F.slice("l.numbers", 2, F.size("l.numbers"))).otherwise(F.col("l.numbers"))
+        hits = hits.select("l.doc_id", "l.version", rest.alias("numbers"))
+    else:
+        hits = hits.select("l.doc_id", "l.version", "l.numbers")
+    # As a set, so that equal rows, which send equal numbers, are merged before the shuffle.
     dropped = hits.groupBy("doc_id", "version").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("numbers")))).alias("dropped")
+        F.array_sort(F.flatten(F.collect_set("numbers"))).alias("dropped")
     )
     joined = join_grouped(texts, dropped, ["doc_id", "version"], "left", null_safe=True)
     lines = F.split("text", "\n", -1)
