@@ -106,7 +106,7 @@ USER_COLUMNS = "user_id, event_id, ts, event_type, value, props"
 
 ORACLE = {
     "scan_csv": "SELECT * FROM events",
-    "scan_parquet": "SELECT l_orderkey, l_linenumber, l_extendedprice, l_shipdate FROM lineitem",
+    "scan_parquet": "SELECT * FROM lineitem",
     "scan_json": "SELECT * FROM orders",
     "scan_orc": "SELECT * FROM orders",
     "scan_text": "SELECT props AS value FROM events",
@@ -153,8 +153,8 @@ FROM upserted""",
     ),
     "keyed_upsert_partitioned": _with(ORDERS, "SELECT * FROM upserted"),
     "rename_columns": """
-SELECT o_orderkey AS order_id, o_custkey, o_orderstatus, o_totalprice AS total, o_orderdate FROM orders""",
-    "rename_swap": "SELECT l_orderkey, l_suppkey AS l_partkey, l_partkey AS l_suppkey, l_quantity FROM lineitem",
+SELECT o_orderkey AS order_id, o_totalprice AS total, * EXCLUDE (o_orderkey, o_totalprice) FROM orders""",
+    "rename_swap": "SELECT * REPLACE (l_suppkey AS l_partkey, l_partkey AS l_suppkey) FROM lineitem",
     "replace_values": "SELECT "
     + ", ".join(
         [f"CAST(CASE WHEN {c} = 1 THEN 100 ELSE {c} END AS {kind}) AS {c}" for c, kind in (
@@ -173,7 +173,7 @@ SELECT o_orderkey,
        o_orderpriority
 FROM orders""",
     "add_column": """
-SELECT l_orderkey, l_extendedprice, l_discount, l_extendedprice * (1 - l_discount) AS net, 'erp' AS source
+SELECT *, l_extendedprice * (1 - l_discount) AS net, 'erp' AS source
 FROM lineitem""",
     "add_audit_columns": _with(
         CDC,
@@ -186,7 +186,7 @@ FROM cdc""",
     ),
     "drop_columns": "SELECT event_id, ts, user_id, event_type FROM events",
     "cast_columns": """
-SELECT event_id, TRY_CAST(event_type AS INTEGER) AS event_type, ts, user_id AS user_text,
+SELECT * REPLACE (TRY_CAST(event_type AS INTEGER) AS event_type), user_id AS user_text,
        CAST(ts AS DATE) AS day, ts AS parsed
 FROM events""",
     "shift_timezone": """
@@ -257,8 +257,7 @@ FROM ctl""",
     ),
     "keep_first_events": _first_row("events", USER_COLUMNS, "user_id", "ts, event_id"),
     "row_number_per_key": """
-SELECT o_custkey, o_orderkey, o_orderdate,
-       ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS n
+SELECT *, ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS n
 FROM orders""",
     "row_number_hot_key": """
 SELECT *, ROW_NUMBER() OVER (PARTITION BY l_returnflag ORDER BY l_shipdate, l_orderkey, l_partkey, l_suppkey) AS n
@@ -344,12 +343,10 @@ FROM (SELECT *, LEAD(l_linenumber) OVER (PARTITION BY l_orderkey
             SELECT * REPLACE (-1 - l_orderkey AS l_orderkey) FROM lineitem WHERE l_linenumber <= 3) u) l""",
     "processed_to_structured_ties": """
 WITH feed AS (
-  SELECT * EXCLUDE (l_quantity, l_discount, l_tax)
-           REPLACE (CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) AS l_shipdate)
+  SELECT * REPLACE (CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) AS l_shipdate)
   FROM lineitem
   UNION ALL
-  SELECT * EXCLUDE (l_quantity, l_discount, l_tax)
-           REPLACE (-1 - l_partkey AS l_partkey,
+  SELECT * REPLACE (-1 - l_partkey AS l_partkey,
                     CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) + INTERVAL 60 YEAR AS l_shipdate)
   FROM lineitem WHERE l_linenumber = 1),
 runs AS (
@@ -358,8 +355,8 @@ runs AS (
                  ELSE DATE '2090-01-02' END AS day,
          LEAD(l_shipdate) OVER (PARTITION BY l_partkey ORDER BY l_shipdate, l_orderkey, l_linenumber, l_suppkey) AS nx
   FROM feed)
-SELECT l_partkey, l_orderkey, l_linenumber, l_suppkey, l_extendedprice, l_returnflag, l_linestatus,
-       l_shipdate AS effective_from, nx AS effective_to,
+SELECT l_partkey, l_orderkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
+       l_returnflag, l_linestatus, l_shipdate AS effective_from, nx AS effective_to,
        CASE WHEN nx IS NULL THEN 'active' ELSE 'inactive' END AS status, 'erp' AS source_system,
        CONCAT('job-', CAST(day AS VARCHAR)) AS job_id, day AS load_date, TIMESTAMP '2024-02-01 00:00:00' AS updated_at,
        CASE WHEN nx IS NULL THEN day

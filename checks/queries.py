@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from datetime import date
 from functools import reduce
 from uuid import uuid4
 
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.times import null_timestamp, parse_timestamp, shift_timezone
+from tidemark.functions.times import HONG_KONG, null_timestamp, parse_timestamp, run_time, shift_timezone
 from tidemark.operators import columns, filters, history, joins, latest
 from tidemark.operators.history import History
 from tidemark.plans import control, landing, zones
@@ -76,8 +77,7 @@ def _round_trip(fmt: str, name: str, **options):
 
 def scan_parquet(spark, sf_dir):
     apply_defaults(spark)
-    df = files.read_parquet(spark, f"{sf_dir}/lineitem.parquet")
-    return df.select("l_orderkey", "l_linenumber", "l_extendedprice", "l_shipdate")
+    return files.read_parquet(spark, f"{sf_dir}/lineitem.parquet")
 
 
 def scan_text(spark, sf_dir):
@@ -221,12 +221,12 @@ def keyed_upsert_partitioned(spark, sf_dir):
 
 
 def rename_columns(spark, sf_dir):
-    df = table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
+    df = table(spark, sf_dir, "orders")
     return columns.rename_columns(df, {"o_orderkey": "order_id", "O_TOTALPRICE": "total", "absent": "x"})
 
 
 def rename_swap(spark, sf_dir):
-    df = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity")
+    df = table(spark, sf_dir, "lineitem")
     return columns.rename_columns(df, {"l_partkey": "l_suppkey", "l_suppkey": "l_partkey"})
 
 
@@ -241,14 +241,25 @@ def replace_values_subset(spark, sf_dir):
 
 
 def add_column(spark, sf_dir):
-    df = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_extendedprice", "l_discount")
+    df = table(spark, sf_dir, "lineitem")
     df = columns.add_column(df, "net", F.col("l_extendedprice") * (1 - F.col("l_discount")))
     return columns.add_column(df, "source", "erp")
 
 
+def _job(name: str, zone: str = HONG_KONG) -> dict:
+    return {"job_id": name, "updated_at": lambda: run_time(RUN_TS, zone)}
+
+
+def _audit(day: str, zone: str = HONG_KONG) -> dict:
+    """What a run puts on landed rows and on versions."""
+    job = _job(f"job-{day}", zone)
+    versions = {**job, "load_date": date.fromisoformat(day), "source_system": "erp"}
+    return {"landed_with": job, "versions_with": versions}
+
+
 def add_audit_columns(spark, sf_dir):
-    df = columns.landing_columns(cdc(spark, sf_dir), "job-1", "ts", RUN_TS)
-    return columns.version_columns(df, "job-1", "ts", "2024-01-31 01:30:00", "erp", RUN_TS)
+    df = columns.landing_columns(cdc(spark, sf_dir), "ts", _job("job-1"))
+    return columns.version_columns(df, "ts", {"load_date": date(2024, 1, 31), "source_system": "erp", **_job("job-1")})
 
 
 def drop_columns(spark, sf_dir):
@@ -256,8 +267,8 @@ def drop_columns(spark, sf_dir):
 
 
 def cast_columns(spark, sf_dir):
-    df = table(spark, sf_dir, "events").select(
-        "event_id", "event_type", "ts", F.col("user_id").cast("string").alias("user_text"), F.col("ts").alias("day")
+    df = table(spark, sf_dir, "events").withColumns(
+        {"user_text": F.col("user_id").cast("string"), "day": F.col("ts")}
     )
     df = columns.cast_columns(df, {"event_type": "int", "user_text": "bigint", "day": "date"})
     return df.withColumn("parsed", parse_timestamp(F.col("ts").cast("string")))
@@ -339,6 +350,10 @@ def count_rows(spark, sf_dir):
 # Control table: one row per order as a job of its customer's table.
 
 
+DUE = {"step_index": 1, "status": "R"}
+DONE = {"step_index": 2, "status": "R", "updated_at": lambda: run_time(RUN_TS)}
+
+
 def control_rows(spark, sf_dir):
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("id"),
@@ -372,7 +387,7 @@ def control_pending_count(spark, sf_dir):
 
 def control_update(spark, sf_dir):
     match = (F.col("step_index") == 1) & (F.col("batch_name") == "1-URGENT")
-    return control.mark_done(control_rows(spark, sf_dir), match, RUN_TS)
+    return control.update_where(control_rows(spark, sf_dir), match, DONE)
 
 
 # Order within a key.
@@ -400,7 +415,7 @@ def keep_first_events(spark, sf_dir):
 
 
 def row_number_per_key(spark, sf_dir):
-    df = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
+    df = table(spark, sf_dir, "orders")
     return latest.row_number_per_key(df, "o_custkey", ["o_orderdate", "o_orderkey"], "n", unique_order=True, hot_keys=False)
 
 
@@ -521,10 +536,7 @@ def _run(start: str, end: str, day: str, **more) -> zones.Run:
         window_from=start,
         window_to=end,
         business_date=day,
-        load_time=f"{day} 01:30:00",
-        job_id=f"job-{day}",
-        source_system="erp",
-        run_ts=RUN_TS,
+        **_audit(day),
         tie_breaker="event_id",
         **more,
     )
@@ -581,14 +593,13 @@ def processed_to_structured_ties(spark, sf_dir):
     def run(start: str, end: str, day: str) -> zones.Run:
         return zones.Run(
             keys="l_partkey", ts_col="l_shipdate", window_from=start, window_to=end, business_date=day,
-            load_time=f"{day} 01:30:00", job_id=f"job-{day}", source_system="erp", run_ts=RUN_TS,
-            tie_breaker=["l_orderkey", "l_linenumber", "l_suppkey"], collapse=False, zone="UTC",
+            tie_breaker=["l_orderkey", "l_linenumber", "l_suppkey"], collapse=False, zone="UTC", **_audit(day, "UTC"),
         )
 
     first = run("1970-01-01 00:00:00", "1998-01-01 00:00:00", "1998-01-02")
     second = run("1998-01-01 00:00:00.000001", "2050-01-01 00:00:00", "2050-01-02")
     third = run("2050-01-01 00:00:00.000001", "2090-01-01 00:00:00", "2090-01-02")
-    lines = table(spark, sf_dir, "lineitem").drop("l_quantity", "l_discount", "l_tax")
+    lines = table(spark, sf_dir, "lineitem")
     lines = lines.withColumn("l_shipdate", F.date_trunc("month", "l_shipdate").cast("timestamp_ntz"))
     other = lines.filter("l_linenumber = 1").withColumns(
         {"l_partkey": -1 - F.col("l_partkey"), "l_shipdate": F.expr("l_shipdate + INTERVAL 60 YEARS")}
@@ -618,7 +629,7 @@ def control_run(spark, sf_dir):
         paths = [f"{base}/{zone}/{name}" for zone in ("processed", "structured", "bookmarks")]
         return run_table(spark, Zones(f"{base}/landing/event_type={name}", *paths), run)
 
-    done = control.run_pending(spark, f"{base}/control", run_one, ["table_name"], run_ts=RUN_TS)
+    done = control.run_pending(spark, f"{base}/control", run_one, ["table_name"], DUE, DONE)
     tables = [
         keyed.read_keyed(spark, f"{base}/structured/{name}").withColumn("table_name", F.lit(name))
         for (name,) in sorted(done)
@@ -648,7 +659,7 @@ def stream_ingest_files(spark, sf_dir):
             f"{base}/processed",
             "event_id",
             f"{base}/bookmark",
-            lambda batch: columns.landing_columns(batch, "job-1", "ts", RUN_TS),
+            lambda batch: columns.landing_columns(batch, "ts", _job("job-1")),
         )
     return keyed.read_keyed(spark, f"{base}/processed")
 

@@ -20,6 +20,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
+from tidemark.functions.times import run_time, timestamp_literal  # noqa: E402
 from tidemark.plans.control import run_pending  # noqa: E402
 from tidemark.plans.daily import Zones, run_table  # noqa: E402
 from tidemark.plans.zones import Run  # noqa: E402
@@ -29,6 +30,8 @@ CONTROL_KEYS = ["batch_name", "table_name", "business_date"]
 
 
 def run_day(spark: SparkSession, lake: str, job_id: str, run_ts: str | None = None) -> dict[tuple, str]:
+    job_columns = {"job_id": job_id, "updated_at": lambda: run_time(run_ts)}
+
     def run_one(job: dict) -> str:
         name = f"{job['batch_name']}/{job['table_name']}".lower()
         zones = Zones(
@@ -45,10 +48,12 @@ def run_day(spark: SparkSession, lake: str, job_id: str, run_ts: str | None = No
             window_from=job["from_time"],
             window_to=job["to_time"],
             business_date=str(job["business_date"]),
-            load_time=job["start_time"],
-            job_id=job_id,
-            source_system=job["source_schema"],
-            run_ts=run_ts,
+            landed_with=job_columns,
+            versions_with={
+                **job_columns,
+                "load_date": lambda: timestamp_literal(job["start_time"]).cast("date"),
+                "source_system": job["source_schema"],
+            },
         )
         return run_table(spark, zones, run)
 
@@ -57,13 +62,11 @@ def run_day(spark: SparkSession, lake: str, job_id: str, run_ts: str | None = No
         f"{lake}/control",
         run_one,
         CONTROL_KEYS,
+        due={"job_id": job_id, "step_index": 1, "status": "R"},
+        done={"step_index": 2, "status": "R", "status_desc": "Ready", "updated_at": lambda: run_time(run_ts)},
         table_by=["batch_name", "table_name"],
         config=spark.read.parquet(f"{lake}/config"),
         on={"batch_name": "owner", "table_name": "source_table"},
-        run_ts=run_ts,
-        job_id=job_id,
-        step_index=1,
-        status="R",
     )
 
 

@@ -83,7 +83,7 @@ def test_run_that_dies_is_gone_on_with(spark, folder, monkeypatch):
 def test_daily_run_by_manifest(spark, folder):
     run = Run(
         keys="id", ts_col="ts", window_from="2024-01-01 00:00:00", window_to="2024-01-31 00:00:00", business_date="2024-01-31",
-        load_time="2024-01-31 01:00:00", job_id="j", source_system="s", run_ts="2024-01-31 02:00:00", zone="UTC",
+        versions_with={"job_id": "j"}, zone="UTC",
     )
     zones = Zones(*[f"{folder}/{n}" for n in ("landing", "processed", "structured", "mark")], folder + "/backup", folder + "/files")
     for day, done in ((2, "initial"), (3, "incremental")):
@@ -152,6 +152,6 @@ def test_long_table_does_not_hold_up_a_short_one(spark, folder):
         ended[job["t"]] = time.time()
         return "done"
 
-    control.run_pending(spark, folder + "/control", run_one, ["t"], parallel=2)
+    control.run_pending(spark, folder + "/control", run_one, ["t"], {"step_index": 1, "status": "R"}, {"step_index": 2}, parallel=2)
     assert pools == {"long": "long", "short": "short"}
     assert ended["short"] < ended["long"] - 0.5

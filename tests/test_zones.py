@@ -121,8 +121,8 @@ def test_control_join_keeps_rows_without_config(spark, jobs):
     assert control.pending_count(jobs, step_index=1, status="R").first().n_jobs == 2
 
 
-def test_mark_done_touches_matching_rows(jobs):
-    done = control.mark_done(jobs, F.col("id") == 1, "2024-02-01 00:00:00")
+def test_update_touches_matching_rows(jobs):
+    done = control.update_where(jobs, F.col("id") == 1, queries.DONE)
     assert done.dtypes == jobs.dtypes
     assert [(r.step_index, str(r.updated_at)) for r in done.orderBy("id").collect()] == [
         (2, "2024-02-01 08:00:00"),
@@ -140,11 +140,11 @@ def test_run_pending_marks_what_worked(spark, jobs, folder):
         return f"ran {job['table_name']}"
 
     with pytest.raises(RuntimeError, match="no source"):
-        control.run_pending(spark, folder, run_one, ["id"], run_ts="2024-02-01 00:00:00")
+        control.run_pending(spark, folder, run_one, ["id"], queries.DUE, queries.DONE)
     state = {r.id: (r.step_index, r.updated_at is not None) for r in keyed.read_keyed(spark, folder).collect()}
     assert state == {1: (2, True), 2: (1, False), 3: (2, False)}
-    assert control.run_pending(spark, folder, lambda job: "ok", ["id"]) == {(2,): "ok"}
-    assert control.run_pending(spark, folder, lambda job: "ok", ["id"]) == {}
+    assert control.run_pending(spark, folder, lambda job: "ok", ["id"], queries.DUE, queries.DONE) == {(2,): "ok"}
+    assert control.run_pending(spark, folder, lambda job: "ok", ["id"], queries.DUE, queries.DONE) == {}
 
 
 def test_a_failed_run_holds_back_later_ones_of_its_table(spark, jobs, folder):
@@ -156,7 +156,7 @@ def test_a_failed_run_holds_back_later_ones_of_its_table(spark, jobs, folder):
         raise RuntimeError("no source")
 
     with pytest.raises(RuntimeError):
-        control.run_pending(spark, folder, run_one, ["batch_name", "id"], table_by=["batch_name"])
+        control.run_pending(spark, folder, run_one, ["batch_name", "id"], queries.DUE, queries.DONE, table_by=["batch_name"])
     assert ran == [1] and keyed.read_keyed(spark, folder).filter("step_index = 1").count() == 2
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterable, Mapping
-from datetime import datetime
 from numbers import Number
 
 from pyspark.sql import Column, DataFrame
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.names import as_column, as_list, col, resolve
-from tidemark.functions.times import HONG_KONG, run_time, shift_timezone, timestamp_literal
+from tidemark.functions.times import HONG_KONG, shift_timezone
 
 
 def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -130,41 +129,23 @@ def fill_null_keys(
     return df.withColumns(filled)
 
 
-def landing_columns(
-    df: DataFrame,
-    job_id: str,
-    ts_col: str,
-    run_ts: str | datetime | None = None,
-    zone: str = HONG_KONG,
-) -> DataFrame:
-    """Columns a landed batch gets: change time in `zone`, job and update time."""
+def landing_columns(df: DataFrame, ts_col: str, audit: Mapping, zone: str = HONG_KONG) -> DataFrame:
+    """A landed batch with its change time in `zone` and the caller's columns.
+
+    `audit` has by name a constant, a Column, or a function without arguments that
+    makes one of them when the batch is planned.
+    """
     (ts_col,) = resolve(df, ts_col)
-    return add_columns(
-        df,
-        {ts_col: shift_timezone(col(ts_col), zone), "job_id": job_id, "updated_at": run_time(run_ts, zone)},
-    )
-
-
-def version_columns(
-    df: DataFrame,
-    job_id: str,
-    ts_col: str,
-    load_time: str | datetime,
-    source_system: str,
-    run_ts: str | datetime | None = None,
-    zone: str = HONG_KONG,
-) -> DataFrame:
-    """Columns the newest change of a key gets before it becomes a version."""
+    return add_columns(df, {ts_col: shift_timezone(col(ts_col), zone), **made(audit)})
+
+
+def version_columns(df: DataFrame, ts_col: str, audit: Mapping) -> DataFrame:
+    """The newest change of a key as a version that is valid from it on, with the caller's columns as above."""
     (ts_col,) = resolve(df, ts_col)
-    return add_columns(
-        df,
-        {
-            "effective_from": col(ts_col),
-            "effective_to": F.lit(None).cast("timestamp_ntz"),
-            "load_date": timestamp_literal(load_time).cast("date"),
-            "status": "active",
-            "source_system": source_system,
-            "job_id": job_id,
-            "updated_at": run_time(run_ts, zone),
-        },
-    )
+    valid = {"effective_from": col(ts_col), "effective_to": F.lit(None).cast("timestamp_ntz"), "status": "active"}
+    return add_columns(df, {**valid, **made(audit)})
+
+
+def made(values: Mapping) -> dict:
+    """The values, with functions replaced by what they return."""
+    return {n: v() if callable(v) and not isinstance(v, Column) else v for n, v in values.items()}

@@ -5,14 +5,13 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from datetime import datetime
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import all_of, as_column, col, quoted
-from tidemark.functions.times import HONG_KONG, run_time
+from tidemark.operators.columns import made
 from tidemark.operators.joins import join_grouped
 from tidemark.sources.keyed import read_keyed, write_keyed
 
@@ -40,39 +39,30 @@ def pending_count(control: DataFrame, **equal) -> DataFrame:
 
 
 def update_where(df: DataFrame, match: Column, values: Mapping) -> DataFrame:
-    """Rows that match get the new values; all others stay as they are."""
+    """Rows that match get the new values, functions what they return; all others stay as they are."""
+    values = made(values)
     types = {f.name: f.dataType for f in df.schema}
     return df.withColumns(
         {n: F.when(match, as_column(v).cast(types[n])).otherwise(col(n)) for n, v in values.items()}
     )
 
 
-def mark_done(
-    control: DataFrame, match: Column, run_ts: str | datetime | None = None, zone: str = HONG_KONG, **values
-) -> DataFrame:
-    """Set matching rows to step 2, ready, at the run's time in `zone`; `values` add or override.
-
-    Of the usual columns, those the table does not have are left out.
-    """
-    usual = {"step_index": 2, "status": "R", "status_desc": "Ready", "updated_at": run_time(run_ts, zone)}
-    usual = {n: v for n, v in usual.items() if n in control.columns}
-    return update_where(control, match, {**usual, **values})
-
-
 def run_pending(
     spark: SparkSession,
     control_path: str,
     run_one: Callable[[dict], str],
     keys: Sequence[str],
+    due: Mapping,
+    done: Mapping,
     table_by: Sequence[str] = (),
     config: DataFrame | None = None,
     on: Mapping[str, str] | None = None,
-    run_ts: str | datetime | None = None,
     parallel: int = 4,
-    **due,
 ) -> dict[tuple, str]:
     """Run every due row of a keyed control table and mark those that worked.
 
+    Rows with the values of `due` are due, and get the values of `done` then (see
+    update_where; what the time is then, a function says).
     Only the control rows come to the driver, one per run. Each run is a set of
     Spark jobs of its own; `parallel` of them submit theirs at a time, so that
     small tables do not leave the cluster idle. Each table's jobs run in a pool of
@@ -82,7 +72,6 @@ def run_pending(
     of `keys`. A run that fails stays due, as do later ones of its table, and
     its error is raised after the others are marked.
     """
-    due = due or {"step_index": 1, "status": "R"}
     jobs = pending(read_keyed(spark, control_path), **due)
     if config is not None:
         jobs = with_config(jobs, config, on)
@@ -111,8 +100,8 @@ def run_pending(
             run.result()
     if outcome:
         control = read_keyed(spark, control_path)
-        done = spark.createDataFrame([list(name) for name in outcome], control.select(*keys).schema)
-        changed = mark_done(pending(control, **due).join(done, list(keys), "left_semi"), F.lit(True), run_ts)
+        ran = spark.createDataFrame([list(name) for name in outcome], control.select(*keys).schema)
+        changed = update_where(pending(control, **due).join(ran, list(keys), "left_semi"), F.lit(True), done)
         write_keyed(changed, control_path, keys, dedup=True, replace=True)
     if errors:
         raise errors[0]

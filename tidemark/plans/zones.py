@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +34,8 @@ class Run:
     tie_breaker  feed columns that order changes with equal times, after the commit order;
                versions that start at one instant are told apart by them
     late       what happens to changes not newer than the active version: "apply" or "drop"
+    landed_with, versions_with  columns of the caller's on landed rows and on versions, by name
+               (see columns.landing_columns)
     key_defaults  what NULL keys become, by column ({} for the defaults by type); None:
                a NULL key stops the run
     """
@@ -43,16 +45,14 @@ class Run:
     window_from: str | datetime
     window_to: str | datetime
     business_date: str
-    load_time: str | datetime
-    job_id: str
-    source_system: str
     op_col: str | None = None
     deleted: str = "D"
     tie_breaker: list[str] | str = ()
     collapse: bool = True
     late: str = "apply"
     key_defaults: Mapping | None = None
-    run_ts: str | datetime | None = None
+    landed_with: Mapping = field(default_factory=dict)
+    versions_with: Mapping = field(default_factory=dict)
     zone: str = HONG_KONG
 
     def __post_init__(self):
@@ -88,7 +88,7 @@ def land(df: DataFrame, processed: str, run: Run, batch_id: tuple[str, int] | No
     """Append a landed batch to the processed table, with its landing columns."""
     if DAY in [c.lower() for c in df.columns]:
         raise ValueError(f"{DAY} is a reserved column name")
-    df = landing_columns(df, run.job_id, run.ts_col, run.run_ts, run.zone)
+    df = landing_columns(df, run.ts_col, run.landed_with, run.zone)
     df = add_column(df, DAY, col(*resolve(df, run.ts_col)).cast("date"))
     return write_keyed(df, processed, [run.ts_col], partition_by=[DAY], dedup=False, batch_id=batch_id)
 
@@ -113,9 +113,7 @@ def prepare_changes(changes: DataFrame, run: Run) -> DataFrame:
     if run.collapse:
         order = [run.ts_col, SEQ, *as_list(run.tie_breaker)]
         changes = keep_last(changes, run.keys, order)
-    return version_columns(
-        changes, run.job_id, run.ts_col, run.load_time, run.source_system, run.run_ts, run.zone
-    )
+    return version_columns(changes, run.ts_col, run.versions_with)
 
 
 def _in_commit_order(run: Run) -> History:
