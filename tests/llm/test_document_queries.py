@@ -60,13 +60,19 @@ def plain_toxicity(tables):
     known = [r for r in rows if r["doc_id"] in labels and zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2]
     model = toxicity.fit([(r["text"], labels[r["doc_id"]], 1.0) for r in known])
 
+    weights = np.append(model.weights, 0.0)
+
+    def of_word(word):
+        (own,) = toxicity._words([word])
+        return weights[own.places[:, 0]].sum()
+
     def score(text):
         clean = 1.0
         for sentence in re.split(r"[.!?\n]", text or ""):
             words = [w.encode().lower() for w in re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", sentence)]
             if words:
-                total = model.bias + sum(model.weights[toxicity._features(w)].sum() for w in words)
-                clean *= 1 - 1 / (1 + math.exp(-total))
+                total = model.bias + sum(map(of_word, words))
+                clean *= 1 / (1 + math.exp(min(total, 700.0)))  # 1 - sigmoid, long sentences too
         return 1 - clean
 
     return {r["doc_id"]: score(r["text"]) for r in rows}
