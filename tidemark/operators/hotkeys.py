@@ -15,7 +15,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.names import RESERVED, col
+from tidemark.functions.names import RESERVED, all_of, col
 from tidemark.functions.sizes import shuffle_parts
 from tidemark.session import shared_dir
 
@@ -23,9 +23,10 @@ SLICE = RESERVED + "slice"
 _HASH = RESERVED + "hash"
 _CUTS = RESERVED + "cuts"
 _AT = RESERVED + "at"
-_COARSE = RESERVED + "coarse"
 _STEP = RESERVED + "step"
-_WHOLE = RESERVED + "whole"
+_FIRST = RESERVED + "first"
+_LOW = RESERVED + "low"
+_HIGH = RESERVED + "high"
 
 # Spark's limit on the size of the sketch.
 SKETCH = 1_000_000
@@ -81,29 +82,41 @@ def find_cuts(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame | N
     n, size = F.col("n"), F.size(_AT)
     places = F.when(n > 1, F.sequence(F.lit(1), n - 1)).otherwise(F.array().cast("array<int>"))
     cuts = F.transform(places, lambda i: F.get(F.col(_AT), F.floor(i.cast("long") * size / n).cast("int")))
-    # Every step-th cut point as well, so that a row need not be compared with all.
     step = F.ceil(F.sqrt(n)).cast("int")
-    coarse = F.filter(F.col(_CUTS), lambda cut, i: (i + 1) % F.col(_STEP) == 0)
-    table = points.select(_HASH, cuts.alias(_CUTS), step.alias(_STEP)).withColumn(_COARSE, coarse)
-    return kept(table)
+    return kept(points.select(_HASH, cuts.alias(_CUTS), step.alias(_STEP)))
+
+
+def _ranges(cuts: DataFrame, width: Column, *more: Column) -> DataFrame:
+    """Stretches of `width` slices: the first one, and the cut points before and after them, NULL at the ends."""
+    stretch = F.transform(
+        F.sequence(F.lit(0), F.size(_CUTS), width),
+        lambda i: F.struct(
+            i.alias(SLICE), F.get(_CUTS, i - 1).alias(_LOW), F.get(_CUTS, i + width - 1).alias(_HIGH)
+        ),
+    )
+    return cuts.select(_HASH, _STEP, F.inline(stretch)).select(_HASH, SLICE, _LOW, _HIGH, *more)
+
+
+def _inside(rows: DataFrame, ranges: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with the range of their keys that holds their place: none or one, as ranges do not overlap."""
+    low, high, at = F.col(f"r.{_LOW}"), F.col(f"r.{_HIGH}"), F.col(f"l.{_AT}")
+    same = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
+    holds = all_of([*same, low.isNull() | (low < at), high.isNull() | (at <= high)])
+    found = [F.col(f"r.{c}") for c in ranges.columns if c not in (*keys, _LOW, _HIGH)]
+    return rows.alias("l").join(ranges.alias("r"), holds, "left").select("l.*", *found)
 
 
 def with_slices(df: DataFrame, keys: list[str], order: list[str], cuts: DataFrame) -> DataFrame:
     """Add the slice of each row: 0, 1, … along the order for hot keys, NULL otherwise.
 
-    A row's slice is the number of cut points before it: whole steps by the
-    coarse points, then the rest within one step.
+    A row's slice is the number of cut points before it: joins find its stretch of
+    slices, then the slice within, each among about the root of their number.
     """
-
-    def before(points: Column) -> Column:
-        return F.size(F.filter(points, lambda cut: cut < F.col(_AT)))
-
-    whole = before(F.col(_COARSE)) * F.col(_STEP)
-    marked = df.withColumns({_HASH: _hash(keys), _AT: _at(order)}).join(cuts, _HASH, "left").withColumn(_WHOLE, whole)
-    rest = before(F.slice(_CUTS, F.col(_WHOLE) + 1, F.col(_STEP)))
-    return marked.withColumn(SLICE, F.when(F.col(_CUTS).isNotNull(), F.col(_WHOLE) + rest)).drop(
-        _HASH, _CUTS, _AT, _COARSE, _STEP, _WHOLE
-    )
+    step = F.col(_STEP)
+    wide = _ranges(cuts, step).withColumnRenamed(SLICE, _FIRST)
+    narrow = _ranges(cuts, F.lit(1), (F.col(SLICE) - F.col(SLICE) % step).alias(_FIRST))
+    marked = _inside(df.withColumns({_HASH: _hash(keys), _AT: _at(order)}), wide, [_HASH])
+    return _inside(marked, narrow, [_HASH, _FIRST]).drop(_HASH, _AT, _FIRST)
 
 
 def spread(sliced: DataFrame, keys: list[str]) -> DataFrame:
