@@ -1,7 +1,10 @@
 import random
 import re
+import tracemalloc
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -166,3 +169,19 @@ def test_rows_of_clusters_grow_with_the_family(spark, monkeypatch, key):
         similar_groups(frame).count()
         totals.append(sum(written_rows) / n)
     assert totals[2] < 1.6 * totals[0] + 20
+
+
+def test_a_page_takes_little_memory():
+    """What a task holds for a full page of its text, beside the text itself."""
+    numbers = np.random.default_rng(0).integers(0, 1 << 20, (pages.PAGE_BYTES // 2800, 400)).tolist()
+    texts = [" ".join(f"{n:06x}" for n in row) for row in numbers]
+    table = pa.table({"doc_id": range(len(texts)), "text": texts})
+    tracemalloc.start()
+    try:
+        page = jaccard_join._Page(table, 5, 30)
+        asked = page.questions(0)
+        replies = [(b, bytes([9]) * (len(p) // 4)) for b, p in zip(asked["bucket"].to_pylist(), asked["payload"].to_pylist())]
+        page.sets(pa.concat_tables([pages.answers(1, b, [0], [p]) for b, p in replies]), 75)
+        assert tracemalloc.get_traced_memory()[1] < 60 << 20
+    finally:
+        tracemalloc.stop()

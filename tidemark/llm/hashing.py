@@ -15,7 +15,7 @@ PLAIN_WORDS = bytes(
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 # Bytes of text that are hashed at a time.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _BYTES = np.random.Generator(np.random.PCG64(1)).integers(0, 1 << 64, 256, np.uint64)

@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PAGE_BYTES = 8 << 20
-BUCKET_QUESTIONS = 4 << 20
+PAGE_BYTES = 4 << 20
+BUCKET_QUESTIONS = 2 << 20
 LEVEL_BYTES = 100 << 30
 BYTES_PER_WORD = 6
 
