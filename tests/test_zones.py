@@ -206,3 +206,18 @@ def test_an_unrelated_run_keeps_versions_of_one_instant(spark, folder):
     zones.land(changes(spark, (9, "2024-01-20 00:00:00", 3, "z", "I")), p, later)
     assert zones.structure(spark, p, s, later) == "incremental"
     assert [r for r in versions(spark, s) if r[0] == 1] == before
+
+
+def test_a_run_that_keeps_all_changes_writes_no_copy_of_them(spark, folder, monkeypatch):
+    p, s = folder + "/p", folder + "/s"
+    run, later = (replace(r, collapse=False, tie_breaker="event_id") for r in (RUN, NEXT))
+    day = ("2024-01-02 00:00:00", "2024-01-03 00:00:00")
+    zones.land(changes(spark, (1, day[0], 1, "a", "I"), (1, day[1], 2, "b", "U"), (2, day[0], 3, "c", "I")), p, run)
+    monkeypatch.setattr(zones, "shared_dir", lambda *a: pytest.fail("changes were copied"))
+    assert zones.structure(spark, p, s, run) == "initial"
+    assert zones.structure(spark, p, s, later) == "nothing"
+    zones.land(changes(spark, (1, "2024-01-20 00:00:00", 4, "d", "D")), p, later)
+    assert zones.structure(spark, p, s, later) == "incremental"
+    assert [(v[0], v[1], v[2], v[4][:10]) for v in versions(spark, s)] == [
+        (1, "a", "inactive", "2024-01-03"), (1, "b", "inactive", "2024-01-20"), (2, "c", "active", "None"),
+    ]

@@ -148,22 +148,28 @@ def structure(spark: SparkSession, processed: str, structured: str, run: Run) ->
     """
     if not table_exists(spark, processed):
         return "nothing"
+    window = changes_in_window(spark, processed, run)
+    if not run.collapse and run.key_defaults is None:  # changes are landed rows with other columns: as cheap to read there as from a copy
+        return "nothing" if window.isEmpty() else _merge_changes(spark, structured, prepare_changes(window, run), run)
     # The window is read once: its rows are counted while the changes are written.
-    window, count = observed(changes_in_window(spark, processed, run))
+    window, count = observed(window)
     changes = prepare_changes(window, run)
     folder = shared_dir(spark, "changes")
     try:
         changes.write.parquet(folder)
         if not count():
             return "nothing"
-        changes = spark.read.schema(changes.schema).parquet(folder)
-        spec = run.history()
-        if not table_exists(spark, structured):
-            write_versions(first_versions(changes, run), structured, spec)
-            return "initial"
-        versions = next_versions(read_active(spark, structured, spec), changes, run)
-        write_versions(versions, structured, spec, timestamp_literal(run.window_from))
-        return "incremental"
+        return _merge_changes(spark, structured, spark.read.schema(changes.schema).parquet(folder), run)
     finally:
         fs, written = file_system(spark, folder)
         fs.delete(written.getParent(), True)
+
+
+def _merge_changes(spark: SparkSession, structured: str, changes: DataFrame, run: Run) -> str:
+    spec = run.history()
+    if not table_exists(spark, structured):
+        write_versions(first_versions(changes, run), structured, spec)
+        return "initial"
+    versions = next_versions(read_active(spark, structured, spec), changes, run)
+    write_versions(versions, structured, spec, timestamp_literal(run.window_from))
+    return "incremental"
