@@ -502,7 +502,7 @@ def history_table_ties(spark, sf_dir):
     early = F.col("l_linenumber") <= 3
     unrelated = lines.filter(early).withColumn("l_orderkey", -1 - F.col("l_orderkey"))
     for batch in (lines.filter(early), lines.filter(~early), unrelated):
-        merge_history(batch, path, spec)
+        merge_history(batch, path, spec, stored=True)
     return keyed.read_keyed(spark, path)
 
 

@@ -13,6 +13,7 @@ from checks import queries
 from helpers import plan, rows
 from tidemark.operators import history, joins
 from tidemark.operators.history import History
+from tidemark.plans import history_table
 from tidemark.plans.history_table import merge_history, read_active, write_versions
 from tidemark.sources import keyed
 
@@ -173,6 +174,21 @@ def test_table_equals_snapshot_and_rerun_changes_nothing(spark, sf_dir, folder):
     assert rows(keyed.read_keyed(spark, folder)) == want
 
 
+@pytest.mark.parametrize("stored", [False, True])
+def test_stored_changes_are_read_where_they_lie(spark, folder, monkeypatch, stored):
+    data = [(1, "A", 1), (2, "Z", 1), (1, "B", 5), (1, "B", 5), (2, None, 7), (3, "N", 9)]
+    spark.createDataFrame(data, "id int, v string, ts int").write.parquet(folder + "/log")
+    log = spark.read.parquet(folder + "/log")
+    copies = []
+    real = history_table.shared_dir
+    monkeypatch.setattr(history_table, "shared_dir", lambda *a: copies.append(a) or real(*a))
+    for batch in ("ts < 5", "ts >= 5"):
+        merge_history(log.filter(batch), folder + "/table", SPEC, stored=stored)
+    assert len(copies) == (not stored)
+    found = {(r.id, r.v, r.effective_from, r.effective_to) for r in keyed.read_keyed(spark, folder + "/table").collect()}
+    assert found == {(1, "A", 1, 5), (1, "B", 5, None), (2, "Z", 1, 7), (2, None, 7, None), (3, "N", 9, None)}
+
+
 def test_merge_lists_active_folders_only(spark, sf_dir, folder):
     write_versions(queries.user_history(spark, sf_dir), folder, queries.USERS)
     active = read_active(spark, folder, queries.USERS)

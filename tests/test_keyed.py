@@ -117,6 +117,24 @@ def test_stored_rows_are_not_moved(spark, folder, monkeypatch):
     assert len(got(spark, folder)) == 401
 
 
+def test_batch_is_moved_once(spark, folder, monkeypatch):
+    """No join or insert of an upsert exchanges rows: the batch was written in the table's buckets."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        write_keyed(frame(spark, *[(i, "ab"[i % 2], 1, "x") for i in range(400)]), folder, "k", "ts", "part", dedup=True, buckets=4)
+        plans, batches = [], []
+        real, joined = keyed._insert, keyed._joined
+        monkeypatch.setattr(keyed, "_insert", lambda df, *a, **k: plans.append(plan(df)) or real(df, *a, **k))
+        monkeypatch.setattr(keyed, "_joined", lambda *a: plans.append(plan(joined(*a))) or joined(*a))
+        monkeypatch.setattr(keyed, "_written", lambda *a, real=keyed._written: batches.append(real(*a)) or batches[-1])
+        write_keyed(frame(spark, (7, "a", 2, "new"), (500, "b", 2, "new"), (501, "c", 2, "new")), folder, "k", "ts", dedup=True)
+        assert len(plans) > 2 and not [text for text in plans if "Exchange" in text]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    assert len(batches) == 1 and len(got(spark, folder)) == 402
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("keyed_batch_")]
+
+
 def test_two_bucketed_tables_join_without_a_shuffle(spark, folder):
     for name in ("/one", "/two"):
         write_keyed(frame(spark, *[(i, "a", 1, "x") for i in range(50)]), folder + name, "k", "ts", dedup=True, buckets=4)

@@ -83,23 +83,33 @@ def merge_history(
     batch_id: tuple[str, int] | None = None,
     buckets: int = 0,
     slices: int = 1,
+    stored: bool = False,
 ) -> int | None:
-    """Bring the history at `path` up to date with a batch of changes; `buckets`, `slices` as in write_versions."""
+    """Bring the history at `path` up to date with a batch of changes; `buckets`, `slices` as in write_versions.
+
+    `stored` states that the log only reads stored files, which stay as they are: it
+    is read from there several times. Any other log is written once before the merge.
+    """
     spark = log.sparkSession
     if not table_exists(spark, path):
         return write_versions(new_versions(log, spec), path, spec, batch_id=batch_id, buckets=buckets, slices=slices)
+    if stored:
+        return _merge_stored(log, path, spec, batch_id)
     # The batch is read several times: write it once, whatever it took to make it.
     folder = shared_dir(spark, "changes")
     try:
         log.write.parquet(folder)
-        log = spark.read.schema(log.schema).parquet(folder)
-        (since,) = log.agg(F.min(col(*resolve(log, spec.ts[0])))).first()
-        return write_versions(delta(read_met(spark, path, spec, since), log, spec), path, spec, since, batch_id)
+        return _merge_stored(spark.read.schema(log.schema).parquet(folder), path, spec, batch_id)
     finally:
         fs, written = file_system(spark, folder)
         fs.delete(written.getParent(), True)
 
 
+def _merge_stored(log: DataFrame, path: str, spec: History, batch_id: tuple[str, int] | None) -> int | None:
+    (since,) = log.agg(F.min(col(*resolve(log, spec.ts[0])))).first()
+    return write_versions(delta(read_met(log.sparkSession, path, spec, since), log, spec), path, spec, since, batch_id)
+
+
 def write_late(log: DataFrame, path: str, late_path: str, spec: History, batch_id: tuple[str, int]) -> None:
     """Append the changes that `late="drop"` leaves out of the history at `path` to a table of their own."""
     if table_exists(log.sparkSession, path):

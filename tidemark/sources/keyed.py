@@ -1,10 +1,11 @@
 """Keyed tables: catalog tables of Spark that are appended to and upserted by key.
 
 A table is parquet, partitioned by columns of the caller's choice and by a hash of
-the keys (`key_slice`), and bucketed and sorted by the keys within. So an upsert
-joins the batch with the stored rows without shuffling them, and replaces whole
-partitions by Spark's dynamic partition overwrite: those that hold a key of the
-batch, no others. Any Spark session reads the table, and any tool its folders.
+the keys (`key_slice`), and bucketed and sorted by the keys within. An upsert
+writes its batch once, in the same buckets, so it joins the batch with the stored
+rows without shuffling either, and replaces whole partitions by Spark's dynamic
+partition overwrite: those that hold a key of the batch, no others. Any Spark
+session reads the table, and any tool its folders.
 
 A table is named as in the catalog, or by a path (anything with a slash). A path
 is a table of its own in the session's catalog, below a folder that says how many
@@ -47,6 +48,8 @@ _DURING_WRITES = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # A table bucketed by some of its keys is joined on all of them without a shuffle.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # Batches that lie bucketed are written bucket by bucket, also where no join asks for it.
+    "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false",
 }
 _writing: dict[str, tuple[int, dict[str, str | None]]] = {}
 _lock = threading.Lock()
@@ -172,6 +175,9 @@ class _Stored:
         types = {f.name: f for f in self.schema}
         return T.StructType([types[c] for c in self.columns])
 
+    def bucketed_by(self) -> list[str]:
+        return [c for c in self.by if c.lower() not in {p.lower() for p in self.parts}]
+
     def slice_of(self) -> Column:
         return F.pmod(F.xxhash64(*[col(k) for k in self.by]), F.lit(self.slices)).cast("int").alias(SLICE)
 
@@ -317,11 +323,27 @@ def _insert(df: DataFrame, stored: _Stored, overwrite: bool) -> None:
     rows = df.select(*[col(f.name) for f in stored.schema])
     if stored.buckets and not overwrite:
         # Each task then writes one bucket.
-        inside = [c for c in stored.by if c.lower() not in {p.lower() for p in stored.parts}]
-        rows = rows.repartition(stored.buckets, *map(col, inside))
+        rows = rows.repartition(stored.buckets, *map(col, stored.bucketed_by()))
     rows.write.insertInto(stored.name, overwrite=overwrite)
 
 
+def _batch_table(stored: _Stored) -> str:
+    return f"keyed_batch_{hashlib.sha256(stored.name.encode()).hexdigest()[:24]}"
+
+
+def _written(batch: DataFrame, stored: _Stored, folder: str) -> DataFrame:
+    """The batch, written once; in the buckets of the stored rows, if they have any."""
+    spark = stored.spark
+    if not stored.buckets:
+        batch.write.parquet(folder)
+        return spark.read.schema(batch.schema).parquet(folder)
+    inside, name = resolve(batch, stored.bucketed_by()), _batch_table(stored)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")  # of an upsert that was interrupted
+    rows = batch.repartition(stored.buckets, *map(col, inside))
+    rows.write.bucketBy(stored.buckets, *inside).saveAsTable(name, format="parquet", path=folder)
+    return spark.table(name)
+
+
 def write_keyed(
     df: DataFrame,
     table: str,
@@ -418,10 +440,8 @@ def _upsert(
     # The batch is read several times: write it once, whatever it took to make it.
     folder = shared_dir(spark, "batch")
     try:
-        batch.withColumn(SLICE, stored.slice_of()).write.parquet(folder)
+        batch = _written(batch.withColumn(SLICE, stored.slice_of()), stored, folder)
         size_shuffles(spark, folder_bytes(spark, folder))
-        schema = T.StructType([*batch.schema, T.StructField(SLICE, T.IntegerType())])
-        batch = spark.read.schema(schema).parquet(folder)
         nulls = not batch.filter(~_whole(keys)).isEmpty()
         old = stored.rows()
         unique = stored.unique and [k.lower() for k in stored.keys] == [k.lower() for k in keys]
@@ -453,5 +473,6 @@ def _upsert(
                 if files:
                     _drop_partition(stored, row, sorted(files))
     finally:
+        spark.sql(f"DROP TABLE IF EXISTS {_batch_table(stored)}")
         fs, written = file_system(spark, folder)
         fs.delete(written.getParent(), True)
