@@ -1,9 +1,10 @@
+import random
 import re
 
 import pytest
 
 from conftest import documents
-from tidemark.llm.license_scan import BASE, scan_licenses
+from tidemark.llm.license_scan import APART, BASE, COVERED, GRAM, NOTICES, scan_licenses
 
 TEXTS = [
     "Under the MIT License. under the mit license, under the MIT-license",
@@ -68,3 +69,55 @@ def test_native_plan(docs):
     plan = scan_licenses(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoop", plan)
     assert "BroadcastHashJoin" in plan
+
+
+def test_one_grouping_of_documents(docs):
+    """Each sorter of a task holds a page of a few dozen MB, so documents are grouped once; templates need no workers."""
+    frame = scan_licenses(docs)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("BroadcastHashJoin")]
+    assert above.count("Aggregate") == 2 and "Window" not in above
+    assert plan.count("ExistingRDD") == 1  # the documents
+
+
+def plain_spans(text):
+    """Spans by loops over all places of all templates."""
+    words, spans = words_of(text), []
+    for base, phrases in ((True, BASE), (False, NOTICES)):
+        for phrase, label in phrases.items():
+            of = phrase.split()
+            hits = [
+                (pos - at, at, pos)
+                for pos in range(len(words) - GRAM + 1)
+                for at in range(len(of) - GRAM + 1)
+                if words[pos : pos + GRAM] == of[at : at + GRAM]
+            ]
+            groups = []
+            for hit in sorted(hits):
+                if not groups or hit[0] - groups[-1][-1][0] > (0 if base else APART):
+                    groups.append([])
+                groups[-1].append(hit)
+            for group in groups:
+                covered = {at + i for _, at, _ in group for i in range(GRAM)}
+                places = [pos for _, _, pos in group]
+                if len(covered) / len(of) >= (1 if base else COVERED):
+                    spans.append((label, base, min(places), max(places) + GRAM - 1, len(covered) / len(of)))
+    return sorted(spans)
+
+
+def test_spans_as_by_plain_loops(spark):
+    """Notices and phrases with words left out, put in and repeated; rows of one id stay apart."""
+    rng = random.Random(5)
+    texts = []
+    for _ in range(60):
+        words = []
+        for _ in range(rng.randrange(1, 6)):
+            part = rng.choice([*BASE, *NOTICES]).split()
+            words += [w for w in part if rng.random() > 0.05]
+            words += [rng.choice(["the", "license", "word"]) for _ in range(rng.randrange(3))]
+        texts.append(" ".join(words))
+    texts.append("cc by nc " * 30_000)
+    frame = spark.createDataFrame([(i % 2, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    rows = scan_licenses(frame.repartition(3)).collect()
+    found = sorted((r["doc_id"], r["n_words"], [tuple(s) for s in r["spans"]]) for r in rows)
+    assert found == sorted((i % 2, len(words_of(t)), plain_spans(t)) for i, t in enumerate(texts))
