@@ -1,6 +1,9 @@
 import re
+import tracemalloc
 import zlib
 
+import pyarrow as pa
+
 from conftest import documents
 from tidemark.llm import language_id
 from tidemark.llm.shared import held_out
@@ -82,3 +85,16 @@ def test_repeated_ids_teach_once_and_in_bounds(spark):
         assert sum(len(text) for text, one in taught[1] if one == name) <= 1600
         assert all(len(text) <= 100 for text, one in taught[1])
     assert sizes[2] == {"en": 500, "de": len(kept) - 1, "fr": 1}
+
+
+def test_memory_of_a_large_batch():
+    """A task's memory depends on a part of its batch: texts are not all made Python strings at once."""
+    classifier = language_id._Classifier(example_model())
+    text = "das haus mit wasser und winter dinge " * 50
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(10_000)), "text": [None, "", *[text] * 9_998]})
+    tracemalloc.start()
+    found = language_id._classified(batch, classifier)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < batch.nbytes and batch.nbytes > 18e6
+    assert found.column("lang_pred").to_pylist() == ["und"] * 2 + ["de"] * 9_998

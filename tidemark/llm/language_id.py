@@ -19,6 +19,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +30,7 @@ WEIGHTS = 1 << 16
 MOST_BYTES = 4 << 20  # of texts of one language
 LANGUAGES = 64
 ROUNDS = 80
-PART_BYTES = 1 << 20
+PART_BYTES = 1 << 18  # of text that a task works on at a time
 UNDETERMINED = "und"
 # Language families by ISO 639-1 code. A language not listed is a family of its own.
 FAMILIES = {
@@ -186,6 +187,32 @@ class _Classifier:
         return languages.tolist(), scores, [names[f] for f in family]
 
 
+def _classified(batch: pa.RecordBatch, classifier: _Classifier) -> pa.RecordBatch:
+    """Predictions of a batch of (doc_id, text), whose texts become Python strings part by part."""
+    languages, scores, families = [], [], []
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
+    for a, b in parts([range(s) for s in sizes], PART_BYTES):
+        own = [t or "" for t in batch.column("text").slice(a, b - a).to_pylist()]
+        lettered = [i for i, t in enumerate(own) if classifier.model.languages and _LETTER.search(t)]
+        name, score, family = [UNDETERMINED] * (b - a), np.zeros(b - a), [None] * (b - a)
+        if lettered:
+            found = classifier([own[i] for i in lettered])
+            score[lettered] = found[1]
+            for i, one, kind in zip(lettered, found[0], found[2]):
+                name[i], family[i] = one, kind
+        languages += name
+        scores.append(score)
+        families += family
+    return pa.RecordBatch.from_pydict(
+        {
+            "doc_id": batch.column("doc_id"),
+            "lang_pred": pa.array(languages, pa.string()),
+            "score": pa.array(np.concatenate([np.empty(0), *scores])),
+            "family": pa.array(families, pa.string()),
+        }
+    )
+
+
 def predicted(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: doc_id, lang_pred, score (0 to 1), family.
 
@@ -199,27 +226,6 @@ def predicted(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str =
     def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classifier = _Classifier(shared())
         for batch in batches:
-            bodies = batch.column("text").to_pylist()
-            languages, scores, families = [], [], []
-            for a, b in parts([t or "" for t in bodies], PART_BYTES):
-                own = [t or "" for t in bodies[a:b]]
-                lettered = [i for i, t in enumerate(own) if classifier.model.languages and _LETTER.search(t)]
-                name, score, family = [UNDETERMINED] * (b - a), np.zeros(b - a), [None] * (b - a)
-                if lettered:
-                    found = classifier([own[i] for i in lettered])
-                    score[lettered] = found[1]
-                    for i, one, kind in zip(lettered, found[0], found[2]):
-                        name[i], family[i] = one, kind
-                languages += name
-                scores.append(score)
-                families += family
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": batch.column("doc_id"),
-                    "lang_pred": pa.array(languages, pa.string()),
-                    "score": pa.array(np.concatenate([np.empty(0), *scores])),
-                    "family": pa.array(families, pa.string()),
-                }
-            )
+            yield _classified(batch, classifier)
 
     return texts.mapInArrow(classify, PREDICTED)
